@@ -205,6 +205,52 @@ def q_constraint_audit(spark, sf):
     return constraint_audit(_star(spark, sf).as_dict())
 
 
+# ------------------------------------------------------------- streaming
+def q_stream_dedup(spark, sf):
+    from viewstar.streaming.proofs import ingest_run
+    from viewstar.schemas import CLEAN_EVENT
+    out = spark.read.schema(CLEAN_EVENT).parquet(ingest_run(spark, sf)["cleaned"])
+    return ntz(_flat_option(out))
+
+
+def q_batch_monitor(spark, sf):
+    from viewstar.streaming.proofs import monitor_table
+    return monitor_table(spark, sf).agg(F.sum("rows").alias("rows"),
+                                        F.sum(F.size("samples")).cast("bigint").alias("n_samples"))
+
+
+def _loaded(spark, sf):
+    from viewstar.streaming.proofs import load_run
+    from viewstar.streaming.warehouse import Warehouse
+    return Warehouse(spark, load_run(spark, sf)["root"])
+
+
+def q_loader_final_state(spark, sf):
+    return ntz(_loaded(spark, sf).read("fact_log_event").drop("ingestion_timestamp"))
+
+
+def q_loader_dim_location(spark, sf):
+    return _loaded(spark, sf).read("dim_location")
+
+
+def q_loader_dim_customer(spark, sf):
+    return _loaded(spark, sf).read("dim_customer")
+
+
+def q_warehouse_top_products(spark, sf):
+    return R.top_products(_loaded(spark, sf).star())
+
+
+def q_warehouse_summary_metrics(spark, sf):
+    return R.summary_metrics(_loaded(spark, sf).star())
+
+
+def q_ledger_replay(spark, sf):
+    from viewstar.streaming.proofs import replay_run
+    wh = replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
+    return wh.read("fact_log_event").groupBy("date_key").agg(F.count(F.lit(1)).alias("events"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_messages": q_decode_messages,
     "normalize_text": q_normalize_text,
@@ -242,4 +288,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evolve_schema": q_evolve_schema,
     "new_browsers": q_new_browsers,
     "constraint_audit": q_constraint_audit,
+    "stream_dedup": q_stream_dedup,
+    "batch_monitor": q_batch_monitor,
+    "loader_final_state": q_loader_final_state,
+    "loader_dim_location": q_loader_dim_location,
+    "loader_dim_customer": q_loader_dim_customer,
+    "warehouse_top_products": q_warehouse_top_products,
+    "warehouse_summary_metrics": q_warehouse_summary_metrics,
+    "ledger_replay": q_ledger_replay,
 }

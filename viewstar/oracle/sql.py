@@ -199,4 +199,16 @@ SELECT DISTINCT browser FROM fact WHERE browser IS NOT NULL
 EXCEPT
 SELECT browser FROM fact WHERE store_id IN ('0', '1')"""),
     "constraint_audit": on_star(_audit_sql()),
+    "stream_dedup": on_clean(f"""
+SELECT {RAW_FLAT}, local_ts, event_ts, current_domain, referrer_domain, browser, event_date, event_hour
+FROM cleaned QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts) = 1"""),
+    "batch_monitor": on_clean("""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(least(count(*), 5) AS BIGINT) AS n_samples
+FROM (SELECT id FROM cleaned GROUP BY id)"""),
+    "loader_final_state": on_star("SELECT * FROM fact"),
+    "loader_dim_location": on_star("SELECT * FROM dim_location"),
+    "loader_dim_customer": on_star("SELECT * FROM dim_customer"),
+    "ledger_replay": on_star("SELECT date_key, count(*) AS events FROM fact GROUP BY date_key"),
 }
+ORACLE["warehouse_top_products"] = ORACLE["top_products"]
+ORACLE["warehouse_summary_metrics"] = ORACLE["summary_metrics"]
