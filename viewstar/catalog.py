@@ -134,7 +134,7 @@ def q_surrogate_keys(spark, sf):
 
 
 def _star(spark, sf):
-    return star_from_tables(spark, sf)
+    return star_from_tables(spark, sf, materialize=True)
 
 
 def q_dim_date(spark, sf):

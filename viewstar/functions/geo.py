@@ -62,7 +62,8 @@ def country_code(domain) -> Column:
     is exactly two letters (any script); otherwise NULL.  A port or an IP
     address therefore gives NULL."""
     d = F.lower(F.regexp_replace(as_col(domain), r"^\s+|\s+$", ""))
-    last = F.regexp_extract(d, r"([^.]+)[.]*$", 1)
+    # Empty labels are ignored: drop trailing dots, then take the last label.
+    last = F.substring_index(F.regexp_replace(d, r"\.+$", ""), ".", -1)
     return F.when(last.rlike(r"^\p{L}{2}$"), F.upper(last))
 
 

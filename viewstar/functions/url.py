@@ -42,6 +42,17 @@ def _percent(ch: str) -> str:
     return "%" + format(ord(ch), "02X")
 
 
+_UNRESERVED = "A-Za-z0-9_.~\\-"
+
+
+def _already_quoted(x: Column, safe: str) -> Column:
+    """True when decoding then encoding cannot change x: no '%' and only
+    unreserved or safe characters.  Most URLs take this branch, so the
+    decode/encode chain runs only for the rest."""
+    cls = "".join("\\" + ch for ch in safe)
+    return x.rlike(f"^[{_UNRESERVED}{cls}]*$")
+
+
 def quote_part(c, safe: str) -> Column:
     """Percent-decode then re-encode as UTF-8, keeping alphanumerics, '_.-~'
     and the characters of `safe`.
@@ -51,7 +62,8 @@ def quote_part(c, safe: str) -> Column:
     two hex digits is kept literally, and the encoder's '+', '*' and '%7E'
     are mapped to '%20', '%2A' and '~'.
     """
-    x = F.replace(as_col(c), F.lit("+"), F.lit("%2B"))
+    src = as_col(c)
+    x = F.replace(src, F.lit("+"), F.lit("%2B"))
     x = F.regexp_replace(x, r"%(?![0-9A-Fa-f]{2})", "%25")
     x = F.url_encode(F.url_decode(x))
     x = F.replace(x, F.lit("+"), F.lit("%20"))
@@ -59,7 +71,7 @@ def quote_part(c, safe: str) -> Column:
     x = F.replace(x, F.lit("%7E"), F.lit("~"))
     for ch in safe:
         x = F.replace(x, F.lit(_percent(ch)), F.lit(ch))
-    return x
+    return F.when(_already_quoted(src, safe), src).otherwise(x)
 
 
 def _strip_ws(c: Column) -> Column:
@@ -97,7 +109,7 @@ def with_clean_url(df: DataFrame, src: str, dst: str | None = None) -> DataFrame
                    F.lower(_authority(n("rest"))).alias(t + "netloc"),
                    F.regexp_extract(n("rest"), r"^(?://[^/?#]*)?([^?#]*)", 1).alias(t + "path0"),
                    F.regexp_extract(n("rest"), r"^(?://[^/?#]*)?[^?#]*\?([^#]*)", 1).alias(t + "query"))
-    path = F.when(n("scheme").isin(PARAM_SCHEMES),
+    path = F.when(n("scheme").isin(PARAM_SCHEMES) & (F.instr(n("path0"), ";") > 0),
                   F.regexp_replace(n("path0"), r"^((?:[\s\S]*/)?[^/;]*);[^/]*$", "$1")).otherwise(n("path0"))
     df = df.select("*",
                    quote_part(path, PATH_SAFE).alias(t + "epath"),
@@ -118,13 +130,19 @@ def with_clean_url(df: DataFrame, src: str, dst: str | None = None) -> DataFrame
     return df.select(*out)
 
 
+# Authority with '[' but no ']' or ']' but no '[' (an invalid IPv6 host).
+_BAD_AUTHORITY = (r"(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
+                  r"(?:[^/?#\]]*\[[^/?#\]]*|[^/?#\[]*\][^/?#\[]*)(?:[/?#]|$)")
+
+
 def url_is_valid(c) -> Column:
     """True exactly when with_clean_url gives a non-NULL result: the text is
-    not blank and its authority has balanced brackets.  Cheap, so a validity
-    filter can run before the URL work instead of inlining it."""
-    s = F.nullif(_strip_ws(as_col(c)), F.lit(""))
-    netloc = _authority(F.regexp_replace(s, _SCHEME_RE, ""))
-    return s.isNotNull() & ~_bad_brackets(netloc)
+    not blank and its authority has balanced brackets.
+
+    One regular expression over the stripped text, so a filter can run it
+    before the URL work (filters get no common-subexpression elimination,
+    so repeated sub-expressions would be evaluated twice there)."""
+    return _strip_ws(as_col(c)).rlike(rf"^(?!{_BAD_AUTHORITY})(?s:.)")
 
 
 def domain_of(c) -> Column:

@@ -49,6 +49,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (one small file is one task); a scan with enough partitions is
+    left alone, so large inputs pay no extra shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _page_urls(spark: SparkSession, sf_dir: str):
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     n, url_bytes = pages.agg(F.count(F.lit(1)), F.sum(F.length("url"))).first()
@@ -69,8 +77,8 @@ def _clicks_with_event_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     if small:
         cur, ref = F.broadcast(cur), F.broadcast(ref)
 
-    e = (_read(spark, sf_dir, "events")
-         .select("event_id", "ts", "user_id", "event_type", "props")
+    e = spread(_read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
+    e = (e
          .withColumn("cur_page", F.col("event_id") % n)
          .withColumn("ref_page", (F.col("event_id") * 7 + 3) % n))
     j = e.join(cur, "cur_page").join(ref, "ref_page")
