@@ -251,7 +251,7 @@ def q_ledger_replay(spark, sf):
     return wh.read("fact_log_event").groupBy("date_key").agg(F.count(F.lit(1)).alias("events"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_messages": q_decode_messages,
     "normalize_text": q_normalize_text,
     "clean_url": q_clean_url,
@@ -297,3 +297,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warehouse_summary_metrics": q_warehouse_summary_metrics,
     "ledger_replay": q_ledger_replay,
 }
+
+
+def _utc(fn):
+    """Event dates and hours are defined in UTC; pin the session time zone
+    before building the plan."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir.rstrip("/"))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}

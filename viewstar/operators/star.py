@@ -31,9 +31,14 @@ class Star(NamedTuple):
     dim_location: DataFrame
     dim_customer: DataFrame
     fact_log_event: DataFrame
+    # Optional (date_key, views) summary of view facts kept by the loader;
+    # lets "which days have views" avoid scanning the fact.
+    day_views: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return self._asdict()
+        d = self._asdict()
+        d.pop("day_views")
+        return d
 
 
 def base_frame(cleaned: DataFrame) -> DataFrame:

@@ -52,16 +52,24 @@ def day_views(star: Star, report_date=None) -> DataFrame:
     return facts.join(F.broadcast(day), "date_key", "left_semi")
 
 
+def _view_days(star: Star) -> DataFrame:
+    """date_key of every day with at least one view: from the loader's small
+    day summary when the star has one, else from the fact itself."""
+    if star.day_views is not None:
+        return star.day_views.where(F.col("views") > 0).select("date_key").distinct()
+    return _views(star).select("date_key").distinct()
+
+
 def available_dates(star: Star) -> DataFrame:
     """R8: days with views, newest first."""
-    keys = _views(star).select("date_key").distinct()
+    keys = _view_days(star)
     # One dim_date row per calendar day: bounded by the number of days covered.
     return (keys.join(F.broadcast(star.dim_date.select("date_key", "date")), "date_key")
                 .select("date").distinct().orderBy(F.col("date").desc()))
 
 
 def newest_date(star: Star) -> Column:
-    keys = _views(star).select("date_key").distinct()
+    keys = _view_days(star)
     dates = keys.join(F.broadcast(star.dim_date.select("date_key", "date")), "date_key")
     return dates.agg(F.max("date")).scalar()
 

@@ -35,15 +35,19 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
     TimestampType,
 )
 
 from viewstar.operators.merge import new_rows
+from viewstar.plans.reports import VIEW_COLLECTION
 from viewstar.operators.star import Star, base_frame, build_star
 from viewstar.schemas import LEDGER, LOAD_ORDER, STAR_TABLES
 
 LEDGER_DIR = "_ledger"
+DAYS_DIR = "_day_views"
+DAY_VIEWS = StructType([StructField("date_key", StringType(), True),
+                        StructField("views", LongType(), True)])
 LOAD_COLUMN = "load_id"
 
 _TYPES = {
@@ -118,8 +122,16 @@ class Warehouse:
         aggs += [F.min(F.struct(F.col(LOAD_COLUMN), F.col(c))).getField(c).alias(c) for c in others]
         return rows.groupBy(spec.key).agg(*aggs).select(*spec.columns)
 
+    def day_views(self) -> DataFrame:
+        """(date_key, views) of committed view facts, from the per-batch
+        summaries (a few rows per batch) instead of the fact table."""
+        stored = self._read_or_empty(self._path(DAYS_DIR), _stored_schema(DAY_VIEWS))
+        done = self.ledger().select(LOAD_COLUMN)
+        return (stored.join(F.broadcast(done), LOAD_COLUMN, "left_semi")
+                .groupBy("date_key").agg(F.sum("views").alias("views")))
+
     def star(self) -> Star:
-        return Star(*[self.read(t) for t in LOAD_ORDER])
+        return Star(*[self.read(t) for t in LOAD_ORDER], day_views=self.day_views())
 
     # ------------------------------------------------------------ writes
     def _write(self, df: DataFrame, table: str, lid: str, partition_by: list[str] | None = None):
@@ -149,6 +161,14 @@ class Warehouse:
                 if spec.update_columns:
                     fresh = fresh.unionByName(self._filled_updates(committed, batch_rows, spec))
                 self._write(fresh, name, lid, ["date_key"] if name == "fact_log_event" else None)
+            # Per-day view counts of this batch's new facts, read back from
+            # the folder just written (a few rows; keeps report-day lookup
+            # off the fact table).
+            written = self.spark.read.schema(_stored_schema(table_schema("fact_log_event"))).parquet(
+                self._path("fact_log_event")).where(F.col(LOAD_COLUMN) == lid)
+            days = (written.where(F.col("collection") == VIEW_COLLECTION)
+                    .groupBy("date_key").agg(F.count(F.lit(1)).alias("views")))
+            self._write(days.coalesce(1), DAYS_DIR, lid)
             if fail_before_commit:
                 raise RuntimeError(f"simulated failure before commit of batch {batch_id}")
             ledger_row = self.spark.createDataFrame(
