@@ -125,6 +125,8 @@ def test_stream_dedup_watermark(spark):
     assert dropped >= 1
     state_rows = [op["numRowsTotal"] for p in progress["c"] for op in p.get("stateOperators", [])]
     assert state_rows and state_rows[-1] <= 2
+    observed = [p["observedMetrics"]["cleaned_events"]["rows"] for p in progress["b"]]
+    assert observed == [1]
 
 
 def test_loader_replay_is_exactly_once(spark):

@@ -135,7 +135,9 @@ class Warehouse:
 
     # ------------------------------------------------------------ writes
     def _write(self, df: DataFrame, table: str, lid: str, partition_by: list[str] | None = None):
-        w = df.write.mode("overwrite")
+        # Static overwrite: the whole folder of this load is replaced, so a
+        # replay never leaves files of an earlier attempt behind.
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self._path(table)}/{LOAD_COLUMN}={lid}")
