@@ -150,3 +150,31 @@ def test_loader_replay_is_exactly_once(spark):
     assert fact.count() == total and fact.select("event_key").distinct().count() == total
     audit = constraint_audit(wh.star().as_dict(), wh.ledger())
     assert audit.where("violations > 0").count() == 0
+
+
+def test_loader_event_date_scope_matches_global(spark):
+    from viewstar.batch import cleaned_clicks
+    from viewstar.operators.dedup import dedup_stable
+    cleaned = dedup_stable(cleaned_clicks(spark, "/root/testdata/sf0.001"), ["id"], ["event_ts"])
+    a = cleaned.where(F.col("event_date") <= F.lit(dt.date(2024, 1, 10)))
+    b = cleaned.where(F.col("event_date") > F.lit(dt.date(2024, 1, 5)))
+    counts = []
+    for scope in ["global", "event_dates"]:
+        wh = Warehouse(spark, tempfile.mkdtemp(prefix="whs-") + "/wh")
+        wh.load_batch(a, 0, "q", "r", fact_key_scope=scope)
+        wh.load_batch(b, 1, "q", "r", fact_key_scope=scope)
+        counts.append(wh.read("fact_log_event").count())
+    assert counts[0] == counts[1] == cleaned.count()
+
+
+def test_decode_edge_cases(spark):
+    from viewstar.operators.clean import decode, clean
+    good = json.dumps({"id": "e1", "time_stamp": 1716885082, "local_time": "2024-05-28 08:31:22",
+                       "current_url": "http://a.cl/x", "show_recommendation": "not-a-bool"})
+    rows = [(good.encode(),), (b"{bad",), (b"[]",), (b"",), (None,)]
+    df = spark.createDataFrame(rows, "value binary")
+    decoded = decode(df)
+    assert decoded.count() == 3          # '' and NULL decode to NULL and are dropped
+    ok = decoded.where("id = 'e1'").first()
+    assert ok.show_recommendation is None and ok.time_stamp == 1716885082   # bad field only
+    assert [r.id for r in clean(decoded).collect()] == ["e1"]               # malformed rows fail validity

@@ -22,9 +22,11 @@ def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 class _BatchLoader:
-    def __init__(self, warehouse: Warehouse, query_name: str, checkpoint: str, ingestion_timestamp=None):
+    def __init__(self, warehouse: Warehouse, query_name: str, checkpoint: str, ingestion_timestamp=None,
+                 fact_key_scope: str = "global"):
         self.warehouse, self.query_name, self.checkpoint = warehouse, query_name, checkpoint
         self.ingestion_timestamp = ingestion_timestamp
+        self.fact_key_scope = fact_key_scope
         self.run_id = None
         self.results: list[dict] = []
 
@@ -32,14 +34,17 @@ class _BatchLoader:
         if self.run_id is None:
             self.run_id = checkpoint_query_id(batch.sparkSession, self.checkpoint)
         self.results.append(self.warehouse.load_batch(batch, batch_id, self.query_name, self.run_id,
-                                                      self.ingestion_timestamp))
+                                                      self.ingestion_timestamp,
+                                                      fact_key_scope=self.fact_key_scope))
 
 
 def start_loader(spark: SparkSession, source_path: str, warehouse_root: str, checkpoint: str,
                  query_name: str = DEFAULT_QUERY_NAME, trigger: str | None = None,
-                 max_files: int | None = DEFAULT_MAX_FILES, ingestion_timestamp=None):
+                 max_files: int | None = DEFAULT_MAX_FILES, ingestion_timestamp=None,
+                 fact_key_scope: str = "global"):
     """Start the loader; returns (query, batch_loader)."""
-    loader = _BatchLoader(Warehouse(spark, warehouse_root), query_name, checkpoint, ingestion_timestamp)
+    loader = _BatchLoader(Warehouse(spark, warehouse_root), query_name, checkpoint, ingestion_timestamp,
+                          fact_key_scope)
     w = (cleaned_events_stream(spark, source_path, max_files).writeStream
          .foreachBatch(loader).outputMode("append")
          .option("checkpointLocation", checkpoint).queryName(query_name))
