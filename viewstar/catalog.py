@@ -213,6 +213,12 @@ def q_stream_dedup(spark, sf):
     return ntz(_flat_option(out))
 
 
+def q_stream_file_roundtrip(spark, sf):
+    from viewstar.streaming.proofs import roundtrip_run
+    from viewstar.schemas import CLEAN_EVENT
+    return ntz(_flat_option(spark.read.schema(CLEAN_EVENT).parquet(roundtrip_run(spark, sf))))
+
+
 def q_batch_monitor(spark, sf):
     from viewstar.streaming.proofs import monitor_table
     return monitor_table(spark, sf).agg(F.sum("rows").alias("rows"),
@@ -289,6 +295,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_browsers": q_new_browsers,
     "constraint_audit": q_constraint_audit,
     "stream_dedup": q_stream_dedup,
+    "stream_file_roundtrip": q_stream_file_roundtrip,
     "batch_monitor": q_batch_monitor,
     "loader_final_state": q_loader_final_state,
     "loader_dim_location": q_loader_dim_location,

@@ -210,5 +210,6 @@ FROM (SELECT id FROM cleaned GROUP BY id)"""),
     "loader_dim_customer": on_star("SELECT * FROM dim_customer"),
     "ledger_replay": on_star("SELECT date_key, count(*) AS events FROM fact GROUP BY date_key"),
 }
+ORACLE["stream_file_roundtrip"] = ORACLE["stream_dedup"]
 ORACLE["warehouse_top_products"] = ORACLE["top_products"]
 ORACLE["warehouse_summary_metrics"] = ORACLE["summary_metrics"]

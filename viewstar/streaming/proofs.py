@@ -53,6 +53,23 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> dict:
     return run
 
 
+def roundtrip_run(spark: SparkSession, sf_dir: str) -> str:
+    """Ingest output -> Parquet file stream source (a few files per trigger)
+    -> Parquet stream sink, checkpointed; returns the sink folder."""
+    k = _key(spark, sf_dir, "roundtrip")
+    if k in _RUNS:
+        return _RUNS[k]
+    from viewstar.sources.streams import cleaned_events_stream
+    ing = ingest_run(spark, sf_dir)
+    n_files = len(spark.read.parquet(ing["cleaned"]).inputFiles())
+    root = scratch_dir(spark, "roundtrip")
+    src = cleaned_events_stream(spark, ing["cleaned"], max(1, math.ceil(n_files / LOADER_BATCHES)))
+    q = start_ingest(src, f"{root}/out", f"{root}/ckpt", trigger="availableNow", observe_rows=False)
+    q.awaitTermination()
+    _RUNS[k] = f"{root}/out"
+    return _RUNS[k]
+
+
 def load_run(spark: SparkSession, sf_dir: str) -> dict:
     """Ingest output -> loader query (several micro-batches) -> warehouse."""
     k = _key(spark, sf_dir, "load")
