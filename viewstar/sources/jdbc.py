@@ -1,5 +1,5 @@
-"""JDBC staging sink and warehouse reader (PostgreSQL in the original
-deployment).  Code path only here: no database runs in this environment."""
+"""JDBC staging sink and warehouse reader for a relational warehouse.
+Code path only here: no database runs in this environment."""
 
 from __future__ import annotations
 
