@@ -101,19 +101,24 @@ class Warehouse:
                                   & (F.col("batch_id") == int(batch_id)))
         return not hit.isEmpty()
 
-    def _committed_rows(self, table: str, exclude: str | None = None) -> DataFrame:
-        stored = self._read_or_empty(self._path(table), _stored_schema(table_schema(table)))
-        if exclude is not None:
-            # Static partition filter: the folder about to be overwritten is
-            # not even listed, so replacing it cannot break this read.
-            stored = stored.where(F.col(LOAD_COLUMN) != exclude)
-        # The ledger has one row per committed batch: small next to any table.
-        done = self.ledger().select(LOAD_COLUMN)
-        return stored.join(F.broadcast(done), LOAD_COLUMN, "left_semi")
-
-    def read(self, table: str) -> DataFrame:
+    def committed_loads(self) -> list[str]:
+        """Snapshot of the committed load ids (one ledger row per loaded
+        batch, so the list is bounded by the number of batches)."""
+        return sorted(r[0] for r in self.ledger().select(LOAD_COLUMN).distinct().collect())
+
+    def _committed_rows(self, table: str, loads: list[str] | None = None,
+                        schema: StructType | None = None) -> DataFrame:
+        """Rows of committed loads only.  The load ids are a literal set, so
+        Spark prunes the uncommitted and newer folders at file listing
+        (static partition pruning) and every table of one Star reads the same
+        snapshot even while the loader commits new batches."""
+        loads = self.committed_loads() if loads is None else loads
+        stored = self._read_or_empty(self._path(table), _stored_schema(schema or table_schema(table)))
+        return stored.where(F.col(LOAD_COLUMN).isin(loads))
+
+    def read(self, table: str, loads: list[str] | None = None) -> DataFrame:
         spec = STAR_TABLES[table]
-        rows = self._committed_rows(table)
+        rows = self._committed_rows(table, loads)
         if not spec.update_columns:
             return rows.select(*spec.columns)
         others = [c for c in spec.columns if c != spec.key and c not in spec.update_columns]
@@ -122,16 +127,16 @@ class Warehouse:
         aggs += [F.min(F.struct(F.col(LOAD_COLUMN), F.col(c))).getField(c).alias(c) for c in others]
         return rows.groupBy(spec.key).agg(*aggs).select(*spec.columns)
 
-    def day_views(self) -> DataFrame:
+    def day_views(self, loads: list[str] | None = None) -> DataFrame:
         """(date_key, views) of committed view facts, from the per-batch
         summaries (a few rows per batch) instead of the fact table."""
-        stored = self._read_or_empty(self._path(DAYS_DIR), _stored_schema(DAY_VIEWS))
-        done = self.ledger().select(LOAD_COLUMN)
-        return (stored.join(F.broadcast(done), LOAD_COLUMN, "left_semi")
-                .groupBy("date_key").agg(F.sum("views").alias("views")))
+        rows = self._committed_rows(DAYS_DIR, loads, DAY_VIEWS)
+        return rows.groupBy("date_key").agg(F.sum("views").alias("views"))
 
     def star(self) -> Star:
-        return Star(*[self.read(t) for t in LOAD_ORDER], day_views=self.day_views())
+        """The five tables (and the day summary) at one committed snapshot."""
+        loads = self.committed_loads()
+        return Star(*[self.read(t, loads) for t in LOAD_ORDER], day_views=self.day_views(loads))
 
     # ------------------------------------------------------------ writes
     def _write(self, df: DataFrame, table: str, lid: str, partition_by: list[str] | None = None):
@@ -157,21 +162,28 @@ class Warehouse:
         within its watermark)."""
         if cleaned.isEmpty():
             return {"batch_id": batch_id, "status": "empty"}
-        if self.is_committed(query_name, run_id, batch_id):
-            return {"batch_id": batch_id, "status": "already-loaded"}
         lid = load_id(run_id, batch_id)
+        loads = self.committed_loads()
+        if lid in loads:
+            return {"batch_id": batch_id, "status": "already-loaded"}
+        # `loads` is the committed snapshot; it never includes this load's
+        # folder, which is about to be overwritten (pruned, not even listed).
         base = base_frame(cleaned).persist()
         try:
+            # Materialise the cached base once: its measured size is what the
+            # planner's broadcast threshold then checks for the batch-side
+            # joins below (no per-table counting jobs).
+            input_rows = base.count()
             star = build_star(base, ingestion_timestamp or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
             for name in LOAD_ORDER:
                 spec = STAR_TABLES[name]
                 batch_rows = getattr(star, name)
-                committed = self._committed_rows(name, exclude=lid)
+                committed = self._committed_rows(name, loads)
                 if name == "fact_log_event" and fact_key_scope == "event_dates":
                     # Distinct days of one batch: bounded by the calendar.
                     days = [r[0] for r in base.select("date_key").distinct().collect()]
                     committed = committed.where(F.col("date_key").isin(days))
-                fresh = new_rows(committed, batch_rows, spec.key)
+                fresh = new_rows(committed, batch_rows, spec.key, count_keys=False)
                 if spec.update_columns:
                     fresh = fresh.unionByName(self._filled_updates(committed, batch_rows, spec))
                 self._write(fresh, name, lid, ["date_key"] if name == "fact_log_event" else None)
@@ -192,7 +204,7 @@ class Warehouse:
             self._write(ledger_row.coalesce(1), LEDGER_DIR, lid)
         finally:
             base.unpersist()
-        return {"batch_id": batch_id, "status": "committed"}
+        return {"batch_id": batch_id, "status": "committed", "input_rows": input_rows}
 
     @staticmethod
     def _filled_updates(committed: DataFrame, batch_rows: DataFrame, spec) -> DataFrame:
