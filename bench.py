@@ -8,6 +8,7 @@ Steps (each timed):
   ingest_stream     messages -> decode/clean/watermark dedup -> Parquet (availableNow)
   load_warehouse    cleaned events -> star schema -> exactly-once warehouse (one batch)
   <report>          each report on the warehouse (newest day), best of 2 runs
+  constraint_audit  keys, NOT NULL, foreign keys and checks over the whole warehouse, best of 2
   top_products_raw  the flagship report straight from the raw tables (no warehouse)
 """
 
@@ -84,6 +85,10 @@ def main():
         best = min(_timed(lambda: build().collect())[0] for _ in range(2))
         times[name] = best
 
+    from viewstar.operators.quality import constraint_audit
+    times["constraint_audit"] = min(
+        _timed(lambda: constraint_audit(star.as_dict(), wh.ledger()).collect())[0] for _ in range(2))
+
     from viewstar.batch import star_from_tables
     times["top_products_raw"], _ = _timed(
         lambda: R.top_products(star_from_tables(spark, sf_dir)).collect())

@@ -178,3 +178,25 @@ def test_decode_edge_cases(spark):
     ok = decoded.where("id = 'e1'").first()
     assert ok.show_recommendation is None and ok.time_stamp == 1716885082   # bad field only
     assert [r.id for r in clean(decoded).collect()] == ["e1"]               # malformed rows fail validity
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3", "k4", None]),
+                           st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))), max_size=6)
+
+
+@settings(max_examples=8, deadline=None)
+@given(_rows, _rows)
+def test_merges_are_idempotent(spark, target_rows, batch_rows):
+    schema = "k string, v string"
+    target = merge_insert_absent(spark.createDataFrame([], schema), spark.createDataFrame(target_rows, schema), "k")
+    batch = spark.createDataFrame(batch_rows, schema)
+    once = merge_insert_absent(target, batch, "k")
+    twice = merge_insert_absent(once, batch, "k")
+    assert sorted(once.collect()) == sorted(twice.collect())
+    keys = [r.k for r in once.collect()]
+    assert len(keys) == len(set(keys)) and None not in keys
+    up1 = merge_coalesce_update(target, batch, "k", ["v"])
+    up2 = merge_coalesce_update(up1, batch, "k", ["v"])
+    assert sorted(up1.collect(), key=str) == sorted(up2.collect(), key=str)
