@@ -22,12 +22,11 @@ from viewstar.functions import (
     parse_local_time, report_browser, report_os, with_clean_url,
 )
 from viewstar.functions.keys import first_option
-from viewstar.operators.clean import clean, decode
+from viewstar.operators.clean import decode
 from viewstar.operators.merge import merge_coalesce_update, merge_insert_absent
 from viewstar.operators.quality import constraint_audit, evolve
 from viewstar.operators.setops import unseen_values
 from viewstar.operators.star import dim_customer, dim_product, fact_log_event
-from viewstar.oracle import duck
 from viewstar.plans import reports as R
 from viewstar.sources.fixtures import clicks, messages
 

@@ -8,7 +8,7 @@ adapter, cleaning, star schema and reports are re-stated here in SQL.
 from __future__ import annotations
 
 from viewstar.functions.geo import COUNTRY_BY_TLD
-from viewstar.functions.useragent import BROWSER_RULES, OS_RULES
+from viewstar.functions.useragent import BROWSER_RULES
 from viewstar.functions.url import NETLOC_SCHEMES, PARAM_SCHEMES, PATH_SAFE, QUERY_SAFE
 from viewstar.sources.fixtures import USER_AGENTS
 
@@ -31,10 +31,6 @@ def rule_case(col: str, rules) -> str:
     return f"CASE WHEN {col} IS NULL THEN NULL {whens} ELSE 'Other' END"
 
 
-def report_rule_case(col: str, rules) -> str:
-    return f"COALESCE({rule_case(f'NULLIF({col}, {_q(chr(0)) if False else chr(39)*2})', rules)}, 'Unknown')"
-
-
 def quote_sql(x: str, safe: str) -> str:
     e = f"url_encode(url_decode({x}))"
     for ch in safe:
@@ -46,8 +42,8 @@ SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 
 
 def clean_url_sql(u: str) -> str:
-    """A scalar SQL expression (built with nested subqueries is avoided:
-    uses a LATERAL-free CASE chain over regexp_extract)."""
+    """clean_url as one scalar SQL expression (regexp_extract parts,
+    url_decode/url_encode, safe characters restored)."""
     s = f"NULLIF(trim(regexp_replace({u}, '[\\t\\r\\n]', '', 'g')), '')"
     scheme_raw = f"lower(regexp_extract({s}, '{SCHEME_RE}', 1))"
     rest = f"regexp_replace({s}, '{SCHEME_RE}', '')"

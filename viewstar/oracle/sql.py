@@ -5,7 +5,7 @@ from __future__ import annotations
 from viewstar.functions.useragent import BROWSER_RULES, OS_RULES
 from viewstar.oracle.duck import (
     clean_url_sql, domain_sql, on_clean, on_clicks, on_reports, on_star, rule_case, with_ctes,
-    CLICKS_CTE, CLEAN_CTE, STAR_CTE,
+    CLICKS_CTE, CLEAN_CTE,
 )
 from viewstar.schemas import STAR_TABLES
 
