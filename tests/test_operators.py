@@ -200,3 +200,11 @@ def test_merges_are_idempotent(spark, target_rows, batch_rows):
     up1 = merge_coalesce_update(target, batch, "k", ["v"])
     up2 = merge_coalesce_update(up1, batch, "k", ["v"])
     assert sorted(up1.collect(), key=str) == sorted(up2.collect(), key=str)
+
+
+def test_loader_skips_empty_batch(spark):
+    from viewstar.schemas import CLEAN_EVENT
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="whe-") + "/wh")
+    empty = spark.createDataFrame([], CLEAN_EVENT)
+    assert wh.load_batch(empty, 0, "q", "r")["status"] == "empty"
+    assert wh.ledger().count() == 0 and wh.read("fact_log_event").count() == 0

@@ -160,8 +160,6 @@ class Warehouse:
         touches -- a partition-pruned read, exact as long as a redelivered
         event keeps its event date, which the upstream dedup already assumes
         within its watermark)."""
-        if cleaned.isEmpty():
-            return {"batch_id": batch_id, "status": "empty"}
         lid = load_id(run_id, batch_id)
         loads = self.committed_loads()
         if lid in loads:
@@ -174,6 +172,8 @@ class Warehouse:
             # planner's broadcast threshold then checks for the batch-side
             # joins below (no per-table counting jobs).
             input_rows = base.count()
+            if input_rows == 0:  # empty micro-batch: nothing to write or commit
+                return {"batch_id": batch_id, "status": "empty"}
             star = build_star(base, ingestion_timestamp or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
             for name in LOAD_ORDER:
                 spec = STAR_TABLES[name]
