@@ -68,7 +68,8 @@ def monitor_batch(batch: DataFrame, batch_id: int, sample_rows: int = 5, sink: s
         [(int(batch_id), int(rows), [r.json for r in sample])],
         "batch_id long, rows long, samples array<string>")
     if sink:
-        summary.write.mode("append").parquet(sink)
+        # One folder per batch, overwritten on replay: the summary stays exactly-once.
+        summary.coalesce(1).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={int(batch_id)}")
     else:
         for line in [f"[cleaned_events] batch_id={batch_id} rows={rows}"] + \
                 [f"[cleaned_events] sample={r.json}" for r in sample]:
