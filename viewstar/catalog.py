@@ -250,6 +250,11 @@ def q_warehouse_summary_metrics(spark, sf):
     return R.summary_metrics(_loaded(spark, sf).star())
 
 
+def q_loader_constraint_audit(spark, sf):
+    wh = _loaded(spark, sf)
+    return constraint_audit(wh.star().as_dict(), wh.ledger())
+
+
 def q_ledger_replay(spark, sf):
     from viewstar.streaming.proofs import replay_run
     wh = replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
@@ -301,6 +306,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loader_dim_customer": q_loader_dim_customer,
     "warehouse_top_products": q_warehouse_top_products,
     "warehouse_summary_metrics": q_warehouse_summary_metrics,
+    "loader_constraint_audit": q_loader_constraint_audit,
     "ledger_replay": q_ledger_replay,
 }
 
