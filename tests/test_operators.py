@@ -208,3 +208,26 @@ def test_loader_skips_empty_batch(spark):
     empty = spark.createDataFrame([], CLEAN_EVENT)
     assert wh.load_batch(empty, 0, "q", "r")["status"] == "empty"
     assert wh.ledger().count() == 0 and wh.read("fact_log_event").count() == 0
+
+
+def test_report_buckets_and_ties(spark):
+    def fact(key, store, ref, product_key="pk1", loc=None):
+        row = {c: None for c in FACT_COLUMNS}
+        row.update(date_key="20240105", product_key=product_key, event_key=key, event_id=key,
+                   event_timestamp=dt.datetime(2024, 1, 5, 10), store_id=store, referrer_url=ref,
+                   location_key=loc, collection="view_product_detail", event_count=1,
+                   ingestion_timestamp=dt.datetime(2024, 2, 1))
+        return tuple(row[c] for c in FACT_COLUMNS)
+    s = _star_of(spark, [fact("e1", None, ""), fact("e2", "", None), fact("e3", "5", "http://b"),
+                         fact("e4", "5", "http://a"), fact("e5", "6", "http://b")])
+    dl = spark.createDataFrame([("L1", "10.0.0.1", "Chile", "CL") + (None,) * 7], table_schema("dim_location"))
+    s = s._replace(dim_location=dl)
+    stores = [(r.store_id, r.views) for r in R.store_views_by_country(s, "Unknown", "2024-01-05").collect()]
+    # NULL and '' store ids form one 'Unknown' bucket; ties break on the key.
+    assert stores == [("5", 2), ("Unknown", 2), ("6", 1)]
+    refs = [(r.referrer_url, r.views) for r in R.top_referrers(s, "2024-01-05").collect()]
+    assert refs == [("http://b", 2), ("http://a", 1)]
+    m = R.summary_metrics(s, "2024-01-05").first()
+    assert (m.total_views, m.unique_products, m.unique_countries, m.unique_referrers) == (5, 1, 0, 2)
+    assert [r.date for r in R.available_dates(s).collect()] == [dt.date(2024, 1, 5)]
+    assert [(r.product_id, r.views) for r in R.top_products(s).collect()] == [("7", 5)]
