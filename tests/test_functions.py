@@ -109,3 +109,36 @@ def test_user_agent_families(spark):
     assert b[8] is None and o[8] is None
     assert _one(spark, [None, ""], report_browser) == ["Unknown", "Unknown"]
     assert _one(spark, [None, ""], report_os) == ["Unknown", "Unknown"]
+
+
+def test_clean_url_matches_duckdb_twin_on_random_urls(spark):
+    """Two independent implementations (Spark regex/url_decode vs DuckDB RE2/
+    url_decode) agree on random URL-like strings, domains included."""
+    import random
+    from urllib.parse import unquote_to_bytes
+
+    import duckdb
+
+    from viewstar.oracle.duck import clean_url_sql, domain_sql
+
+    def utf8_ok(u):
+        try:
+            unquote_to_bytes(u.replace("+", "%2B")).decode("utf-8")
+            return True
+        except UnicodeDecodeError:
+            return False
+
+    rnd = random.Random(11)
+    parts = ["http", "HTTPS", "ftp", "mailto", "x+y", ":", "//", "/", "?", "#", ";", "=", "&", "%", "%2F",
+             "%zz", "%41", "%e2%82%ac", "+", "*", "~", " ", "a", "B", "é", "[", "]", "@", "host.CL", ".", "80"]
+    urls = [u for u in ("".join(rnd.choice(parts) for _ in range(rnd.randint(1, 9))) for _ in range(800))
+            if utf8_ok(u)][:500]
+    df = spark.createDataFrame(list(enumerate(urls)), "i int, u string")
+    got = {r.i: (r.c, r.d) for r in with_clean_url(df, "u", "c").select(
+        "i", "c", domain_of("c").alias("d")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INT, u VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(urls)))
+    want = {i: (c, d) for i, c, d in con.execute(
+        f"SELECT i, c, {domain_sql('c')} FROM (SELECT i, {clean_url_sql('u')} AS c FROM t)").fetchall()}
+    assert got == want
