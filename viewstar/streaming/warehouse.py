@@ -4,6 +4,7 @@ Layout under `root`:
 
     fact_log_event/load_id=<run>.<batch>/date_key=<yyyyMMdd>/part-*.parquet
     dim_<x>/load_id=<run>.<batch>/part-*.parquet
+    _day_views/load_id=<run>.<batch>/part-*.parquet  (date_key, views) of the batch's new view facts
     _ledger/load_id=<run>.<batch>/part-*.parquet   (query_name, run_id, batch_id, processed_at)
 
 Each batch writes only rows whose key is new (insert-if-absent, first write
@@ -14,7 +15,8 @@ whose load id is in the ledger, so a batch that failed half-way is
 invisible, and all five tables of a batch become visible together.  For
 `dim_customer.email` (the one update column) a batch may also append a row
 for an existing key whose stored email is NULL; readers resolve it per key
-as COALESCE(newest non-NULL, older).
+as the non-NULL value when there is one (COALESCE(new, old); the email is
+a function of the key, so non-NULL values of one key agree).
 
 One writer per warehouse (the loader query).  The ledger key is
 (query_name, run_id, batch_id) where run_id is the streaming checkpoint's
