@@ -231,3 +231,21 @@ def test_report_buckets_and_ties(spark):
     assert (m.total_views, m.unique_products, m.unique_countries, m.unique_referrers) == (5, 1, 0, 2)
     assert [r.date for r in R.available_dates(s).collect()] == [dt.date(2024, 1, 5)]
     assert [(r.product_id, r.views) for r in R.top_products(s).collect()] == [("7", 5)]
+
+
+def test_salted_stream_dedup_spreads_a_hot_id(spark):
+    from viewstar.streaming.ingest import file_position
+    root = tempfile.mkdtemp(prefix="salt-")
+    t0 = 1704067200
+    rows = [(_message("hot", t0 + i),) for i in range(300)] + [(_message(f"e{i}", t0 + i),) for i in range(50)]
+    spark.createDataFrame(rows, "value binary").repartition(4).write.parquet(f"{root}/src")
+    outs = {}
+    for name, pos in [("plain", None), ("salted", file_position())]:
+        src = file_messages(spark, f"{root}/src")
+        q = start_ingest(ingest_plan(src, pos), f"{root}/{name}", f"{root}/ckpt_{name}", trigger="availableNow")
+        q.awaitTermination()
+        outs[name] = spark.read.parquet(f"{root}/{name}")
+    plain, salted = outs["plain"], outs["salted"]
+    assert salted.columns == plain.columns
+    assert sorted(r.id for r in salted.collect()) == sorted(r.id for r in plain.collect())
+    assert salted.where("id = 'hot'").count() == 1 and salted.count() == 51

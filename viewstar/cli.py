@@ -50,6 +50,8 @@ def main(argv=None):
     i.add_argument("--trigger", default="30 seconds")
     i.add_argument("--monitor", action="store_true", help="also print per-batch samples")
     i.add_argument("--sample-rows", type=int, default=5)
+    i.add_argument("--salt", action="store_true",
+                   help="salt the dedup by record position (spreads a hot id over many tasks)")
     ld = sub.add_parser("load")
     ld.add_argument("--source", required=True)
     ld.add_argument("--warehouse", required=True)
@@ -71,9 +73,11 @@ def main(argv=None):
     spark = get_session()
     if a.cmd == "ingest":
         from viewstar.sources.streams import file_messages, kafka_messages
-        from viewstar.streaming.ingest import ingest_plan, start_ingest, start_monitor
+        from viewstar.streaming.ingest import (
+            file_position, ingest_plan, kafka_position, start_ingest, start_monitor)
         src = (lambda: kafka_messages(spark, _kv(a.kafka))) if a.kafka else (lambda: file_messages(spark, a.messages))
-        start_ingest(ingest_plan(src()), a.out, a.checkpoint, trigger=a.trigger, query_name="ingest")
+        pos = (kafka_position() if a.kafka else file_position()) if a.salt else None
+        start_ingest(ingest_plan(src(), pos), a.out, a.checkpoint, trigger=a.trigger, query_name="ingest")
         if a.monitor:
             start_monitor(ingest_plan(src()), a.checkpoint.rstrip("/") + "_monitor", a.sample_rows,
                           trigger=a.trigger)

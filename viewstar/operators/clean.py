@@ -16,18 +16,19 @@ _NONBLANK = ["id", "api_version", "current_url", "referrer_url", "device_id", "e
              "local_time", "product_id", "store_id", "user_agent"]
 
 
-def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
+def decode(messages: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """`value` bytes -> UTF-8 text -> JSON with the fixed raw-event schema.
 
     Rows whose text is NULL or empty decode to NULL and are dropped.  A
     malformed document decodes to a struct of NULLs, which the validity
     filter of clean() removes (its id is NULL); a bad field only nulls that
-    field."""
+    field.  Columns named in `keep` are carried along."""
     ev = F.from_json(F.col(value_col).cast("string"), RAW_EVENT)
-    return messages.select(ev.alias("event")).where(F.col("event").isNotNull()).select("event.*")
+    return (messages.select(ev.alias("event"), *keep).where(F.col("event").isNotNull())
+            .select("event.*", *keep))
 
 
-def clean(raw: DataFrame) -> DataFrame:
+def clean(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw events -> cleaned events (23 fields), invalid rows removed.
 
     Valid = id, current_url, local_ts and event_ts all present.  The test on
@@ -38,7 +39,7 @@ def clean(raw: DataFrame) -> DataFrame:
     for name in _NONBLANK:
         c[name] = nonblank(name)
     c["collection"] = nonblank_lower("collection")
-    df = raw.select(*[c[f.name].alias(f.name) for f in RAW_EVENT.fields])
+    df = raw.select(*[c[f.name].alias(f.name) for f in RAW_EVENT.fields], *keep)
     df = df.select(
         "*",
         parse_local_time("local_time").alias("local_ts"),
@@ -54,4 +55,5 @@ def clean(raw: DataFrame) -> DataFrame:
         browser_family("user_agent").alias("browser"),
         F.to_date("event_ts").alias("event_date"),
         F.hour("event_ts").alias("event_hour"),
-    ).select(*CLEAN_COLUMNS)
+        *keep,
+    ).select(*CLEAN_COLUMNS, *keep)

@@ -28,7 +28,26 @@ def dedup_stable(df: DataFrame, keys: list[str], order: list[str] | None = None)
     return out.select(*keys, *[F.col(f"_survivor.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
+SALT_BUCKETS = 64
+
+
 def dedup_stream(df: DataFrame, key: str = "id", event_time: str = "event_ts",
-                 horizon: str = DEDUP_HORIZON) -> DataFrame:
-    """Streaming dedup by key under a watermark on the event time."""
-    return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
+                 horizon: str = DEDUP_HORIZON, salt: str | None = None,
+                 buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Streaming dedup by key under a watermark on the event time.
+
+    A stateful operator has no map-side combine: every copy of a key is
+    shuffled to the key's one state partition.  With `salt` (the name of a
+    column that identifies the record's position in the source, e.g. Kafka
+    partition:offset or file:row -- deterministic on replay), dedup runs in
+    two stateful steps: first on (key, hash(salt) % buckets), which spreads
+    the copies of a hot key over `buckets` tasks and keeps at most one per
+    bucket, then on the key alone, which sees at most `buckets` copies.
+    The result is the same set of keys: one first arrival per key within
+    the watermark."""
+    w = df.withWatermark(event_time, horizon)
+    if salt is None:
+        return w.dropDuplicatesWithinWatermark([key])
+    spread = w.withColumn("_salt_bucket", F.pmod(F.hash(F.col(salt)), F.lit(buckets)))
+    first = spread.dropDuplicatesWithinWatermark([key, "_salt_bucket"])
+    return first.dropDuplicatesWithinWatermark([key]).drop("_salt_bucket", salt)
