@@ -212,6 +212,12 @@ def q_stream_dedup(spark, sf):
     return ntz(_flat_option(out))
 
 
+def q_stream_dedup_salted(spark, sf):
+    from viewstar.streaming.proofs import salted_ingest_run
+    from viewstar.schemas import CLEAN_EVENT
+    return ntz(_flat_option(spark.read.schema(CLEAN_EVENT).parquet(salted_ingest_run(spark, sf))))
+
+
 def q_stream_file_roundtrip(spark, sf):
     from viewstar.streaming.proofs import roundtrip_run
     from viewstar.schemas import CLEAN_EVENT
@@ -299,6 +305,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_browsers": q_new_browsers,
     "constraint_audit": q_constraint_audit,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_salted": q_stream_dedup_salted,
     "stream_file_roundtrip": q_stream_file_roundtrip,
     "batch_monitor": q_batch_monitor,
     "loader_final_state": q_loader_final_state,

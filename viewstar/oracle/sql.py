@@ -211,6 +211,7 @@ FROM (SELECT id FROM cleaned GROUP BY id)"""),
     "ledger_replay": on_star("SELECT date_key, count(*) AS events FROM fact GROUP BY date_key"),
 }
 ORACLE["stream_file_roundtrip"] = ORACLE["stream_dedup"]
+ORACLE["stream_dedup_salted"] = ORACLE["stream_dedup"]
 # The loaded warehouse satisfies every constraint, and its ledger key is unique.
 ORACLE["loader_constraint_audit"] = on_star(_audit_sql() + """
 UNION ALL

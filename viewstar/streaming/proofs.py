@@ -53,6 +53,22 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> dict:
     return run
 
 
+def salted_ingest_run(spark: SparkSession, sf_dir: str) -> str:
+    """The ingest query with its dedup salted by record position."""
+    k = _key(spark, sf_dir, "salted")
+    if k in _RUNS:
+        return _RUNS[k]
+    from viewstar.streaming.ingest import file_position
+    ing = ingest_run(spark, sf_dir)
+    root = scratch_dir(spark, "salted")
+    msgs = f"{ing['root']}/messages"
+    q = start_ingest(ingest_plan(file_messages(spark, msgs), file_position()), f"{root}/out",
+                     f"{root}/ckpt", trigger="availableNow")
+    q.awaitTermination()
+    _RUNS[k] = f"{root}/out"
+    return _RUNS[k]
+
+
 def roundtrip_run(spark: SparkSession, sf_dir: str) -> str:
     """Ingest output -> Parquet file stream source (a few files per trigger)
     -> Parquet stream sink, checkpointed; returns the sink folder."""
