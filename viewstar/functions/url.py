@@ -1,7 +1,7 @@
 """URL canonicalisation and host extraction as native Spark expressions.
 
-clean_url(u) follows the semantics of a parse / unquote / quote / unparse
-round trip:
+with_clean_url(df, u) follows the semantics of a parse / unquote / quote /
+unparse round trip:
 
 1. NULL or blank -> NULL; tab, CR and LF are removed, outer whitespace cut.
 2. The scheme (text before the first ':' made of scheme characters, starting
@@ -35,7 +35,6 @@ NETLOC_SCHEMES = ["", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais",
                   "svn", "svn+ssh", "sftp", "nfs", "git", "git+ssh", "ws", "wss"]
 
 _SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
-_ANY = r"[\s\S]"
 
 
 def _percent(ch: str) -> str:
