@@ -249,3 +249,22 @@ def test_salted_stream_dedup_spreads_a_hot_id(spark):
     assert salted.columns == plain.columns
     assert sorted(r.id for r in salted.collect()) == sorted(r.id for r in plain.collect())
     assert salted.where("id = 'hot'").count() == 1 and salted.count() == 51
+
+
+def test_day_star_reads_only_the_day_and_agrees(spark):
+    from viewstar.batch import cleaned_clicks
+    from viewstar.operators.dedup import dedup_stable
+    cleaned = dedup_stable(cleaned_clicks(spark, "/root/testdata/sf0.001"), ["id"], ["event_ts"])
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="whd-") + "/wh")
+    wh.load_batch(cleaned.where(F.col("event_date") <= F.lit(dt.date(2024, 1, 15))), 0, "q", "r")
+    wh.load_batch(cleaned.where(F.col("event_date") > F.lit(dt.date(2024, 1, 15))), 1, "q", "r")
+    full = wh.star()
+    day, d = wh.day_star()
+    assert d == R.available_dates(full).first()["date"]
+    files = day.fact_log_event.inputFiles()
+    assert files and all(f"date_key={d.strftime('%Y%m%d')}" in f for f in files)
+    for fn in [R.top_products, R.top_countries, R.summary_metrics, R.browser_os_hourly]:
+        assert sorted(fn(day, d).collect()) == sorted(fn(full).collect())
+    d2 = dt.date(2024, 1, 10)
+    day2, _ = wh.day_star(d2)
+    assert sorted(R.country_options(day2, d2).collect()) == sorted(R.country_options(full, d2).collect())

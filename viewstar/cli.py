@@ -89,7 +89,11 @@ def main(argv=None):
         q.awaitTermination()
     else:
         from viewstar.streaming.warehouse import Warehouse
-        star = Warehouse(spark, a.warehouse).star()
+        wh = Warehouse(spark, a.warehouse)
+        if a.name == "available_dates":
+            star = wh.star()
+        else:
+            star, a.date = wh.day_star(a.date)  # list only the day's folders
         REPORTS[a.name](star, a).show(a.rows, truncate=False)
 
 

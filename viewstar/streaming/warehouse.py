@@ -140,6 +140,40 @@ class Warehouse:
         loads = self.committed_loads()
         return Star(*[self.read(t, loads) for t in LOAD_ORDER], day_views=self.day_views(loads))
 
+    def day_star(self, report_date=None) -> tuple[Star, _dt.date | None]:
+        """A Star whose fact holds only one day's folders, for the daily reports.
+
+        A path-based table lists every file under its root before pruning; at
+        a year of 30-second loads that is millions of folders per report.  The
+        per-load day summaries say which committed loads hold view facts of
+        the day, so only `load_id=<L>/date_key=<day>` folders of those loads
+        are listed.  `report_date=None` picks the newest day with views (one
+        scalar from the summaries).  Returns the Star and the resolved date."""
+        loads = self.committed_loads()
+        days = self._committed_rows(DAYS_DIR, loads, DAY_VIEWS).where(F.col("views") > 0)
+        if report_date is None:
+            newest = days.agg(F.max("date_key")).first()[0]
+            if newest is None:
+                return self.star(), None
+            report_date = _dt.datetime.strptime(newest, "%Y%m%d").date()
+        elif isinstance(report_date, str):
+            report_date = _dt.date.fromisoformat(report_date)
+        key = report_date.strftime("%Y%m%d")
+        # Loads touching one day: bounded by the loads of that day.
+        day_loads = sorted(r[0] for r in days.where(F.col("date_key") == key)
+                           .select(LOAD_COLUMN).distinct().collect())
+        schema = _stored_schema(table_schema("fact_log_event"))
+        fact_root = self._path("fact_log_event")
+        if day_loads:
+            fact = (self.spark.read.schema(schema).option("basePath", fact_root)
+                    .parquet(*[f"{fact_root}/{LOAD_COLUMN}={lid}/date_key={key}" for lid in day_loads]))
+        else:
+            fact = self.spark.createDataFrame([], schema)
+        dims = [self.read(t, loads) for t in LOAD_ORDER[:-1]]
+        star = Star(*dims, fact.select(*STAR_TABLES["fact_log_event"].columns),
+                    day_views=self.day_views(loads))
+        return star, report_date
+
     # ------------------------------------------------------------ writes
     def _write(self, df: DataFrame, table: str, lid: str, partition_by: list[str] | None = None):
         # Static overwrite: the whole folder of this load is replaced, so a
