@@ -46,13 +46,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the setting is absent (local tests) do we pick a fresh folder of
-    our own and record it in the session, so later calls agree.
+    Only when the setting is absent and the master is local (tests) do we
+    pick a fresh folder of our own and record it in the session, so later
+    calls agree; on a cluster the setting is required.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not shared by executors.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         path = tempfile.mkdtemp(prefix="viewstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
