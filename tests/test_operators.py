@@ -268,3 +268,16 @@ def test_day_star_reads_only_the_day_and_agrees(spark):
     d2 = dt.date(2024, 1, 10)
     day2, _ = wh.day_star(d2)
     assert sorted(R.country_options(day2, d2).collect()) == sorted(R.country_options(full, d2).collect())
+
+
+def test_cli_report(spark, capsys):
+    from viewstar import cli
+    from viewstar.batch import cleaned_clicks
+    from viewstar.operators.dedup import dedup_stable
+    root = tempfile.mkdtemp(prefix="cli-") + "/wh"
+    Warehouse(spark, root).load_batch(
+        dedup_stable(cleaned_clicks(spark, "/root/testdata/sf0.001"), ["id"], ["event_ts"]), 0, "q", "r")
+    cli.main(["report", "top_products", "--warehouse", root])
+    cli.main(["report", "available_dates", "--warehouse", root, "--rows", "3"])
+    out = capsys.readouterr().out
+    assert "product_id" in out and "views" in out and "2024-01-30" in out
