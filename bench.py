@@ -5,8 +5,8 @@ and prints one JSON line:
   {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Steps (each timed):
-  ingest_stream     messages -> decode/clean/watermark dedup -> Parquet (availableNow)
-  load_warehouse    cleaned events -> star schema -> exactly-once warehouse (one batch)
+  ingest_stream     messages -> decode/clean/watermark dedup -> Parquet (availableNow), best of 2
+  load_warehouse    cleaned events -> star schema -> exactly-once warehouse (one batch), best of 2
   <report>          each report on the warehouse (newest day), best of 2 runs
   constraint_audit  keys, NOT NULL, foreign keys and checks over the whole warehouse, best of 2
   top_products_raw  the flagship report straight from the raw tables (base checkpointed once, no warehouse)
@@ -51,17 +51,23 @@ def main():
     msgs = f"{root}/messages"
     messages(spark, sf_dir).write.mode("overwrite").parquet(msgs)
 
-    cleaned = f"{root}/cleaned"
-
-    def ingest():
-        q = start_ingest(ingest_plan(file_messages(spark, msgs)), cleaned, f"{root}/ckpt",
-                         trigger="availableNow")
-        q.awaitTermination()
-    times["ingest_stream"], _ = _timed(ingest)
-
-    wh = Warehouse(spark, f"{root}/wh")
-    events = spark.read.schema(CLEAN_EVENT).parquet(cleaned)
-    times["load_warehouse"], _ = _timed(lambda: wh.load_batch(events, 0, "bench", "run-1"))
+    # Ingest and load run twice, each time into fresh folders (new checkpoint,
+    # new warehouse); the faster (warm) run is reported.
+    runs = []
+    for i in range(2):
+        cleaned, ckpt, wh_root = f"{root}/cleaned{i}", f"{root}/ckpt{i}", f"{root}/wh{i}"
+
+        def ingest():
+            q = start_ingest(ingest_plan(file_messages(spark, msgs)), cleaned, ckpt, trigger="availableNow")
+            q.awaitTermination()
+        t_ingest, _ = _timed(ingest)
+        wh = Warehouse(spark, wh_root)
+        events = spark.read.schema(CLEAN_EVENT).parquet(cleaned)
+        t_load, _ = _timed(lambda: wh.load_batch(events, 0, "bench", f"run-{i}"))
+        runs.append((t_ingest, t_load, wh))
+    times["ingest_stream"] = min(r[0] for r in runs)
+    times["load_warehouse"] = min(r[1] for r in runs)
+    wh = runs[-1][2]
 
     # Reports read a day-scoped star: only the folders of the newest day are
     # listed and scanned (the per-load day summary says which ones).
