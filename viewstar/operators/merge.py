@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from viewstar.operators.dedup import dedup_stable
 
-# Batches with at most this many distinct keys have them broadcast.
-BROADCAST_KEYS = 2_000_000
+# Batches with at most this many keys have them broadcast (a SHA-256 hex key
+# is 64 bytes: about 64 MB of keys at the bound).
+BROADCAST_KEYS = 1_000_000
 
 
 def _keys_present(target: DataFrame, batch_keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
@@ -38,10 +39,17 @@ def merge_insert_absent(target: DataFrame, batch: DataFrame, key: str,
     return target.unionByName(fresh.select(*target.columns))
 
 
-def new_rows(target: DataFrame, deduped_batch: DataFrame, key: str, count_keys: bool = True) -> DataFrame:
-    """Rows of an already key-unique batch whose key the target lacks."""
+def new_rows(target: DataFrame, deduped_batch: DataFrame, key: str, count_keys: bool = True,
+             max_keys: int | None = None) -> DataFrame:
+    """Rows of an already key-unique batch whose key the target lacks.
+
+    `max_keys` is a known upper bound on the batch's keys (e.g. the row count
+    of the batch it was built from); without one, `count_keys` counts them.
+    Under BROADCAST_KEYS the keys are broadcast and the target's key column
+    is probed map-side (no shuffle of the target); above it the semi-join
+    shuffles both sides."""
     keys = deduped_batch.select(key)
-    n = keys.count() if count_keys else None
+    n = max_keys if max_keys is not None else (keys.count() if count_keys else None)
     present = _keys_present(target, keys, key, n)
     return deduped_batch.join(present, key, "left_anti")
 

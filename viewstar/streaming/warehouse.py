@@ -204,9 +204,8 @@ class Warehouse:
         # folder, which is about to be overwritten (pruned, not even listed).
         base = base_frame(cleaned).persist()
         try:
-            # Materialise the cached base once: its measured size is what the
-            # planner's broadcast threshold then checks for the batch-side
-            # joins below (no per-table counting jobs).
+            # Materialise the cached base once; its row count bounds the keys
+            # of every table built from it, so no per-table counting jobs.
             input_rows = base.count()
             if input_rows == 0:  # empty micro-batch: nothing to write or commit
                 return {"batch_id": batch_id, "status": "empty"}
@@ -219,7 +218,8 @@ class Warehouse:
                     # Distinct days of one batch: bounded by the calendar.
                     days = [r[0] for r in base.select("date_key").distinct().collect()]
                     committed = committed.where(F.col("date_key").isin(days))
-                fresh = new_rows(committed, batch_rows, spec.key, count_keys=False)
+                # Every table of the batch has at most input_rows keys.
+                fresh = new_rows(committed, batch_rows, spec.key, max_keys=input_rows)
                 if spec.update_columns:
                     fresh = fresh.unionByName(self._filled_updates(committed, batch_rows, spec))
                 self._write(fresh, name, lid, ["date_key"] if name == "fact_log_event" else None)
