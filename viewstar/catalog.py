@@ -261,6 +261,16 @@ def q_loader_constraint_audit(spark, sf):
     return constraint_audit(wh.star().as_dict(), wh.ledger())
 
 
+def q_warehouse_day_top_countries(spark, sf):
+    star, day = _loaded(spark, sf).day_star()
+    return R.top_countries(star, day)
+
+
+def q_warehouse_day_browser_hourly(spark, sf):
+    star, day = _loaded(spark, sf).day_star()
+    return R.browser_hourly(star, day)
+
+
 def q_ledger_replay(spark, sf):
     from viewstar.streaming.proofs import replay_run
     wh = replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
@@ -313,6 +323,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loader_dim_customer": q_loader_dim_customer,
     "warehouse_top_products": q_warehouse_top_products,
     "warehouse_summary_metrics": q_warehouse_summary_metrics,
+    "warehouse_day_top_countries": q_warehouse_day_top_countries,
+    "warehouse_day_browser_hourly": q_warehouse_day_browser_hourly,
     "loader_constraint_audit": q_loader_constraint_audit,
     "ledger_replay": q_ledger_replay,
 }

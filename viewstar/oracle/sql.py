@@ -218,3 +218,5 @@ UNION ALL
 SELECT 'stream_batch_log', 'primary_key:query_name,run_id,batch_id', CAST(0 AS BIGINT)""")
 ORACLE["warehouse_top_products"] = ORACLE["top_products"]
 ORACLE["warehouse_summary_metrics"] = ORACLE["summary_metrics"]
+ORACLE["warehouse_day_top_countries"] = ORACLE["top_countries"]
+ORACLE["warehouse_day_browser_hourly"] = ORACLE["browser_hourly"]
