@@ -224,10 +224,10 @@ class Warehouse:
                     fresh = fresh.unionByName(self._filled_updates(committed, batch_rows, spec))
                 self._write(fresh, name, lid, ["date_key"] if name == "fact_log_event" else None)
             # Per-day view counts of this batch's new facts, read back from
-            # the folder just written (a few rows; keeps report-day lookup
-            # off the fact table).
-            written = self.spark.read.schema(_stored_schema(table_schema("fact_log_event"))).parquet(
-                self._path("fact_log_event")).where(F.col(LOAD_COLUMN) == lid)
+            # the folder just written -- that folder only, so nothing else is
+            # listed (a few rows; keeps report-day lookup off the fact table).
+            written = self.spark.read.schema(table_schema("fact_log_event")).parquet(
+                f"{self._path('fact_log_event')}/{LOAD_COLUMN}={lid}")
             days = (written.where(F.col("collection") == VIEW_COLLECTION)
                     .groupBy("date_key").agg(F.count(F.lit(1)).alias("views")))
             self._write(days.coalesce(1), DAYS_DIR, lid)
