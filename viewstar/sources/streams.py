@@ -15,8 +15,14 @@ DEFAULT_MAX_FILES = 10
 
 def kafka_messages(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Broker source (needs the Kafka connector on the classpath).  Only
-    `value` is used downstream; `startingOffsets` defaults to 'latest'."""
-    opts = {"startingOffsets": "latest", **options}
+    `value` is used downstream (plus topic/partition/offset when the dedup
+    is salted by position); `startingOffsets` defaults to 'latest'.
+
+    `minPartitions` defaults to the cluster's parallelism: a topic with few
+    partitions is split into more offset ranges (no shuffle), so the
+    CPU-heavy cleaning uses every core."""
+    opts = {"startingOffsets": "latest",
+            "minPartitions": str(spark.sparkContext.defaultParallelism), **options}
     return spark.readStream.format("kafka").options(**opts).load()
 
 
