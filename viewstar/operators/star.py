@@ -42,17 +42,23 @@ class Star(NamedTuple):
 
 
 def base_frame(cleaned: DataFrame) -> DataFrame:
-    """Cleaned events + option fields, surrogate keys and country; one row
-    per event_key (stable survivor: earliest event_ts, then the rest)."""
+    """Cleaned events, one row per event_key (= id; stable survivor: earliest
+    event_ts, then local_ts, then the other columns), plus option fields,
+    surrogate keys and country.
+
+    The dedup runs first, on the cleaned columns only, so the shuffle does
+    not carry the three 64-character keys and the derived columns, and the
+    hashes are computed once per event rather than once per copy."""
+    unique = dedup_stable(cleaned, ["id"], order=["event_ts", "local_ts"])
     opt = first_option("option")
-    df = cleaned.select(
+    df = unique.select(
         "*",
         opt.getField("option_id").alias("option_id"),
         opt.getField("option_label").alias("option_label"),
         date_key("event_date").alias("date_key"),
         country_code("current_domain").alias("country_code"),
     )
-    df = df.select(
+    return df.select(
         "*",
         product_key("product_id", "option_id", "option_label").alias("product_key"),
         customer_key("email").alias("customer_key"),
@@ -60,7 +66,6 @@ def base_frame(cleaned: DataFrame) -> DataFrame:
         location_key("ip", "country_code").alias("location_key"),
         F.col("id").alias("event_key"),
     )
-    return dedup_stable(df, ["event_key"], order=["event_ts", "local_ts"])
 
 
 def dim_date(base: DataFrame) -> DataFrame:
