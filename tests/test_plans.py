@@ -48,3 +48,12 @@ def test_merge_probes_target_keys_with_broadcast_batch_keys(spark):
     plan = _plan(fresh)
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "LeftAnti" in plan
     assert sorted(r.k for r in fresh.collect()) == [str(i) for i in range(1000, 1010)]
+
+
+def test_ingest_plan_stays_in_the_jvm(spark):
+    from viewstar.sources.fixtures import messages
+    from viewstar.operators.clean import clean, decode
+    from viewstar.operators.star import base_frame
+    plan = _plan(base_frame(clean(decode(messages(spark, SF_SMALL)))))
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "WholeStageCodegen" in plan or "*(" in plan
