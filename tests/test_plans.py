@@ -54,6 +54,8 @@ def test_ingest_plan_stays_in_the_jvm(spark):
     from viewstar.sources.fixtures import messages
     from viewstar.operators.clean import clean, decode
     from viewstar.operators.star import base_frame
-    plan = _plan(base_frame(clean(decode(messages(spark, SF_SMALL)))))
+    df = base_frame(clean(decode(messages(spark, SF_SMALL))))
+    df.collect()  # the final adaptive plan shows the codegen stages
+    plan = _plan(df)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert "WholeStageCodegen" in plan or "*(" in plan
+    assert "*(" in plan
