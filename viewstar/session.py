@@ -6,8 +6,8 @@ code; these helpers are for tests, the bench and the command line.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,14 +65,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint dir for streaming state,
-    staging tables or proofs that need a place on the shared filesystem."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        # Shared filesystem (HDFS, object store): name a unique sub-path.
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A path not used before under the shared checkpoint dir, for streaming
+    state, staging tables or proofs; Spark creates it on that file system."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
