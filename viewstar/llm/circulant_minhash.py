@@ -175,6 +175,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce("comp", "id").eqNullSafe(F.col("id")).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The documents (all their columns) with the smallest id of their component; rows that
+    share that id are copies too, and the first by text of them stays."""
+    found = near_duplicates(docs, percent=percent).where("not kept").select(F.col("doc_id").alias("copy")).distinct()
+    found = materialize(found, "copies")
+    left = docs.join(found, docs["doc_id"] == found["copy"], "left_anti")
+    named = left.where("doc_id is not null").select(F.col("doc_id").alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    one = named.groupBy("_key").agg(F.min_by("_row", F.struct(F.col("_row.text"), F.xxhash64("_row"))).alias("_row")).select("_row.*")
+    return one.unionByName(left.where("doc_id is null"))
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
     from viewstar.llm.common import table
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from viewstar.llm import circulant_minhash
+from viewstar.llm import circulant_minhash, containment, mixing, rank_order, repair
 
 QUERIES = {
+    "op1_repair_tokens": repair.op1,
+    "op2_rank_order_language": rank_order.op2,
+    "op4_containment_decontamination": containment.op4,
+    "op5_hierarchical_mixing": mixing.op5,
     "op8_circulant_minhash": circulant_minhash.op8,
 }
 
 ORACLE = {
+    "op4_containment_decontamination": containment.ORACLE,
+    "op5_hierarchical_mixing": mixing.ORACLE,
     "op8_circulant_minhash": circulant_minhash.ORACLE,
 }
