@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from viewstar.llm import circulant_minhash, containment, mixing, rank_order, repair
+from viewstar.llm import circulant_minhash, containment, licences, mixing, rank_order, repair, stable_projections, toxicity, warc
 
 QUERIES = {
     "op1_repair_tokens": repair.op1,
     "op2_rank_order_language": rank_order.op2,
+    "op3_stable_projections": stable_projections.op3,
     "op4_containment_decontamination": containment.op4,
     "op5_hierarchical_mixing": mixing.op5,
+    "op7_licence_scan": licences.op7,
     "op8_circulant_minhash": circulant_minhash.op8,
+    "op9_warc_capture_index": warc.op9,
+    "op10_toxicity": toxicity.op10,
 }
 
 ORACLE = {
     "op4_containment_decontamination": containment.ORACLE,
     "op5_hierarchical_mixing": mixing.ORACLE,
     "op8_circulant_minhash": circulant_minhash.ORACLE,
+    "op9_warc_capture_index": warc.ORACLE,
 }
