@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from viewstar.llm import circulant_minhash, containment, licences, mixing, rank_order, repair, stable_projections, toxicity, warc
+from viewstar.llm import circulant_minhash, containment, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
 
 QUERIES = {
     "op1_repair_tokens": repair.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_stable_projections": stable_projections.op3,
     "op4_containment_decontamination": containment.op4,
     "op5_hierarchical_mixing": mixing.op5,
+    "op6_pitman_yor": pitman_yor.op6,
     "op7_licence_scan": licences.op7,
     "op8_circulant_minhash": circulant_minhash.op8,
     "op9_warc_capture_index": warc.op9,
