@@ -13,7 +13,7 @@ from viewstar.operators.star import Star, base_frame, build_star
 from viewstar.sources.fixtures import clicks
 
 # Fixed load time used for reproducible proofs.
-PROOF_LOAD_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)
+PROOF_LOAD_TIME = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
 
 
 def cleaned_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

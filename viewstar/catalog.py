@@ -68,7 +68,7 @@ def _page_urls(spark, sf):
     p = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
     return p.select("page_id", "url",
                     F.concat("url", F.lit("/")).alias("u_slash"),
-                    F.concat(F.upper(F.substring("url", 1, 8)), F.substring("url", 9, 10_000),
+                    F.concat(F.upper(F.substring("url", 1, 8)), F.expr("substring(url, 9)"),
                              F.lit(";p=1")).alias("u_params"),
                     F.concat("url", F.lit("/x y%zz+*~é%26/")).alias("u_escape"))
 
@@ -159,7 +159,7 @@ def q_fact_log_event(spark, sf):
 def q_star_join(spark, sf):
     s = _star(spark, sf)
     f = s.fact_log_event.select("event_key", "date_key", "product_key", "location_key")
-    return (f.join(F.broadcast(s.dim_date.select("date_key", "date")), "date_key")
+    return (f.join(s.dim_date.select("date_key", "date"), "date_key")
              .join(s.dim_product.select("product_key", "product_id", "option_id"), "product_key", "left")
              .join(s.dim_location.select("location_key", "country"), "location_key", "left")
              .select("event_key", "date", "product_id", "option_id", "country"))
@@ -277,6 +277,20 @@ def q_ledger_replay(spark, sf):
     return wh.read("fact_log_event").groupBy("date_key").agg(F.count(F.lit(1)).alias("events"))
 
 
+def q_ledger_two_queries(spark, sf):
+    """Two queries load batch 0 under one run id: both are kept, a replay of either is not."""
+    from viewstar.streaming.proofs import two_queries_run
+    return two_queries_run(spark, sf, BATCH_A_LAST)
+
+
+def q_ledger_statuses(spark, sf):
+    from viewstar.streaming.proofs import replay_run
+    wh = replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
+    first = wh.read("fact_log_event").where(F.col("date_key") <= F.date_format(F.lit(BATCH_A_LAST), "yyyyMMdd")).count()
+    rows = [(i, int(r["batch_id"]), r["status"], wh.visible_after_failure - first) for i, r in enumerate(wh.log)]
+    return spark.createDataFrame(rows, "step int, batch_id int, status string, extra_visible_after_failure long")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_messages": q_decode_messages,
     "normalize_text": q_normalize_text,
@@ -327,6 +341,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warehouse_day_browser_hourly": q_warehouse_day_browser_hourly,
     "loader_constraint_audit": q_loader_constraint_audit,
     "ledger_replay": q_ledger_replay,
+    "ledger_two_queries": q_ledger_two_queries,
+    "ledger_statuses": q_ledger_statuses,
 }
 
 

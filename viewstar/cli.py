@@ -39,6 +39,18 @@ def _kv(items) -> dict[str, str]:
     return dict(item.split("=", 1) for item in items or [])
 
 
+def _first(df, column: str):
+    row = df.first()
+    return row[column] if row else None
+
+
+def _print_rows(report) -> None:
+    """All rows as tab-separated lines, fetched a partition at a time."""
+    print("\t".join(report.columns))
+    for row in report.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv=None):
     p = argparse.ArgumentParser(prog="viewstar")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -50,6 +62,7 @@ def main(argv=None):
     i.add_argument("--trigger", default="30 seconds")
     i.add_argument("--monitor", action="store_true", help="also print per-batch samples")
     i.add_argument("--sample-rows", type=int, default=5)
+    i.add_argument("--output-files", type=int, default=8, help="files that a batch writes; 0: one for each state partition")
     i.add_argument("--salt", action="store_true",
                    help="salt the dedup by record position (spreads a hot id over many tasks)")
     ld = sub.add_parser("load")
@@ -64,9 +77,11 @@ def main(argv=None):
     r.add_argument("name", choices=sorted(REPORTS))
     r.add_argument("--warehouse", required=True)
     r.add_argument("--date", default=None, help="yyyy-MM-dd; default: newest day with views")
-    r.add_argument("--country", default="Unknown")
-    r.add_argument("--product", default=None)
-    r.add_argument("--rows", type=int, default=50)
+    r.add_argument("--country", default=None, help="default: the day's country with most views")
+    r.add_argument("--product", default=None, help="default: the day's product with most views")
+    r.add_argument("--out", default=None, help="folder for all rows; without it the rows are printed")
+    r.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    r.add_argument("--rows", type=int, default=None, help="print so many rows at most (default: all)")
     a = p.parse_args(argv)
 
     from viewstar.session import get_session
@@ -77,7 +92,8 @@ def main(argv=None):
             file_position, ingest_plan, kafka_position, start_ingest, start_monitor)
         src = (lambda: kafka_messages(spark, _kv(a.kafka))) if a.kafka else (lambda: file_messages(spark, a.messages))
         pos = (kafka_position() if a.kafka else file_position()) if a.salt else None
-        start_ingest(ingest_plan(src(), pos), a.out, a.checkpoint, trigger=a.trigger, query_name="ingest")
+        start_ingest(ingest_plan(src(), pos), a.out, a.checkpoint, trigger=a.trigger, query_name="ingest",
+                     output_files=a.output_files or None)
         if a.monitor:
             start_monitor(ingest_plan(src()), a.checkpoint.rstrip("/") + "_monitor", a.sample_rows,
                           trigger=a.trigger)
@@ -94,7 +110,17 @@ def main(argv=None):
             star = wh.star()
         else:
             star, a.date = wh.day_star(a.date)  # list only the day's folders
-        REPORTS[a.name](star, a).show(a.rows, truncate=False)
+        if a.name == "store_views_by_country" and a.country is None:
+            a.country = _first(R.top_countries(star, a.date, limit=1), "country") or "Unknown"
+        if a.name == "product_hourly" and a.product is None:
+            a.product = _first(R.top_products(star, a.date, limit=1), "product_id")
+            if a.product is None:
+                raise SystemExit("no product was viewed on that day")
+        report = REPORTS[a.name](star, a)
+        if a.out:
+            report.write.mode("errorifexists").option("header", "true").format(a.format).save(a.out)
+        else:
+            _print_rows(report.limit(a.rows) if a.rows else report)
 
 
 if __name__ == "__main__":

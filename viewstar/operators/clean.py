@@ -23,18 +23,35 @@ def decode(messages: DataFrame, value_col: str = "value", keep: tuple[str, ...]
     malformed document decodes to a struct of NULLs, which the validity
     filter of clean() removes (its id is NULL); a bad field only nulls that
     field.  Columns named in `keep` are carried along."""
-    ev = F.from_json(F.col(value_col).cast("string"), RAW_EVENT)
-    return (messages.select(ev.alias("event"), *keep).where(F.col("event").isNotNull())
-            .select("event.*", *keep))
+    text = F.col(value_col).cast("string")
+    ev = F.from_json(F.col("_text"), RAW_EVENT)
+    # Filters on the fields stay above the generator, so that each message is
+    # parsed once; below it they would be rewritten into a parse for each.
+    # A text of blanks has no document, just as an empty one.
+    return (messages.select(text.alias("_text"), *keep).where(~F.col("_text").rlike(r"^[ \t\r\n]*$"))
+            .select(F.inline(F.array(ev)), *keep))
 
 
-def clean(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def rejects() -> list:
+    """Counts of invalid rows by the first reason that holds."""
+    reasons = {"no_id": F.col("id").isNull(), "no_local_time": F.col("local_ts").isNull(),
+               "epoch_out_of_range": F.col("event_ts").isNull() & F.col("time_stamp").isNotNull(),
+               "no_epoch": F.col("event_ts").isNull(), "no_url": ~F.coalesce(url_is_valid("current_url"), F.lit(False))}
+    out, none_before = [], F.lit(True)
+    for name, test in reasons.items():
+        out.append(F.count_if(none_before & test).alias(name))
+        none_before = none_before & ~test
+    return out
+
+
+def clean(raw: DataFrame, keep: tuple[str, ...] = (), observe: str | None = None) -> DataFrame:
     """Raw events -> cleaned events (23 fields), invalid rows removed.
 
     Valid = id, current_url, local_ts and event_ts all present.  The test on
     current_url uses url_is_valid (the exact non-NULL condition of the URL
     cleaning), so the filter runs before the URL work and only surviving
-    rows are canonicalised."""
+    rows are canonicalised.  With `observe`, the invalid rows are counted by
+    reason in an observed metric of that name."""
     c = {name: F.col(name) for name in raw.columns}
     for name in _NONBLANK:
         c[name] = nonblank(name)
@@ -45,6 +62,8 @@ def clean(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         parse_local_time("local_time").alias("local_ts"),
         epoch_to_ts("time_stamp").alias("event_ts"),
     )
+    if observe:
+        df = df.observe(observe, *rejects())
     df = df.where(F.col("id").isNotNull() & F.col("local_ts").isNotNull()
                   & F.col("event_ts").isNotNull() & url_is_valid("current_url"))
     df = with_clean_url(with_clean_url(df, "current_url"), "referrer_url")

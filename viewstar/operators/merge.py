@@ -26,31 +26,33 @@ from viewstar.operators.dedup import dedup_stable
 BROADCAST_KEYS = 1_000_000
 
 
-def _keys_present(target: DataFrame, batch_keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
+def rows_with_keys(target: DataFrame, batch_keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
+    """The target's rows whose key the batch mentions."""
     probe = F.broadcast(batch_keys) if n_keys is not None and n_keys <= BROADCAST_KEYS else batch_keys
-    return target.select(key).join(probe, key, "left_semi")
+    return target.join(probe, key, "left_semi")
 
 
 def merge_insert_absent(target: DataFrame, batch: DataFrame, key: str,
-                        order: list[str] | None = None, count_keys: bool = True) -> DataFrame:
+                        order: list[str] | None = None, count_keys: bool = False) -> DataFrame:
     """Target rows plus batch rows whose key is not in the target."""
     new = dedup_stable(batch.where(F.col(key).isNotNull()), [key], order)
     fresh = new_rows(target, new, key, count_keys)
     return target.unionByName(fresh.select(*target.columns))
 
 
-def new_rows(target: DataFrame, deduped_batch: DataFrame, key: str, count_keys: bool = True,
+def new_rows(target: DataFrame, deduped_batch: DataFrame, key: str, count_keys: bool = False,
              max_keys: int | None = None) -> DataFrame:
     """Rows of an already key-unique batch whose key the target lacks.
 
     `max_keys` is a known upper bound on the batch's keys (e.g. the row count
-    of the batch it was built from); without one, `count_keys` counts them.
+    of the batch it was built from); without one, `count_keys` counts them (a
+    job at plan time) or the choice is left to adaptive execution.
     Under BROADCAST_KEYS the keys are broadcast and the target's key column
     is probed map-side (no shuffle of the target); above it the semi-join
     shuffles both sides."""
     keys = deduped_batch.select(key)
     n = max_keys if max_keys is not None else (keys.count() if count_keys else None)
-    present = _keys_present(target, keys, key, n)
+    present = rows_with_keys(target.select(key), keys, key, n)
     return deduped_batch.join(present, key, "left_anti")
 
 

@@ -12,7 +12,3 @@ def unseen_values(batch: DataFrame, seen: DataFrame, column: str) -> DataFrame:
     (EXCEPT DISTINCT, planned as an anti-join on the aggregated values)."""
     current = batch.select(column).where(F.col(column).isNotNull())
     return current.subtract(seen.select(column))
-
-
-def append_unseen(batch: DataFrame, seen: DataFrame, column: str) -> DataFrame:
-    return seen.select(column).unionByName(unseen_values(batch, seen, column))

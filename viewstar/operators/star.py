@@ -88,10 +88,12 @@ def dim_date(base: DataFrame) -> DataFrame:
 
 def dim_product(base: DataFrame) -> DataFrame:
     """One row per product_key.  NULL and '' option fields hash to the same
-    key, so the option fields are taken as max(nullif(x, '')) per key."""
+    key, so the option fields are taken as max(nullif(x, '')) per key; ids
+    whose text with their options makes the same key share its row."""
     return (base.where(F.col("product_key").isNotNull())
-                .groupBy("product_key", "product_id")
-                .agg(F.max(F.nullif("option_id", F.lit(""))).alias("option_id"),
+                .groupBy("product_key")
+                .agg(F.min("product_id").alias("product_id"),
+                     F.max(F.nullif("option_id", F.lit(""))).alias("option_id"),
                      F.max(F.nullif("option_label", F.lit(""))).alias("option_label"),
                      F.min("event_date").alias("valid_from"))
                 .select(*DIM_PRODUCT_COLUMNS[:5],
@@ -104,9 +106,9 @@ def dim_location(base: DataFrame) -> DataFrame:
     nulls = [F.lit(None).cast("double" if c in ("latitude", "longitude") else "string").alias(c)
              for c in DIM_LOCATION_COLUMNS[4:]]
     return (base.where(F.col("location_key").isNotNull())
-                .select("location_key", "ip", "country", "country_code")
-                .distinct()
-                .select("location_key", "ip", "country", "country_code", *nulls))
+                .groupBy("location_key")
+                .agg(F.min(F.struct("ip", "country", "country_code")).alias("v"))
+                .select("location_key", "v.ip", "v.country", "v.country_code", *nulls))
 
 
 def dim_customer(base: DataFrame) -> DataFrame:
@@ -124,7 +126,9 @@ def fact_log_event(base: DataFrame, ingestion_timestamp: Column | _dt.datetime |
     elif isinstance(ingestion_timestamp, Column):
         ts = ingestion_timestamp
     else:
-        ts = F.lit(ingestion_timestamp).cast("timestamp")
+        # a time without a zone is UTC, whatever the driver's zone
+        ts = F.lit(ingestion_timestamp if ingestion_timestamp.tzinfo else
+                   ingestion_timestamp.replace(tzinfo=_dt.timezone.utc)).cast("timestamp")
     cols = {
         "event_id": F.col("id"),
         "event_timestamp": F.col("event_ts"),

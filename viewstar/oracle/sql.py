@@ -209,6 +209,13 @@ FROM (SELECT id FROM cleaned GROUP BY id)"""),
     "loader_dim_location": on_star("SELECT * FROM dim_location"),
     "loader_dim_customer": on_star("SELECT * FROM dim_customer"),
     "ledger_replay": on_star("SELECT date_key, count(*) AS events FROM fact GROUP BY date_key"),
+    "ledger_two_queries": on_star(f"""
+SELECT q.query_name, q.status, CAST(count(*) FILTER (WHERE q.later OR CAST(strptime(date_key, '%Y%m%d') AS DATE) <= {A_LAST}) AS BIGINT) AS events_after
+FROM fact, (VALUES ('daily', 'committed', FALSE), ('backfill', 'committed', TRUE), ('daily', 'already-loaded', TRUE),
+                   ('backfill', 'already-loaded', TRUE)) AS q(query_name, status, later) GROUP BY 1, 2"""),
+    "ledger_statuses": """
+SELECT CAST(step AS INTEGER) AS step, CAST(batch_id AS INTEGER) AS batch_id, status, CAST(0 AS BIGINT) AS extra_visible_after_failure
+FROM (VALUES (0, 0, 'committed'), (1, 1, 'failed'), (2, 1, 'committed'), (3, 1, 'already-loaded')) AS q(step, batch_id, status)""",
 }
 ORACLE["stream_file_roundtrip"] = ORACLE["stream_dedup"]
 ORACLE["stream_dedup_salted"] = ORACLE["stream_dedup"]

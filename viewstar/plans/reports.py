@@ -52,25 +52,30 @@ def day_views(star: Star, report_date=None) -> DataFrame:
     return facts.join(F.broadcast(day), "date_key", "left_semi")
 
 
+def is_report_day(date_key) -> Column:
+    """Days with a four-digit year, the only ones that reports offer or take as
+    newest; their keys order as their dates.  Events beyond (a client's clock or
+    unit is wrong) stay in the fact."""
+    return F.col(date_key).rlike("^[0-9]{8}$")
+
+
 def _view_days(star: Star) -> DataFrame:
     """date_key of every day with at least one view: from the loader's small
     day summary when the star has one, else from the fact itself."""
-    if star.day_views is not None:
-        return star.day_views.where(F.col("views") > 0).select("date_key").distinct()
-    return _views(star).select("date_key").distinct()
+    keys = (star.day_views.where(F.col("views") > 0) if star.day_views is not None else _views(star)).select("date_key")
+    return keys.where(is_report_day("date_key")).distinct()
 
 
 def available_dates(star: Star) -> DataFrame:
     """R8: days with views, newest first."""
     keys = _view_days(star)
-    # One dim_date row per calendar day: bounded by the number of days covered.
-    return (keys.join(F.broadcast(star.dim_date.select("date_key", "date")), "date_key")
+    return (keys.join(star.dim_date.select("date_key", "date"), "date_key")
                 .select("date").distinct().orderBy(F.col("date").desc()))
 
 
 def newest_date(star: Star) -> Column:
     keys = _view_days(star)
-    dates = keys.join(F.broadcast(star.dim_date.select("date_key", "date")), "date_key")
+    dates = keys.join(star.dim_date.select("date_key", "date"), "date_key")
     return dates.agg(F.max("date")).scalar()
 
 
@@ -144,9 +149,11 @@ def _hours(spark: SparkSession) -> DataFrame:
 def product_hourly(star: Star, product_id: str, report_date=None) -> DataFrame:
     """R5: event_hour 0..23, views for one product; hours without views are 0."""
     keys = star.dim_product.where(F.col("product_id") == product_id).select("product_key")
-    agg = (day_views(star, report_date).join(keys, "product_key", "left_semi")
-           .groupBy(F.hour("event_timestamp").alias("event_hour"))
-           .agg(F.sum("event_count").alias("views")))
+    by_key = (day_views(star, report_date).where(F.col("product_key").isNotNull())
+              .groupBy("product_key", F.hour("event_timestamp").alias("event_hour"))
+              .agg(F.sum("event_count").alias("views")))
+    agg = (by_key.join(keys, "product_key", "left_semi")
+           .groupBy("event_hour").agg(F.sum("views").alias("views")))
     spark = star.fact_log_event.sparkSession
     return (_hours(spark).join(agg, "event_hour", "left")
             .select("event_hour", F.coalesce("views", F.lit(0)).cast("bigint").alias("views"))

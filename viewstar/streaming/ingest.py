@@ -2,14 +2,15 @@
 
 The dedup state is bounded by the 1-day watermark on event_ts
 (dropDuplicatesWithinWatermark), so it does not grow with the stream's
-lifetime.  The number of output files per batch follows the shuffle
-partitions of the dedup stage; set `spark.sql.shuffle.partitions` before the
-first run of a checkpoint (it is fixed afterwards) rather than coalescing
-after the stateful stage, which would also cut the dedup parallelism.
+lifetime.  A batch writes `output_files` files: its rows are dealt anew after
+the stateful stage, whose parallelism (`spark.sql.shuffle.partitions` at the
+first run of a checkpoint) stays as it is.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +19,8 @@ from viewstar.operators.clean import clean, decode
 from viewstar.operators.dedup import dedup_stream
 
 DEFAULT_TRIGGER = "30 seconds"
+#: Files of one ingest batch; fewer than the loader takes at a time, so it keeps up.
+DEFAULT_OUTPUT_FILES = 8
 MONITOR_COLUMNS = ["id", "event_ts", "email", "product_id", "store_id", "current_url"]
 
 
@@ -41,9 +44,9 @@ def ingest_plan(messages: DataFrame, position=None) -> DataFrame:
     salted by record position so a key repeated across a large share of a
     micro-batch is spread over many tasks (see dedup_stream)."""
     if position is None:
-        return dedup_stream(clean(decode(messages)))
+        return dedup_stream(clean(decode(messages), observe="rejected"))
     m = messages.withColumn(POSITION, position)
-    return dedup_stream(clean(decode(m, keep=(POSITION,)), keep=(POSITION,)), salt=POSITION)
+    return dedup_stream(clean(decode(m, keep=(POSITION,)), keep=(POSITION,), observe="rejected"), salt=POSITION)
 
 
 def _trigger(writer, trigger):
@@ -60,13 +63,13 @@ def observed(events: DataFrame, name: str = "cleaned_events") -> DataFrame:
 
 
 def start_ingest(events: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                 output_files: int | None = None, query_name: str | None = None,
+                 output_files: int | None = DEFAULT_OUTPUT_FILES, query_name: str | None = None,
                  observe_rows: bool = True) -> StreamingQuery:
     """Append the cleaned stream to Parquet at `path`, checkpointed (the file
     sink's metadata log makes the output exactly-once).  With `observe_rows`
     the per-batch row count is reported in the progress."""
     out = observed(events) if observe_rows else events
-    out = out.coalesce(output_files) if output_files else out
+    out = out.repartition(output_files) if output_files else out
     w = (out.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     if query_name:
@@ -91,9 +94,7 @@ def monitor_batch(batch: DataFrame, batch_id: int, sample_rows: int = 5, sink: s
         # One folder per batch, overwritten on replay: the summary stays exactly-once.
         summary.coalesce(1).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={int(batch_id)}")
     else:
-        for line in [f"[cleaned_events] batch_id={batch_id} rows={rows}"] + \
-                [f"[cleaned_events] sample={r.json}" for r in sample]:
-            print(line)
+        print(json.dumps({"batch": int(batch_id), "rows": rows, "samples": [json.loads(r.json) for r in sample]}))
     return rows
 
 

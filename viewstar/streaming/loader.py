@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +13,7 @@ from viewstar.streaming.warehouse import Warehouse
 
 DEFAULT_TRIGGER = "30 seconds"
 DEFAULT_QUERY_NAME = "star_loader"
+KEEP_RESULTS = 1000
 
 
 def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -28,7 +30,8 @@ class _BatchLoader:
         self.ingestion_timestamp = ingestion_timestamp
         self.fact_key_scope = fact_key_scope
         self.run_id = None
-        self.results: list[dict] = []
+        # the last results only: a loader runs for months
+        self.results: deque[dict] = deque(maxlen=KEEP_RESULTS)
 
     def __call__(self, batch: DataFrame, batch_id: int):
         if self.run_id is None:

@@ -23,7 +23,7 @@ from viewstar.streaming.ingest import ingest_plan, start_ingest, start_monitor
 from viewstar.streaming.loader import start_loader
 from viewstar.streaming.warehouse import Warehouse
 
-PROOF_LOAD_TIME = _dt.datetime(2024, 2, 1, 0, 0, 0)
+PROOF_LOAD_TIME = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
 LOADER_BATCHES = 4
 _RUNS: dict = {}
 
@@ -128,5 +128,15 @@ def replay_run(spark: SparkSession, sf_dir: str, a_last: _dt.date, b_first: _dt.
     return wh
 
 
+def two_queries_run(spark: SparkSession, sf_dir: str, a_last: _dt.date) -> DataFrame:
+    """Batch 0 of two queries with one run id, each loaded twice: events and days of each status."""
+    cleaned = dedup_stable(clean(clicks(spark, sf_dir)), ["id"], ["event_ts"])
+    wh = Warehouse(spark, f"{scratch_dir(spark, 'two')}/wh")
+    parts = {"daily": cleaned.where(F.col("event_date") <= F.lit(a_last)), "backfill": cleaned.where(F.col("event_date") > F.lit(a_last))}
+    rows = [(name, wh.load_batch(part, 0, name, "run-1", PROOF_LOAD_TIME)["status"], wh.read("fact_log_event").count())
+            for name, part in [*parts.items(), *parts.items()]]
+    return spark.createDataFrame(rows, "query_name string, status string, events_after long")
+
+
 def monitor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(ingest_run(spark, sf_dir)["monitor"])

@@ -2,17 +2,19 @@
 
 Layout under `root`:
 
-    fact_log_event/load_id=<run>.<batch>/date_key=<yyyyMMdd>/part-*.parquet
-    dim_<x>/load_id=<run>.<batch>/part-*.parquet
-    _day_views/load_id=<run>.<batch>/part-*.parquet  (date_key, views) of the batch's new view facts
-    _ledger/load_id=<run>.<batch>/part-*.parquet   (query_name, run_id, batch_id, processed_at)
+    fact_log_event/load_id=<query>.<run>.<batch>/date_key=<yyyyMMdd>/part-*.parquet
+    dim_<x>/load_id=<query>.<run>.<batch>/part-*.parquet   (only if the batch has new rows)
+    _day_views/load_id=<query>.<run>.<batch>/part-*.parquet  (date_key, views) of the batch's new view facts
+    _ledger/load_id=<query>.<run>.<batch>/part-*.parquet   (query_name, run_id, batch_id, processed_at)
 
 Each batch writes only rows whose key is new (insert-if-absent, first write
-wins), into its own `load_id=<run>.<batch>` folder, overwriting that folder only --
+wins), into its own `load_id=...` folder, overwriting that folder only --
 so replaying a batch after a failure rewrites the same files.  The ledger
-row is written last and is the commit point: readers keep only folders
-whose load id is in the ledger, so a batch that failed half-way is
-invisible, and all five tables of a batch become visible together.  For
+row is written last and is the commit point.  A run's batches commit in
+order, so what is committed is a range of load ids per run, up to the run's
+last ledger row: readers keep only folders in these ranges, so a batch that
+failed half-way is invisible, and all five tables of a batch become visible
+together.  For
 `dim_customer.email` (the one update column) a batch may also append a row
 for an existing key whose stored email is NULL; readers resolve it per key
 as the non-NULL value when there is one (COALESCE(new, old); the email is
@@ -32,6 +34,8 @@ keys (see operators.merge).
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +45,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from viewstar.operators.merge import new_rows
-from viewstar.plans.reports import VIEW_COLLECTION
+from viewstar.operators.merge import new_rows, rows_with_keys
+from viewstar.plans.reports import VIEW_COLLECTION, is_report_day
 from viewstar.operators.star import Star, base_frame, build_star
 from viewstar.schemas import LEDGER, LOAD_ORDER, STAR_TABLES
 
@@ -71,10 +75,23 @@ def _stored_schema(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(LOAD_COLUMN, StringType(), True)])
 
 
-def load_id(run_id: str, batch_id: int) -> str:
-    """Folder key of one loaded batch: run id plus zero-padded batch id, so
-    ids order by batch within a run."""
-    return f"{run_id}.{int(batch_id):012d}"
+def _folder_name(text: str) -> str:
+    """The text in characters that need no escape in a path, made unique by a hash."""
+    return f"{re.sub('[^A-Za-z0-9]', '_', text)[:40]}-{hashlib.sha256(text.encode()).hexdigest()[:16]}"
+
+
+def load_prefix(query_name: str, run_id: str) -> str:
+    return f"{_folder_name(query_name)}.{_folder_name(run_id)}"
+
+
+def load_id(query_name: str, run_id: str, batch_id: int) -> str:
+    """Folder key of one loaded batch: query and run, then the zero-padded
+    batch id, so ids order by batch within a run."""
+    return f"{load_prefix(query_name, run_id)}.{int(batch_id):012d}"
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc)
 
 
 class Warehouse:
@@ -103,22 +120,27 @@ class Warehouse:
                                   & (F.col("batch_id") == int(batch_id)))
         return not hit.isEmpty()
 
-    def committed_loads(self) -> list[str]:
-        """Snapshot of the committed load ids (one ledger row per loaded
-        batch, so the list is bounded by the number of batches)."""
-        return sorted(r[0] for r in self.ledger().select(LOAD_COLUMN).distinct().collect())
+    def committed_loads(self) -> dict[str, str]:
+        """Snapshot of what is committed: the last load id of each run (by
+        the run's prefix).  A row for each checkpoint that ever loaded."""
+        prefix = F.regexp_replace(LOAD_COLUMN, r"\.[0-9]+$", "")
+        last = self.ledger().groupBy(prefix.alias("run")).agg(F.max(LOAD_COLUMN).alias("last"))
+        return {r["run"]: r["last"] for r in last.collect()}
 
-    def _committed_rows(self, table: str, loads: list[str] | None = None,
+    def _committed_rows(self, table: str, loads: dict[str, str] | None = None,
                         schema: StructType | None = None) -> DataFrame:
-        """Rows of committed loads only.  The load ids are a literal set, so
-        Spark prunes the uncommitted and newer folders at file listing
+        """Rows of committed loads only.  Each run is a literal range of load
+        ids, so Spark prunes the uncommitted and newer folders at file listing
         (static partition pruning) and every table of one Star reads the same
         snapshot even while the loader commits new batches."""
         loads = self.committed_loads() if loads is None else loads
         stored = self._read_or_empty(self._path(table), _stored_schema(schema or table_schema(table)))
-        return stored.where(F.col(LOAD_COLUMN).isin(loads))
+        known = F.lit(False)
+        for run, last in sorted(loads.items()):
+            known = known | F.col(LOAD_COLUMN).between(f"{run}.{0:012d}", last)
+        return stored.where(known)
 
-    def read(self, table: str, loads: list[str] | None = None) -> DataFrame:
+    def read(self, table: str, loads: dict[str, str] | None = None) -> DataFrame:
         spec = STAR_TABLES[table]
         rows = self._committed_rows(table, loads)
         if not spec.update_columns:
@@ -129,7 +151,7 @@ class Warehouse:
         aggs += [F.min(F.struct(F.col(LOAD_COLUMN), F.col(c))).getField(c).alias(c) for c in others]
         return rows.groupBy(spec.key).agg(*aggs).select(*spec.columns)
 
-    def day_views(self, loads: list[str] | None = None) -> DataFrame:
+    def day_views(self, loads: dict[str, str] | None = None) -> DataFrame:
         """(date_key, views) of committed view facts, from the per-batch
         summaries (a few rows per batch) instead of the fact table."""
         rows = self._committed_rows(DAYS_DIR, loads, DAY_VIEWS)
@@ -150,7 +172,7 @@ class Warehouse:
         are listed.  `report_date=None` picks the newest day with views (one
         scalar from the summaries).  Returns the Star and the resolved date."""
         loads = self.committed_loads()
-        days = self._committed_rows(DAYS_DIR, loads, DAY_VIEWS).where(F.col("views") > 0)
+        days = self._committed_rows(DAYS_DIR, loads, DAY_VIEWS).where((F.col("views") > 0) & is_report_day("date_key"))
         if report_date is None:
             newest = days.agg(F.max("date_key")).first()[0]
             if newest is None:
@@ -196,10 +218,14 @@ class Warehouse:
         touches -- a partition-pruned read, exact as long as a redelivered
         event keeps its event date, which the upstream dedup already assumes
         within its watermark)."""
-        lid = load_id(run_id, batch_id)
+        lid = load_id(query_name, run_id, batch_id)
         loads = self.committed_loads()
-        if lid in loads:
-            return {"batch_id": batch_id, "status": "already-loaded"}
+        last = loads.get(load_prefix(query_name, run_id))
+        if last is not None and lid <= last:
+            if self.is_committed(query_name, run_id, batch_id):
+                return {"batch_id": batch_id, "status": "already-loaded"}
+            # Its folders would count as committed before they are complete.
+            raise ValueError(f"batch {batch_id} comes after {last}: the batches of a run are loaded in order")
         # `loads` is the committed snapshot; it never includes this load's
         # folder, which is about to be overwritten (pruned, not even listed).
         base = base_frame(cleaned).persist()
@@ -209,20 +235,21 @@ class Warehouse:
             input_rows = base.count()
             if input_rows == 0:  # empty micro-batch: nothing to write or commit
                 return {"batch_id": batch_id, "status": "empty"}
-            star = build_star(base, ingestion_timestamp or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+            star = build_star(base, ingestion_timestamp or _now())
             for name in LOAD_ORDER:
                 spec = STAR_TABLES[name]
                 batch_rows = getattr(star, name)
                 committed = self._committed_rows(name, loads)
                 if name == "fact_log_event" and fact_key_scope == "event_dates":
-                    # Distinct days of one batch: bounded by the calendar.
-                    days = [r[0] for r in base.select("date_key").distinct().collect()]
-                    committed = committed.where(F.col("date_key").isin(days))
+                    committed = committed.join(base.select("date_key").distinct(), "date_key", "left_semi")
                 # Every table of the batch has at most input_rows keys.
                 fresh = new_rows(committed, batch_rows, spec.key, max_keys=input_rows)
                 if spec.update_columns:
-                    fresh = fresh.unionByName(self._filled_updates(committed, batch_rows, spec))
-                self._write(fresh, name, lid, ["date_key"] if name == "fact_log_event" else None)
+                    fresh = fresh.unionByName(self._filled_updates(committed, batch_rows, spec, input_rows))
+                if name == "fact_log_event":
+                    self._write(fresh, name, lid, ["date_key"])
+                elif not fresh.isEmpty():  # most batches bring no new dimension row: no folder, no file
+                    self._write(fresh, name, lid)
             # Per-day view counts of this batch's new facts, read back from
             # the folder just written -- that folder only, so nothing else is
             # listed (a few rows; keeps report-day lookup off the fact table).
@@ -234,7 +261,7 @@ class Warehouse:
             if fail_before_commit:
                 raise RuntimeError(f"simulated failure before commit of batch {batch_id}")
             ledger_row = self.spark.createDataFrame(
-                [(query_name, run_id, int(batch_id), _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
+                [(query_name, run_id, int(batch_id), _now())],
                 LEDGER)
             # Commit point: written last.
             self._write(ledger_row.coalesce(1), LEDGER_DIR, lid)
@@ -243,11 +270,12 @@ class Warehouse:
         return {"batch_id": batch_id, "status": "committed", "input_rows": input_rows}
 
     @staticmethod
-    def _filled_updates(committed: DataFrame, batch_rows: DataFrame, spec) -> DataFrame:
+    def _filled_updates(committed: DataFrame, batch_rows: DataFrame, spec, max_keys: int) -> DataFrame:
         """Rows for existing keys whose stored update column is NULL and the
-        batch brings a value (COALESCE(new, old) changes the row)."""
+        batch brings a value (COALESCE(new, old) changes the row).  The stored
+        rows are cut to the batch's keys before they are grouped."""
         cols = spec.update_columns
-        stored_null = (committed.groupBy(spec.key)
+        stored_null = (rows_with_keys(committed, batch_rows.select(spec.key), spec.key, max_keys).groupBy(spec.key)
                        .agg(*[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in cols]))
         cond = None
         for c in cols:
