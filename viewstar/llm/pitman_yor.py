@@ -266,7 +266,7 @@ class Totals:
         # the share of tokens seen once, of the parent's weight of new tables
         new, customers = THETA + self.d[0] * self.s, THETA + t.sum()
         g = min(0.95, max(1e-6, (once / max(self.tokens, 1)) * customers / new))
-        self.base = ((1 - g) / max(self.vocabulary, 1), g)
+        self.base = ((1 - g) / self.vocabulary, g) if self.vocabulary else (0.0, 1.0)
 
 
 def _second_round(total: Totals):
