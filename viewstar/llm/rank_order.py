@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from viewstar.llm.common import crc_mod, table
 from viewstar.llm.kernel import pieces
@@ -167,8 +168,8 @@ def identified(docs: DataFrame) -> DataFrame:
     """The documents (all their columns) in a language that the profiles know."""
     profiles = learn(docs.where(crc_mod("doc_id", 5) != 0))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    kind = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).schema.simpleString()[len("struct<"):-1].removeprefix("row:")
-    out = rows.mapInArrow(_predictor(profiles), f"row {kind}, lang_pred string, score double")
+    schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    out = rows.mapInArrow(_predictor(profiles), schema)
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
