@@ -111,6 +111,41 @@ def test_user_agent_families(spark):
     assert _one(spark, [None, ""], report_os) == ["Unknown", "Unknown"]
 
 
+def test_user_agents_seen_daily(spark):
+    """Hand-written families of crawlers, in-app browsers, web views and other mobile browsers."""
+    cases = [
+        ("Mozilla/5.0 (Linux; Android 6.0.1; Nexus 5X) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Mobile Safari/537.36 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)", "Googlebot", "Android"),
+        ("Mozilla/5.0 (compatible; bingbot/2.0; +http://www.bing.com/bingbot.htm)", "bingbot", "Other"),
+        ("Mozilla/5.0 (Linux; Android 13; SM-A536B Build/TP1A; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/116.0.0.0 Mobile Safari/537.36", "Chrome Mobile WebView", "Android"),
+        ("Mozilla/5.0 (iPhone; CPU iPhone OS 17_0 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 [FBAN/FBIOS;FBAV/440.0]", "Facebook", "iOS"),
+        ("Mozilla/5.0 (Linux; Android 10; K) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/124.0.0.0 Mobile Safari/537.36 EdgA/124.0", "Edge Mobile", "Android"),
+        ("Mozilla/5.0 (Linux; Android 10; K) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/124.0.0.0 Mobile Safari/537.36 OPR/76.0", "Opera Mobile", "Android"),
+        ("Mozilla/5.0 (Linux; U; Android 4.0.3; de-de; Galaxy S II) AppleWebKit/534.30 (KHTML, like Gecko) Version/4.0 Mobile Safari/534.30", "Android", "Android"),
+        ("Mozilla/5.0 (Windows Phone 10.0; Android 6.0.1; Microsoft; Lumia 950) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/52.0 Mobile Safari/537.36 Edge/15.15063", "Edge Mobile", "Windows Phone"),
+        ("Mozilla/5.0 (Linux; U; Android 9; en-US; X) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0 UCBrowser/13.4 Mobile Safari/537.36", "UC Browser", "Android"),
+        ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/122.0 YaBrowser/24.4 Safari/537.36", "Yandex Browser", "Windows"),
+        ("Mozilla/5.0 (iPhone; CPU iPhone OS 17_0 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 Instagram 300.0", "Instagram", "iOS"),
+    ]
+    uas = [u for u, _, _ in cases]
+    assert _one(spark, uas, browser_family) == [b for _, b, _ in cases]
+    assert _one(spark, uas, os_family) == [o for _, _, o in cases]
+
+
+def test_urls_longer_than_any_cut_and_authorities_that_split(spark):
+    from viewstar.catalog import QUERIES
+    import os
+    import tempfile
+    folder = tempfile.mkdtemp(prefix="urls-")
+    long_url = "http://a.example.com/" + "x" * 20_000
+    spark.createDataFrame([(1, long_url, "h"), (2, "http://a\u2100b.cl/x", "h"), (3, "http://\uff1a\uff0fa.cl/x", "h"), (4, "http://a.cl/\u2100", "h")],
+                          "page_id long, url string, html string").write.parquet(os.path.join(folder, "pages.parquet"))
+    got = {r.page_id: r for r in QUERIES["clean_url"](spark, folder).collect()}
+    assert got[1].clean_u_params == long_url and got[1].clean_url == long_url
+    assert got[2].clean_url is None and got[3].clean_url is None and got[4].clean_url == "http://a.cl/%E2%84%80"
+    domains = {r.page_id: r.raw_domain for r in QUERIES["extract_domain"](spark, folder).collect()}
+    assert domains[1] == "a.example.com" and domains[2] is None and domains[4] == "a.cl"
+
+
 def test_clean_url_matches_duckdb_twin_on_random_urls(spark):
     """Two independent implementations (Spark regex/url_decode vs DuckDB RE2/
     url_decode) agree on random URL-like strings, domains included."""

@@ -18,6 +18,8 @@ unparse round trip:
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,10 +84,15 @@ def _authority(rest: Column) -> Column:
     return F.regexp_extract(rest, r"^//([^/?#]*)", 1)
 
 
-def _bad_brackets(netloc: Column) -> Column:
+#: Characters whose compatibility form (NFKC) holds one of / ? # @ :, by the Unicode data.
+_SPLITTING = "".join(chr(i) for i in range(0x80, 0x10000) if set(unicodedata.normalize("NFKC", chr(i))) & set("/?#@:"))
+
+
+def _bad_authority(netloc: Column) -> Column:
+    """Brackets out of balance, or characters that would move the authority's end once normalised."""
     has_open = F.instr(netloc, "[") > 0
     has_close = F.instr(netloc, "]") > 0
-    return has_open != has_close
+    return (has_open != has_close) | netloc.rlike(f"[{_SPLITTING}]")
 
 
 def with_clean_url(df: DataFrame, src: str, dst: str | None = None) -> DataFrame:
@@ -122,21 +129,22 @@ def with_clean_url(df: DataFrame, src: str, dst: str | None = None) -> DataFrame
     url = F.concat(scheme, F.lit(":"), body,
                    F.when(equery != "", F.concat(F.lit("?"), equery)).otherwise(F.lit("")))
     url = F.regexp_replace(url, "/$", "")
-    result = F.when(n("s").isNotNull() & ~_bad_brackets(netloc), url)
+    result = F.when(n("s").isNotNull() & ~_bad_authority(netloc), url)
     out = [result.alias(dst) if c == dst else F.col(c) for c in cols]
     if dst not in cols:
         out.append(result.alias(dst))
     return df.select(*out)
 
 
-# Authority with '[' but no ']' or ']' but no '[' (an invalid IPv6 host).
+# Authority with '[' but no ']' or ']' but no '[' (an invalid IPv6 host), or with a splitting character.
 _BAD_AUTHORITY = (r"(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
-                  r"(?:[^/?#\]]*\[[^/?#\]]*|[^/?#\[]*\][^/?#\[]*)(?:[/?#]|$)")
+                  r"(?:(?:[^/?#\]]*\[[^/?#\]]*|[^/?#\[]*\][^/?#\[]*)(?:[/?#]|$)"
+                  rf"|[^/?#]*[{_SPLITTING}])")
 
 
 def url_is_valid(c) -> Column:
     """True exactly when with_clean_url gives a non-NULL result: the text is
-    not blank and its authority has balanced brackets.
+    not blank and its authority is acceptable.
 
     One regular expression over the stripped text, so a filter can run it
     before the URL work (filters get no common-subexpression elimination,
@@ -149,4 +157,4 @@ def domain_of(c) -> Column:
     when there is none or the URL is invalid."""
     s = F.regexp_replace(as_col(c), _SCHEME_RE, "")
     netloc = F.lower(_authority(s))
-    return F.when(~_bad_brackets(netloc), F.nullif(netloc, F.lit("")))
+    return F.when(~_bad_authority(netloc), F.nullif(netloc, F.lit("")))

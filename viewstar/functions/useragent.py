@@ -15,21 +15,39 @@ from viewstar.functions._col import as_col
 
 # Fixed values: (pattern, family) in priority order.
 BROWSER_RULES = [
-    (r"Edg(e|A|iOS)?/", "Edge"),
+    # crawlers and libraries first: many carry a browser's string as well
+    (r"Googlebot", "Googlebot"),
+    (r"[Bb]ingbot|BingPreview", "bingbot"),
+    (r"YandexBot", "YandexBot"),
+    (r"facebookexternalhit", "FacebookBot"),
+    (r"[Bb]ot\b|[Cc]rawler|[Ss]pider", "Other Bot"),
+    # apps that show pages in a frame of their own
+    (r"FBAN/|FBAV/", "Facebook"),
+    (r"Instagram", "Instagram"),
+    (r"EdgA/|EdgiOS/|Edge?/.* Mobile|Mobile.* Edge/", "Edge Mobile"),
+    (r"Edge?/", "Edge"),
+    (r"Opera Mini|OPiOS/|OPT/", "Opera Mini"),
+    (r"OPR/.*Mobile|Mobile.*OPR/|Opera Mobi", "Opera Mobile"),
     (r"OPR/|Opera", "Opera"),
+    (r"UCBrowser/|UCWEB", "UC Browser"),
+    (r"YaBrowser/", "Yandex Browser"),
     (r"SamsungBrowser/", "Samsung Internet"),
     (r"CriOS/", "Chrome Mobile iOS"),
     (r"FxiOS/", "Firefox iOS"),
+    (r"; wv\)|Version/[0-9.]+ Chrome/", "Chrome Mobile WebView"),
     (r"Chrome/[0-9.]+ Mobile", "Chrome Mobile"),
     (r"Chrome/|Chromium/", "Chrome"),
     (r"Mobile.*Firefox/|Android.*Firefox/", "Firefox Mobile"),
     (r"Firefox/", "Firefox"),
     (r"(iPhone|iPad|iPod).*Safari/", "Mobile Safari"),
+    (r"(iPhone|iPad|iPod).*AppleWebKit/", "Mobile Safari UI/WKWebView"),
+    (r"Android.*Version/[0-9.]+.*Safari/", "Android"),
     (r"Version/[0-9.]+.*Safari/", "Safari"),
     (r"MSIE |Trident/", "IE"),
 ]
 
 OS_RULES = [
+    (r"Windows Phone|IEMobile", "Windows Phone"),
     (r"Windows", "Windows"),
     (r"iPhone|iPad|iPod", "iOS"),
     (r"Android", "Android"),

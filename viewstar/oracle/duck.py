@@ -7,11 +7,22 @@ adapter, cleaning, star schema and reports are re-stated here in SQL.
 
 from __future__ import annotations
 
-from viewstar.functions.geo import COUNTRY_BY_TLD
-from viewstar.functions.useragent import BROWSER_RULES
-from viewstar.functions.url import NETLOC_SCHEMES, PARAM_SCHEMES, PATH_SAFE, QUERY_SAFE
 from viewstar.sources.fixtures import USER_AGENTS
 
+# Expected values, written by hand: nothing here comes from the code under test.
+# Browser and operating system of the adapter's user agents, in their order.
+UA_FAMILIES = [("Chrome", "Windows"), ("Firefox", "Ubuntu"), ("Safari", "Mac OS X"), ("Mobile Safari", "iOS"),
+               ("Chrome Mobile", "Android"), ("Edge", "Windows"), ("Samsung Internet", "Android"), ("Other", "Other")]
+# Countries that the adapter's and the test tables' domains can end in.
+EXPECTED_COUNTRIES = {"uk": "United Kingdom", "fr": "France", "de": "Germany", "es": "Spain"}
+PATH_SAFE = "/:@&+$,;="
+QUERY_SAFE = "=&?/:@+,$;"
+PARAM_SCHEMES = ["", "http", "https", "ftp", "hdl", "imap", "mms", "prospero", "rtsp", "rtspu", "sftp", "shttp", "sip", "sips", "tel"]
+NETLOC_SCHEMES = ["", "http", "https", "file", "ftp", "git", "git+ssh", "gopher", "imap", "mms", "nfs", "nntp", "prospero", "rsync",
+                  "rtsp", "rtspu", "sftp", "shttp", "snews", "svn", "svn+ssh", "telnet", "wais", "ws", "wss"]
+# One of / ? # @ : once normalised.
+SPLITTING = "⁇⁈⁉℀℁℅℆⩴︓︖﹕﹖﹟﹫＃／：？＠"
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -26,9 +37,10 @@ def _ua_case(col: str) -> str:
     return f"CASE {whens} END"
 
 
-def rule_case(col: str, rules) -> str:
-    whens = " ".join(f"WHEN regexp_matches({col}, {_q(p)}) THEN {_q(f)}" for p, f in rules)
-    return f"CASE WHEN {col} IS NULL THEN NULL {whens} ELSE 'Other' END"
+def family_case(col: str, which: int) -> str:
+    """The expected browser (0) or operating system (1) of the adapter's user agents."""
+    whens = " ".join(f"WHEN {col} = {_q(u)} THEN {_q(f[which])}" for u, f in zip(USER_AGENTS, UA_FAMILIES))
+    return f"CASE WHEN {col} IS NULL THEN NULL {whens} ELSE 'no such user agent' END"
 
 
 def quote_sql(x: str, safe: str) -> str:
@@ -59,7 +71,7 @@ def clean_url_sql(u: str) -> str:
             f"THEN '//' || {netloc} || CASE WHEN {epath} <> '' AND NOT starts_with({epath}, '/') THEN '/' || {epath} ELSE {epath} END "
             f"ELSE {epath} END")
     url = f"{scheme} || ':' || {body} || CASE WHEN {equery} <> '' THEN '?' || {equery} ELSE '' END"
-    bad = f"((strpos({netloc}, '[') > 0) <> (strpos({netloc}, ']') > 0))"
+    bad = f"((strpos({netloc}, '[') > 0) <> (strpos({netloc}, ']') > 0) OR regexp_matches({netloc}, '[{SPLITTING}]'))"
     return f"CASE WHEN {s} IS NULL OR {bad} THEN NULL ELSE regexp_replace({url}, '/$', '') END"
 
 
@@ -74,7 +86,7 @@ def country_code_sql(d: str) -> str:
     return f"CASE WHEN regexp_matches({last}, '^\\p{{L}}{{2}}$') THEN upper({last}) END"
 
 
-COUNTRY_VALUES = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in COUNTRY_BY_TLD.items())
+COUNTRY_VALUES = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in EXPECTED_COUNTRIES.items())
 
 # ---------------------------------------------------------------- adapter
 CLICKS_CTE = f"""
@@ -147,7 +159,7 @@ cleaned AS (
   SELECT *,
     {domain_sql('current_url')} AS current_domain,
     {domain_sql('referrer_url')} AS referrer_domain,
-    {rule_case('user_agent', BROWSER_RULES)} AS browser,
+    {family_case('user_agent', 0)} AS browser,
     CAST(event_ts AS DATE) AS event_date,
     CAST(hour(event_ts) AS INTEGER) AS event_hour
   FROM urls

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from viewstar.functions.useragent import BROWSER_RULES, OS_RULES
 from viewstar.oracle.duck import (
-    clean_url_sql, domain_sql, on_clean, on_clicks, on_reports, on_star, rule_case, with_ctes,
+    clean_url_sql, domain_sql, on_clean, on_clicks, on_reports, on_star, family_case, with_ctes,
     CLICKS_CTE, CLEAN_CTE,
 )
 from viewstar.schemas import STAR_TABLES
@@ -25,8 +24,8 @@ pu AS (
 """
 
 
-def _report_ua(col: str, rules) -> str:
-    return f"COALESCE({rule_case(f'NULLIF({col}, {chr(39) * 2})', rules)}, 'Unknown')"
+def _report_ua(col: str, which: int) -> str:
+    return f"COALESCE({family_case(f'NULLIF({col}, {chr(39) * 2})', which)}, 'Unknown')"
 
 
 def _dim_product(src: str) -> str:
@@ -74,8 +73,8 @@ _HOURS = "(SELECT CAST(h AS INTEGER) AS event_hour FROM range(24) t(h))"
 
 _BROWSER_OS = f"""
 SELECT CAST(hour(event_timestamp) AS INTEGER) AS event_hour,
-       {_report_ua("COALESCE(user_agent, '')", BROWSER_RULES)} AS browser,
-       {_report_ua("COALESCE(user_agent, '')", OS_RULES)} AS os,
+       {_report_ua("COALESCE(user_agent, '')", 0)} AS browser,
+       {_report_ua("COALESCE(user_agent, '')", 1)} AS os,
        CAST(sum(event_count) AS BIGINT) AS views
 FROM rep GROUP BY 1, 2, 3"""
 
@@ -123,8 +122,8 @@ FROM cleaned"""),
     "country_name": on_clean("SELECT DISTINCT country_code, country FROM base"),
     "classify_ua": on_clean(f"""
 SELECT DISTINCT user_agent, browser,
-       {_report_ua('user_agent', BROWSER_RULES)} AS report_browser,
-       {_report_ua('user_agent', OS_RULES)} AS report_os
+       {_report_ua('user_agent', 0)} AS report_browser,
+       {_report_ua('user_agent', 1)} AS report_os
 FROM cleaned"""),
     "first_option": on_clicks("SELECT n_options, opt_id, opt_label FROM clicks"),
     "surrogate_keys": on_clean("""
