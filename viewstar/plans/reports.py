@@ -201,24 +201,20 @@ def os_hourly(star: Star, report_date=None) -> DataFrame:
 def summary_metrics(star: Star, report_date=None) -> DataFrame:
     """R7: total_views, unique_products, unique_countries, unique_referrers.
 
-    Each distinct count is computed on its own pre-aggregated branch
-    (distinct keys -> dimension -> distinct values) and the branches meet in
-    one global aggregate; no Expand over the fact rows and no cross join."""
-    day = day_views(star, report_date)
+    One scan of the day: each fact becomes a row for the total and for each of
+    its keys, combined to one row per key before the shuffle; dimensions are
+    looked up for distinct keys, and distinct values counted at the end."""
+    key = lambda m, c: F.struct(F.lit(m).alias("m"), c.cast("string").alias("k"))
+    keys = F.array(key("views", F.lit(None)), key("product", F.col("product_key")), key("country", F.col("location_key")),
+                   key("referrer", F.nullif(F.col("referrer_url"), F.lit(""))))
+    by_key = (day_views(star, report_date).select("event_count", F.inline(keys))
+              .groupBy("m", "k").agg(F.sum("event_count").alias("n")))
+    products = star.dim_product.select(F.lit("product").alias("m"), F.col("product_key").alias("k"), "product_id")
+    places = star.dim_location.select(F.lit("country").alias("m"), F.col("location_key").alias("k"), "country")
+    named = by_key.join(products, ["m", "k"], "left").join(places, ["m", "k"], "left")
     m, v = F.col("m"), F.col("v")
-    total = day.agg(F.sum("event_count").cast("bigint").alias("n")).select(
-        F.lit("views").alias("m"), F.lit(None).cast("string").alias("v"), "n")
-    products = (day.select("product_key").distinct()
-                .join(star.dim_product.select("product_key", "product_id"), "product_key")
-                .select(F.col("product_id").alias("v")).distinct()
-                .select(F.lit("product").alias("m"), "v", F.lit(None).cast("bigint").alias("n")))
-    countries = (day.select("location_key").distinct()
-                 .join(star.dim_location.select("location_key", "country"), "location_key")
-                 .select(F.col("country").alias("v")).distinct()
-                 .select(F.lit("country").alias("m"), "v", F.lit(None).cast("bigint").alias("n")))
-    referrers = (day.select(F.nullif(F.col("referrer_url"), F.lit("")).alias("v")).distinct()
-                 .select(F.lit("referrer").alias("m"), "v", F.lit(None).cast("bigint").alias("n")))
-    u = total.unionByName(products).unionByName(countries).unionByName(referrers)
+    value = F.when(m == "product", F.col("product_id")).when(m == "country", F.col("country")).when(m == "referrer", F.col("k"))
+    u = named.groupBy("m", value.alias("v")).agg(F.sum("n").alias("n"))
     return u.agg(
         F.coalesce(F.sum(F.when(m == "views", F.col("n"))), F.lit(0)).cast("bigint").alias("total_views"),
         F.count(F.when(m == "product", v)).alias("unique_products"),
