@@ -84,7 +84,7 @@ def leaf_budgets(leaves: DataFrame, fraction_percent: int, max_epochs: int) -> D
     caps = leaves.withColumn("cap", F.col("tokens") * max_epochs)
     total = leaves.agg(F.expr(f"coalesce(sum(tokens), 0) * {fraction_percent} div 100").alias("given"))
     top = caps.groupBy(d).agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(F.col(d), DOMAIN_WEIGHTS))
-    top = top.join(F.broadcast(total)).withColumn("root", F.lit(0))  # `total` is one row
+    top = top.withColumn("given", total.scalar()).withColumn("root", F.lit(0))
     top = _divide(top, ["root"], d).select(d, F.col("budget").alias("given"))
     mid = caps.groupBy(d, g).agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(F.col(g), LANG_WEIGHTS)).join(top, d)
     mid = _divide(mid, [d], g).select(d, g, F.col("budget").alias("given"))
