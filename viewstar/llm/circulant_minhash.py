@@ -12,11 +12,11 @@ Buckets of many texts are never turned into all their pairs:
 * a text can only link if at least the threshold share of its shingles occurs in
   another candidate text, which one count per shingle decides for all of them;
 * each bucket first compares its members with one pivot, the text whose shingles
-  are shared most; components then join, and only buckets that still hold several
-  components go on, each comparing the members outside its largest component
-  with the others, a growing number a round until none is left.  A pair inside
-  one component needs no test, as it can't change the result; every other pair of
-  a bucket is tested, so the work left out loses no link.
+  are shared most. Buckets whose members are in one component by then are done, as
+  a link inside a component can't change the result. Those left, taken together where they
+  share members, compare the texts outside the largest component with all
+  others in blocks of bounded size, where intersections are products of
+  incidence matrices; a block returns only links that join components.
 
 Defined cases: null or blank text has no shingles, is its own component and
 kept; 1 to 4 words are one shingle; rows of one id are one document, linked by
@@ -40,8 +40,8 @@ from viewstar.llm.components import components
 from viewstar.llm.kernel import long_lists, mix64, pieces, text_shingles
 
 RING = 1 << 20
-#: Members outside the largest component that a bucket compares in each round.
-STRAGGLERS = 8
+#: Sets and shingles of one side of a block that a task compares, and columns of their incidence at a time.
+BLOCK_SETS, BLOCK_SHINGLES, COLUMNS = 1024, 500_000, 2048
 
 
 @lru_cache(maxsize=2)
@@ -110,35 +110,85 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return sets.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("shingles").alias(f"s_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * percent).select("a", "b").distinct()
+    return both.where(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * percent).select(*pairs.columns).distinct()
+
+
+def _compare(percent: int):
+    """Links between the outsiders and the members of one block that join two components."""
+    def compare(members: pa.Table, outside: pa.Table) -> pa.Table:
+        links: list[tuple[int, int]] = []
+        if members.num_rows and outside.num_rows:
+            sides = []
+            for t in (outside, members):
+                lists = t.column("shingles").combine_chunks()
+                sides.append((t.column("sid").to_numpy(), t.column("comp").to_numpy(), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()))
+            (q, q_comp, q_n, q_flat), (m, m_comp, m_n, m_flat) = sides
+            _, column = np.unique(np.concatenate([q_flat, m_flat]), return_inverse=True)
+            shared = np.zeros((len(q), len(m)), np.float32)
+            q_row, m_row = np.repeat(np.arange(len(q)), q_n), np.repeat(np.arange(len(m)), m_n)
+            for lo in range(0, int(column.max()) + 1, COLUMNS):  # intersection sizes, some columns of the incidence at a time
+                both = []
+                for size, row, col in ((len(q), q_row, column[:len(q_flat)]), (len(m), m_row, column[len(q_flat):])):
+                    here = (col >= lo) & (col < lo + COLUMNS)
+                    has = np.zeros((size, COLUMNS), np.float32)
+                    has[row[here], col[here] - lo] = 1
+                    both.append(has)
+                shared += both[0] @ both[1].T
+            close = shared * 100 >= (q_n[:, None] + m_n[None, :] - shared) * percent
+            root: dict[int, int] = {}
+
+            def top(c: int) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+            for i, j in zip(*np.nonzero(close & (q_comp[:, None] != m_comp[None, :]))):
+                x, y = top(int(q_comp[i])), top(int(m_comp[j]))
+                if x != y:  # what is joined already needs no second link
+                    root[x] = y
+                    links.append((int(q[i]), int(m[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+    return compare
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links between sets that join every component of a bucket.
 
-    members: key, sid, n, share (of the set's shingles that other candidates have)."""
-    best = members.groupBy("key").agg(F.max_by("sid", F.struct("share", "n", "sid")).alias("b"), F.max_by("n", F.struct("share", "n", "sid")).alias("n_b"))
-    fits = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
+    members: key, sid, n, shared (of the set's n shingles, those that other candidates have).
+    Two sets share at most the smaller ``shared``, which leaves out most pairs with a pivot unseen."""
+    order = F.struct((F.col("shared") / F.col("n")).alias("share"), "n", "sid")
+    best = members.groupBy("key").agg(F.max_by(F.struct("sid", "n", "shared"), order).alias("p"))
+    best = materialize(best.select("key", F.col("p.sid").alias("b"), F.col("p.n").alias("n_b"), F.col("p.shared").alias("shared_b")), "pivots")
+    fits = F.least("shared", "shared_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
     pair = (F.least(F.col("sid"), F.col("b")).alias("a"), F.greatest(F.col("sid"), F.col("b")).alias("b"))
     tested = materialize(members.join(best, "key").where((F.col("sid") != F.col("b")) & fits).select(*pair).distinct(), "pairs")
     links = materialize(_verify(tested, sets, percent), "links")
-    most = STRAGGLERS
-    while True:
-        label = components(links).select(F.col("node").alias("sid"), "comp")
-        named = members.join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-        parts = named.groupBy("key", "comp").agg(F.count("*").alias("size"))
-        largest = parts.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-        left = named.join(largest, "key")
-        odd = left.where("comp <> main").select("key", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-        todo = left.join(odd, "key").where((F.col("comp") != F.col("comp_b")) & fits).select(*pair).distinct()
-        todo = materialize(todo.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if todo.isEmpty():
-            return links
-        # each text outside meets at most so many others in a round; what is left comes in the next
-        step = materialize(todo.where(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 20)) < most * 2048), "pairs") if most < 512 else todo
-        links = materialize(links.unionAll(_verify(step, sets, percent)), "links")
-        tested = materialize(tested.unionAll(step), "pairs")
-        most *= 8
+
+    label = components(links).select(F.col("node").alias("sid"), "comp")
+    named = members.select("key", "sid", "n").join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    split = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    live = materialize(named.join(split, "key"), "live")
+    if live.isEmpty():
+        return links
+    # the buckets left, joined where they share a member, are families; each is compared in blocks
+    family = components(live.join(best, "key").select(F.col("sid").alias("a"), "b"))
+    one = live.select("sid", "n", "comp").distinct().join(family.select(F.col("node").alias("sid"), F.col("comp").alias("family")), "sid")
+    parts = one.groupBy("family", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
+    sizes = parts.groupBy("family").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("k"), F.sum("s").alias("s"),
+                                        F.max(F.struct("k", "comp", "s")).alias("most"))
+    blocks = lambda k, s: F.ceil(F.greatest(k / BLOCK_SETS, s / BLOCK_SHINGLES))
+    sizes = sizes.select("family", "main", blocks(F.col("k"), F.col("s")).alias("m_blocks"), blocks(F.col("k") - F.col("most.k"), F.col("s") - F.col("most.s")).alias("q_blocks"))
+    one = materialize(one.join(sizes, "family").where("q_blocks > 0"), "families")
+    at = lambda n: F.pmod(F.xxhash64("sid", F.lit("block")), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    cols = ("family", "sid", "comp")
+    inside = one.select(*cols, at(F.col("m_blocks")).alias("m"), "q_blocks").select(*cols, "m", every(F.col("q_blocks")).alias("q"))
+    outside = one.where("comp <> main").select(*cols, at(F.col("q_blocks")).alias("q"), "m_blocks").select(*cols, every(F.col("m_blocks")).alias("m"), "q")
+    known = sets.select("sid", "shingles")
+    key = ["family", "m", "q"]
+    names = ["sid", "family", "comp", "m", "q", "shingles"]
+    inside, outside = (side.join(known, "sid").select(*names).toDF(*names) for side in (inside, outside))  # toDF: both sides stem from one table
+    new = inside.groupBy(*key).cogroup(outside.groupBy(*key)).applyInArrow(_compare(percent), "a long, b long")
+    return links.unionAll(materialize(new, "links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
@@ -161,7 +211,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     flat = sets.select("sid", F.explode("shingles").alias("shingle"))
     common = flat.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     shared = flat.join(common, "shingle", "left_semi").groupBy("sid").agg(F.count("*").alias("shared"))
-    able = sets.select("sid", "n").distinct().join(shared, "sid").where(F.col("shared") * 100 >= F.col("n") * percent).select("sid", "n", (F.col("shared") / F.col("n")).alias("share"))
+    able = sets.select("sid", "n").distinct().join(shared, "sid").where(F.col("shared") * 100 >= F.col("n") * percent).select("sid", "n", "shared")
     able = materialize(able, "able")
     members = materialize(members.select("key", "sid").join(able, "sid"), "members")
 
@@ -176,14 +226,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The documents (all their columns) with the smallest id of their component; rows that
-    share that id are copies too, and the first by text of them stays."""
-    found = near_duplicates(docs, percent=percent).where("not kept").select(F.col("doc_id").alias("copy")).distinct()
-    found = materialize(found, "copies")
-    left = docs.join(found, docs["doc_id"] == found["copy"], "left_anti")
-    named = left.where("doc_id is not null").select(F.col("doc_id").alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    one = named.groupBy("_key").agg(F.min_by("_row", F.struct(F.col("_row.text"), F.xxhash64("_row"))).alias("_row")).select("_row.*")
-    return one.unionByName(left.where("doc_id is null"))
+    """The documents (all their columns) with the smallest id of their component; of rows that
+    share that id the first by text stays, and rows without an id all do."""
+    copies = materialize(near_duplicates(docs, percent=percent).where("not kept").select(F.col("doc_id").alias("copy")).distinct(), "copies")
+    twice = materialize(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("copy")), "twice")
+    left = docs.join(copies, docs["doc_id"] == copies["copy"], "left_anti")
+    single = left.join(twice, left["doc_id"] == twice["copy"], "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    several = left.join(twice, left["doc_id"] == twice["copy"], "left_semi").select(F.col("doc_id").alias("_key"), row.alias("_row"))
+    first = several.groupBy("_key").agg(F.min_by("_row", F.struct(F.col("_row.text"), F.xxhash64("_row"))).alias("_row"))
+    return single.unionByName(first.select("_row.*"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
