@@ -24,6 +24,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -101,9 +102,11 @@ def _spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 def pack(ids: np.ndarray) -> bytes:
     """The grammar of a shard's ids."""
-    alphabet, seq = np.unique(ids, return_inverse=True) if len(ids) else (np.empty(0, np.uint32), np.empty(0, np.int64))
+    alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32) if len(ids) else np.empty(0, np.uint32)
     assert len(alphabet) <= MAX_SYMBOLS, "more different ids than symbols in a shard"
-    seq = seq.astype(np.uint16)
+    number = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint16)
+    number[alphabet] = np.arange(len(alphabet))
+    seq = number[ids]
     left, right, levels = [], [], []
     n = len(alphabet)
     while True:
@@ -174,6 +177,10 @@ class Shard:
 
 # ---- encoding --------------------------------------------------------------
 
+#: Small Latin letters, then symbols: the tokenizer changes neither and cuts between them, so its model can be asked at once.
+_PLAIN = re.compile(r"([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class _Memo(dict):
     """Numbers words as they are first looked up."""
 
@@ -191,6 +198,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
+        self.model = self.tokenizer.model
+        # how the tokenizer spells the letters beyond ASCII to its model
+        self.spelled = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(0xE0, 0x100) if c != 0xF7}
         self.forget()
 
     def forget(self) -> None:
@@ -204,8 +214,18 @@ class Encoder:
 
     def _learn(self, chunks: list[bytes], n: int) -> None:
         """Ids of the words numbered n and following."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)]
-        k = len(chunks)
+        words = [c.decode("utf-8", "replace") for c in chunks]
+        k = len(words)
+        found: list[list[int]] = [[]] * k
+        other = []
+        for i, w in enumerate(words):
+            plain = _PLAIN.fullmatch(w)
+            if plain:
+                found[i] = [t.id for part in plain.groups() if part for t in self.model.tokenize(part.translate(self.spelled))]
+            else:
+                other.append(i)
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
+            found[i] = e.ids
         size = np.fromiter(map(len, found), np.int64, k)
         self.start, self.size = self._room(self.start, n + k), self._room(self.size, n + k)
         self.flat = self._room(self.flat, self.used + int(size.sum()))
