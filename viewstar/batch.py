@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstar.operators.clean import clean
-from viewstar.session import checkpoint_dir
+from viewstar.session import scratch_dir
 from viewstar.operators.star import Star, base_frame, build_star
 from viewstar.sources.fixtures import clicks
 
@@ -32,14 +32,15 @@ def star_from_tables(spark: SparkSession, sf_dir: str, ingestion_timestamp=PROOF
     """The five star tables derived from the driver tables.
 
     Lazy by default (one plan per table, each re-deriving the base frame).
-    With `materialize`, the base frame is computed once and written as a
-    reliable checkpoint under spark.checkpoint.dir (lineage cut, survives
-    executor loss); the five tables then read it.  Reused per application
+    With `materialize`, the base frame is computed once and written as
+    Parquet under spark.checkpoint.dir (lineage cut, survives executor loss);
+    the five tables then read only the columns they use.  Reused per application
     and input folder."""
     if not materialize:
         return build_star(base_from_tables(spark, sf_dir), ingestion_timestamp)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ingestion_timestamp)
     if key not in _MATERIALIZED:
-        checkpoint_dir(spark)
-        _MATERIALIZED[key] = base_from_tables(spark, sf_dir).checkpoint(eager=True)
+        base, path = base_from_tables(spark, sf_dir), scratch_dir(spark, "base")
+        base.write.parquet(path)
+        _MATERIALIZED[key] = spark.read.schema(base.schema).parquet(path)
     return build_star(_MATERIALIZED[key], ingestion_timestamp)
