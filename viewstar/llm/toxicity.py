@@ -9,9 +9,10 @@ likeliest reading under a letter trigram model, which is counted over all texts.
 Scoring: rules on the restored text (a word, or the 4 to 6 bytes that a word begins
 with) are learned from labelled texts, at most ``FIT_ROWS`` of them drawn by a hash
 of the id.  Candidates are those in at least ``SUPPORT`` of the toxic texts (3 at
-least) with a precision of ``PRECISION``; the rule that explains most toxic texts not yet
-explained is taken, until no rule explains as many as ``GAIN`` of them, so words that merely
-occur together with a rule's words are not learned.  The score of a text is
+least) with a precision of ``PRECISION``.  Those are rules that chance can't explain (as many
+independent texts, told by their lengths, as make one false rule among all candidates a matter of 1 %);
+of the others the one that explains most toxic texts not yet explained is taken, until none explains
+as many as ``GAIN`` of them, so that words which merely stand in copies of a toxic text are not learned.  The score of a text is
 1 - product of (1 - precision) over the rules it meets; without any, the share of
 toxic texts among those that no rule explains.
 
@@ -36,9 +37,11 @@ from viewstar.llm.kernel import BLANK_WORDS, hash_spans, mix64, pieces, text_byt
 
 FIT_ROWS = 40_000
 SUPPORT = 0.01
-PRECISION = 0.9
+PRECISION = 0.95
 GAIN = 0.004
 PREFIXES = (4, 5, 6)
+#: Bytes of text that a task reads at once.
+PIECE = 2 << 20
 
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -171,10 +174,11 @@ class Reader:
             self.memo[token] = decode(token, self.model)
         return self.memo[token]
 
-    def keys(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Keys (a row a kind) and the text of each column of them."""
+    def keys(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys (a row a kind), the text of each column of them, and the number of words of each text."""
         buf, off = text_bytes(col)
         starts, ends, at = words(buf, off, BLANK_WORDS)
+        n_words = np.diff(at)
         texts, found = [], []
         for t, a, b in _suspects(buf, off, starts, ends, at):
             for w in self.restored(buf[a:b].tobytes().decode("utf-8", "ignore")).split(" "):
@@ -188,38 +192,72 @@ class Reader:
             more, moff = text_bytes(pa.array(found, pa.string()))
             keys = np.concatenate([keys, _keys(more, moff[:-1], moff[1:])], axis=1)
             text = np.concatenate([text, np.array(texts)])
-        return keys, text
+        return keys, text, n_words
 
 
 # ---- rules -----------------------------------------------------------------
 
-def _presence(model: np.ndarray, wanted: np.ndarray | None):
-    """Per task: in how many toxic texts each key is (wanted: also in how many others, and where)."""
+def _in_texts(reader: Reader, piece: pa.RecordBatch, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a text of the piece and a wanted key (by its place) in it; the texts' lengths."""
+    keys, text, n_words = reader.keys(piece.column("text"))
+    texts, places = [], []
+    for row in keys:  # one kind of key at a time
+        slot = np.minimum(np.searchsorted(wanted, row), len(wanted) - 1)
+        hit = wanted[slot] == row
+        texts.append(text[hit])
+        places.append(slot[hit])
+    pair = np.unique(np.concatenate(texts) * len(wanted) + np.concatenate(places))
+    return pair // len(wanted), pair % len(wanted), n_words
+
+
+def _toxic_counter(model: np.ndarray):
+    """Per task: in how many (toxic) texts each key is."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
-        held: list[np.ndarray] = []
+        known, sums = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                keys, text = reader.keys(piece.column("text"))
-                text = np.broadcast_to(text, keys.shape)[keys != 0]
-                keys = keys[keys != 0]
-                if wanted is not None:
-                    known = np.isin(keys, wanted)
-                    pair = np.unique(np.stack([text[known].astype(np.uint64), keys[known]]), axis=1)
-                    ids, toxic = piece.column("doc_id").take(pa.array(pair[0].astype(np.int64))), piece.column("toxic").take(pa.array(pair[0].astype(np.int64)))
-                    yield pa.RecordBatch.from_arrays([ids, toxic, pa.array(pair[1].view(np.int64))], ["doc_id", "toxic", "key"])
-                else:
-                    order = np.lexsort((keys, text))
-                    k, t = keys[order], text[order]
-                    first = np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])]) if len(k) else np.empty(0, bool)
-                    held.append(k[first])
-        if wanted is None and held:
-            k, n = np.unique(np.concatenate(held), return_counts=True)
-            for a in range(0, len(k), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(k[a:a + 50_000].view(np.int64)), pa.array(n[a:a + 50_000])], ["key", "n"])
+            for piece in pieces(batch, "text", PIECE):
+                keys, text, _ = reader.keys(piece.column("text"))
+                found = [np.unique(keys[:, a:b]) for a, b in _runs(text)]
+                known, back = np.unique(np.concatenate([known, *found]), return_inverse=True)
+                sums = np.bincount(back, weights=np.concatenate([sums, *[np.ones(len(f), np.int64) for f in found]]), minlength=len(known)).astype(np.int64)
+        for a in range(0, len(known), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(known[a:a + 50_000].view(np.int64)), pa.array(sums[a:a + 50_000])], ["key", "n"])
     return count
 
 
+def _runs(text: np.ndarray) -> list[tuple[int, int]]:
+    """Columns of one text each; restored words come after the others, as texts of their own run."""
+    cut = [0, *(np.flatnonzero(text[1:] != text[:-1]) + 1).tolist(), len(text)]
+    return [(a, b) for a, b in zip(cut, cut[1:]) if b > a]
+
+
+def _class_counter(model: np.ndarray, wanted: np.ndarray):
+    """Per task: in how many toxic and other texts each wanted key is."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(model)
+        sums = np.zeros((2, len(wanted)), np.int64)
+        for batch in batches:
+            for piece in pieces(batch, "text", PIECE):
+                text, place, _ = _in_texts(reader, piece, wanted)
+                toxic = piece.column("toxic").to_numpy()[text]
+                for k in (0, 1):
+                    sums[k] += np.bincount(place[toxic == k], minlength=len(wanted))
+        yield pa.RecordBatch.from_arrays([pa.array(wanted.view(np.int64)), pa.array(sums[1]), pa.array(sums[0])], ["key", "n1", "n0"])
+    return count
+
+
+def _holders(model: np.ndarray, wanted: np.ndarray):
+    """The ids and lengths of the texts that hold each wanted key."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(model)
+        for batch in batches:
+            for piece in pieces(batch, "text", PIECE):
+                text, place, n_words = _in_texts(reader, piece, wanted)
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(pa.array(text)), pa.array(n_words[text]), pa.array(wanted[place].view(np.int64))], ["doc_id", "n_words", "key"])
+    return find
+
+
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, fit_rows: int = FIT_ROWS) -> tuple[list[tuple[int, float]], float]:
     """Rules (key, precision) and the score of a text that meets none, from docs (doc_id, text) and labels (doc_id, toxic)."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -229,41 +267,40 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, fit_rows: int =
     part = int(min(1.0, fit_rows / total) * (1 << 20))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < part)  # about fit_rows rows of 20 bytes
     sample = materialize(docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic"), "fit")
-    n = {r[0]: r[1] for r in sample.groupBy("toxic").agg(F.count_distinct("doc_id")).collect()}
+    n = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
+    if n1 == 0:
+        return [], 0.5 / (n0 + 1)
     least = max(3, math.ceil(SUPPORT * n1))
-    often = sample.where("toxic = 1").select("text").mapInArrow(_presence(model, None), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    # bounded by the fitted texts' words over `least`
-    wanted = np.array([r[0] for r in often.select("key").collect()], np.int64).view(np.uint64)
-    # an array of candidate keys in the toxic texts of the sample, and a count of the others
-    seen = materialize(sample.mapInArrow(_presence(model, np.sort(wanted)), "doc_id long, toxic int, key long").distinct(), "seen")
-    by_key = seen.groupBy("key").agg(F.sum(F.col("toxic")).alias("n1"), F.count("*").alias("n")).where(F.col("n1") >= F.col("n") * PRECISION)
-    sharp = {r[0]: (r[1], r[2]) for r in by_key.collect()}
+    toxic = sample.where("toxic = 1")
+    often = toxic.select("text").mapInArrow(_toxic_counter(model), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where((F.col("n") >= least) & (F.col("key") != 0))
+    # at most the words of the fitted toxic texts over `least`, each in a few kinds
+    wanted = np.sort(np.array([r[0] for r in often.select("key").collect()], np.int64).view(np.uint64))
+    if len(wanted) == 0:
+        return [], min(0.5, (n1 + 0.5) / (n1 + n0 + 1))
+    counts = sample.select("text", "toxic").mapInArrow(_class_counter(model, wanted), "key long, n1 long, n0 long").groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    sharp = {r[0]: (r[1], r[2]) for r in counts.where(F.col("n1") >= (F.col("n1") + F.col("n0")) * PRECISION).collect()}
     held: dict[int, set[int]] = {k: set() for k in sharp}
-    for r in seen.where("toxic = 1").join(F.broadcast(by_key.select("key")), "key").select("key", "doc_id").collect():
-        held[r[0]].add(r[1])
-    rules, open_docs = [], set().union(*held.values()) if held else set()
+    lengths: dict[int, set[int]] = {k: set() for k in sharp}
+    if sharp:
+        # candidate rules in the toxic texts of the sample
+        for r in toxic.select("doc_id", "text").mapInArrow(_holders(model, np.sort(np.array(list(sharp), np.int64).view(np.uint64))), "doc_id long, n_words long, key long").collect():
+            held[r[2]].add(r[0])
+            lengths[r[2]].add(r[1])
+    # copies of a text have its length, so a rule's lengths count its independent texts
+    base = n1 / (n1 + n0)
+    sure = math.log(100 * len(wanted)) / -math.log(min(base, 0.99))
+    rules, explained, free = [], set(), n0
     while held:
-        # of equal gains the rule with the fewest other texts, then the smaller key
-        key = max(held, key=lambda k: (len(held[k] & open_docs), sharp[k][0] - sharp[k][1], -k))
-        gain = len(held[key] & open_docs)
-        if gain < max(2, math.ceil(GAIN * n1)):
+        # rules that chance can't explain; then by texts not yet explained, of equal gains the one with the fewest others, then the smaller key
+        key = max(held, key=lambda k: (len(lengths[k]) >= max(least, sure), len(held[k] - explained), -sharp[k][1], -k))
+        if len(lengths[key]) < max(least, sure) and len(held[key] - explained) < max(2, math.ceil(GAIN * n1)):
             break
-        rules.append((key, (sharp[key][0] + n1 / (n1 + n0)) / (sharp[key][1] + 1)))
-        open_docs -= held.pop(key)
-    explained = set().union(*[s for k, s in _explained(sharp, rules, seen)]) if rules else set()
-    left = n1 - len(explained)
-    free = n0 - sum(sharp[k][1] - sharp[k][0] for k, _ in rules)
-    return rules, min(0.5, max(left + 0.5, 0.5) / max(left + free + 1, 1))
-
-
-def _explained(sharp: dict, rules: list, seen: DataFrame) -> list[tuple[int, set[int]]]:
-    """Toxic texts of each rule (bounded by the fitted sample)."""
-    chosen = [k for k, _ in rules]
-    got: dict[int, set[int]] = {k: set() for k in chosen}
-    for r in seen.where((F.col("toxic") == 1) & F.col("key").isin(chosen)).select("key", "doc_id").collect():
-        got[r[0]].add(r[1])
-    return list(got.items())
+        rules.append((key, (sharp[key][0] + base) / (sum(sharp[key]) + 1)))
+        explained |= held.pop(key)
+        free -= sharp[key][1]
+    left = max(n1 - len(explained), 0)
+    return rules, min(0.5, (left + 0.5) / (left + max(free, 0) + 1))
 
 
 def _scorer(model: np.ndarray, rules: list[tuple[int, float]], none: float):
@@ -272,14 +309,10 @@ def _scorer(model: np.ndarray, rules: list[tuple[int, float]], none: float):
         order = sorted((np.uint64(k % (1 << 64)), p) for k, p in rules)
         keys_of, lacks = np.array([k for k, _ in order], np.uint64), np.log1p(-np.minimum(np.array([p for _, p in order]), 0.999))
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 out = np.full(piece.num_rows, none)
                 if len(keys_of):
-                    keys, text = reader.keys(piece.column("text"))
-                    slot = np.minimum(np.searchsorted(keys_of, keys), len(keys_of) - 1)
-                    hit = keys_of[slot] == keys
-                    pair = np.unique(np.broadcast_to(text, keys.shape)[hit] * len(keys_of) + slot[hit])
-                    doc, rule = pair // len(keys_of), pair % len(keys_of)
+                    doc, rule, _ = _in_texts(reader, piece, keys_of)
                     apart = np.bincount(doc, weights=lacks[rule], minlength=piece.num_rows)
                     out = np.where(apart < 0, np.maximum(1 - np.exp(apart), none), none)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(out)], ["doc_id", "score"])
