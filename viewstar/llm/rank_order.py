@@ -32,6 +32,8 @@ from viewstar.llm.kernel import pieces
 
 TOP = 300
 LONGEST = 4
+#: Bytes of text that a task reads at once.
+PIECE = 2 << 20
 #: The pipeline's stage rejects documents that score less (beside those without a letter).
 LEAST_SCORE = 0.05
 _LETTER = re.compile(r"[^\W\d_]")
@@ -95,7 +97,7 @@ def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang")
         for lang in pc.unique(langs).to_pylist():
-            for piece in pieces(batch.filter(pc.equal(langs, lang)), "text"):
+            for piece in pieces(batch.filter(pc.equal(langs, lang)), "text", PIECE):
                 grams = _grams(_normal(piece.column("text").to_pylist())[0])
                 parts = [_counts(g) for g in grams] + ([held[lang]] if lang in held else [])
                 keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
@@ -137,7 +139,9 @@ def _predictor(profiles: dict[str, np.ndarray]):
         for i, own in enumerate(profiles.values()):
             places[i, np.searchsorted(grams, own)] = np.arange(len(own))
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            if "text" not in batch.schema.names:  # whole rows: their text is in them
+                batch = batch.append_column("text", pc.struct_field(batch.column("row"), "text"))
+            for piece in pieces(batch, "text", PIECE):
                 texts = piece.column("text").to_pylist()
                 buf, at = _normal(texts)
                 keys = _grams(buf)
@@ -167,7 +171,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "do
 def identified(docs: DataFrame) -> DataFrame:
     """The documents (all their columns) in a language that the profiles know."""
     profiles = learn(docs.where(crc_mod("doc_id", 5) != 0))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     out = rows.mapInArrow(_predictor(profiles), schema)
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
