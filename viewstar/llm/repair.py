@@ -44,7 +44,9 @@ MIN_COUNT = 8
 MIN_GAIN_PERCENT = 1
 MAX_SYMBOLS = 1 << 16
 #: Words a task remembers the ids of; beyond that it forgets them all and learns anew.
-MEMO = 1_500_000
+MEMO = 600_000
+#: Bytes of text that a task encodes at once.
+PIECE = 2 << 20
 _SLOTS = 1 << 20
 
 
@@ -287,7 +289,7 @@ def _shard_writer(spec):
             return out
 
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 more, sizes = _encoder(spec).encode(piece.column("text").cast(pa.binary()).to_pylist())
                 for name, n, end in zip(piece.column("id").to_pylist(), sizes.tolist(), np.cumsum(sizes).tolist()):
                     docs.append((name, n))
