@@ -92,3 +92,14 @@ def test_empty_and_untrained(spark, docs_of):
     got = run(docs_of, [(2, "only held out"), (9, None)])
     assert [(r.n_known, r.train_tokens) for r in got] == [(0, 0), (0, 0)] and all(r.base_score == 0 and -9 < r.score <= 0 for r in got)
     assert SimpleNamespace(**got[0].asDict()).held_out
+
+
+def test_previous_word_is_the_context(spark, docs_of):
+    """On a vocabulary without frequent words only the previous word tells the next."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        at = rng.randrange(300)
+        rows.append((i, " ".join(f"w{(at + k) % 300}" for k in range(30))))
+    held = [r for r in run(docs_of, rows) if r.held_out]
+    assert held and sum(r.score for r in held) > 0.3 * sum(r.base_score for r in held)

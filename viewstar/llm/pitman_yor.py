@@ -1,25 +1,25 @@
 """Operator 6: a hierarchical Pitman-Yor language model.
 
-The context of a token is the last head word before it in its text; head words
-make at least 1 / ``HEADS`` of all training tokens (so there are at most ``HEADS``), and
-a text's first tokens have the empty context.  Each context is a restaurant of
-words; all share one parent restaurant, whose tables draw from a base that gives
-the training vocabulary equal shares of 1 - g and unknown words the rest, g being
-set so that the parent's new tables meet the share of words seen once.
+The context of a token is the word before it in its text; a text's first token
+follows the end of a text.  Each context is a restaurant of words; all share one
+parent restaurant, whose tables draw from a base that gives the training vocabulary
+equal shares of 1 - g and unknown words the rest, g being set so that the parent's
+new tables meet the share of words seen once.
 
 Seating: a word's customers in a context leave and come back one by one, each to a
 table of their word or to a new one, which sends a customer to the parent, where
 the word is seated in the same way (beyond ``ONE_BY_ONE`` customers they come in runs
 of 1/16 of those seated, and the new tables of a run are Poisson).  Words are dealt
-by hash to groups that sweep in parallel; a group knows the other groups' table
-totals from the round before and its own as they are.  The first round ends in
+by hash to groups that sweep in parallel; a group knows the other groups' tables of
+each of its contexts from the round before and its own as they are.  The first round ends in
 the totals; the second repeats the sweeps with them, drops ``BURN_IN`` and averages
 the predictive probabilities of ``SAMPLES`` sweeps.
 
 What moves: a scan split (or a fixed part of one) sends its distinct (word, context)
-keys with their counts, packed by groups of words; the group answers with one
-probability and count a key; both meet the split's texts again. Words are 56-bit
-hashes.  A word in every text is one key a split and context, so nothing is hot.
+pairs with their counts, packed by groups of words; after the first round a group sends the
+customers and tables of its contexts to be summed by context, and gets those of all and of the others; the
+second answers a block with a probability a pair and a count a word; both meet the
+split's texts again. Words are 56-bit hashes.  A pair in every text is one key a split, so nothing is hot.
 
 Defined cases: null text is empty and scored as its end alone; without training
 texts every token has probability 1; rows of a null id are in no fold, so they train and
@@ -40,15 +40,12 @@ from pyspark.sql import functions as F
 from viewstar.llm.common import crc_mod, materialize, table
 from viewstar.llm.kernel import BLANK_WORDS, hash_spans, hash_words, pieces, text_bytes, words
 
-HEADS = 200
-#: Head words are counted in the pieces of text where they make 1 / SEEN of the tokens.
-SEEN = 2000
 BURN_IN, SAMPLES = 3, 3
 ONE_BY_ONE = 256
 GROUP_BYTES = 16 << 20
 THETA = 1.0
 _CTX = np.uint64(0xFF)
-_END = hash_words(["\n"])[0]
+_END = hash_words(["\n"])[0] & ~_CTX
 
 
 # ---- tokens ----------------------------------------------------------------
@@ -57,36 +54,17 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes with an end after each text, and where the texts begin."""
     buf, off = text_bytes(col)
     starts, ends, at = words(buf, off, BLANK_WORDS)
-    return np.insert(hash_spans(buf, starts, ends), at[1:], _END), at + np.arange(len(at))
-
-
-def keys_of(h: np.ndarray, at: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Each token's word and context in one integer: 56 bits of hash, 8 of context."""
-    spot = np.arange(len(h))
-    ctx = np.zeros(len(h), np.uint64)
-    if len(heads):
-        slot = np.minimum(np.searchsorted(heads, h), len(heads) - 1)
-        is_head = heads[slot] == h
-        last = np.maximum.accumulate(np.where(is_head, spot, -1))
-        before = np.concatenate([[-1], last[:-1]])
-        begin = np.repeat(at[:-1], np.diff(at))
-        there = before >= begin
-        ctx[there] = slot[before[there]] + 1
-    return (h & ~_CTX) | ctx
-
-
-def _head_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Frequent words of each piece of training text; word 0 counts tokens, word 1 bytes of all texts."""
-    for batch in batches:
-        for piece in pieces(batch, "text"):
-            train = piece.filter(piece.column("train"))
-            h, _ = tokens(train.column("text"))
-            h.sort()
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
-            n = np.diff(np.concatenate([first, [len(h)]]))
-            often = n * SEEN >= len(h)
-            size = piece.column("text").nbytes
-            yield pa.RecordBatch.from_arrays([pa.array([0, 1, *h[first[often]].view(np.int64).tolist()], pa.int64()), pa.array([len(h), size, *n[often].tolist()], pa.int64())], ["word", "n"])
+    return np.insert(hash_spans(buf, starts, ends), at[1:], _END) & ~_CTX, at + np.arange(len(at))
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the number of each value among them."""
+    d = pa.array(values).dictionary_encode()
+    known = d.dictionary.to_numpy()
+    order = np.argsort(known)
+    rank = np.empty(len(known), np.int32)
+    rank[order] = np.arange(len(known), dtype=np.int32)
+    return known[order], rank[d.indices.to_numpy()]
 
 
 # ---- packing ---------------------------------------------------------------
@@ -104,32 +82,63 @@ def _steps(sorted_keys: np.ndarray) -> np.ndarray:
     return np.diff(sorted_keys, prepend=np.uint64(0))
 
 
-def _sum_by_key(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(back, weights=np.concatenate([c for _, c in parts]), minlength=len(keys)).astype(np.int64)
+#: Words in order, then the numbers among them of each pair's word and context, and the pair's count.
+Pairs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _pairs(h: np.ndarray, count: np.ndarray) -> Pairs:
+    """The pairs of texts' tokens with their counts."""
+    known, word = _coded(h)
+    # the word before each token; before a text's first token that is an end
+    ctx = np.concatenate([np.searchsorted(known, [_END]).astype(np.int32), word[:-1]]) if len(h) else word
+    return known, word, ctx, count
+
+
+def _sum_by_pair(parts: list[Pairs]) -> tuple[Pairs, np.ndarray]:
+    """The distinct pairs in order of word and context, and the place of each pair given."""
+    every = np.unique(np.concatenate([p[0] for p in parts]))
+    code = np.empty(sum(len(p[1]) for p in parts), np.int64)
+    a = 0
+    for known, word, ctx, _ in parts:
+        to = np.searchsorted(every, known)
+        code[a:a + len(word)] = to[word] * len(every) + to[ctx]
+        a += len(word)
+    code, back = np.unique(code, return_inverse=True)
+    count = np.bincount(back, weights=np.concatenate([p[3] for p in parts]), minlength=len(code)).astype(np.int64)
+    size = max(len(every), 1)
+    return (every, (code // size).astype(np.int32), (code % size).astype(np.int32), count), back
+
 
+def _first_of(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
 
-def _distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how many of each are training tokens."""
-    own = np.sort(keys[train])
-    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.empty(0, np.int64)
-    n = np.diff(np.concatenate([first, [len(own)]]))
-    every = np.unique(np.concatenate([own[first], keys[~train]])) if not train.all() else own[first]
-    count = np.zeros(len(every), np.int64)
-    count[np.searchsorted(every, own[first])] = n
-    return every, count
 
+def _pack_pairs(word: np.ndarray, ctx: np.ndarray, count: np.ndarray) -> list[bytes]:
+    """Each word once with the number of its contexts, then contexts and counts of all."""
+    first = _first_of(word)
+    return [pack(_steps(word[first])), pack(np.diff(np.concatenate([first, [len(word)]]))), pack(_steps(ctx)), pack(count)]
 
-def _asker(heads: np.ndarray, bits: int):
-    """Per block and group: the block's distinct keys and training counts."""
+
+def _sum(keys: bytes) -> np.ndarray:
+    return np.cumsum(unpack(keys), dtype=np.uint64)
+
+
+_ASKED = "grp long, block long, words binary, sizes binary, contexts binary, counts binary"
+
+
+def _asker(bits: int):
+    """Per block and group: the block's distinct pairs and training counts."""
     def rows(block: int, parts: list) -> Iterator[pa.RecordBatch]:
-        keys, count = _sum_by_key(parts)
-        group = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        (every, word, ctx, count), _ = _sum_by_pair(parts)
+        word, ctx = every[word], every[ctx]
+        group = _dealt(word, bits)
         cuts = np.searchsorted(group, np.arange((1 << bits) + 1))
         for g in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[g], cuts[g + 1]
-            yield pa.RecordBatch.from_pydict({"grp": pa.array([g], pa.int64()), "block": pa.array([block], pa.int64()),
-                                              "keys": pa.array([pack(_steps(keys[a:b]))], pa.binary()), "counts": pa.array([pack(count[a:b])], pa.binary())})
+            packed = _pack_pairs(word[a:b], ctx[a:b], count[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int64()), pa.array([block], pa.int64()), *[pa.array([x], pa.binary()) for x in packed]],
+                                             ["grp", "block", "words", "sizes", "contexts", "counts"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -149,14 +158,19 @@ def _asker(heads: np.ndarray, bits: int):
                         h, at = tokens(mine.column("text"))
                         train = np.repeat(mine.column("train").to_numpy(zero_copy_only=False), np.diff(at))
                         parts = held.setdefault(block, [])
-                        parts.append(_distinct(keys_of(h, at, heads), train))
+                        parts.append(_pairs(h, train))
                         if len(parts) > 8:
-                            held[block] = [_sum_by_key(parts)]
+                            held[block] = [_sum_by_pair(parts)[0]]
         for block, parts in held.items():
             yield from rows(block, parts)
     return ask
 
 
+def _dealt(h: np.ndarray, bits: int) -> np.ndarray:
+    """The group of each hash, ascending with it."""
+    return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
 def _runs(values: np.ndarray) -> list[tuple[int, int]]:
     cut = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
     return [(a, b) for a, b in zip(cut, cut[1:]) if b > a]
@@ -186,10 +200,13 @@ def seat(c: np.ndarray, new: np.ndarray, d: float, rng: np.random.Generator) ->
 
 
 class Group:
-    """The words of one group: their seating in all contexts and in the parent."""
+    """The words of one group: their seating in all contexts and in the parent.
+
+    ``ctx`` numbers each key's context below ``contexts``; without it the key's low byte does."""
 
-    def __init__(self, keys: np.ndarray, count: np.ndarray, seed: int, d: tuple[float, float]):
-        self.c, self.ctx = count, (keys & _CTX).astype(np.int64)
+    def __init__(self, keys: np.ndarray, count: np.ndarray, seed: int, d: tuple[float, float], ctx: np.ndarray | None = None, contexts: int = 256):
+        self.c, self.contexts = count, contexts
+        self.ctx = (keys & _CTX).astype(np.int64) if ctx is None else ctx
         hashed = keys & ~_CTX
         self.word = np.cumsum(np.concatenate([[0], (hashed[1:] != hashed[:-1]).astype(np.int64)])) if len(keys) else np.empty(0, np.int64)
         self.words = int(self.word[-1]) + 1 if len(keys) else 0
@@ -202,25 +219,29 @@ class Group:
         return np.bincount(self.word, weights=self.t, minlength=self.words)
 
     def totals(self) -> dict[str, np.ndarray | float]:
-        return {"c": np.bincount(self.ctx, weights=self.c, minlength=256), "t": np.bincount(self.ctx, weights=self.t, minlength=256), "s": float(self.s.sum())}
+        by_context = lambda v: np.bincount(self.ctx, weights=v, minlength=self.contexts)
+        return {"c": by_context(self.c), "t": by_context(self.t), "s": float(self.s.sum())}
+
+    def _shared(self, others: dict) -> tuple[np.ndarray, float, float]:
+        """Tables by context, the parent's weight of a new table, and the parent's customers;
+        ``all`` of others are those of every context, met in this group or not."""
+        own = self.totals()
+        every = others["all"] if "all" in others else others["t"].sum()
+        return others["t"] + own["t"], THETA + self.d[0] * (others["s"] + own["s"]), every + own["t"].sum()
 
     def parent(self, others: dict, base: tuple[float, float]) -> tuple[np.ndarray, float, np.ndarray]:
         """P(word) in the parent, the parent's weight of a new table, and tables by context."""
-        own = self.totals()
-        t = others["t"] + own["t"]
-        new = THETA + self.d[0] * (others["s"] + own["s"])
+        t, new, customers = self._shared(others)
         seen = self.of_word > 0
-        p = (np.where(seen, self.customers() - self.d[0] * self.s, 0) + new * np.where(seen, base[0], base[1])) / (THETA + t.sum())
+        p = (np.where(seen, self.customers() - self.d[0] * self.s, 0) + new * np.where(seen, base[0], base[1])) / (THETA + customers)
         return p, new, t
 
     def sweep(self, others: dict, base: tuple[float, float]) -> None:
         cust = self.customers()
-        own = self.totals()
-        t = others["t"] + own["t"]
-        new = THETA + self.d[0] * (others["s"] + own["s"])
+        t, new, customers = self._shared(others)
         rest = cust[self.word] - self.t
         tables = np.minimum(self.s[self.word], rest)
-        p = (rest - self.d[0] * tables + new * base[0]) / (THETA + t.sum())
+        p = (rest - self.d[0] * tables + new * base[0]) / (THETA + customers)
         self.t = seat(self.c, (THETA + self.d[1] * t[self.ctx]) * p, self.d[1], self.rng)
         self.s = seat(self.customers().astype(np.int64), np.full(self.words, new * base[0]), self.d[0], self.rng)
 
@@ -230,18 +251,30 @@ class Group:
         return (self.c - self.d[1] * self.t + (THETA + self.d[1] * t[x]) * p[self.word]) / (THETA + c_all[x])
 
 
-def _merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    asked = [np.cumsum(unpack(k), dtype=np.uint64) for k in t.column("keys").to_pylist()]
-    counts = [unpack(c).astype(np.int64) for c in t.column("counts").to_pylist()]
-    keys, count = _sum_by_key(list(zip(asked, counts)))
-    return keys, count, asked
+def _merged(t: pa.Table, d: tuple[float, float]) -> tuple[Group, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The group of the asked rows, its contexts, its words, and the places of each row's pairs."""
+    parts = []
+    for w, n, x, c in zip(*[t.column(k).to_pylist() for k in ("words", "sizes", "contexts", "counts")]):
+        own, ctx = _sum(w), _sum(x)
+        known, both = _coded(np.concatenate([own, ctx]))
+        parts.append((known, np.repeat(both[:len(own)], unpack(n).astype(np.int64)), both[len(own):], unpack(c).astype(np.int64)))
+    sizes = [len(p[1]) for p in parts]
+    (every, word, ctx, count), back = _sum_by_pair(parts)
+    known, ctx = _coded(ctx)
+    g = Group(every[word], count, int(t.column("grp")[0].as_py()) * 2 + 1, d, ctx, len(known))
+    return g, every[known], every[word[_first_of(word)]], np.split(back, np.cumsum(sizes)[:-1])
 
 
-def _first_round(groups: int):
-    """Totals of each group after its own sweeps, the other groups taken to be like it."""
+_TOLD = "grp long, bucket long, contexts binary, c binary, t binary, facts array<double>"
+
+
+def _first_round(bits: int):
+    """Customers and tables of a group's contexts after its own sweeps, the other groups taken to be like it:
+    a row for each bucket of contexts, the first with the group's facts."""
+    groups = 1 << bits
+
     def fit(t: pa.Table) -> pa.Table:
-        keys, count, _ = _merged(t)
-        g = Group(keys, count, int(t.column("grp")[0].as_py()) * 2 + 1, (0.75, 0.75))
+        g, known, _, _ = _merged(t, (0.75, 0.75))
         vocabulary = max(1, int((g.of_word > 0).sum()))
         for _ in range(BURN_IN):
             own = g.totals()
@@ -250,51 +283,64 @@ def _first_round(groups: int):
         own = g.totals()
         cust = g.customers()
         facts = [float(g.of_word.sum()), float((g.of_word > 0).sum()), float((g.of_word == 1).sum()), float((g.c == 1).sum()), float((g.c == 2).sum()),
-                 float((cust == 1).sum()), float((cust == 2).sum()), own["s"]]
-        return pa.table({"grp": t.column("grp").slice(0, 1), "c": pa.array([own["c"].tolist()], pa.list_(pa.float64())), "t": pa.array([own["t"].tolist()], pa.list_(pa.float64())),
-                         "facts": pa.array([facts], pa.list_(pa.float64()))})
+                 float((cust == 1).sum()), float((cust == 2).sum()), own["s"], float(own["t"].sum())]
+        cuts = np.searchsorted(_dealt(known, bits), np.arange(groups + 1))
+        buckets = np.flatnonzero(np.diff(cuts))
+        cut = lambda v: pa.array([pack(v[cuts[k]:cuts[k + 1]]) for k in buckets], pa.binary())
+        return pa.table({"grp": pa.array(np.full(len(buckets), t.column("grp")[0].as_py()), pa.int64()), "bucket": pa.array(buckets, pa.int64()),
+                         "contexts": pa.array([pack(_steps(known[cuts[k]:cuts[k + 1]])) for k in buckets], pa.binary()), "c": cut(own["c"]), "t": cut(own["t"]),
+                         "facts": pa.array([facts] + [None] * (len(buckets) - 1), pa.list_(pa.float64()))})
     return fit
 
 
+def _summed(t: pa.Table) -> pa.Table:
+    """Per group and bucket: all customers and the other groups' tables of each context, in the order told."""
+    told = [_sum(x) for x in t.column("contexts").to_pylist()]
+    c, tables = (np.concatenate([unpack(x) for x in t.column(k).to_pylist()]).astype(np.float64) for k in ("c", "t"))
+    _, at = np.unique(np.concatenate(told), return_inverse=True)
+    every, others = np.bincount(at, weights=c)[at], np.bincount(at, weights=tables)[at] - tables
+    cuts = np.cumsum([0, *map(len, told)])
+    cut = lambda v: pa.array([pack(v[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+    return pa.table({"grp": t.column("grp"), "bucket": t.column("bucket"), "c": cut(every), "t": cut(others), "facts": t.column("facts")})
+
+
 class Totals:
-    """Sums over all groups: 256 contexts and a few counts."""
+    """Sums over all groups: a few counts."""
 
-    def __init__(self, c: np.ndarray, t: np.ndarray, facts: np.ndarray):
-        self.c, self.t = c, t
-        self.tokens, self.vocabulary, once, c1, c2, u1, u2, self.s = facts.tolist()
+    def __init__(self, facts: np.ndarray):
+        self.tokens, self.vocabulary, once, c1, c2, u1, u2, self.s, self.t = facts.tolist()
         self.d = tuple(min(0.95, max(0.05, a / (a + 2 * b) if a + b else 0.5)) for a, b in ((u1, u2), (c1, c2)))
         # the share of tokens seen once, of the parent's weight of new tables
-        new, customers = THETA + self.d[0] * self.s, THETA + t.sum()
+        new, customers = THETA + self.d[0] * self.s, THETA + self.t
         g = min(0.95, max(1e-6, (once / max(self.tokens, 1)) * customers / new))
         self.base = ((1 - g) / self.vocabulary, g) if self.vocabulary else (0.0, 1.0)
 
 
 def _second_round(total: Totals):
-    """Per block: mean probability and training count of each key it asked for."""
-    def answer(t: pa.Table) -> pa.Table:
-        keys, count, asked = _merged(t)
-        g = Group(keys, count, int(t.column("grp")[0].as_py()) * 2 + 1, total.d)
-        own = None
-        mean = np.zeros(len(keys))
+    """Per block: mean probability of each pair it asked for and training count of each word."""
+    def answer(t: pa.Table, told: pa.Table) -> pa.Table:
+        g, known, words_, at = _merged(t, total.d)
+        told = told.sort_by("bucket")
+        c, tables = (np.concatenate([unpack(x) for x in told.column(k).to_pylist()]).astype(np.float64) for k in ("c", "t"))
+        if len(c) != len(known):
+            raise ValueError(f"a group told {len(c)} contexts and holds {len(known)}: its scan splits changed between two passes")
+        own = g.totals()
+        others = {"t": tables, "s": max(total.s - own["s"], 0.0), "all": max(total.t - own["t"].sum(), 0.0)}
+        mean = np.zeros(len(g.c))
         for turn in range(BURN_IN + SAMPLES):
-            if turn == 0:
-                own = g.totals()
-                scale_t = np.maximum(total.t - own["t"], 0)
-                others = {"t": scale_t, "s": max(total.s - own["s"], 0.0)}
             g.sweep(others, total.base)
             if turn >= BURN_IN:
-                mean += g.predictive(others, total.base, total.c)
+                mean += g.predictive(others, total.base, c)
         logs = np.log10(np.minimum(mean / SAMPLES, 1.0)).astype("<f4")
-        words_n = g.of_word[g.word]
-        at = [np.searchsorted(keys, k) for k in asked]
+        asked = [np.searchsorted(words_, _sum(w)) for w in t.column("words").to_pylist()]
         return pa.table({"block": t.column("block"), "grp": t.column("grp"),
-                         "logs": pa.array([logs[i].tobytes() for i in at], pa.binary()), "counts": pa.array([pack(words_n[i]) for i in at], pa.binary())})
+                         "logs": pa.array([logs[i].tobytes() for i in at], pa.binary()), "counts": pa.array([pack(g.of_word[i]) for i in asked], pa.binary())})
     return answer
 
 
 # ---- scoring ---------------------------------------------------------------
 
-def _scorer(heads: np.ndarray, total: Totals):
+def _scorer(total: Totals):
     n, scale = int(total.tokens), total.tokens + total.vocabulary + 1
 
     def score(docs: pa.Table, replies: pa.Table) -> pa.Table:
@@ -307,15 +353,17 @@ def _scorer(heads: np.ndarray, total: Totals):
         for batch in docs.to_batches():
             for piece in pieces(batch, "text"):
                 h, at = tokens(piece.column("text"))
-                k, back = np.unique(keys_of(h, at, heads), return_inverse=True)
-                parts.append((piece, k, back, at))
-                every.append(k)
-        keys = np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64)
-        if len(keys) != len(lp):
-            raise ValueError(f"a block asked for {len(lp)} keys and holds {len(keys)}: its scan split changed between two passes")
+                parts.append((piece.select(["doc_id", "held_out"]), at))
+                every.append(_pairs(h, np.zeros(len(h), bool)))
+        (_, word, _, _), place = _sum_by_pair(every) if every else ((np.empty(0, np.int32),) * 4, None)
+        first = _first_of(word)
+        if len(word) != len(lp) or len(first) != len(c):
+            raise ValueError(f"a block asked for {len(lp)} pairs and holds {len(word)}: its scan split changed between two passes")
+        c = np.repeat(c, np.diff(np.concatenate([first, [len(word)]])))
         plain = np.log10((c + 1) / scale)
-        for piece, k, back, at in parts:
-            slot = np.searchsorted(keys, k)[back]
+        begin = np.cumsum([0, *[len(p[1]) for p in every]])
+        for k, (piece, at) in enumerate(parts):
+            slot = place[begin[k]:begin[k + 1]]
             ids.append(piece.column("doc_id"))
             held.append(piece.column("held_out"))
             sizes.append(np.diff(at))
@@ -338,25 +386,20 @@ def language_model_scores(docs: DataFrame, held_out, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"), split.alias("split"))
     rows = rows.withColumn("train", ~F.col("held_out")).withColumn("block", F.xxhash64("split", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))))
-    found = rows.select("text", "train").mapInArrow(_head_counter, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    sums = {r[0]: r[1] for r in found.where("word in (0, 1)").collect()}
-    n = sums.get(0) or 0
-    # at most HEADS words can have such a share
-    heads = [r[0] for r in found.where("word not in (0, 1)").where(F.col("n") * HEADS >= max(n, 1)).select("word").collect()]
-    heads = np.sort(np.array(heads, np.int64).view(np.uint64))
-    bits = max(0, math.ceil(math.log2(max(1, (sums.get(1) or 0) / GROUP_BYTES))))
-    asked = rows.select("text", "train", "split", "block").mapInArrow(_asker(heads, bits), "grp long, block long, keys binary, counts binary")
-    first = asked.groupBy("grp").applyInArrow(_first_round(1 << bits), "grp long, c array<double>, t array<double>, facts array<double>")
-    first = materialize(first, "totals")
-    # summed by Spark: 256 contexts and a few counts
-    both = first.select(F.posexplode(F.concat("c", "t", "facts"))).groupBy("pos").agg(F.sum("col").alias("v")).collect()
-    flat = np.zeros(256 * 2 + 8)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(0, math.ceil(math.log2(max(1, size / GROUP_BYTES))))
+    asked = rows.select("text", "train", "split", "block").mapInArrow(_asker(bits), _ASKED)
+    first = asked.groupBy("grp").applyInArrow(_first_round(bits), _TOLD)
+    told = materialize(first.groupBy("bucket").applyInArrow(_summed, _TOLD.replace("contexts binary, ", "")), "totals")
+    # summed by Spark: a few counts
+    both = told.select(F.posexplode("facts")).groupBy("pos").agg(F.sum("col").alias("v")).collect()
+    flat = np.zeros(9)
     for p, v in both:
         flat[p] = v
-    total = Totals(flat[:256], flat[256:512], flat[512:])
-    replies = asked.groupBy("grp").applyInArrow(_second_round(total), "block long, grp long, logs binary, counts binary")
+    total = Totals(flat)
+    replies = asked.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(_second_round(total), "block long, grp long, logs binary, counts binary")
     return rows.select("doc_id", "text", "held_out", "block").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _scorer(heads, total), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _scorer(total), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _bytes(setting: str) -> int:
