@@ -4,6 +4,7 @@ from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import words_of
@@ -103,3 +104,25 @@ def test_previous_word_is_the_context(spark, docs_of):
         rows.append((i, " ".join(f"w{(at + k) % 300}" for k in range(30))))
     held = [r for r in run(docs_of, rows) if r.held_out]
     assert held and sum(r.score for r in held) > 0.3 * sum(r.base_score for r in held)
+
+
+def test_a_single_group_has_no_others():
+    """What the first round told of a group itself is no other group's."""
+    rng = np.random.default_rng(5)
+    asked = pa.Table.from_batches(P._asker(0)(iter([pa.RecordBatch.from_pydict({
+        "text": [" ".join(f"w{x}" for x in rng.zipf(1.3, 20000) % 500)], "train": [True], "split": pa.array([0], pa.int64()), "block": pa.array([0], pa.int64())})])))
+    told = P._summed(P._first_round(0)(asked))
+    total = P.Totals(np.array(told.column("facts")[0].as_py()))
+    seen = []
+
+    class Spy(P.Group):
+        def sweep(self, others, base):
+            seen.append(others)
+            super().sweep(others, base)
+    was, P.Group = P.Group, Spy
+    try:
+        P._second_round(total)(asked, told)
+    finally:
+        P.Group = was
+    assert len(seen) == P.BURN_IN + P.SAMPLES
+    assert all(o["s"] == 0 and o["all"] == 0 and not o["t"].any() for o in seen)

@@ -324,8 +324,9 @@ def _second_round(total: Totals):
         c, tables = (np.concatenate([unpack(x) for x in told.column(k).to_pylist()]).astype(np.float64) for k in ("c", "t"))
         if len(c) != len(known):
             raise ValueError(f"a group told {len(c)} contexts and holds {len(known)}: its scan splits changed between two passes")
-        own = g.totals()
-        others = {"t": tables, "s": max(total.s - own["s"], 0.0), "all": max(total.t - own["t"].sum(), 0.0)}
+        # the group's own tables at the end of the first round go, as in ``tables``
+        own_s, own_t = next(f for f in told.column("facts").to_pylist() if f)[-2:]
+        others = {"t": tables, "s": total.s - own_s, "all": total.t - own_t}
         mean = np.zeros(len(g.c))
         for turn in range(BURN_IN + SAMPLES):
             g.sweep(others, total.base)
