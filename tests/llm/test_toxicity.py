@@ -54,3 +54,24 @@ def test_decoding_keeps_clean_words_and_restores_others(spark, docs_of):
     assert model.shape == (28, 28, 28) and np.allclose(np.exp(model).sum(axis=2), 1)
     assert T.decode("1d10t", model) == "idiot" and T.decode("idioooot", model) == "idiot" and T.decode("i d i o t", model).replace(" ", "") == "idiot"
     assert T.decode("", model) == ""
+
+
+def test_whole_spans_reach_the_lattice():
+    """Leetspeak at the ends, in most letters, spelled out, doubled: the whole word is a span."""
+    from viewstar.llm.kernel import BLANK_WORDS, text_bytes, words
+    odd = ["h4t3", "id107", "idi07", "57up1d", "$7upid", "@$$hole", "1d107", "a55", "455", "1 d 1 0 t", "i d é o t", "iidiott", "f€ol", "идиоот"]
+    buf, off = text_bytes(T.pa.array(odd))
+    starts, ends, at = words(buf, off, BLANK_WORDS)
+    got = {(t, buf[a:b].tobytes().decode()) for t, a, b in T._suspects(buf, off, starts, ends, at)}
+    assert [w for t, w in enumerate(odd) if (t, w) not in got] == []
+    plain = ["idot", "a", "7", "été", "..."]
+    buf, off = text_bytes(T.pa.array(plain))
+    assert T._suspects(buf, off, *words(buf, off, BLANK_WORDS)) == []
+
+
+def test_leetspeak_is_restored_and_scored(spark, docs_of):
+    docs, labels = corpus()
+    odd = ["the 1d10t!!!", "$cumb4g", "5cumba9", "1 d 1 0 t", "iidiott", "m0r0n1c", "5(um84g"]
+    got = {r.doc_id: r.score for r in T.scores(docs_of(docs + [(1000 + i, t) for i, t in enumerate(odd)]), labels_of(spark, labels[:300])).collect()}
+    assert [t for i, t in enumerate(odd) if got[1000 + i] < 0.7] == []
+    assert [i for i, t in labels[300:] if (got[i] >= 0.7) != bool(t)] == []

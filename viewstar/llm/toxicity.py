@@ -1,8 +1,8 @@
 """Operator 10: toxicity of texts behind obfuscated spelling.
 
-Noisy channel: a word that mixes letters with digits or symbols, repeats a letter
-three times or more, or is spelled out in single letters is read as a lattice. At
-each character it may stand for itself, for a letter it resembles, for a repeat of
+Noisy channel: a word that holds a look-alike, mixes letters with other characters, repeats a
+letter, or is spelled out in single letters or look-alikes is read as a lattice, with the look-alikes
+at its ends and, where these are symbols, also without. At each character it may stand for itself, for a letter it resembles, for a repeat of
 the letter before, or for nothing.  A Viterbi search over the lattice takes the
 likeliest reading under a letter trigram model, which is counted over all texts.
 
@@ -53,6 +53,9 @@ N_CLASS = 28
 # Letters that a character may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
+ALIKE_BYTES = np.zeros(256, bool)
+ALIKE_BYTES[[ord(ch) for ch in LOOKS_LIKE if ord(ch) < 0x80]] = True
+WIDE_ALIKE = [ch.encode() for ch in LOOKS_LIKE if ord(ch) >= 0x80]
 # Log-probabilities of the channel: a character read as itself, as a look-alike, as nothing, as a repeat.
 SAME, ALIKE, NOTHING, REPEAT, APART = 0.0, math.log(0.3), math.log(0.02), math.log(0.2), math.log(0.05)
 
@@ -89,35 +92,49 @@ def letter_model(texts: DataFrame) -> np.ndarray:
     return np.log((n + 5 * two[None]) / (n.sum(axis=2, keepdims=True) + 5))
 
 
-def decode(token: str, model: np.ndarray) -> str:
+def decode(token: str, model: np.ndarray | list) -> str:
     """The likeliest reading of an obfuscated token (lower case; blanks may be boundaries or nothing)."""
-    lp = model.tolist()
+    lp = model.tolist() if isinstance(model, np.ndarray) else model
 
     def kind(ch: str) -> int:
         return ord(ch) - 96 if "a" <= ch <= "z" else 27 if ch.isalpha() else 0
 
-    # state: the last two classes and the last letter -> score and reading
-    states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+    # state: the last two classes and the last letter -> score and reading (its last letter and the reading before)
+    states: dict[tuple[int, int, str], tuple[float, tuple | None]] = {(0, 0, ""): (0.0, None)}
     for ch in token:
-        after: dict[tuple[int, int, str], tuple[float, str]] = {}
-        letters = ([(ch, SAME)] if ch.isalpha() else []) + [(x, ALIKE) for x in LOOKS_LIKE.get(ch, "")]
+        after: dict[tuple[int, int, str], tuple[float, tuple | None]] = {}
+        itself = ch.isalpha()
+        letters = [(x, kind(x), cost) for x, cost in ([(ch, SAME)] if itself else []) + [(x, ALIKE) for x in LOOKS_LIKE.get(ch, "")]]
+        nothing, apart = (math.log(0.5), math.log(0.5)) if ch == " " else (NOTHING, APART)
         for (a, b, last), (score, text) in states.items():
-            options: list[tuple[tuple[int, int, str], float, str]] = []
-            for x, cost in letters:
-                k = kind(x)
-                options.append(((b, k, x), cost + lp[a][b][k], text + x))
+            for x, k, cost in letters:
+                value = score + cost + lp[a][b][k]
+                state = (b, k, x)
+                if state not in after or after[state][0] < value:
+                    after[state] = value, (x, text)
                 if x == last:
-                    options.append(((a, b, last), REPEAT, text))
-            if not ch.isalpha():
-                options.append(((a, b, last), math.log(0.5) if ch == " " else NOTHING, text))
+                    state, value = (a, b, last), score + REPEAT
+                    if state not in after or after[state][0] < value:
+                        after[state] = value, text
+            if not itself:
+                state, value = (a, b, last), score + nothing
+                if state not in after or after[state][0] < value:
+                    after[state] = value, text
                 if b:
-                    options.append(((0, 0, ""), lp[a][b][0] + (math.log(0.5) if ch == " " else APART), text + " "))
-            for state, cost, read in options:
-                if state not in after or after[state][0] < score + cost:
-                    after[state] = score + cost, read
+                    state, value = (0, 0, ""), score + lp[a][b][0] + apart
+                    if state not in after or after[state][0] < value:
+                        after[state] = value, (" ", text)
         states = after
-    best = max(((score + (lp[a][b][0] if b else 0.0), text) for (a, b, _), (score, text) in states.items()), key=lambda x: (x[0], x[1]))
-    return best[1]
+
+    def read(text: tuple | None) -> str:
+        out = []
+        while text:
+            out.append(text[0])
+            text = text[1]
+        return "".join(reversed(out))
+    ends = [(score + (lp[a][b][0] if b else 0.0), text) for (a, b, _), (score, text) in states.items()]
+    top = max(x[0] for x in ends)
+    return max(read(text) for score, text in ends if score == top)
 
 
 # ---- words of a text -------------------------------------------------------
@@ -127,20 +144,53 @@ def _suspects(buf: np.ndarray, off: np.ndarray, starts: np.ndarray, ends: np.nda
     if len(starts) == 0:
         return []
     n = int(off[-1])
-    letter = LETTERS[buf[:n]]
-    spots = np.flatnonzero(letter)
-    i, j = np.searchsorted(spots, starts), np.searchsorted(spots, ends)
-    some = j > i
-    first, last = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-    first[some], last[some] = spots[i[some]], spots[j[some] - 1] + 1
-    # from a single leading symbol to the last letter: symbols around that are punctuation
-    core = np.where(some & (first - starts == 1), starts, first)
-    mixed = some & (last - core > j - i) & (j - i >= 2)
-    run = np.flatnonzero(letter[2:] & (buf[2:n] == buf[1:n - 1]) & (buf[1:n - 1] == buf[:n - 2])) + 2 if n > 2 else np.empty(0, np.int64)
-    mixed[np.searchsorted(starts, run, "right") - 1] = True
+    byte = buf[:n]
+    letter, alike = LETTERS[byte], ALIKE_BYTES[byte]
+    digit = (byte >= 0x30) & (byte <= 0x39)
+    core = letter | alike
+
+    def ends_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and end of the marked bytes in each token, and how many there are (0: the token itself)."""
+        spots = np.flatnonzero(mask)
+        i, j = np.searchsorted(spots, starts), np.searchsorted(spots, ends)
+        some = j > i
+        first, last = starts.copy(), ends.copy()
+        first[some], last[some] = spots[i[some]], spots[j[some] - 1] + 1
+        return first, last, j - i
+
+    def tokens_of(spots: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(starts, spots, "right") - 1
+        out = np.zeros(len(starts), bool)
+        out[k[k >= 0]] = True
+        return out
+    first, last, size = ends_of(core)
+    chars = ends_of(core & ((byte & 0xC0) != 0x80))[2]
+    odd = tokens_of(np.flatnonzero(alike)) | (last - first > size)
+    for sign in WIDE_ALIKE:
+        hit = np.ones(max(n - len(sign) + 1, 0), bool)
+        for k, x in enumerate(sign):
+            hit &= byte[k:n - len(sign) + 1 + k] == x
+        odd |= tokens_of(np.flatnonzero(hit))
+    for width in (1, 2, 3, 4):  # a character that is that of before
+        if n < 2 * width:
+            continue
+        lead = byte[width:n - width + 1]
+        low, high = ((0x61, 0x7B), (0xC2, 0xE0), (0xE0, 0xF0), (0xF0, 0xF8))[width - 1]
+        same = (lead >= low) & (lead < high)
+        for k in range(width):
+            same &= byte[width + k:n - width + 1 + k] == byte[k:n - 2 * width + 1 + k]
+        odd |= tokens_of(np.flatnonzero(same) + width)
+    odd &= chars >= 2
+    # with the symbols at the ends and without, they may be punctuation; so may the digits after the last letter
+    inner, outer, _ = ends_of(letter | digit)
+    plain, final, _ = ends_of(letter)
+    plain = np.where(plain - starts == 1, starts, plain)
+    spans = np.concatenate([(a * (n + 1) + b)[odd & (b > a)] for a, b in ((first, last), (first, outer), (inner, last), (inner, outer), (plain, final))])
+    spans = np.unique(spans)
+    a, b = spans // (n + 1), spans % (n + 1)
     text = np.searchsorted(at, np.arange(len(starts)), "right") - 1
-    out = [(int(text[k]), int(core[k]), int(last[k])) for k in np.flatnonzero(mixed & some)]
-    single = some & (j - i == 1) & (last - first == 1)
+    out = list(zip(text[np.searchsorted(starts, a, "right") - 1].tolist(), a.tolist(), b.tolist()))
+    single = chars == 1
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
         for t in range(int(text[a]), int(text[b - 1]) + 1):  # a run ends with its text
@@ -165,7 +215,7 @@ class Reader:
     """Keys of the restored words of a piece of texts; remembers readings."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.memo = model, {}
+        self.model, self.memo = model.tolist(), {}
 
     def restored(self, token: str) -> str:
         if token not in self.memo:
