@@ -75,3 +75,23 @@ def test_leetspeak_is_restored_and_scored(spark, docs_of):
     got = {r.doc_id: r.score for r in T.scores(docs_of(docs + [(1000 + i, t) for i, t in enumerate(odd)]), labels_of(spark, labels[:300])).collect()}
     assert [t for i, t in enumerate(odd) if got[1000 + i] < 0.7] == []
     assert [i for i, t in labels[300:] if (got[i] >= 0.7) != bool(t)] == []
+
+
+def test_rare_words_become_rules_and_copies_do_not(spark, docs_of):
+    """A slur in under 1 % of the toxic texts, all short; a word of near copies of one toxic text."""
+    rng = random.Random(4)
+    clean = ["".join(rng.choices("abcdefghijklmnoprstuvw", k=6)) for _ in range(300)]
+    copy = rng.sample(clean, 40)
+    docs, labels = [], []
+    for i in range(6000):
+        w = rng.choices(clean, k=rng.randint(3, 20))
+        toxic = i % 4 == 0
+        if toxic:
+            w += ["scumbag", "zyxyva"] if i % 160 == 8 and i < 160 * 14 + 8 else ["scumbag"]
+        if i % 500 == 4 or i % 500 == 104:
+            w = [*copy, "quokka", "scumbag", clean[i % 300]] if toxic else w
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    assert 9 <= sum("zyxyva" in t for _, t in docs) < 0.01 * 1500 and sum("quokka" in t for _, t in docs) > 9
+    got = {r.doc_id: r.score for r in T.scores(docs_of(docs + [(9001, "a zyxyva here"), (9002, "a quokka here")]), labels_of(spark, labels)).collect()}
+    assert got[9001] >= 0.7 and got[9002] < 0.7

@@ -8,10 +8,11 @@ likeliest reading under a letter trigram model, which is counted over all texts.
 
 Scoring: rules on the restored text (a word, or the 4 to 6 bytes that a word begins
 with) are learned from labelled texts, at most ``FIT_ROWS`` of them drawn by a hash
-of the id.  Candidates are those in at least ``SUPPORT`` of the toxic texts (3 at
-least) with a precision of ``PRECISION``.  Those are rules that chance can't explain (as many
-independent texts, told by their lengths, as make one false rule among all candidates a matter of 1 %);
-of the others the one that explains most toxic texts not yet explained is taken, until none explains
+of the id.  Candidates are those in at least ``FEW`` of the toxic texts with a precision of
+``PRECISION``.  Rules that chance can't explain are all learned: those in as many independent toxic texts (near
+copies, told by ``BANDS`` bands of MinHash values of their 5-word shingles, count once) as make one false rule
+among all keys of the toxic texts a matter of 1 %.  Of the others in at least ``SUPPORT`` of the toxic texts the one that
+explains most toxic texts not yet explained is taken, until none explains
 as many as ``GAIN`` of them, so that words which merely stand in copies of a toxic text are not learned.  The score of a text is
 1 - product of (1 - precision) over the rules it meets; without any, the share of
 toxic texts among those that no rule explains.
@@ -33,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar.llm.common import crc_mod, materialize, table
-from viewstar.llm.kernel import BLANK_WORDS, hash_spans, mix64, pieces, text_bytes, words
+from viewstar.llm.kernel import BLANK_WORDS, hash_spans, mix64, pieces, text_bytes, text_shingles, words
 
 FIT_ROWS = 40_000
+FEW = 3
 SUPPORT = 0.01
+BANDS, IN_BAND = 8, 4
 PRECISION = 0.95
 GAIN = 0.004
 PREFIXES = (4, 5, 6)
@@ -224,11 +227,10 @@ class Reader:
             self.memo[token] = decode(token, self.model)
         return self.memo[token]
 
-    def keys(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys (a row a kind), the text of each column of them, and the number of words of each text."""
+    def keys(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (a row a kind) and the text of each column of them."""
         buf, off = text_bytes(col)
         starts, ends, at = words(buf, off, BLANK_WORDS)
-        n_words = np.diff(at)
         texts, found = [], []
         for t, a, b in _suspects(buf, off, starts, ends, at):
             for w in self.restored(buf[a:b].tobytes().decode("utf-8", "ignore")).split(" "):
@@ -242,14 +244,14 @@ class Reader:
             more, moff = text_bytes(pa.array(found, pa.string()))
             keys = np.concatenate([keys, _keys(more, moff[:-1], moff[1:])], axis=1)
             text = np.concatenate([text, np.array(texts)])
-        return keys, text, n_words
+        return keys, text
 
 
 # ---- rules -----------------------------------------------------------------
 
-def _in_texts(reader: Reader, piece: pa.RecordBatch, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs of a text of the piece and a wanted key (by its place) in it; the texts' lengths."""
-    keys, text, n_words = reader.keys(piece.column("text"))
+def _in_texts(reader: Reader, piece: pa.RecordBatch, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a text of the piece and a wanted key (by its place) in it."""
+    keys, text = reader.keys(piece.column("text"))
     texts, places = [], []
     for row in keys:  # one kind of key at a time
         slot = np.minimum(np.searchsorted(wanted, row), len(wanted) - 1)
@@ -257,7 +259,7 @@ def _in_texts(reader: Reader, piece: pa.RecordBatch, wanted: np.ndarray) -> tupl
         texts.append(text[hit])
         places.append(slot[hit])
     pair = np.unique(np.concatenate(texts) * len(wanted) + np.concatenate(places))
-    return pair // len(wanted), pair % len(wanted), n_words
+    return pair // len(wanted), pair % len(wanted)
 
 
 def _toxic_counter(model: np.ndarray):
@@ -267,7 +269,7 @@ def _toxic_counter(model: np.ndarray):
         known, sums = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
-                keys, text, _ = reader.keys(piece.column("text"))
+                keys, text = reader.keys(piece.column("text"))
                 found = [np.unique(keys[:, a:b]) for a, b in _runs(text)]
                 known, back = np.unique(np.concatenate([known, *found]), return_inverse=True)
                 sums = np.bincount(back, weights=np.concatenate([sums, *[np.ones(len(f), np.int64) for f in found]]), minlength=len(known)).astype(np.int64)
@@ -289,7 +291,7 @@ def _class_counter(model: np.ndarray, wanted: np.ndarray):
         sums = np.zeros((2, len(wanted)), np.int64)
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
-                text, place, _ = _in_texts(reader, piece, wanted)
+                text, place = _in_texts(reader, piece, wanted)
                 toxic = piece.column("toxic").to_numpy()[text]
                 for k in (0, 1):
                     sums[k] += np.bincount(place[toxic == k], minlength=len(wanted))
@@ -298,16 +300,48 @@ def _class_counter(model: np.ndarray, wanted: np.ndarray):
 
 
 def _holders(model: np.ndarray, wanted: np.ndarray):
-    """The ids and lengths of the texts that hold each wanted key."""
+    """The ids of the texts that hold each wanted key."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
-                text, place, n_words = _in_texts(reader, piece, wanted)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(pa.array(text)), pa.array(n_words[text]), pa.array(wanted[place].view(np.int64))], ["doc_id", "n_words", "key"])
+                text, place = _in_texts(reader, piece, wanted)
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(pa.array(text)), pa.array(wanted[place].view(np.int64))], ["doc_id", "key"])
     return find
 
 
+def _bander(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's bands of MinHash values."""
+    salts = mix64(np.arange(1, BANDS * IN_BAND + 1, dtype=np.uint64)).reshape(BANDS, IN_BAND)
+    for batch in batches:
+        for piece in pieces(batch, "text", PIECE):
+            bands = np.zeros((piece.num_rows, BANDS), np.uint64)
+            for i, sh in enumerate(text_shingles(piece.column("text"))):
+                for k in range(BANDS if len(sh) else 0):
+                    for salt in salts[k]:
+                        bands[i, k] = mix64(bands[i, k:k + 1] * np.uint64(31) + mix64(sh ^ salt).min())[0]
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *[pa.array(bands[:, k].copy().view(np.int64)) for k in range(BANDS)]],
+                                             ["doc_id", *[f"b{k}" for k in range(BANDS)]])
+
+
+def _originals(rows: list) -> dict[int, int]:
+    """For each text (id, bands) one that stands for all its near copies, told from one to the next."""
+    of: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while of[x] != x:
+            of[x] = of[of[x]]
+            x = of[x]
+        return x
+    first: dict[tuple[int, int], int] = {}
+    for doc, *bands in rows:
+        of.setdefault(doc, doc)
+        for band in enumerate(bands):
+            a, b = top(doc), top(first.setdefault(band, doc))
+            of[max(a, b)] = min(a, b)
+    return {x: top(x) for x in of}
+
+
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, fit_rows: int = FIT_ROWS) -> tuple[list[tuple[int, float]], float]:
     """Rules (key, precision) and the score of a text that meets none, from docs (doc_id, text) and labels (doc_id, toxic)."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -321,34 +355,46 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, fit_rows: int =
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if n1 == 0:
         return [], 0.5 / (n0 + 1)
-    least = max(3, math.ceil(SUPPORT * n1))
+    least = max(FEW, math.ceil(SUPPORT * n1))
     toxic = sample.where("toxic = 1")
-    often = toxic.select("text").mapInArrow(_toxic_counter(model), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where((F.col("n") >= least) & (F.col("key") != 0))
-    # at most the words of the fitted toxic texts over `least`, each in a few kinds
-    wanted = np.sort(np.array([r[0] for r in often.select("key").collect()], np.int64).view(np.uint64))
+    tested = materialize(toxic.select("text").mapInArrow(_toxic_counter(model), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("key <> 0"), "keys")
+    # at most the words of the fitted toxic texts over FEW, each in a few kinds
+    wanted = np.sort(np.array([r[0] for r in tested.where(F.col("n") >= FEW).select("key").collect()], np.int64).view(np.uint64))
     if len(wanted) == 0:
         return [], min(0.5, (n1 + 0.5) / (n1 + n0 + 1))
+    base = n1 / (n1 + n0)
+    hard, unlike = math.log(100 * tested.count()), -math.log(min(base, 0.99))
+
+    def sure(texts: int, others: int) -> bool:
+        """So many independent toxic texts among ``others`` that are not are no chance for any key."""
+        return texts >= FEW and texts * unlike - math.lgamma(texts + others + 1) + math.lgamma(texts + 1) + math.lgamma(others + 1) >= hard
     counts = sample.select("text", "toxic").mapInArrow(_class_counter(model, wanted), "key long, n1 long, n0 long").groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     sharp = {r[0]: (r[1], r[2]) for r in counts.where(F.col("n1") >= (F.col("n1") + F.col("n0")) * PRECISION).collect()}
+    sharp = {k: n for k, n in sharp.items() if n[0] >= least or sure(*n)}
     held: dict[int, set[int]] = {k: set() for k in sharp}
-    lengths: dict[int, set[int]] = {k: set() for k in sharp}
     if sharp:
         # candidate rules in the toxic texts of the sample
-        for r in toxic.select("doc_id", "text").mapInArrow(_holders(model, np.sort(np.array(list(sharp), np.int64).view(np.uint64))), "doc_id long, n_words long, key long").collect():
-            held[r[2]].add(r[0])
-            lengths[r[2]].add(r[1])
-    # copies of a text have its length, so a rule's lengths count its independent texts
-    base = n1 / (n1 + n0)
-    sure = math.log(100 * len(wanted)) / -math.log(min(base, 0.99))
+        for r in toxic.select("doc_id", "text").mapInArrow(_holders(model, np.sort(np.array(list(sharp), np.int64).view(np.uint64))), "doc_id long, key long").collect():
+            held[r[1]].add(r[0])
+    stands_for = _originals(toxic.select("doc_id", "text").mapInArrow(_bander, "doc_id long, " + ", ".join(f"b{k} long" for k in range(BANDS))).collect()) if sharp else {}
     rules, explained, free = [], set(), n0
-    while held:
-        # rules that chance can't explain; then by texts not yet explained, of equal gains the one with the fewest others, then the smaller key
-        key = max(held, key=lambda k: (len(lengths[k]) >= max(least, sure), len(held[k] - explained), -sharp[k][1], -k))
-        if len(lengths[key]) < max(least, sure) and len(held[key] - explained) < max(2, math.ceil(GAIN * n1)):
-            break
+
+    def take(key: int) -> None:
+        nonlocal free
         rules.append((key, (sharp[key][0] + base) / (sum(sharp[key]) + 1)))
-        explained |= held.pop(key)
+        explained.update(held.pop(key))
         free -= sharp[key][1]
+    # rules that chance can't explain
+    for key in sorted(held):
+        if sure(len({stands_for[x] for x in held[key]}), sharp[key][1]):
+            take(key)
+    held = {k: v for k, v in held.items() if len(v) >= least}
+    while held:
+        # by texts not yet explained, of equal gains the one with the fewest others, then the smaller key
+        key = max(held, key=lambda k: (len(held[k] - explained), -sharp[k][1], -k))
+        if len(held[key] - explained) < max(2, math.ceil(GAIN * n1)):
+            break
+        take(key)
     left = max(n1 - len(explained), 0)
     return rules, min(0.5, (left + 0.5) / (left + max(free, 0) + 1))
 
@@ -362,7 +408,7 @@ def _scorer(model: np.ndarray, rules: list[tuple[int, float]], none: float):
             for piece in pieces(batch, "text", PIECE):
                 out = np.full(piece.num_rows, none)
                 if len(keys_of):
-                    doc, rule, _ = _in_texts(reader, piece, keys_of)
+                    doc, rule = _in_texts(reader, piece, keys_of)
                     apart = np.bincount(doc, weights=lacks[rule], minlength=piece.num_rows)
                     out = np.where(apart < 0, np.maximum(1 - np.exp(apart), none), none)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(out)], ["doc_id", "score"])
