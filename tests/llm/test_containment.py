@@ -49,3 +49,14 @@ def test_edges(spark, docs_of):
     none = bench.where("item_id = 99")
     assert containments(docs, none).collect() == [] and clean_documents(docs, none).count() == 7
     assert containments(docs_of([]), bench).collect() == []
+
+
+def test_rows_of_one_item_with_different_lengths(spark, docs_of):
+    """A document found only by the longer row's sketch has the short row's shingle counted."""
+    long = " ".join(f"w{i}" for i in range(8))
+    items = [(1, long), (1, "short one")]
+    docs = [(d, f"{pre} {' '.join(w)} {post}") for d, (pre, w, post) in enumerate(
+        [(a, long.split()[i:j], b) for a in ("x", "short one") for b in ("y", "short one") for i in (0, 1) for j in (7, 8)])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_shared, r.n_item) for r in containments(docs_of(docs), bench).collect()}
+    assert got == plain(docs, items) and (4, 1) in got

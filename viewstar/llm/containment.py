@@ -93,7 +93,9 @@ def containments(docs: DataFrame, bench: DataFrame, percent: int = 80, id_col: s
     held = None
     whole = _small(shingles)
     for k in lengths or [SIZE]:
-        mine = candidates.where(F.col("length") == k).select(F.col("id").alias("cid")).distinct()
+        # at every length that a candidate's item has, whichever sketch found it
+        with_k = shingles.where(F.col("length") == k).select(F.col("item").alias("kitem")).distinct()
+        mine = candidates.join(with_k, F.col("item").eqNullSafe(F.col("kitem")), "left_semi").select(F.col("id").alias("cid")).distinct()
         near = texts.join(mine, F.col("id").eqNullSafe(F.col("cid")), "left_semi")
         runs = _runs(near, k).select("id", F.array_join(F.slice("words", F.col("at") + 1, k), " ").alias("shingle"))
         got = runs.join(whole.where(F.col("length") == k).drop("hash", "length"), "shingle")
