@@ -7,6 +7,8 @@ its longest text and not its number of rows.
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 4 << 20
+#: Longer spans of bytes are hashed by a digest each.
+LONG_SPAN = 4096
 U64 = np.uint64
 
 _SPACE = np.zeros(256, bool)
@@ -41,9 +45,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column (null: empty), lower-cased in A-Z and
-    padded by 8 zero bytes, with the offsets of its rows."""
+def text_bytes(col: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column (null: empty), lower-cased in A-Z unless
+    told otherwise and padded by 8 zero bytes, with the offsets of its rows."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     col = col.cast(pa.large_string())
@@ -54,7 +58,7 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw = col.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8)[off[0]:off[-1]] if raw is not None else np.empty(0, np.uint8)
     buf = np.zeros(len(data) + 8, np.uint8)
-    buf[:len(data)] = _LOWER[data]
+    buf[:len(data)] = _LOWER[data] if lower else data
     return buf, off - off[0]
 
 
@@ -89,19 +93,23 @@ def words(buf: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.nda
     return starts, ends, np.searchsorted(starts, off)
 
 
-def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, eight bytes a step."""
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, eight bytes a step, those over
+    ``LONG_SPAN`` by a digest; hashes of different seeds (0, 1, 2) are independent."""
     if len(starts) == 0:
         return np.empty(0, U64)
     eight = np.ndarray((len(buf) - 7,), "<u8", buffer=buf, strides=(1,))
     n = ends - starts
-    h = mix64((n.astype(U64) * _PLACE[0]) ^ (eight[starts] & _KEEP[np.minimum(n, 8)]))
+    h = mix64((n.astype(U64) * _PLACE[seed]) ^ (eight[starts] & _KEEP[np.minimum(n, 8)]))
     k = 8
-    more = np.flatnonzero(n > k)
+    more = np.flatnonzero((n > k) & (n <= LONG_SPAN))
     while more.size:
-        h[more] = mix64(h[more] * _PLACE[1] + (eight[starts[more] + k] & _KEEP[np.minimum(n[more] - k, 8)]))
+        h[more] = mix64(h[more] * _PLACE[seed + 1] + (eight[starts[more] + k] & _KEEP[np.minimum(n[more] - k, 8)]))
         k += 8
         more = more[n[more] > k]
+    for i in np.flatnonzero(n > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(buf[starts[i]:ends[i]].data, digest_size=8, salt=bytes([seed])).digest()
+        h[i] = np.frombuffer(digest, U64)[0]
     return h
 
 
@@ -142,3 +150,17 @@ def long_lists(rows: list[np.ndarray]) -> pa.Array:
     off = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     flat = np.concatenate(rows).view(np.int64) if rows else np.empty(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not glibc
+    _trim = None
+
+
+def release() -> None:
+    """Give back to the system what a finished task has freed: a worker process
+    outlives its tasks, and beside it run those of other operators."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from viewstar.llm import circulant_minhash, containment, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
+from viewstar.llm import circulant_minhash, containment, fill_in_middle, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
 
 QUERIES = {
     "op1_repair_tokens": repair.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_circulant_minhash": circulant_minhash.op8,
     "op9_warc_capture_index": warc.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_wavelet_fim": fill_in_middle.op11,
 }
 
 ORACLE = {
@@ -22,4 +23,5 @@ ORACLE = {
     "op5_hierarchical_mixing": mixing.ORACLE,
     "op8_circulant_minhash": circulant_minhash.ORACLE,
     "op9_warc_capture_index": warc.ORACLE,
+    "op11_wavelet_fim": fill_in_middle.ORACLE,
 }
