@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from viewstar.llm import circulant_minhash, containment, fill_in_middle, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
+from viewstar.llm import circulant_minhash, containment, fertility, fill_in_middle, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
 
 QUERIES = {
     "op1_repair_tokens": repair.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_warc_capture_index": warc.op9,
     "op10_toxicity": toxicity.op10,
     "op11_wavelet_fim": fill_in_middle.op11,
+    "op12_tokenizer_fertility": fertility.op12,
 }
 
 ORACLE = {
