@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from viewstar.llm import circulant_minhash, containment, fertility, fill_in_middle, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
+from viewstar.llm import circulant_minhash, containment, drift_clusters, fertility, fill_in_middle, licences, mixing, pitman_yor, rank_order, repair, stable_projections, toxicity, warc
 
 QUERIES = {
     "op1_repair_tokens": repair.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10,
     "op11_wavelet_fim": fill_in_middle.op11,
     "op12_tokenizer_fertility": fertility.op12,
+    "op13_drift_clusters": drift_clusters.op13,
 }
 
 ORACLE = {
@@ -25,4 +26,5 @@ ORACLE = {
     "op8_circulant_minhash": circulant_minhash.ORACLE,
     "op9_warc_capture_index": warc.ORACLE,
     "op11_wavelet_fim": fill_in_middle.ORACLE,
+    "op13_drift_clusters": drift_clusters.ORACLE,
 }
