@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from viewstar.functions import (
     country_code, country_name, domain_of, epoch_to_ts, nonblank, nonblank_lower,
-    parse_local_time, report_browser, report_os, url_is_valid, with_clean_url, browser_family,
+    plain_url, parse_local_time, report_browser, report_os, url_is_valid, with_clean_url, browser_family,
     os_family,
 )
 from viewstar.functions.url import PATH_SAFE, QUERY_SAFE, quote_part
@@ -177,3 +177,30 @@ def test_clean_url_matches_duckdb_twin_on_random_urls(spark):
     want = {i: (c, d) for i, c, d in con.execute(
         f"SELECT i, c, {domain_sql('c')} FROM (SELECT i, {clean_url_sql('u')} AS c FROM t)").fetchall()}
     assert got == want
+
+
+def test_plain_urls_equal_the_whole_cleaning(spark):
+    import random
+    rng = random.Random(11)
+    parts = ["http://", "https://", "HTTP://", "ftp://", "//", "a.cl", "A.cl", "x-y.com", ":80", "u@", "/", "/p", "/p;q=1", "//", "/a b", "/%41", "/%", "/~x", "?", "?q=1", "?q=/", "&r=a+b", "?é", "#f", "/", "[", "\n", ""] + ["http://a.cl", "https://x.com", "/p/q", "?z=1"] * 4
+    urls = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(3000)] + ["http://a.cl", "http://a.cl\n", "http://a.cl/x?y", "https://a-b.cl:8/x/y.html?z=1&a=//b"]
+    df = spark.createDataFrame(list(enumerate(urls)), "i int, u string").withColumn("no", F.lit(""))
+    short = with_clean_url(df.drop("no"), "u", "c", domain="d").withColumn("canonical", plain_url("u") != "")
+    whole = with_clean_url(df, "u", "c", domain="d", plain="no")
+    a = {r.i: (r.c, r.d) for r in short.collect()}
+    assert a == {r.i: (r.c, r.d) for r in whole.collect()}
+    assert all(r.d == r.want for r in whole.withColumn("want", domain_of("c")).collect())
+    assert 40 < sum(r.canonical for r in short.collect()) < 1500
+
+
+def test_agent_rules_by_byte_search_equal_the_patterns(spark):
+    import random
+    from viewstar.functions.useragent import BROWSER_RULES, OS_RULES, matches
+    rng = random.Random(5)
+    words = ["Googlebot", "bot", "Bot;", "robots", "bingbot", "Crawler", "spider ", "FBAV/", "EdgA/", "Edg/1", "Edge/1", "Edg/", "Mobile", " Mobile", "OPR/2", "Opera", "Opera Mobi", "Chrome/1.2", "Chrome/", "Chromium/",
+             "; wv)", "Version/1.0 ", "Android", "iPhone", "iPad", "AppleWebKit/", "Safari/", "Firefox/", "MSIE 8", "Trident/", "Windows", "Windows Phone", "Mac OS X", " ", ";", "x", "Linux", "CrOS", "IEMobile"]
+    agents = ["".join(rng.choice(words) + rng.choice(["", " "]) for _ in range(rng.randint(0, 7))) for _ in range(1500)]
+    df = spark.createDataFrame([(a,) for a in agents], "a string")
+    rules = [p for p, _ in BROWSER_RULES + OS_RULES]
+    wrong = [F.count_if(matches(F.col("a"), p) != F.col("a").rlike(p)).alias(f"r{i}") for i, p in enumerate(rules)]
+    assert set(df.agg(*wrong).first()) == {0}

@@ -4,7 +4,7 @@ predicate pushdown intact."""
 
 from viewstar.functions.text import nonblank, nonblank_lower, unknown_bucket
 from viewstar.functions.timefn import epoch_to_ts, parse_local_time
-from viewstar.functions.url import with_clean_url, domain_of, url_is_valid
+from viewstar.functions.url import with_clean_url, domain_of, plain_url, url_is_valid
 from viewstar.functions.geo import country_code, country_name, COUNTRY_BY_TLD
 from viewstar.functions.useragent import browser_family, os_family, report_browser, report_os
 from viewstar.functions.keys import (
@@ -13,7 +13,7 @@ from viewstar.functions.keys import (
 
 __all__ = [
     "nonblank", "nonblank_lower", "unknown_bucket", "epoch_to_ts", "parse_local_time",
-    "with_clean_url", "url_is_valid", "domain_of", "country_code", "country_name", "COUNTRY_BY_TLD",
+    "with_clean_url", "plain_url", "url_is_valid", "domain_of", "country_code", "country_name", "COUNTRY_BY_TLD",
     "browser_family", "os_family", "report_browser", "report_os", "first_option",
     "date_key", "product_key", "customer_key", "location_key",
 ]

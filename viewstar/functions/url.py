@@ -95,19 +95,34 @@ def _bad_authority(netloc: Column) -> Column:
     return (has_open != has_close) | netloc.rlike(f"[{_SPLITTING}]")
 
 
-def with_clean_url(df: DataFrame, src: str, dst: str | None = None) -> DataFrame:
-    """Add (or replace) column `dst` = clean_url(`src`).
+#: URLs of which the cleaning only drops the fragment and a last slash: lower-case
+#: scheme and host, nothing to encode, decode or cut.
+_PLAIN = (rf"(?s)^(https?://[a-z0-9][a-z0-9.\-]*(?::[0-9]+)?(?:/[{_UNRESERVED}/:@&+$,=]*)?"
+          rf"(?:\?[{_UNRESERVED}=&?/:@+,$;]+)?)(?:#.*)?\z")
+
+
+def plain_url(c) -> Column:
+    """What most URLs of browsers become, but for a last slash; '' for URLs that need more, or for none."""
+    return F.coalesce(F.regexp_extract(as_col(c), _PLAIN, 1), F.lit(""))
+
+
+def with_clean_url(df: DataFrame, src: str, dst: str | None = None, domain: str | None = None, plain: str | None = None) -> DataFrame:
+    """Add (or replace) column `dst` = clean_url(`src`), and with `domain` its
+    domain_of under that name.  `plain` names a column that holds plain_url(src)
+    already; it is dropped.
 
     Written as a few successive projections: each intermediate part (scheme,
     authority, path, query, their encodings) is computed once and referenced
     by name.  Catalyst does not collapse projections when that would
     duplicate expensive expressions, so the generated code stays linear in
-    the number of steps instead of growing with every reuse."""
+    the number of steps instead of growing with every reuse.  A plain URL has
+    NULL parts, which cost next to nothing."""
     dst = dst or src
     t = f"__cu_{dst}_"
     n = lambda x: F.col(t + x)
-    cols = list(df.columns)
-    df = df.select("*", F.nullif(_strip_ws(F.col(src)), F.lit("")).alias(t + "s"))
+    cols = [c for c in df.columns if c != plain]
+    df = df.select(*cols, (F.col(plain) if plain else plain_url(src)).alias(t + "plain"))
+    df = df.select("*", F.when(n("plain") == "", F.nullif(_strip_ws(F.col(src)), F.lit(""))).alias(t + "s"))
     df = df.select("*",
                    F.lower(F.regexp_extract(n("s"), _SCHEME_RE, 1)).alias(t + "scheme"),
                    F.regexp_replace(n("s"), _SCHEME_RE, "").alias(t + "rest"))
@@ -129,10 +144,15 @@ def with_clean_url(df: DataFrame, src: str, dst: str | None = None) -> DataFrame
     url = F.concat(scheme, F.lit(":"), body,
                    F.when(equery != "", F.concat(F.lit("?"), equery)).otherwise(F.lit("")))
     url = F.regexp_replace(url, "/$", "")
-    result = F.when(n("s").isNotNull() & ~_bad_authority(netloc), url)
-    out = [result.alias(dst) if c == dst else F.col(c) for c in cols]
+    short = F.when(n("plain").endswith("/"), F.substr(n("plain"), F.lit(1), F.length(n("plain")) - 1)).otherwise(n("plain"))
+    df = df.select(*cols, n("plain"), F.when(n("plain") != "", short).when(n("s").isNotNull() & ~_bad_authority(netloc), url).alias(t + "url"))
+    out = [n("url").alias(dst) if c == dst else F.col(c) for c in cols]
     if dst not in cols:
-        out.append(result.alias(dst))
+        out.append(n("url").alias(dst))
+    if domain:
+        # a plain host has no capital, no bracket and no splitting character
+        host = F.substring_index(F.substring_index(F.substring_index(n("url"), "/", 3), "/", -1), "?", 1)
+        out.append(F.when(n("plain") != "", host).otherwise(domain_of(n("url"))).alias(domain))
     return df.select(*out)
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar.functions import (
-    browser_family, domain_of, epoch_to_ts, nonblank, nonblank_lower, parse_local_time,
-    url_is_valid, with_clean_url,
+    browser_family, epoch_to_ts, nonblank, nonblank_lower, parse_local_time,
+    plain_url, url_is_valid, with_clean_url,
 )
 from viewstar.schemas import CLEAN_COLUMNS, RAW_EVENT
 
@@ -32,11 +32,14 @@ def decode(messages: DataFrame, value_col: str = "value", keep: tuple[str, ...]
             .select(F.inline(F.array(ev)), *keep))
 
 
+_PLAIN, _VALID = "_url_if_plain", "_url_is_valid"
+
+
 def rejects() -> list:
     """Counts of invalid rows by the first reason that holds."""
     reasons = {"no_id": F.col("id").isNull(), "no_local_time": F.col("local_ts").isNull(),
                "epoch_out_of_range": F.col("event_ts").isNull() & F.col("time_stamp").isNotNull(),
-               "no_epoch": F.col("event_ts").isNull(), "no_url": ~F.coalesce(url_is_valid("current_url"), F.lit(False))}
+               "no_epoch": F.col("event_ts").isNull(), "no_url": ~F.col(_VALID)}
     out, none_before = [], F.lit(True)
     for name, test in reasons.items():
         out.append(F.count_if(none_before & test).alias(name))
@@ -61,16 +64,18 @@ def clean(raw: DataFrame, keep: tuple[str, ...] = (), observe: str | None = None
         "*",
         parse_local_time("local_time").alias("local_ts"),
         epoch_to_ts("time_stamp").alias("event_ts"),
+        plain_url("current_url").alias(_PLAIN),
     )
+    # tested once: counted, filtered and cleaned by the two columns
+    df = df.select("*", ((F.col(_PLAIN) != "") | F.coalesce(url_is_valid("current_url"), F.lit(False))).alias(_VALID))
     if observe:
         df = df.observe(observe, *rejects())
     df = df.where(F.col("id").isNotNull() & F.col("local_ts").isNotNull()
-                  & F.col("event_ts").isNotNull() & url_is_valid("current_url"))
-    df = with_clean_url(with_clean_url(df, "current_url"), "referrer_url")
+                  & F.col("event_ts").isNotNull() & F.col(_VALID)).drop(_VALID)
+    df = with_clean_url(df, "current_url", domain="current_domain", plain=_PLAIN)
+    df = with_clean_url(df, "referrer_url", domain="referrer_domain")
     return df.select(
-        *[F.col(n) for n in RAW_EVENT.fieldNames()], "local_ts", "event_ts",
-        domain_of("current_url").alias("current_domain"),
-        domain_of("referrer_url").alias("referrer_domain"),
+        *[F.col(n) for n in RAW_EVENT.fieldNames()], "local_ts", "event_ts", "current_domain", "referrer_domain",
         browser_family("user_agent").alias("browser"),
         F.to_date("event_ts").alias("event_date"),
         F.hour("event_ts").alias("event_hour"),
