@@ -25,8 +25,7 @@ from viewstar.plans import reports as R  # noqa: E402
 from viewstar.session import get_session, scratch_dir  # noqa: E402
 from viewstar.sources.fixtures import messages  # noqa: E402
 from viewstar.sources.streams import file_messages  # noqa: E402
-from viewstar.schemas import CLEAN_EVENT  # noqa: E402
-from viewstar.streaming.ingest import ingest_plan, start_ingest  # noqa: E402
+from viewstar.streaming.ingest import ingest_plan, read_ingested, start_ingest  # noqa: E402
 from viewstar.streaming.warehouse import Warehouse  # noqa: E402
 
 
@@ -62,7 +61,7 @@ def main():
             q.awaitTermination()
         t_ingest, _ = _timed(ingest)
         wh = Warehouse(spark, wh_root)
-        events = spark.read.schema(CLEAN_EVENT).parquet(cleaned)
+        events = read_ingested(spark, cleaned)
         t_load, _ = _timed(lambda: wh.load_batch(events, 0, "bench", f"run-{i}"))
         runs.append((t_ingest, t_load, wh))
     times["ingest_stream"] = min(r[0] for r in runs)

@@ -180,6 +180,70 @@ def test_decode_edge_cases(spark):
     assert [r.id for r in clean(decoded).collect()] == ["e1"]               # malformed rows fail validity
 
 
+def test_monitor_hears_from_the_one_query(spark, capsys):
+    from viewstar.streaming.ingest import BatchMonitor
+    root = tempfile.mkdtemp(prefix="mon-")
+    monitor = BatchMonitor(spark, f"{root}/monitor")
+    spark.streams.addListener(monitor)
+    read = 0
+    try:
+        for k, n in enumerate([7, 3, 12]):
+            rows = [(_message(f"e{k}-{i}", 1704067200 + i),) for i in range(n)] + [(b"{bad",)]
+            spark.createDataFrame(rows, "value binary").repartition(3).write.parquet(f"{root}/src/{k}")
+            q = start_ingest(ingest_plan(file_messages(spark, f"{root}/src/*")), f"{root}/out", f"{root}/ckpt", trigger="availableNow")
+            assert len(spark.streams.active) <= 1
+            q.awaitTermination()
+            monitor.drain(q)
+            monitor.drain(q)  # heard twice, recorded once
+            read += sum(p.numInputRows for p in q.recentProgress)
+    finally:
+        spark.streams.removeListener(monitor)
+    assert read == 7 + 3 + 12 + 3  # each message once
+    got = spark.read.parquet(f"{root}/monitor").orderBy("batch_id").collect()
+    assert [r.rows for r in got] == [7, 3, 12] and [len(r.samples) for r in got] == [5, 3, 5]
+    import hashlib
+    order = lambda i: hashlib.md5(i.encode()).hexdigest()
+    want = sorted((f"e2-{i}" for i in range(12)), key=order)[:5]
+    samples = [json.loads(x) for x in got[2].samples]
+    assert [x["id"] for x in samples] == want and samples[0]["event_ts"].startswith("2024-01-01 00:00:") and "email" not in samples[0]
+
+
+def test_files_of_a_batch_follow_its_bytes(spark):
+    from viewstar.streaming.ingest import batch_folder, read_ingested
+    import hashlib
+    root = tempfile.mkdtemp(prefix="files-")
+    sizes = [40, 6000]
+    for k, n in enumerate(sizes):
+        rows = [(_message(f"e{k}-{i}", 1704067200 + i, "http://a.cl/" + hashlib.sha256(str(i).encode()).hexdigest() * 4),) for i in range(n)]
+        spark.createDataFrame(rows, "value binary").repartition(4).write.parquet(f"{root}/src/{k}")
+        q = start_ingest(ingest_plan(file_messages(spark, f"{root}/src/*")), f"{root}/out", f"{root}/ckpt", trigger="availableNow", file_bytes=60_000)
+        q.awaitTermination()
+    events = read_ingested(spark, f"{root}/out")
+    files = {}
+    for f in events.inputFiles():
+        batch = f.split("batch_id=")[1][:12]
+        files[batch] = files.get(batch, 0) + 1
+    with_rows = [files[b] for b in sorted(files) if read_ingested(spark, batch_folder(f"{root}/out", int(b))).count()]
+    assert with_rows[0] == 1 and 3 <= with_rows[1] <= 40
+    assert events.count() == sum(sizes)
+
+
+def test_repeated_ids_alone_are_compared(spark):
+    from viewstar.operators.dedup import dedup_stable, dedup_wide, repeated_keys
+    rows = [(f"k{i}", i % 7, f"v{i}", None) for i in range(300)] + [(f"k{i}", i % 5, f"w{i}", "x") for i in range(0, 300, 3)] + [("k0", 0, "v0", None)] * 50
+    df = spark.createDataFrame(rows, "id string, t int, v string, o string")
+    rep = repeated_keys(df, "id")
+    assert rep.rows == 100
+    got = dedup_wide(df, "id", ["t"], rep)
+    assert sorted(got.collect(), key=str) == sorted(dedup_stable(df, ["id"], ["t"]).collect(), key=str)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the aggregate over all columns reads what the semi-join with the repeated ids leaves
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    none = df.where("id = 'k1' or id = 'k2'")
+    assert dedup_wide(none, "id", ["t"], repeated_keys(none, "id")) is none
+
+
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
 _rows = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3", "k4", None]),

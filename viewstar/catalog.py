@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 from pyspark.sql.types import TimestampType
 
 from viewstar.batch import base_from_tables, cleaned_clicks, star_from_tables
@@ -29,6 +30,9 @@ from viewstar.operators.setops import unseen_values
 from viewstar.operators.star import dim_customer, dim_product, fact_log_event
 from viewstar.plans import reports as R
 from viewstar.sources.fixtures import clicks, messages
+from viewstar.streaming import proofs
+from viewstar.streaming.ingest import read_ingested
+from viewstar.streaming.warehouse import Warehouse
 
 # Report parameters.
 REPORT_COUNTRY = "United Kingdom"
@@ -205,35 +209,43 @@ def q_constraint_audit(spark, sf):
 
 
 # ------------------------------------------------------------- streaming
+def _ingested(spark, path):
+    return ntz(_flat_option(read_ingested(spark, path)))
+
+
 def q_stream_dedup(spark, sf):
-    from viewstar.streaming.proofs import ingest_run
-    from viewstar.schemas import CLEAN_EVENT
-    out = spark.read.schema(CLEAN_EVENT).parquet(ingest_run(spark, sf)["cleaned"])
-    return ntz(_flat_option(out))
+    return _ingested(spark, proofs.ingest_run(spark, sf)["cleaned"])
 
 
 def q_stream_dedup_salted(spark, sf):
-    from viewstar.streaming.proofs import salted_ingest_run
-    from viewstar.schemas import CLEAN_EVENT
-    return ntz(_flat_option(spark.read.schema(CLEAN_EVENT).parquet(salted_ingest_run(spark, sf))))
+    return _ingested(spark, proofs.salted_ingest_run(spark, sf))
 
 
 def q_stream_file_roundtrip(spark, sf):
-    from viewstar.streaming.proofs import roundtrip_run
-    from viewstar.schemas import CLEAN_EVENT
-    return ntz(_flat_option(spark.read.schema(CLEAN_EVENT).parquet(roundtrip_run(spark, sf))))
+    return _ingested(spark, proofs.roundtrip_run(spark, sf))
 
 
 def q_batch_monitor(spark, sf):
-    from viewstar.streaming.proofs import monitor_table
-    return monitor_table(spark, sf).agg(F.sum("rows").alias("rows"),
-                                        F.sum(F.size("samples")).cast("bigint").alias("n_samples"))
+    """Each batch's rows and the ids of its sample, heard from the ingest query itself."""
+    ids = F.transform("samples", lambda j: F.get_json_object(j, "$.id"))
+    in_order = F.row_number().over(Window.orderBy("batch_id"))  # a row a batch
+    return proofs.monitor_table(spark, sf).select(in_order.alias("part"), "rows", F.concat_ws(",", F.array_sort(ids)).alias("sample_ids"))
+
+
+def q_stream_late_rows(spark, sf):
+    return spark.createDataFrame(proofs.late_rows_run(spark, sf), "trigger int, rows_out long, late_dropped long")
+
+
+def q_stream_timed_trigger(spark, sf):
+    """Events by the span of dates delivered, and whether the timed triggers came to several batches."""
+    out = read_ingested(spark, proofs.timed_run(spark, sf))
+    batch = F.regexp_extract(F.col("_metadata.file_path"), "batch_id=([0-9]+)", 1)
+    several = out.select(batch.alias("b")).agg((F.count_distinct("b") > 1).alias("s")).scalar()
+    return out.groupBy(proofs.span_of(F.col("event_date")).alias("part")).agg(F.count(F.lit(1)).alias("events")).withColumn("several_batches", several)
 
 
 def _loaded(spark, sf):
-    from viewstar.streaming.proofs import load_run
-    from viewstar.streaming.warehouse import Warehouse
-    return Warehouse(spark, load_run(spark, sf)["root"])
+    return Warehouse(spark, proofs.load_run(spark, sf)["root"])
 
 
 def q_loader_final_state(spark, sf):
@@ -272,20 +284,17 @@ def q_warehouse_day_browser_hourly(spark, sf):
 
 
 def q_ledger_replay(spark, sf):
-    from viewstar.streaming.proofs import replay_run
-    wh = replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
+    wh = proofs.replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
     return wh.read("fact_log_event").groupBy("date_key").agg(F.count(F.lit(1)).alias("events"))
 
 
 def q_ledger_two_queries(spark, sf):
     """Two queries load batch 0 under one run id: both are kept, a replay of either is not."""
-    from viewstar.streaming.proofs import two_queries_run
-    return two_queries_run(spark, sf, BATCH_A_LAST)
+    return proofs.two_queries_run(spark, sf, BATCH_A_LAST)
 
 
 def q_ledger_statuses(spark, sf):
-    from viewstar.streaming.proofs import replay_run
-    wh = replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
+    wh = proofs.replay_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST)
     first = wh.read("fact_log_event").where(F.col("date_key") <= F.date_format(F.lit(BATCH_A_LAST), "yyyyMMdd")).count()
     rows = [(i, int(r["batch_id"]), r["status"], wh.visible_after_failure - first) for i, r in enumerate(wh.log)]
     return spark.createDataFrame(rows, "step int, batch_id int, status string, extra_visible_after_failure long")
@@ -332,6 +341,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup_salted": q_stream_dedup_salted,
     "stream_file_roundtrip": q_stream_file_roundtrip,
     "batch_monitor": q_batch_monitor,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_timed_trigger": q_stream_timed_trigger,
     "loader_final_state": q_loader_final_state,
     "loader_dim_location": q_loader_dim_location,
     "loader_dim_customer": q_loader_dim_customer,

@@ -62,9 +62,9 @@ def main(argv=None):
     i.add_argument("--trigger", default="30 seconds")
     i.add_argument("--monitor", action="store_true", help="also print per-batch samples")
     i.add_argument("--sample-rows", type=int, default=5)
-    i.add_argument("--output-files", type=int, default=8, help="files that a batch writes; 0: one for each state partition")
-    i.add_argument("--salt", action="store_true",
-                   help="salt the dedup by record position (spreads a hot id over many tasks)")
+    i.add_argument("--output-files", type=int, default=None, help="files that a batch writes (default: by its bytes)")
+    i.add_argument("--no-salt", dest="salt", action="store_false",
+                   help="dedup without salt: half the state, but a hot id is one task")
     ld = sub.add_parser("load")
     ld.add_argument("--source", required=True)
     ld.add_argument("--warehouse", required=True)
@@ -88,15 +88,13 @@ def main(argv=None):
     spark = get_session()
     if a.cmd == "ingest":
         from viewstar.sources.streams import file_messages, kafka_messages
-        from viewstar.streaming.ingest import (
-            file_position, ingest_plan, kafka_position, start_ingest, start_monitor)
-        src = (lambda: kafka_messages(spark, _kv(a.kafka))) if a.kafka else (lambda: file_messages(spark, a.messages))
+        from viewstar.streaming.ingest import BatchMonitor, file_position, ingest_plan, kafka_position, start_ingest
+        src = kafka_messages(spark, _kv(a.kafka)) if a.kafka else file_messages(spark, a.messages)
         pos = (kafka_position() if a.kafka else file_position()) if a.salt else None
-        start_ingest(ingest_plan(src(), pos), a.out, a.checkpoint, trigger=a.trigger, query_name="ingest",
-                     output_files=a.output_files or None)
         if a.monitor:
-            start_monitor(ingest_plan(src()), a.checkpoint.rstrip("/") + "_monitor", a.sample_rows,
-                          trigger=a.trigger)
+            spark.streams.addListener(BatchMonitor(spark))
+        start_ingest(ingest_plan(src, pos), a.out, a.checkpoint, trigger=a.trigger, query_name="ingest",
+                     output_files=a.output_files, sample_rows=a.sample_rows if a.monitor else 0)
         spark.streams.awaitAnyTermination()
     elif a.cmd == "load":
         from viewstar.streaming.loader import start_loader

@@ -5,6 +5,10 @@ given ordering).  Expressed as an aggregation, not a window: the partial
 (map-side) aggregate collapses a hot key before the shuffle, so a key that
 holds a third of all rows never lands in one task whole.
 
+Batch, wide rows: few keys repeat, so `repeated_keys` finds them by a hash
+aggregate over the key alone; rows of other keys pass without a shuffle, and
+only rows of repeated keys are compared column by column.
+
 Stream: first arrival wins, with state bounded by the event-time
 watermark (`dropDuplicatesWithinWatermark` evicts a key once the watermark
 passes it; plain `dropDuplicates` on a key without event time would keep
@@ -13,10 +17,14 @@ every key forever).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEDUP_HORIZON = "1 day"
+#: Repeated keys of at most so many bytes are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def dedup_stable(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -28,6 +36,30 @@ def dedup_stable(df: DataFrame, keys: list[str], order: list[str] | None = None)
     return out.select(*keys, *[F.col(f"_survivor.{c}").alias(c) for c in order + rest]).select(*df.columns)
 
 
+class Repeated(NamedTuple):
+    keys: DataFrame
+    rows: int
+    bytes: int
+
+
+def repeated_keys(df: DataFrame, key: str) -> Repeated:
+    """The keys of more than one row, cached, with their number and bytes (a job;
+    the caller unpersists `keys`)."""
+    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col(key).isNotNull()).select(key).persist()
+    rows, size = keys.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()
+    return Repeated(keys, rows, size or 0)
+
+
+def dedup_wide(df: DataFrame, key: str, order: list[str], repeated: Repeated) -> DataFrame:
+    """dedup_stable for a table that is cheap to read twice: rows of the repeated
+    keys go through it, all others (and rows without a key) stay as they are."""
+    if repeated.rows == 0:
+        return df
+    side = F.broadcast(repeated.keys) if repeated.bytes <= BROADCAST_BYTES else repeated.keys
+    once = df.join(side, key, "left_anti")
+    return once.unionByName(dedup_stable(df.join(side, key, "left_semi"), [key], order))
+
+
 SALT_BUCKETS = 64
 
 

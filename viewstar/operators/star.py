@@ -18,7 +18,7 @@ from viewstar.functions import (
     country_code, country_name, customer_key, date_key, first_option, location_key,
     product_key,
 )
-from viewstar.operators.dedup import dedup_stable
+from viewstar.operators.dedup import Repeated, dedup_stable, dedup_wide
 from viewstar.schemas import (
     DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS, DIM_PRODUCT_COLUMNS,
     FACT_COLUMNS,
@@ -41,15 +41,18 @@ class Star(NamedTuple):
         return d
 
 
-def base_frame(cleaned: DataFrame) -> DataFrame:
+def base_frame(cleaned: DataFrame, repeated: Repeated | None = None) -> DataFrame:
     """Cleaned events, one row per event_key (= id; stable survivor: earliest
     event_ts, then local_ts, then the other columns), plus option fields,
     surrogate keys and country.
 
     The dedup runs first, on the cleaned columns only, so the shuffle does
     not carry the three 64-character keys and the derived columns, and the
-    hashes are computed once per event rather than once per copy."""
-    unique = dedup_stable(cleaned, ["id"], order=["event_ts", "local_ts"])
+    hashes are computed once per event rather than once per copy.  With
+    `repeated` (repeated_keys(cleaned, "id")) only the rows of those ids are
+    shuffled and compared."""
+    order = ["event_ts", "local_ts"]
+    unique = dedup_stable(cleaned, ["id"], order) if repeated is None else dedup_wide(cleaned, "id", order, repeated)
     opt = first_option("option")
     df = unique.select(
         "*",

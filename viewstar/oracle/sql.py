@@ -11,6 +11,9 @@ from viewstar.schemas import STAR_TABLES
 A_LAST = "DATE '2024-01-20'"
 B_FIRST = "DATE '2024-01-15'"
 
+# Spans of dates that the streaming proofs deliver one after the other.
+PART = "CASE WHEN event_date <= DATE '2024-01-10' THEN 1 WHEN event_date <= DATE '2024-01-20' THEN 2 ELSE 3 END"
+
 RAW_FLAT = ("id, time_stamp, ip, user_agent, resolution, device_id, api_version, store_id, local_time, "
             "show_recommendation, current_url, referrer_url, email, collection, product_id, "
             "n_options, opt_id, opt_label")
@@ -201,9 +204,19 @@ SELECT browser FROM fact WHERE store_id IN ('0', '1')"""),
     "stream_dedup": on_clean(f"""
 SELECT {RAW_FLAT}, local_ts, event_ts, current_domain, referrer_domain, browser, event_date, event_hour
 FROM cleaned QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts) = 1"""),
-    "batch_monitor": on_clean("""
-SELECT CAST(count(*) AS BIGINT) AS rows, CAST(least(count(*), 5) AS BIGINT) AS n_samples
-FROM (SELECT id FROM cleaned GROUP BY id)"""),
+    "batch_monitor": on_clean(f"""
+SELECT CAST(part AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS rows, string_agg(id, ',' ORDER BY id) FILTER (WHERE r <= 5) AS sample_ids
+FROM (SELECT id, part, row_number() OVER (PARTITION BY part ORDER BY md5(id)) AS r
+      FROM (SELECT DISTINCT id, {PART} AS part FROM cleaned)) GROUP BY part"""),
+    # new ids of 3 January are late, ids of 2 January have expired, rows of 20 January are still known
+    "stream_late_rows": on_clean(f"""
+SELECT CAST(part AS INTEGER) AS trigger, CAST(count(DISTINCT id) AS BIGINT) AS rows_out, CAST(0 AS BIGINT) AS late_dropped
+FROM (SELECT id, {PART} AS part FROM cleaned) WHERE part < 3 GROUP BY part
+UNION ALL
+SELECT 3, CAST(count(DISTINCT id) FILTER (WHERE event_date = DATE '2024-01-02') AS BIGINT),
+       CAST(count(*) FILTER (WHERE event_date = DATE '2024-01-03') AS BIGINT) FROM cleaned"""),
+    "stream_timed_trigger": on_clean(f"""
+SELECT CAST({PART} AS INTEGER) AS part, CAST(count(DISTINCT id) AS BIGINT) AS events, TRUE AS several_batches FROM cleaned GROUP BY 1"""),
     "loader_final_state": on_star("SELECT * FROM fact"),
     "loader_dim_location": on_star("SELECT * FROM dim_location"),
     "loader_dim_customer": on_star("SELECT * FROM dim_customer"),

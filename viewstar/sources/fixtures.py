@@ -134,13 +134,17 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clicks_with_event_id(spark, sf_dir).select(*RAW_COLUMNS)
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, date_part: Column | None = None) -> DataFrame:
     """Message values as a broker would deliver them: one `value BINARY`
     column with each click as JSON, a malformed `{bad` after every event with
-    event_id % 101 = 0, and one each of `[]`, empty text and NULL."""
+    event_id % 101 = 0, and one each of `[]`, empty text and NULL.  With
+    `date_part`, an expression over the event's date `d`, its value is a column
+    `part` beside them (0 for the odd ones)."""
     c = _clicks_with_event_id(spark, sf_dir)
     as_json = F.to_json(F.struct(*RAW_COLUMNS))
     values = F.when(F.col("event_id") % 101 == 0, F.array(as_json, F.lit("{bad"))).otherwise(F.array(as_json))
-    body = c.select(F.explode(values).alias("value"))
-    odd = spark.createDataFrame([("[]",), ("",), (None,)], "value string")
-    return body.unionByName(odd).select(F.col("value").cast("binary").alias("value"))
+    d = F.when(F.col("time_stamp") > 10 ** 12, F.timestamp_millis("time_stamp")).otherwise(F.timestamp_seconds("time_stamp")).cast("date")
+    part = [] if date_part is None else [F.col("part")]
+    body = c.withColumn("d", d).withColumn("part", F.lit(0) if date_part is None else date_part.cast("int")).select(F.explode(values).alias("value"), *part)
+    odd = spark.createDataFrame([("[]",), ("",), (None,)], "value string").withColumn("part", F.lit(0)).select("value", *part)
+    return body.unionByName(odd).select(F.col("value").cast("binary").alias("value"), *part)

@@ -36,9 +36,9 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
 
 def cleaned_events_stream(spark: SparkSession, path: str,
                           max_files: int | None = DEFAULT_MAX_FILES) -> DataFrame:
-    """Cleaned events written by the ingest query, at most `max_files` new
-    files per trigger, with the declared schema (nothing inferred)."""
-    r = spark.readStream.schema(CLEAN_EVENT)
+    """Cleaned events written by the ingest query (either of its sinks), at most
+    `max_files` new files per trigger, with the declared schema (nothing inferred)."""
+    r = spark.readStream.schema(CLEAN_EVENT).option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     return r.parquet(path)

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from viewstar.operators.clean import clean
 from viewstar.operators.dedup import dedup_stable
+from viewstar.schemas import RAW_COLUMNS
 from viewstar.session import scratch_dir
 from viewstar.sources.fixtures import clicks, messages
 from viewstar.sources.streams import file_messages
-from viewstar.streaming.ingest import ingest_plan, start_ingest, start_monitor
+from viewstar.streaming.ingest import METRIC, BatchMonitor, file_position, ingest_plan, read_ingested, start_ingest
 from viewstar.streaming.loader import start_loader
 from viewstar.streaming.warehouse import Warehouse
 
@@ -32,43 +33,111 @@ def _key(spark: SparkSession, sf_dir: str, what: str):
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
 
 
+#: Last dates of the parts that the proofs deliver one after the other.
+PART_ENDS = (_dt.date(2024, 1, 10), _dt.date(2024, 1, 20))
+
+
+def span_of(d):
+    """Which of the parts (1, 2, 3) a date belongs to."""
+    return 1 + sum((d > F.lit(end)).cast("int") for end in PART_ENDS)
+
+
+def _so_far(folder: str, last: int) -> str:
+    return f"{folder}/part={{{','.join(map(str, range(last + 1)))}}}"
+
+
 def ingest_run(spark: SparkSession, sf_dir: str) -> dict:
-    """Messages -> Parquet files -> ingest query and monitor query."""
+    """Messages of three spans of dates as Parquet files -> the ingest query with
+    its monitor, a batch for each span."""
     k = _key(spark, sf_dir, "ingest")
     if k in _RUNS:
         return _RUNS[k]
     root = scratch_dir(spark, "ingest")
-    msgs = f"{root}/messages"
-    messages(spark, sf_dir).write.mode("overwrite").parquet(msgs)
-    out, monitor = f"{root}/cleaned", f"{root}/monitor"
-    q = start_ingest(ingest_plan(file_messages(spark, msgs)), out, f"{root}/ckpt_ingest",
-                     trigger="availableNow")
-    m = start_monitor(ingest_plan(file_messages(spark, msgs)), f"{root}/ckpt_monitor",
-                      sample_rows=5, sink=monitor, trigger="availableNow")
-    q.awaitTermination()
-    m.awaitTermination()
-    last = q.lastProgress or {}
-    run = {"root": root, "cleaned": out, "monitor": monitor, "progress": last}
+    msgs, out, sink = f"{root}/messages", f"{root}/cleaned", f"{root}/monitor"
+    messages(spark, sf_dir, span_of(F.col("d"))).write.partitionBy("part").parquet(msgs)
+    monitor = BatchMonitor(spark, sink)
+    spark.streams.addListener(monitor)
+    input_rows = 0
+    try:
+        for part in range(1, len(PART_ENDS) + 2):
+            q = start_ingest(ingest_plan(file_messages(spark, _so_far(msgs, part))), out, f"{root}/ckpt_ingest", trigger="availableNow")
+            q.awaitTermination()
+            monitor.drain(q)
+            input_rows += sum(p.numInputRows for p in q.recentProgress)
+    finally:
+        spark.streams.removeListener(monitor)
+    run = {"root": root, "messages": f"{msgs}/part=*", "cleaned": out, "monitor": sink, "input_rows": input_rows}
     _RUNS[k] = run
     return run
 
 
 def salted_ingest_run(spark: SparkSession, sf_dir: str) -> str:
-    """The ingest query with its dedup salted by record position."""
+    """The ingest query with its dedup salted by record position, to Spark's file sink."""
     k = _key(spark, sf_dir, "salted")
     if k in _RUNS:
         return _RUNS[k]
-    from viewstar.streaming.ingest import file_position
     ing = ingest_run(spark, sf_dir)
     root = scratch_dir(spark, "salted")
-    msgs = f"{ing['root']}/messages"
-    q = start_ingest(ingest_plan(file_messages(spark, msgs), file_position()), f"{root}/out",
-                     f"{root}/ckpt", trigger="availableNow")
+    q = start_ingest(ingest_plan(file_messages(spark, ing["messages"]), file_position()), f"{root}/out",
+                     f"{root}/ckpt", trigger="availableNow", output_files=8)
     q.awaitTermination()
     _RUNS[k] = f"{root}/out"
     return _RUNS[k]
 
 
+def _as_messages(raw: DataFrame) -> DataFrame:
+    return raw.select(F.to_json(F.struct(*RAW_COLUMNS)).cast("binary").alias("value"))
+
+
+def late_rows_run(spark: SparkSession, sf_dir: str) -> list[tuple[int, int, int]]:
+    """Three triggers, the watermark moving between them: (trigger, rows out, rows
+    dropped as late).  The third brings new ids of 3 January (late), ids of 2
+    January again with a time of 21 January (their state has expired: emitted
+    again) and rows of 20 January again (still in the state: dropped as copies)."""
+    k = _key(spark, sf_dir, "late")
+    if k in _RUNS:
+        return _RUNS[k]
+    root = scratch_dir(spark, "late")
+    raw = clicks(spark, sf_dir)
+    ms = F.col("time_stamp") > 10 ** 12
+    d = F.when(ms, F.timestamp_millis("time_stamp")).otherwise(F.timestamp_seconds("time_stamp")).cast("date")
+    day = lambda n: raw.where(d == F.lit(_dt.date(2024, 1, n)))
+    moved = F.col("time_stamp") + F.when(ms, 19 * 86_400_000).otherwise(19 * 86_400)
+    real_id = F.trim("id") != ""
+    parts = [raw.where(d <= F.lit(PART_ENDS[0])), raw.where((d > F.lit(PART_ENDS[0])) & (d <= F.lit(PART_ENDS[1]))),
+             day(3).where(real_id).withColumn("id", F.concat(F.lit("late-"), "id")).unionByName(day(2).withColumn("time_stamp", moved)).unionByName(day(20))]
+    rows = []
+    for part, some in enumerate(parts):
+        _as_messages(some).write.parquet(f"{root}/messages/part={part}")
+        q = start_ingest(ingest_plan(file_messages(spark, _so_far(f"{root}/messages", part))), f"{root}/out", f"{root}/ckpt", trigger="availableNow")
+        q.awaitTermination()
+        rows.append((part + 1, sum(p.observedMetrics[METRIC]["rows"] for p in q.recentProgress if METRIC in p.observedMetrics),
+                     sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)))
+    _RUNS[k] = rows
+    return rows
+
+
+def timed_run(spark: SparkSession, sf_dir: str) -> str:
+    """The ingest query under a processing-time trigger while its source drips:
+    each part is delivered when the one before has come through; then it is stopped."""
+    k = _key(spark, sf_dir, "timed")
+    if k in _RUNS:
+        return _RUNS[k]
+    msgs = ingest_run(spark, sf_dir)["messages"].removesuffix("/part=*")
+    root = scratch_dir(spark, "timed")
+    q = None
+    try:
+        for part in range(len(PART_ENDS) + 2):
+            spark.read.schema("value binary").parquet(f"{msgs}/part={part}").write.parquet(f"{root}/messages/part={part}")
+            q = q or start_ingest(ingest_plan(file_messages(spark, f"{root}/messages/part=*")), f"{root}/out", f"{root}/ckpt", trigger="1 second")
+            q.processAllAvailable()
+    finally:
+        if q is not None:
+            q.stop()
+    _RUNS[k] = f"{root}/out"
+    return _RUNS[k]
+
+
 def roundtrip_run(spark: SparkSession, sf_dir: str) -> str:
     """Ingest output -> Parquet file stream source (a few files per trigger)
     -> Parquet stream sink, checkpointed; returns the sink folder."""
@@ -77,7 +146,7 @@ def roundtrip_run(spark: SparkSession, sf_dir: str) -> str:
         return _RUNS[k]
     from viewstar.sources.streams import cleaned_events_stream
     ing = ingest_run(spark, sf_dir)
-    n_files = len(spark.read.parquet(ing["cleaned"]).inputFiles())
+    n_files = len(read_ingested(spark, ing["cleaned"]).inputFiles())
     root = scratch_dir(spark, "roundtrip")
     src = cleaned_events_stream(spark, ing["cleaned"], max(1, math.ceil(n_files / LOADER_BATCHES)))
     q = start_ingest(src, f"{root}/out", f"{root}/ckpt", trigger="availableNow", observe_rows=False)
@@ -92,7 +161,7 @@ def load_run(spark: SparkSession, sf_dir: str) -> dict:
     if k in _RUNS:
         return _RUNS[k]
     ing = ingest_run(spark, sf_dir)
-    n_files = len(spark.read.parquet(ing["cleaned"]).inputFiles())
+    n_files = len(read_ingested(spark, ing["cleaned"]).inputFiles())
     per_batch = max(1, math.ceil(n_files / LOADER_BATCHES))
     root = scratch_dir(spark, "warehouse")
     q, loader = start_loader(spark, ing["cleaned"], f"{root}/wh", f"{root}/ckpt_loader",
