@@ -15,6 +15,7 @@ from viewstar.plans import reports as R
 from viewstar.schemas import FACT_COLUMNS
 from viewstar.streaming.ingest import ingest_plan, start_ingest
 from viewstar.sources.streams import file_messages
+from viewstar.streaming.proofs import CrashingWarehouse
 from viewstar.streaming.warehouse import Warehouse, table_schema
 
 
@@ -139,7 +140,7 @@ def test_loader_replay_is_exactly_once(spark):
     assert wh.load_batch(b0, 0, "q", "r")["status"] == "committed"
     n0 = wh.read("fact_log_event").count()
     try:
-        wh.load_batch(b1, 1, "q", "r", fail_before_commit=True)
+        CrashingWarehouse(spark, wh.root).load_batch(b1, 1, "q", "r")
     except RuntimeError:
         pass
     assert wh.read("fact_log_event").count() == n0          # uncommitted batch invisible
@@ -159,12 +160,12 @@ def test_loader_event_date_scope_matches_global(spark):
     a = cleaned.where(F.col("event_date") <= F.lit(dt.date(2024, 1, 10)))
     b = cleaned.where(F.col("event_date") > F.lit(dt.date(2024, 1, 5)))
     counts = []
-    for scope in ["global", "event_dates"]:
+    for days in [None, 0, 1]:
         wh = Warehouse(spark, tempfile.mkdtemp(prefix="whs-") + "/wh")
-        wh.load_batch(a, 0, "q", "r", fact_key_scope=scope)
-        wh.load_batch(b, 1, "q", "r", fact_key_scope=scope)
+        wh.load_batch(a, 0, "q", "r", key_horizon_days=days)
+        wh.load_batch(b, 1, "q", "r", key_horizon_days=days)
         counts.append(wh.read("fact_log_event").count())
-    assert counts[0] == counts[1] == cleaned.count()
+    assert counts == [cleaned.count()] * 3
 
 
 def test_decode_edge_cases(spark):
@@ -334,6 +335,60 @@ def test_day_star_reads_only_the_day_and_agrees(spark):
     assert sorted(R.country_options(day2, d2).collect()) == sorted(R.country_options(full, d2).collect())
 
 
+def test_key_lookup_reads_the_days_of_the_batch_only(spark):
+    """Files that a batch's look-up lists stay the same while the history grows."""
+    from viewstar.batch import cleaned_clicks
+    from viewstar.operators.dedup import dedup_stable
+    cleaned = dedup_stable(cleaned_clicks(spark, "/root/testdata/sf0.001"), ["id"], ["event_ts"]).persist()
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="whl-") + "/wh")
+    day = lambda a, b: cleaned.where(F.col("event_date").between(dt.date(2024, 1, a), dt.date(2024, 1, b)))
+    files = []
+    for i, (a, b) in enumerate([(1, 3), (4, 6), (7, 9), (10, 12), (2, 2)]):
+        wh.load_batch(day(a, b), i, "q", "r")
+        near = wh.facts_near(spark.createDataFrame([("20240102",)], "date_key string"), 1, wh.committed_loads())
+        found = near.inputFiles()
+        assert found and {f.split("date_key=")[1][:8] for f in found} <= {"20240101", "20240102", "20240103"}
+        files.append(len(found))
+    assert len(set(files)) == 1  # the last batch redelivers day 2: nothing new
+    assert wh.duplicate_events().count() == 0
+    assert wh.read("fact_log_event").count() == day(1, 12).count()
+    many = spark.createDataFrame([("20240102",), ("+109990101",)], "date_key string")
+    assert {r.date_key for r in wh.facts_near(many, 0, wh.committed_loads()).select("date_key").distinct().collect()} == {"20240102"}
+
+
+def test_audit_scans_each_table_once(spark):
+    from viewstar.batch import cleaned_clicks
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="wha-") + "/wh")
+    wh.load_batch(cleaned_clicks(spark, "/root/testdata/sf0.001"), 0, "q", "r")
+    audit = constraint_audit(wh.star().as_dict(), wh.ledger(), "2024-01-05", dt.date(2024, 1, 9))
+    assert audit.where("violations > 0").count() == 0 and audit.count() == 31
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 6
+    fact = [line for line in scans if "fact_log_event" in line]
+    assert len(fact) == 1 and "date_key" in fact[0].split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_loads_of_an_older_layout(spark):
+    from viewstar.batch import cleaned_clicks
+    from viewstar.operators.dedup import dedup_stable
+    import pytest
+    cleaned = dedup_stable(cleaned_clicks(spark, "/root/testdata/sf0.001"), ["id"], ["event_ts"]).persist()
+    root = tempfile.mkdtemp(prefix="who-") + "/wh"
+    old = Warehouse(spark, root, layout=1)
+    old.load_batch(cleaned.where(F.col("event_date") <= F.lit(dt.date(2024, 1, 10))), 0, "q", "r")
+    stored = spark.read.parquet(f"{root}/fact_log_event")
+    assert "browser" not in stored.columns and dict(stored.dtypes)["event_count"] == "smallint"
+    new = Warehouse(spark, root)
+    new.load_batch(cleaned.where(F.col("event_date") > F.lit(dt.date(2024, 1, 10))), 1, "q", "r")
+    assert [(r.layout, r.last[-1]) for r in new.committed_loads()] == [(1, "0"), (2, "1")]
+    fact = new.read("fact_log_event")
+    assert fact.schema == table_schema("fact_log_event") and fact.count() == cleaned.count()
+    assert fact.where("browser is null").count() >= stored.count() > 0
+    with pytest.raises(ValueError, match="newer layout"):
+        Warehouse(spark, root, layout=1).load_batch(cleaned, 2, "q", "r")
+
+
 def test_cli_report(spark, capsys):
     from viewstar import cli
     from viewstar.batch import cleaned_clicks
@@ -343,5 +398,7 @@ def test_cli_report(spark, capsys):
         dedup_stable(cleaned_clicks(spark, "/root/testdata/sf0.001"), ["id"], ["event_ts"]), 0, "q", "r")
     cli.main(["report", "top_products", "--warehouse", root])
     cli.main(["report", "available_dates", "--warehouse", root, "--rows", "3"])
+    cli.main(["audit", "--warehouse", root, "--first", "2024-01-05"])
     out = capsys.readouterr().out
     assert "product_id" in out and "views" in out and "2024-01-30" in out
+    assert "primary_key:event_key\t0" in out and "event_key\tcopies" in out

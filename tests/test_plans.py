@@ -44,7 +44,7 @@ def test_merge_probes_target_keys_with_broadcast_batch_keys(spark):
     from viewstar.operators.merge import new_rows
     target = spark.range(1000).selectExpr("cast(id as string) as k", "'old' as v")
     batch = spark.range(990, 1010).selectExpr("cast(id as string) as k", "'new' as v")
-    fresh = new_rows(target, batch, "k", max_keys=20)
+    fresh = new_rows(target, batch, "k", key_bytes=2000)
     plan = _plan(fresh)
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "LeftAnti" in plan
     assert sorted(r.k for r in fresh.collect()) == [str(i) for i in range(1000, 1010)]

@@ -204,6 +204,31 @@ def q_new_browsers(spark, sf):
     return unseen_values(fact, seen, "browser")
 
 
+def q_new_browsers_by_batch(spark, sf):
+    """The seen set grows with each commit: every family under the batch that first had it."""
+    seen = proofs.seen_run(spark, sf).seen_browsers()
+    return seen.select("browser", F.regexp_extract("load_id", r"([0-9]+)$", 1).cast("int").alias("batch"))
+
+
+def q_duplicate_events(spark, sf):
+    """What a bounded key look-up let in, found by the exact audit."""
+    return proofs.redelivered_run(spark, sf, BATCH_A_LAST).duplicate_events()
+
+
+def q_evolve_warehouse(spark, sf):
+    fact = proofs.evolved_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST).read("fact_log_event")
+    return fact.select("event_key", "browser", "event_count")
+
+
+def q_evolve_customers(spark, sf):
+    return proofs.evolved_run(spark, sf, BATCH_A_LAST, BATCH_B_FIRST).read("dim_customer")
+
+
+def q_constraint_audit_planted(spark, sf):
+    """Violations of every rule, planted in the star tables."""
+    return constraint_audit(proofs.with_violations(_star(spark, sf).as_dict()))
+
+
 def q_constraint_audit(spark, sf):
     return constraint_audit(_star(spark, sf).as_dict())
 
@@ -337,6 +362,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evolve_schema": q_evolve_schema,
     "new_browsers": q_new_browsers,
     "constraint_audit": q_constraint_audit,
+    "constraint_audit_planted": q_constraint_audit_planted,
+    "new_browsers_by_batch": q_new_browsers_by_batch,
+    "duplicate_events": q_duplicate_events,
+    "evolve_warehouse": q_evolve_warehouse,
+    "evolve_customers": q_evolve_customers,
     "stream_dedup": q_stream_dedup,
     "stream_dedup_salted": q_stream_dedup_salted,
     "stream_file_roundtrip": q_stream_file_roundtrip,

@@ -6,6 +6,7 @@
     python -m viewstar.cli load --source <shared>/cleaned --warehouse <shared>/wh \
         --checkpoint <shared>/ckpt_loader [--max-files 10] [--trigger "30 seconds"]
     python -m viewstar.cli report top_products --warehouse <shared>/wh [--date 2024-05-28]
+    python -m viewstar.cli audit --warehouse <shared>/wh [--first 2024-05-01] [--last 2024-05-31]
     python -m viewstar.cli report store_views_by_country --warehouse <shared>/wh --country Chile
 
 Streaming commands block until the queries stop (or one fails).
@@ -72,7 +73,12 @@ def main(argv=None):
     ld.add_argument("--query-name", default="star_loader")
     ld.add_argument("--max-files", type=int, default=10)
     ld.add_argument("--trigger", default="30 seconds")
-    ld.add_argument("--fact-key-scope", default="global", choices=["global", "event_dates"])
+    ld.add_argument("--key-horizon-days", type=int, default=1,
+                    help="look an event's key up in the days of its batch and so many around them; -1: in all history")
+    au = sub.add_parser("audit")
+    au.add_argument("--warehouse", required=True)
+    au.add_argument("--first", default=None, help="first day of facts to audit, yyyy-MM-dd")
+    au.add_argument("--last", default=None, help="last day of facts to audit, yyyy-MM-dd")
     r = sub.add_parser("report")
     r.add_argument("name", choices=sorted(REPORTS))
     r.add_argument("--warehouse", required=True)
@@ -99,8 +105,14 @@ def main(argv=None):
     elif a.cmd == "load":
         from viewstar.streaming.loader import start_loader
         q, _ = start_loader(spark, a.source, a.warehouse, a.checkpoint, a.query_name, a.trigger,
-                            a.max_files, fact_key_scope=a.fact_key_scope)
+                            a.max_files, key_horizon_days=None if a.key_horizon_days < 0 else a.key_horizon_days)
         q.awaitTermination()
+    elif a.cmd == "audit":
+        from viewstar.operators.quality import constraint_audit
+        from viewstar.streaming.warehouse import Warehouse
+        wh = Warehouse(spark, a.warehouse)
+        _print_rows(constraint_audit(wh.star().as_dict(), wh.ledger(), a.first, a.last))
+        _print_rows(wh.duplicate_events())
     else:
         from viewstar.streaming.warehouse import Warehouse
         wh = Warehouse(spark, a.warehouse)

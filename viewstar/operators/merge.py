@@ -10,7 +10,7 @@ Both are pure DataFrame plans; applying the same batch twice changes nothing.
 Scale: the batch is small next to the target.  Instead of shuffling the
 whole target against the batch, the target's key column is first reduced
 to the keys the batch mentions (a semi-join whose build side is the batch's
-keys, broadcast only when their number was counted below a bound), and the
+keys, broadcast only when their bytes are known to be below a bound), and the
 batch is anti-joined against that small set.
 """
 
@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 
 from viewstar.operators.dedup import dedup_stable
 
-# Batches with at most this many keys have them broadcast (a SHA-256 hex key
-# is 64 bytes: about 64 MB of keys at the bound).
-BROADCAST_KEYS = 1_000_000
+#: A batch's keys of at most so many bytes are broadcast.
+BROADCAST_BYTES = 64 << 20
+#: Bytes of a row besides its key.
+ROW_BYTES = 16
 
 
-def rows_with_keys(target: DataFrame, batch_keys: DataFrame, key: str, n_keys: int | None) -> DataFrame:
-    """The target's rows whose key the batch mentions."""
-    probe = F.broadcast(batch_keys) if n_keys is not None and n_keys <= BROADCAST_KEYS else batch_keys
+def rows_with_keys(target: DataFrame, batch_keys: DataFrame, key: str, key_bytes: int | None) -> DataFrame:
+    """The target's rows whose key the batch mentions; `key_bytes` bounds the size of all its keys."""
+    probe = F.broadcast(batch_keys) if key_bytes is not None and key_bytes <= BROADCAST_BYTES else batch_keys
     return target.join(probe, key, "left_semi")
 
 
@@ -41,18 +42,18 @@ def merge_insert_absent(target: DataFrame, batch: DataFrame, key: str,
 
 
 def new_rows(target: DataFrame, deduped_batch: DataFrame, key: str, count_keys: bool = False,
-             max_keys: int | None = None) -> DataFrame:
+             key_bytes: int | None = None) -> DataFrame:
     """Rows of an already key-unique batch whose key the target lacks.
 
-    `max_keys` is a known upper bound on the batch's keys (e.g. the row count
-    of the batch it was built from); without one, `count_keys` counts them (a
-    job at plan time) or the choice is left to adaptive execution.
-    Under BROADCAST_KEYS the keys are broadcast and the target's key column
-    is probed map-side (no shuffle of the target); above it the semi-join
-    shuffles both sides."""
+    `key_bytes` is a known upper bound on the bytes of the batch's keys and
+    ROW_BYTES for each; without one, `count_keys` sums them (a job at plan time)
+    or the choice is left to adaptive execution.  Under BROADCAST_BYTES the
+    keys are broadcast and the target's key column is probed map-side (no
+    shuffle of the target); above it the semi-join shuffles both sides."""
     keys = deduped_batch.select(key)
-    n = max_keys if max_keys is not None else (keys.count() if count_keys else None)
-    present = rows_with_keys(target.select(key), keys, key, n)
+    if key_bytes is None and count_keys:
+        key_bytes = keys.agg(F.sum(F.octet_length(F.col(key).cast("string")) + ROW_BYTES)).first()[0] or 0
+    present = rows_with_keys(target.select(key), keys, key, key_bytes)
     return deduped_batch.join(present, key, "left_anti")
 
 

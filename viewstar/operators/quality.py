@@ -2,80 +2,103 @@
 
 The warehouse is files, so the database constraints of the specification
 (primary keys, NOT NULL, foreign keys, a CHECK and a unique date) become an
-audit job: one row per (table, rule) with the number of violations.  Each
-check is a distributed aggregate; foreign keys are tested on the distinct
-key values of the fact (pre-aggregated with their row counts), so the
-anti-join sees one row per key, not one per event.
+audit job: one row per (table, rule) with the number of violations.
+
+Each table is scanned once.  A row yields an entry for each of its keys and for
+each NULL or bad value it holds; entries of one rule and key are added up (first
+within each task, so a hot foreign key is one entry a task), uses and targets of a
+foreign key side by side, and one more aggregation counts each rule's violations.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from viewstar.schemas import STAR_TABLES
 
 AUDIT_COLUMNS = ["table_name", "rule", "violations"]
-
-
-def _row(table: str, rule: str, violations) -> list:
-    return [F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-            F.coalesce(violations.cast("bigint"), F.lit(0).cast("bigint")).alias("violations")]
-
-
-def _null_and_check_counts(name: str, df: DataFrame) -> DataFrame:
-    spec = STAR_TABLES[name]
-    cols = [spec.key] + [c for c in spec.not_null if c in df.columns]
-    aggs = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in cols]
-    if name == "fact_log_event":
-        aggs.append(F.count(F.when(F.col("event_count") < 0, 1)).alias("check:event_count>=0"))
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{a}', `{a}`" for a in wide.columns)
-    return wide.selectExpr(f"stack({len(wide.columns)}, {stack}) AS (rule, violations)").select(
-        F.lit(name).alias("table_name"), "rule", F.col("violations").cast("bigint").alias("violations"))
-
-
-def _duplicates(name: str, df: DataFrame, cols: list[str], rule: str) -> DataFrame:
-    dup = (df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-             .groupBy(*cols).count().where(F.col("count") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("n")).select(*_row(name, rule, F.col("n")))
-
-
-def _orphans(fact: DataFrame, fk: str, dim: DataFrame) -> DataFrame:
-    per_key = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("rows"))
-    missing = per_key.join(dim.select(fk), fk, "left_anti")
-    return missing.agg(F.sum("rows").alias("n")).select(*_row("fact_log_event", f"foreign_key:{fk}", F.col("n")))
-
-
-def constraint_audit(tables: dict[str, DataFrame], ledger: DataFrame | None = None) -> DataFrame:
-    """(table_name, rule, violations) for every constraint of the star."""
-    parts = []
-    for name, df in tables.items():
-        spec = STAR_TABLES[name]
-        parts.append(_null_and_check_counts(name, df))
-        parts.append(_duplicates(name, df, [spec.key], f"primary_key:{spec.key}"))
-    if "dim_date" in tables:
-        parts.append(_duplicates("dim_date", tables["dim_date"], ["date"], "unique:date"))
-    fact = tables.get("fact_log_event")
-    if fact is not None:
-        for fk, dim_name in STAR_TABLES["fact_log_event"].foreign_keys.items():
-            if dim_name in tables:
-                parts.append(_orphans(fact, fk, tables[dim_name]))
+FACT = "fact_log_event"
+LEDGER_KEY = ["query_name", "run_id", "batch_id"]
+
+
+def _entry(table: str, rule: str, when: Column, key: Column | None = None, use: int = 1, target: int = 0) -> Column:
+    key = F.lit(None).cast("string") if key is None else key.cast("string")
+    return F.when(when, F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), key.alias("key"),
+                                 F.lit(use).cast("long").alias("uses"), F.lit(target).cast("long").alias("targets")))
+
+
+def _key_of(columns: list[str]) -> Column:
+    return F.col(columns[0]) if len(columns) == 1 else F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
+
+
+def _table_entries(name: str, df: DataFrame, audited: set[str]) -> tuple[list[str], list[Column]]:
+    """The table's rules and the entries of one of its rows."""
+    rules, out = [], []
+    spec = STAR_TABLES.get(name)
+    unique = [("primary_key", LEDGER_KEY)] if spec is None else [("primary_key", [spec.key])]
+    if name == "dim_date":
+        unique.append(("unique", ["date"]))
+    for kind, columns in unique:
+        rules.append(f"{kind}:{','.join(columns)}")
+        out.append(_entry(name, rules[-1], reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]), _key_of(columns)))
+    if spec is None:
+        return rules, out
+    for c in [spec.key] + [c for c in spec.not_null if c in df.columns]:
+        rules.append(f"not_null:{c}")
+        out.append(_entry(name, rules[-1], F.col(c).isNull()))
+    if name == FACT:
+        rules.append("check:event_count>=0")
+        out.append(_entry(name, rules[-1], F.col("event_count") < 0))
+    for fk, dim in spec.foreign_keys.items():
+        if dim in audited:
+            rules.append(f"foreign_key:{fk}")
+            out.append(_entry(name, rules[-1], F.col(fk).isNotNull(), F.col(fk)))
+    if name != FACT and FACT in audited:
+        out.append(_entry(FACT, f"foreign_key:{spec.key}", F.col(spec.key).isNotNull(), F.col(spec.key), 0, 1))
+    return rules, out
+
+
+def constraint_audit(tables: dict[str, DataFrame], ledger: DataFrame | None = None,
+                     first_day: _dt.date | str | None = None, last_day: _dt.date | str | None = None) -> DataFrame:
+    """(table_name, rule, violations) for every constraint of the star; with
+    first_day or last_day only facts of those days (their folders) are audited."""
+    tables = dict(tables)
+    for day, side in ((first_day, Column.__ge__), (last_day, Column.__le__)):
+        if day is not None and FACT in tables:
+            tables[FACT] = tables[FACT].where(side(F.col("date_key"), str(day).replace("-", "")))
     if ledger is not None:
-        parts.append(_duplicates("stream_batch_log", ledger, ["query_name", "run_id", "batch_id"],
-                                 "primary_key:query_name,run_id,batch_id"))
-    return reduce(DataFrame.unionByName, parts)
+        tables["stream_batch_log"] = ledger
+    rules, parts = [], []
+    for name, df in tables.items():
+        own, entries = _table_entries(name, df, set(tables))
+        rules += [(name, r) for r in own]
+        parts.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    spark = next(iter(tables.values())).sparkSession
+    by_key = reduce(DataFrame.unionAll, parts).groupBy("table_name", "rule", "key").agg(F.sum("uses").alias("uses"), F.sum("targets").alias("targets"))
+    bad = (F.when(F.col("rule").startswith("foreign_key"), F.when(F.col("targets") == 0, F.col("uses")))
+           .when(F.col("rule").startswith("primary_key") | F.col("rule").startswith("unique"), (F.col("uses") > 1).cast("long"))
+           .otherwise(F.col("uses")))
+    counted = by_key.groupBy("table_name", "rule").agg(F.sum(bad).alias("violations"))
+    every = spark.createDataFrame(rules, "table_name string, rule string")
+    return every.join(counted, ["table_name", "rule"], "left").select("table_name", "rule", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
 
 
 def align_to(df: DataFrame, schema: StructType) -> DataFrame:
-    """Additive evolution: columns of `schema` missing from `df` are added as
-    typed NULLs, in the schema's order.  Existing data is never rewritten."""
-    present = set(df.columns)
-    return df.select(*[F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    """The frame in another layout: columns of `schema` missing from `df` are
+    added as typed NULLs, others cast to its types, in its order; columns it
+    lacks go.  Existing data is never rewritten."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(f):
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        return F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+    return df.select(*[column(f) for f in schema.fields])
 
 
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from viewstar.oracle.duck import (
     clean_url_sql, domain_sql, on_clean, on_clicks, on_reports, on_star, family_case, with_ctes,
-    CLICKS_CTE, CLEAN_CTE,
+    CLICKS_CTE, CLEAN_CTE, STAR_CTE,
 )
-from viewstar.schemas import STAR_TABLES
 
 A_LAST = "DATE '2024-01-20'"
 B_FIRST = "DATE '2024-01-15'"
@@ -49,29 +48,51 @@ bb AS (SELECT * FROM base WHERE event_date >= {B_FIRST})
 """
 
 
-def _audit_sql() -> str:
+# Keys and NOT NULL columns, written by hand from the specification.
+KEYS = {"dim_date": "date_key", "dim_product": "product_key", "dim_location": "location_key",
+        "dim_customer": "customer_key", "fact_log_event": "event_key"}
+NOT_NULL = {"dim_date": ["date", "year", "quarter", "month", "month_name", "week_of_year", "day", "day_of_week", "day_name", "is_weekend"],
+            "dim_product": ["product_id", "is_current"], "fact_log_event": ["event_count", "ingestion_timestamp"]}
+VIEWS = {**{name: name for name in KEYS}, "fact_log_event": "timed_fact"}
+#: The proofs' facts carry one load time.
+TIMED_FACT = "timed_fact AS (SELECT *, TIMESTAMP '2024-02-01' AS ingestion_timestamp FROM fact)"
+
+
+def _audit_sql(views: dict[str, str] = VIEWS) -> str:
     rows = []
-    tables = {"dim_date": "dim_date", "dim_product": "dim_product", "dim_location": "dim_location",
-              "dim_customer": "dim_customer", "fact_log_event": "fact"}
-    for name, view in tables.items():
-        spec = STAR_TABLES[name]
-        for c in [spec.key] + [c for c in spec.not_null if c != "ingestion_timestamp"]:
+    for name, key in KEYS.items():
+        for c in [key] + NOT_NULL.get(name, []):
             rows.append(f"SELECT '{name}' AS table_name, 'not_null:{c}' AS rule, "
-                        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {view}")
-        rows.append(f"SELECT '{name}', 'primary_key:{spec.key}', CAST(count(*) AS BIGINT) FROM "
-                    f"(SELECT {spec.key} FROM {view} WHERE {spec.key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
-    # The proof's fact carries a load time for every row.
-    rows.append("SELECT 'fact_log_event', 'not_null:ingestion_timestamp', CAST(0 AS BIGINT)")
+                        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {views[name]}")
+        rows.append(f"SELECT '{name}', 'primary_key:{key}', CAST(count(*) AS BIGINT) FROM "
+                    f"(SELECT {key} FROM {views[name]} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
     rows.append("SELECT 'fact_log_event', 'check:event_count>=0', "
-                "CAST(count(*) FILTER (WHERE event_count < 0) AS BIGINT) FROM fact")
+                f"CAST(count(*) FILTER (WHERE event_count < 0) AS BIGINT) FROM {views['fact_log_event']}")
     rows.append("SELECT 'dim_date', 'unique:date', CAST(count(*) AS BIGINT) FROM "
-                "(SELECT date FROM dim_date WHERE date IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
-    for fk, dim in STAR_TABLES["fact_log_event"].foreign_keys.items():
-        rows.append(f"SELECT 'fact_log_event', 'foreign_key:{fk}', CAST(count(*) AS BIGINT) FROM fact f "
-                    f"WHERE f.{fk} IS NOT NULL AND f.{fk} NOT IN (SELECT {fk} FROM {dim} WHERE {fk} IS NOT NULL)")
+                f"(SELECT date FROM {views['dim_date']} WHERE date IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+    for dim in ("dim_date", "dim_product", "dim_location", "dim_customer"):
+        fk = KEYS[dim]
+        rows.append(f"SELECT 'fact_log_event', 'foreign_key:{fk}', CAST(count(*) AS BIGINT) FROM {views['fact_log_event']} f "
+                    f"WHERE f.{fk} IS NOT NULL AND f.{fk} NOT IN (SELECT {fk} FROM {views[dim]} WHERE {fk} IS NOT NULL)")
     return "\nUNION ALL\n".join(rows)
 
 
+def _planted(view: str, table: str, column: str, twice: str, nulls: str, more: str = "") -> str:
+    return (f"{view} AS (SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE regexp_matches({column}, '{twice}')"
+            f" UNION ALL SELECT n.* FROM (SELECT COLUMNS(*) FROM {table} WHERE FALSE) n RIGHT JOIN {table} t ON FALSE WHERE regexp_matches(t.{column}, '{nulls}'){more})")
+
+
+PLANTED = ", ".join([
+    TIMED_FACT,
+    _planted("p_date", "dim_date", "date_key", "3$", "4$"), _planted("p_product", "dim_product", "product_id", "3$", "4$"),
+    _planted("p_location", "dim_location", "ip", "3$", "4$"), _planted("p_customer", "dim_customer", "email", "3@", "4@"),
+    _planted("p_fact", "timed_fact", "store_id", "3$", "4$", """
+      UNION ALL SELECT * REPLACE ('neg-' || event_key AS event_key, -1 AS event_count) FROM timed_fact WHERE store_id = '5'
+      UNION ALL SELECT * REPLACE ('fk-' || event_key AS event_key, 'nowhere' AS date_key, 'nowhere' AS product_key,
+                                  'nowhere' AS location_key, 'nowhere' AS customer_key) FROM timed_fact WHERE store_id = '6'""")])
+PLANTED_VIEWS = {"dim_date": "p_date", "dim_product": "p_product", "dim_location": "p_location", "dim_customer": "p_customer", "fact_log_event": "p_fact"}
+
+
 _HOURS = "(SELECT CAST(h AS INTEGER) AS event_hour FROM range(24) t(h))"
 
 _BROWSER_OS = f"""
@@ -200,7 +221,18 @@ SELECT event_key, browser FROM base WHERE event_date >= {B_FIRST} AND event_date
 SELECT DISTINCT browser FROM fact WHERE browser IS NOT NULL
 EXCEPT
 SELECT browser FROM fact WHERE store_id IN ('0', '1')"""),
-    "constraint_audit": on_star(_audit_sql()),
+    "constraint_audit": with_ctes(CLICKS_CTE, CLEAN_CTE, STAR_CTE, TIMED_FACT, body=_audit_sql()),
+    "constraint_audit_planted": with_ctes(CLICKS_CTE, CLEAN_CTE, STAR_CTE, PLANTED, body=_audit_sql(PLANTED_VIEWS)),
+    "new_browsers_by_batch": on_star("""
+SELECT browser, CAST(CASE WHEN max(CASE WHEN store_id IN ('0', '1') THEN 1 ELSE 0 END) = 1 THEN 0 ELSE 1 END AS INTEGER) AS batch
+FROM fact WHERE browser IS NOT NULL GROUP BY browser"""),
+    "duplicate_events": on_clean("""
+SELECT event_key, CAST(2 AS BIGINT) AS copies, date_key AS first_day, strftime(event_date + INTERVAL 20 DAY, '%Y%m%d') AS last_day
+FROM base WHERE event_date <= DATE '2024-01-05' AND id LIKE '%7'"""),
+    "evolve_warehouse": on_clean(f"""
+SELECT event_key, CASE WHEN event_date > {A_LAST} THEN browser END AS browser, CAST(1 AS INTEGER) AS event_count FROM base"""),
+    "evolve_customers": on_clean(f"""
+SELECT customer_key, max(CASE WHEN event_date >= {B_FIRST} THEN lower(email) END) AS email FROM base WHERE customer_key IS NOT NULL GROUP BY 1"""),
     "stream_dedup": on_clean(f"""
 SELECT {RAW_FLAT}, local_ts, event_ts, current_domain, referrer_domain, browser, event_date, event_hour
 FROM cleaned QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts) = 1"""),
@@ -232,7 +264,7 @@ FROM (VALUES (0, 0, 'committed'), (1, 1, 'failed'), (2, 1, 'committed'), (3, 1,
 ORACLE["stream_file_roundtrip"] = ORACLE["stream_dedup"]
 ORACLE["stream_dedup_salted"] = ORACLE["stream_dedup"]
 # The loaded warehouse satisfies every constraint, and its ledger key is unique.
-ORACLE["loader_constraint_audit"] = on_star(_audit_sql() + """
+ORACLE["loader_constraint_audit"] = with_ctes(CLICKS_CTE, CLEAN_CTE, STAR_CTE, TIMED_FACT, body=_audit_sql() + """
 UNION ALL
 SELECT 'stream_batch_log', 'primary_key:query_name,run_id,batch_id', CAST(0 AS BIGINT)""")
 ORACLE["warehouse_top_products"] = ORACLE["top_products"]

@@ -2,6 +2,9 @@
 
 Nothing is schema-inferred: the raw event, the cleaned event and the five
 warehouse tables are fixed here.
+
+Fixed values: names, types and order of the fields and columns are the data
+contract.
 """
 
 from __future__ import annotations
@@ -75,6 +78,7 @@ LEDGER = StructType([
     StructField("run_id", StringType(), False),
     StructField("batch_id", LongType(), False),
     StructField("processed_at", TimestampType(), False),
+    StructField("layout", IntegerType(), True),
 ])
 
 
@@ -108,3 +112,11 @@ STAR_TABLES: dict[str, TableSpec] = {
 
 # Dimensions are merged before the fact so foreign keys resolve.
 LOAD_ORDER = ["dim_date", "dim_product", "dim_location", "dim_customer", "fact_log_event"]
+
+#: Layouts that loads were written in: by table, the columns it hadn't yet and those of a narrower type.
+LAYOUT = 2
+LAYOUTS: dict[int, dict[str, dict]] = {
+    1: {"fact_log_event": {"missing": ["browser"], "types": {"event_count": "smallint"}},
+        "dim_customer": {"missing": ["email"], "types": {}}},
+    2: {},
+}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from viewstar.sources.streams import DEFAULT_MAX_FILES, cleaned_events_stream
-from viewstar.streaming.warehouse import Warehouse
+from viewstar.streaming.warehouse import KEY_HORIZON_DAYS, Warehouse
 
 DEFAULT_TRIGGER = "30 seconds"
 DEFAULT_QUERY_NAME = "star_loader"
@@ -25,10 +25,10 @@ def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
 
 class _BatchLoader:
     def __init__(self, warehouse: Warehouse, query_name: str, checkpoint: str, ingestion_timestamp=None,
-                 fact_key_scope: str = "global"):
+                 key_horizon_days: int | None = KEY_HORIZON_DAYS):
         self.warehouse, self.query_name, self.checkpoint = warehouse, query_name, checkpoint
         self.ingestion_timestamp = ingestion_timestamp
-        self.fact_key_scope = fact_key_scope
+        self.key_horizon_days = key_horizon_days
         self.run_id = None
         # the last results only: a loader runs for months
         self.results: deque[dict] = deque(maxlen=KEEP_RESULTS)
@@ -38,16 +38,16 @@ class _BatchLoader:
             self.run_id = checkpoint_query_id(batch.sparkSession, self.checkpoint)
         self.results.append(self.warehouse.load_batch(batch, batch_id, self.query_name, self.run_id,
                                                       self.ingestion_timestamp,
-                                                      fact_key_scope=self.fact_key_scope))
+                                                      key_horizon_days=self.key_horizon_days))
 
 
 def start_loader(spark: SparkSession, source_path: str, warehouse_root: str, checkpoint: str,
                  query_name: str = DEFAULT_QUERY_NAME, trigger: str | None = None,
                  max_files: int | None = DEFAULT_MAX_FILES, ingestion_timestamp=None,
-                 fact_key_scope: str = "global"):
+                 key_horizon_days: int | None = KEY_HORIZON_DAYS):
     """Start the loader; returns (query, batch_loader)."""
     loader = _BatchLoader(Warehouse(spark, warehouse_root), query_name, checkpoint, ingestion_timestamp,
-                          fact_key_scope)
+                          key_horizon_days)
     w = (cleaned_events_stream(spark, source_path, max_files).writeStream
          .foreachBatch(loader).outputMode("append")
          .option("checkpointLocation", checkpoint).queryName(query_name))

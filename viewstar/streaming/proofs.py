@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from viewstar.operators.clean import clean
 from viewstar.operators.dedup import dedup_stable
-from viewstar.schemas import RAW_COLUMNS
+from viewstar.schemas import CLEAN_EVENT, RAW_COLUMNS
 from viewstar.session import scratch_dir
 from viewstar.sources.fixtures import clicks, messages
 from viewstar.sources.streams import file_messages
@@ -173,19 +173,27 @@ def load_run(spark: SparkSession, sf_dir: str) -> dict:
     return run
 
 
+class CrashingWarehouse(Warehouse):
+    """A writer that dies when its tables are written, before the ledger row."""
+
+    def _commit(self, query_name: str, run_id: str, batch_id: int, lid: str) -> None:
+        raise RuntimeError(f"simulated crash before the commit of batch {batch_id}")
+
+
 def replay_run(spark: SparkSession, sf_dir: str, a_last: _dt.date, b_first: _dt.date) -> Warehouse:
     """Batch 0 commits; batch 1 fails after writing its tables and before
     the ledger; batch 1 is replayed (commits) and replayed again (skipped)."""
     k = _key(spark, sf_dir, "replay")
     if k in _RUNS:
         return _RUNS[k]
-    cleaned = dedup_stable(clean(clicks(spark, sf_dir)), ["id"], ["event_ts"])
-    wh = Warehouse(spark, f"{scratch_dir(spark, 'replay')}/wh")
+    cleaned = _unique_events(spark, sf_dir)
+    root = f"{scratch_dir(spark, 'replay')}/wh"
+    wh = Warehouse(spark, root)
     b0 = cleaned.where(F.col("event_date") <= F.lit(a_last))
     b1 = cleaned.where(F.col("event_date") >= F.lit(b_first))
     log = [wh.load_batch(b0, 0, "replay", "run-1", PROOF_LOAD_TIME)]
     try:
-        wh.load_batch(b1, 1, "replay", "run-1", PROOF_LOAD_TIME, fail_before_commit=True)
+        CrashingWarehouse(spark, root).load_batch(b1, 1, "replay", "run-1", PROOF_LOAD_TIME)
     except RuntimeError:
         log.append({"batch_id": 1, "status": "failed"})
     visible_after_failure = wh.read("fact_log_event").count()
@@ -197,9 +205,81 @@ def replay_run(spark: SparkSession, sf_dir: str, a_last: _dt.date, b_first: _dt.
     return wh
 
 
+def evolved_run(spark: SparkSession, sf_dir: str, a_last: _dt.date, b_first: _dt.date) -> Warehouse:
+    """A warehouse whose batch 0 was written in layout 1 (no browser, no email,
+    narrower counts) and batch 1, which overlaps it, in today's."""
+    k = _key(spark, sf_dir, "evolved")
+    if k in _RUNS:
+        return _RUNS[k]
+    cleaned = _unique_events(spark, sf_dir)
+    root = f"{scratch_dir(spark, 'evolved')}/wh"
+    Warehouse(spark, root, layout=1).load_batch(cleaned.where(F.col("event_date") <= F.lit(a_last)), 0, "evolved", "run-1", PROOF_LOAD_TIME)
+    wh = Warehouse(spark, root)
+    wh.load_batch(cleaned.where(F.col("event_date") >= F.lit(b_first)), 1, "evolved", "run-1", PROOF_LOAD_TIME)
+    _RUNS[k] = wh
+    return wh
+
+
+def seen_run(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Batch 0 holds the events of two stores, batch 1 all events."""
+    k = _key(spark, sf_dir, "seen")
+    if k not in _RUNS:
+        cleaned = _unique_events(spark, sf_dir)
+        wh = Warehouse(spark, f"{scratch_dir(spark, 'seen')}/wh")
+        wh.load_batch(cleaned.where(F.col("store_id").isin("0", "1")), 0, "seen", "run-1", PROOF_LOAD_TIME)
+        wh.load_batch(cleaned, 1, "seen", "run-1", PROOF_LOAD_TIME)
+        _RUNS[k] = wh
+    return _RUNS[k]
+
+
+def redelivered_run(spark: SparkSession, sf_dir: str, a_last: _dt.date) -> Warehouse:
+    """Ids of the first five days come again: those that end in 7 in batch 1 with
+    times 20 days later (let in by the bounded look-up), those that end in 6 in
+    batch 2 with their own times (found)."""
+    k = _key(spark, sf_dir, "redelivered")
+    if k not in _RUNS:
+        cleaned = _unique_events(spark, sf_dir)
+        old = cleaned.where(F.col("event_date") <= F.lit(_dt.date(2024, 1, 5)))
+        moved = old.where(F.col("id").endswith("7")).withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 20 DAYS"))
+        moved = moved.withColumn("event_date", F.to_date("event_ts")).select(*cleaned.columns)
+        batches = [cleaned.where(F.col("event_date") <= F.lit(a_last)), cleaned.where(F.col("event_date") > F.lit(a_last)).unionByName(moved),
+                   old.where(F.col("id").endswith("6"))]
+        wh = Warehouse(spark, f"{scratch_dir(spark, 'redelivered')}/wh")
+        for i, batch in enumerate(batches):
+            wh.load_batch(batch, i, "redelivered", "run-1", PROOF_LOAD_TIME)
+        _RUNS[k] = wh
+    return _RUNS[k]
+
+
+def with_violations(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star tables with rows added that break every rule: copies of some rows,
+    rows of NULLs, facts with a negative count and facts that point nowhere."""
+    def planted(df: DataFrame, twice, nulls) -> DataFrame:
+        empty = df.where(nulls).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+        return df.unionAll(df.where(twice)).unionAll(empty)
+    out = {name: planted(tables[name], F.col(c).rlike(two), F.col(c).rlike(none)) for name, c, two, none in (
+        ("dim_date", "date_key", "3$", "4$"), ("dim_product", "product_id", "3$", "4$"), ("dim_location", "ip", "3$", "4$"),
+        ("dim_customer", "email", "3@", "4@"), ("fact_log_event", "store_id", "3$", "4$"))}
+    fact = tables["fact_log_event"]
+    negative = fact.where("store_id = '5'").withColumns({"event_key": F.concat(F.lit("neg-"), "event_key"), "event_count": F.lit(-1)})
+    nowhere = fact.where("store_id = '6'").withColumns({"event_key": F.concat(F.lit("fk-"), "event_key")} | {c: F.lit("nowhere") for c in ("date_key", "product_key", "location_key", "customer_key")})
+    out["fact_log_event"] = out["fact_log_event"].unionByName(negative).unionByName(nowhere)
+    return out
+
+
+def _unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned events, one row an id, as a table."""
+    k = _key(spark, sf_dir, "unique")
+    if k not in _RUNS:
+        path = scratch_dir(spark, "unique")
+        dedup_stable(clean(clicks(spark, sf_dir)), ["id"], ["event_ts"]).write.parquet(path)
+        _RUNS[k] = spark.read.schema(CLEAN_EVENT).parquet(path)
+    return _RUNS[k]
+
+
 def two_queries_run(spark: SparkSession, sf_dir: str, a_last: _dt.date) -> DataFrame:
     """Batch 0 of two queries with one run id, each loaded twice: events and days of each status."""
-    cleaned = dedup_stable(clean(clicks(spark, sf_dir)), ["id"], ["event_ts"])
+    cleaned = _unique_events(spark, sf_dir)
     wh = Warehouse(spark, f"{scratch_dir(spark, 'two')}/wh")
     parts = {"daily": cleaned.where(F.col("event_date") <= F.lit(a_last)), "backfill": cleaned.where(F.col("event_date") > F.lit(a_last))}
     rows = [(name, wh.load_batch(part, 0, name, "run-1", PROOF_LOAD_TIME)["status"], wh.read("fact_log_event").count())
