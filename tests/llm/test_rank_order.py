@@ -1,3 +1,4 @@
+import numpy as np
 import random
 from collections import Counter
 
@@ -67,6 +68,13 @@ def test_edges(spark, docs_of):
     assert L.identify(docs_of([]), {}).collect() == []
 
 
+def test_digits_beyond_ascii_are_no_letters(spark, docs_of):
+    profiles = {"en": np.array([0x6120, 0x61], np.uint32)}
+    texts = ["½ ² ①", "Ⅷ ٣", "1_2", "½ a", "ª", "你", "\u0301"]
+    got = {r.doc_id: r.lang_pred for r in L.identify(docs_of(list(enumerate(texts))), profiles).collect()}
+    assert [got[i] for i in range(7)] == ["und", "und", "und", "en", "en", "en", "und"]
+
+
 def test_stage_rejects_what_has_no_language(spark, docs_of):
     rows = corpus(60) + [(900, None, "en"), (901, "123", "en"), (None, "theron thing", "en")]
     out = L.identified(docs_of(rows))

@@ -16,7 +16,6 @@ other columns are ignored; whole texts are read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from viewstar.llm.common import crc_mod, table
-from viewstar.llm.kernel import pieces
+from viewstar.llm.kernel import pieces, release
 
 TOP = 300
 LONGEST = 4
@@ -36,7 +35,6 @@ LONGEST = 4
 PIECE = 2 << 20
 #: The pipeline's stage rejects documents that score less (beside those without a letter).
 LEAST_SCORE = 0.05
-_LETTER = re.compile(r"[^\W\d_]")
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -107,6 +105,8 @@ def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a in range(0, len(keys), 50_000):
             k = keys[a:a + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int64)), pa.array(sums[a:a + 50_000])], ["lang", "gram", "n"])
+    held.clear()
+    release()
 
 
 def learn(labelled: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
@@ -148,7 +148,7 @@ def _predictor(profiles: dict[str, np.ndarray]):
                 lang, score = [], []
                 for i, t in enumerate(texts):
                     a, b = int(at[i]), int(at[i + 1])  # from the blank before the text to the one after it
-                    plain = names and b - a > 1 and (_LETTER.search(t) is not None)
+                    plain = names and b - a > 1 and any(map(str.isalpha, t))
                     own = top_grams(np.concatenate([k[a:max(b + 2 - n, a)] for n, k in enumerate(keys, 1)])) if plain else ()
                     if len(own):
                         best, s = nearest(own, grams, places)
@@ -159,6 +159,7 @@ def _predictor(profiles: dict[str, np.ndarray]):
                         score.append(0.0)
                 yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in piece.schema.names if c != "text"], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                                  [*[c for c in piece.schema.names if c != "text"], "lang_pred", "score"])
+        release()
     return predict
 
 
