@@ -1,6 +1,8 @@
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -42,11 +44,18 @@ ODD = ["<|endoftext|> a<|STARTOFTEXT|>b it's don't 'LL x'y’s İstanbul ΣΑΣ
 
 def test_encoder_equals_whole_text_encoding():
     with open(PATH, encoding="utf-8") as f:
-        e = R.Encoder(f.read())
-    for _ in range(2):  # with and without what it remembers
-        ids, sizes = e.encode([None if t is None else t.encode() for t in ODD])
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == reference(ODD)
+        spec = f.read()
+    rng = random.Random(7)
+    parts = [" ", "\t", "\x0b", "\x0c", "\r\n", "\x85", "\u2003", "\x1c", "<|", "|>", "<|endoftext|>", "<|Endoftext|>", "a", "É", "ß", "don't", "1", "你", "\u0301", "..", "Σ", "\x00", "-"]
+    texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    for held in (8, 10_000):
+        e = R.Encoder(spec, held)
+        for k in (1, 40):  # with and without what it holds
+            for i in range(0, len(texts), len(texts) // k + 1):
+                some = texts[i:i + len(texts) // k + 1]
+                ids, sizes = e.encode(pa.array(some, pa.string()))
+                at = np.concatenate([[0], np.cumsum(sizes)])
+                assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == reference(some)
 
 
 def test_query_digests(spark, docs_of, monkeypatch):

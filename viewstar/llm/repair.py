@@ -16,8 +16,8 @@ little-endian counts (alphabet, rules, levels, symbols, three zeros), then
 alphabet u32, rules' left and right u16, rules' lengths u32, rules per level u32,
 symbols u16.
 
-Memory: a task holds one batch, one shard and its word memo (``MEMO`` entries); a
-longer text fills several shards.  Repeated or null ids keep their rows (nulls
+Memory: a task holds one batch, one shard and its word table (``WORDS_HELD``
+words); a longer text fills several shards.  Repeated or null ids keep their rows (nulls
 first, equal ids by text); a null text is an empty one; an empty table gives no
 rows; other columns are ignored.
 """
@@ -27,7 +27,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from viewstar.llm.common import scratch_path, table
-from viewstar.llm.kernel import pieces
+from viewstar.llm.kernel import BLANK_WORDS, pieces, release, text_bytes, words
+from viewstar.llm.word_table import WordTable, spread
 
 END_ID = 1
 SHARD = 1_000_000
 MIN_COUNT = 8
 MIN_GAIN_PERCENT = 1
 MAX_SYMBOLS = 1 << 16
-#: Words a task remembers the ids of; beyond that it forgets them all and learns anew.
-MEMO = 600_000
+#: Words a worker holds the ids of, some 50 bytes each.
+WORDS_HELD = 1_000_000
 #: Bytes of text that a task encodes at once.
 PIECE = 2 << 20
 _SLOTS = 1 << 20
@@ -96,12 +96,6 @@ def _replace_round(seq: np.ndarray, n_symbols: int) -> tuple[np.ndarray, np.ndar
     return out[keep], pairs[used]
 
 
-def _spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """Positions starts[i], ..., starts[i] + lens[i] - 1 of all i in turn."""
-    before = np.cumsum(lens) - lens
-    return np.repeat(starts - before, lens) + np.arange(int(lens.sum()), dtype=np.int64)
-
-
 def pack(ids: np.ndarray) -> bytes:
     """The grammar of a shard's ids."""
     alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32) if len(ids) else np.empty(0, np.uint32)
@@ -157,12 +151,12 @@ class Shard:
             a, b = self.left[done:done + k], self.right[done:done + k]
             both = np.stack([a, b], axis=1).reshape(-1)
             lo = int(self.start[base + done])
-            flat[lo:lo + int(self.size[base + done:base + done + k].sum())] = flat[_spread(self.start[both], self.size[both])]
+            flat[lo:lo + int(self.size[base + done:base + done + k].sum())] = flat[spread(self.start[both], self.size[both])]
             done += k
         self.flat = flat
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        return self.flat[_spread(self.start[symbols], self.size[symbols])]
+        return self.flat[spread(self.start[symbols], self.size[symbols])]
 
     def ids(self) -> np.ndarray:
         return self.expand(self.seq)
@@ -183,19 +177,11 @@ class Shard:
 _PLAIN = re.compile(r"([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-class _Memo(dict):
-    """Numbers words as they are first looked up."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 class Encoder:
-    """Whole texts to ids, with the tokenizer asked once for each chunk between
-    spaces: this tokenizer drops white space and no id crosses it."""
+    """Whole texts to ids, with the tokenizer asked once for each word that the
+    worker doesn't hold: this tokenizer drops white space and no id crosses it."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, held: int = WORDS_HELD):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -203,57 +189,34 @@ class Encoder:
         self.model = self.tokenizer.model
         # how the tokenizer spells the letters beyond ASCII to its model
         self.spelled = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in range(0xE0, 0x100) if c != 0xF7}
-        self.forget()
-
-    def forget(self) -> None:
-        self.memo = _Memo()
-        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used = np.zeros(1 << 18, np.uint16), 0
-
-    @staticmethod
-    def _room(a: np.ndarray, n: int) -> np.ndarray:
-        return a if n <= len(a) else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
-
-    def _learn(self, chunks: list[bytes], n: int) -> None:
-        """Ids of the words numbered n and following."""
-        words = [c.decode("utf-8", "replace") for c in chunks]
-        k = len(words)
-        found: list[list[int]] = [[]] * k
+        self.table = WordTable(self._tokenize, held)
+
+    def _tokenize(self, found: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(found)
         other = []
-        for i, w in enumerate(words):
+        for i, w in enumerate(found):
             plain = _PLAIN.fullmatch(w)
             if plain:
-                found[i] = [t.id for part in plain.groups() if part for t in self.model.tokenize(part.translate(self.spelled))]
+                out[i] = [t.id for part in plain.groups() if part for t in self.model.tokenize(part.translate(self.spelled))]
             else:
                 other.append(i)
-        for i, e in zip(other, self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
-            found[i] = e.ids
-        size = np.fromiter(map(len, found), np.int64, k)
-        self.start, self.size = self._room(self.start, n + k), self._room(self.size, n + k)
-        self.flat = self._room(self.flat, self.used + int(size.sum()))
-        self.size[n:n + k] = size
-        self.start[n:n + k] = self.used + np.cumsum(size) - size
-        self.flat[self.used:self.used + int(size.sum())] = np.fromiter(chain.from_iterable(found), np.uint16, int(size.sum()))
-        self.used += int(size.sum())
-
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids with the end ids, and how many belong to each UTF-8 text."""
-        if len(self.memo) > MEMO:
-            self.forget()
-        known, get, which = len(self.memo), self.memo.__getitem__, []
-        for t in texts:
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([found[i] for i in other], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids with the end ids, and how many belong to each text."""
+        buf, off = text_bytes(texts)
+        starts, ends, at = words(buf, off, BLANK_WORDS)
+        special = np.flatnonzero((buf[:-1] == 0x3C) & (buf[1:] == 0x7C))
+        if special.size:
             # letters a-z only differ in case here, except inside the special tokens' names
-            t = t or b""
-            chunks = (t if b"<|" in t else t.lower()).replace(b"\n", b" ").split(b" ")
-            which.append(np.fromiter(map(get, chunks), np.int64, len(chunks)))
-        if len(self.memo) > known:
-            self._learn(list(islice(self.memo, known, None)), known)
-        flat = np.concatenate(which) if which else np.empty(0, np.int64)
-        sizes = self.size[flat]
-        ids = self.flat[_spread(self.start[flat], sizes)].astype(np.uint32)
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        ends = total[np.cumsum([len(w) for w in which]).astype(np.int64)]
-        return np.insert(ids, ends, END_ID), np.diff(np.concatenate([[0], ends])) + 1
+            raw, _ = text_bytes(texts, lower=False)
+            for w in np.unique(np.searchsorted(starts, special, "right") - 1).tolist():
+                buf[starts[w]:ends[w]] = raw[starts[w]:ends[w]]
+        ids, sizes = self.table.ids(self.table.lookup(buf, starts, ends))
+        closing = np.concatenate([[0], np.cumsum(sizes)])[at[1:]]
+        return np.insert(ids.astype(np.uint32), closing, END_ID), np.diff(closing, prepend=0) + 1
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -290,7 +253,7 @@ def _shard_writer(spec):
 
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
-                more, sizes = _encoder(spec).encode(piece.column("text").cast(pa.binary()).to_pylist())
+                more, sizes = _encoder(spec).encode(piece.column("text"))
                 for name, n, end in zip(piece.column("id").to_pylist(), sizes.tolist(), np.cumsum(sizes).tolist()):
                     docs.append((name, n))
                     held += n
@@ -303,6 +266,7 @@ def _shard_writer(spec):
                         ids, held = [data], len(data)
         if held or docs:
             yield row(np.concatenate(ids))
+        release()
     return write
 
 
