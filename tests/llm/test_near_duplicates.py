@@ -50,6 +50,18 @@ def test_equals_brute_force(spark, docs_of):
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(shingles_of(dict(rows)[r.doc_id])) for r in out.values())
 
 
+def test_large_groups_of_copies(spark, docs_of, monkeypatch):
+    """Groups above the bound get their component by the other join, with the same result."""
+    from viewstar.llm import circulant_minhash
+    monkeypatch.setattr(circulant_minhash, "HOT_COPIES", 5)
+    monkeypatch.setattr(circulant_minhash, "HOT_GROUPS", 10)
+    rows = families(4, 12, 5, [0, 0.01])
+    base = rows[0][1] + " and some words more to be on the safe side"
+    rows += [(1000 + i, base) for i in range(120)] + [(2000 + i, base + " x" if i % 2 else "") for i in range(30)]
+    out = {r.doc_id: r.component_id for r in near_duplicates(docs_of(rows)).collect()}
+    assert out == plain_components(rows)
+
+
 def test_one_large_noisy_family(spark, docs_of):
     """Many members lie outside the pivot's reach and link by way of others or not at all."""
     rng = random.Random(8)
@@ -65,14 +77,15 @@ def test_one_large_noisy_family(spark, docs_of):
 def test_edges(spark, docs_of):
     long_text = " ".join(f"t{i}" for i in range(20000))
     rows = [(5, None), (6, ""), (7, " \n"), (8, "a b"), (3, "A  b"), (9, "a b c"), (None, "a b"), (None, None), (20, long_text), (10, long_text + " end"),
-            (30, "p q r s t u v w x y"), (30, "k l m n o"), (31, "p q r s t u v w x y"), (32, "k l m n o")]
+            (30, "p q r s t u v w x y"), (30, "k l m n o"), (31, "p q r s t u v w x y"), (32, "k l m n o"), (20, None)]
     got = near_duplicates(docs_of(rows)).collect()
     assert len(got) == len(rows)
     by = {}
     for r in got:
         by.setdefault(r.doc_id, []).append(r)
     assert {i: by[i][0].component_id for i in by if i is not None} == {5: 5, 6: 6, 7: 7, 8: 3, 3: 3, 9: 9, 20: 10, 10: 10, 30: 30, 31: 30, 32: 30}
-    assert [by[5][0].n_shingles, by[8][0].n_shingles, by[20][0].n_shingles] == [0, 1, 19996]
+    assert {r.component_id for r in by[20]} == {10} and len(by[20]) == 2
+    assert [by[5][0].n_shingles, by[8][0].n_shingles, max(r.n_shingles for r in by[20])] == [0, 1, 19996]
     assert all(r.kept and r.component_id is None for r in by[None])
     assert near_duplicates(docs_of([])).collect() == []
 

@@ -8,7 +8,8 @@ full sets.
 
 Buckets of many texts are never turned into all their pairs:
 
-* documents with equal sets are one candidate, linked to their smallest id;
+* documents with equal sets are one candidate, of their smallest id; only candidates
+  have links and components, which their copies get afterwards;
 * a text can only link if at least the threshold share of its shingles occurs in
   another candidate text, which one count per shingle decides for all of them;
 * each bucket first compares its members with one pivot, the text whose shingles
@@ -37,11 +38,13 @@ from pyspark.sql import functions as F
 
 from viewstar.llm.common import materialize
 from viewstar.llm.components import components
-from viewstar.llm.kernel import long_lists, mix64, pieces, text_shingles
+from viewstar.llm.kernel import long_lists, mix64, pieces, release, text_shingles
 
 RING = 1 << 20
 #: Sets and shingles of one side of a block that a task compares, and columns of their incidence at a time.
 BLOCK_SETS, BLOCK_SHINGLES, COLUMNS = 1024, 500_000, 2048
+#: Groups of at least so many exact copies, and of at least this fraction of all rows, get their component by a broadcast.
+HOT_COPIES, HOT_GROUPS = 1000, 10_000
 
 
 @lru_cache(maxsize=2)
@@ -90,6 +93,7 @@ def _sketcher(bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), long_lists(keys)],
                     ["id", "n", "sid", "sid2", "bands"])
+        release()
     return sketch
 
 
@@ -102,6 +106,7 @@ def _setter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [sets[i] for i in right]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(sids[right]), pa.array([len(s) for s in sets], pa.int64()), long_lists(sets)], ["sid", "n", "shingles"])
+    release()
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +205,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = materialize(texts.mapInArrow(_sketcher(bands, rows), "id long, n long, sid long, sid2 long, bands array<long>"), "sketch")
     known = sketches.where("id is not null and n > 0")
     group = ["n", "sid", "sid2"]
-    reps = materialize(known.groupBy(*group).agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "reps")
+    reps = materialize(known.groupBy(*group).agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")), "reps")
 
     at = reps.select("id", "sid", F.explode("bands").alias("key"))
     full = at.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -218,11 +223,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _links(members, sets, percent)
     ids = reps.select("sid", "id").distinct()
     edges = links.join(ids.select(F.col("sid").alias("a"), F.col("id").alias("ia")), "a").join(ids.select(F.col("sid").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
-    copies = known.join(reps.select(*group, F.col("id").alias("b")), group).where("id <> b").select(F.col("id").alias("a"), "b")
-    comp = components(edges.unionAll(copies))
-    out = sketches.select("id", "n").join(comp, sketches["id"] == comp["node"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"),
-                      F.coalesce("comp", "id").eqNullSafe(F.col("id")).alias("kept"))
+    # rows of one id that differ tie their groups together
+    spans = [f(c).alias(f"{k}_{c}") for c in ("sid", "sid2") for k, f in (("low", F.min), ("high", F.max))]
+    mixed = known.groupBy("id").agg(*spans).where("low_sid <> high_sid OR low_sid2 <> high_sid2").select("id")
+    own = known.join(mixed, "id", "left_semi").join(reps.select(*group, F.col("id").alias("b")), group).select("id", "b").distinct()
+    tied = own.join(own.groupBy("id").agg(F.min("b").alias("a")), "id").where("a <> b").select("a", "b")
+    comp = components(edges.unionAll(tied)).where("node <> comp")
+    named = reps.join(comp, reps["id"] == comp["node"], "left").select(*group, "copies", "id", F.coalesce("comp", "id").alias("component_id"))
+    # exact copies need no links: their group's component is theirs; other groups of one row are their own
+    moved = materialize(named.where("copies > 1 OR component_id <> id").select(*group, "copies", "component_id"), "named")
+    least = max(HOT_COPIES, (reps.agg(F.sum("copies")).first()[0] or 0) // HOT_GROUPS)
+    hot, rest = (moved.where(test).drop("copies") for test in (F.col("copies") >= least, F.col("copies") < least))
+    cols = ("id", "n", "component_id")
+    # at most HOT_GROUPS groups of so many copies, some 40 bytes each; a key of the other join has fewer rows
+    in_hot = known.join(F.broadcast(hot), group).select(*cols)
+    in_rest = known.join(F.broadcast(hot), group, "left_anti").join(rest, group, "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
+    blank = sketches.where("id is not null and n = 0")
+    also = known.join(blank.select("id").distinct(), "id", "left_semi").join(moved, group).groupBy("id").agg(F.min("component_id").alias("component_id"))
+    alone = sketches.where("id is null or n = 0").join(also, "id", "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
+    out = in_hot.unionAll(in_rest).unionAll(alone)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
