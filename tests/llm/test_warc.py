@@ -60,6 +60,15 @@ def test_one_url_and_one_payload_everywhere(spark, tmp_path):
     assert [r.page_id for r in got if r.record_type == "response"] == [0] and {r.refers_to for r in got} == {None, 0}
 
 
+def test_payload_of_very_many_pages_is_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(A, "BROADCAST_DIGESTS", 0)
+    rows = [(i, f"http://h{i % 5}.org/{i}", "x" * 200 if i % 3 else f"page {i} " * 30) for i in range(90)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in A.Archive.write(pages, f"file://{tmp_path}/w").lookup(pages.select("url")).collect()}
+    assert len(got) == 90 and all(got[i].record_type == ("response" if i % 3 == 0 or i == 1 else "revisit") for i in range(90))
+    assert all(got[i].refers_to == (None if i % 3 == 0 or i == 1 else 1) for i in range(90))
+
+
 def test_no_pages(spark, tmp_path):
     pages = pages_of(spark, [])
     assert A.Archive.write(pages, f"file://{tmp_path}/w").lookup(pages.select("url")).collect() == []

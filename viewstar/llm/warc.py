@@ -40,6 +40,11 @@ from viewstar.llm.common import materialize, scratch_path, table
 LEAST = 100
 BLOCK = 3000
 ARCHIVE_BYTES = 1 << 30
+#: Bytes of archives that a reading task is meant to take.
+READ_BYTES = 32 << 20
+#: Digests of repeated payloads (some 100 bytes each) are broadcast up to this number; beyond, each is SALTS keys of a join.
+BROADCAST_DIGESTS = 300_000
+SALTS = 32
 DATE = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -137,7 +142,7 @@ def _archiver(folder: str):
 def _indexer(folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _folder(folder)
-        name, at, held, first, last = uuid.uuid4().hex, 0, [], None, None
+        name, at, held, first, last, total = uuid.uuid4().hex, 0, [], None, None, 0
         blocks = store.open_output_stream(f"{path}/{name}.cdx.gz", compression=None)
         directory = store.open_output_stream(f"{path}/{name}.dir", compression=None)
 
@@ -155,6 +160,7 @@ def _indexer(folder: str):
             for r in batch.to_pylist():
                 first = r["key"] if first is None else first
                 last = r["key"]
+                total += r["length"]
                 held.append(f"{r['key']}\t{'' if r['page_id'] is None else r['page_id']}\t{r['file']}\t{r['offset']}\t{r['length']}")
                 if len(held) >= BLOCK:
                     flush()
@@ -163,7 +169,7 @@ def _indexer(folder: str):
         blocks.close()
         directory.close()
         if first is not None:
-            yield pa.RecordBatch.from_pydict({"file": [name], "low": [first], "high": [last]})
+            yield pa.RecordBatch.from_pydict({"file": [name], "low": [first], "high": [last], "bytes": [total]})
     return write
 
 
@@ -179,22 +185,32 @@ class Archive:
         p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
         long_one = F.octet_length(F.coalesce("html", F.lit(""))) >= LEAST
         same = p.where(long_one).groupBy(F.sha2("html", 256).alias("digest")).agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        same = materialize(same, "digests")
         # short payloads refer to nothing: a key of their own keeps them spread
         named = p.withColumn("digest", F.when(long_one, F.sha2("html", 256)).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.xxhash64("url", "html").cast("string")))))
-        typed = named.join(same, "digest", "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
+        if same.count() <= BROADCAST_DIGESTS:
+            typed = named.join(F.broadcast(same), "digest", "left")
+        else:  # a payload of very many pages is spread over SALTS keys
+            salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+            salted = named.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+            typed = salted.join(same.withColumn("salt", salts), ["digest", "salt"], "left")
+        typed = typed.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
         captures = materialize(typed.mapInArrow(_archiver(f"{folder}/archives"), "key string, page_id long, file string, offset long, length long"), "captures")
         ordered = captures.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
-        ordered.mapInArrow(_indexer(f"{folder}/index"), "file string, low string, high string").write.parquet(f"{folder}/ranges")
+        ordered.mapInArrow(_indexer(f"{folder}/index"), "file string, low string, high string, bytes long").write.parquet(f"{folder}/ranges")
         return cls(pages.sparkSession, folder)
 
     def lookup(self, urls: DataFrame) -> DataFrame:
         """url (one column) -> page_id, payload_bytes, payload_digest, record_type, refers_to of
         every capture of those urls' keys, read from the archives."""
         # a row for each index file, of which there are as many as shuffle partitions
-        ranges = sorted((r["low"], r["high"], r["file"]) for r in self.spark.read.parquet(f"{self.folder}/ranges").collect())
+        rows = self.spark.read.parquet(f"{self.folder}/ranges").collect()
+        ranges = sorted((r["low"], r["high"], r["file"]) for r in rows)
+        # a row of 100 bytes here stands for a block's records: the tasks follow the archives' bytes
+        tasks = max(self.spark.sparkContext.defaultParallelism, sum(r["bytes"] for r in rows) // READ_BYTES)
         keys = urls.select(F.col(urls.columns[0]).cast("string").alias("url")).distinct().mapInArrow(_keyed, "key string").distinct().sort("key")
         refs = keys.mapInArrow(_block_finder(f"{self.folder}/index", ranges), "key string, file string, offset long, length long")
-        refs = refs.repartition("file", "offset").sortWithinPartitions("file", "offset", "key")
+        refs = refs.repartition(tasks, "file", "offset").sortWithinPartitions("file", "offset", "key")
         return refs.mapInArrow(_record_reader(self.folder), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
