@@ -93,7 +93,7 @@ def _sketcher(bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(one), pa.array(two), long_lists(keys)],
                     ["id", "n", "sid", "sid2", "bands"])
-        release()
+            release()
     return sketch
 
 

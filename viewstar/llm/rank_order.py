@@ -159,7 +159,7 @@ def _predictor(profiles: dict[str, np.ndarray]):
                         score.append(0.0)
                 yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in piece.schema.names if c != "text"], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                                  [*[c for c in piece.schema.names if c != "text"], "lang_pred", "score"])
-        release()
+            release()
     return predict
 
 

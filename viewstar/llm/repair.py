@@ -44,9 +44,9 @@ MIN_COUNT = 8
 MIN_GAIN_PERCENT = 1
 MAX_SYMBOLS = 1 << 16
 #: Words a worker holds the ids of, some 50 bytes each.
-WORDS_HELD = 1_000_000
+WORDS_HELD = 600_000
 #: Bytes of text that a task encodes at once.
-PIECE = 2 << 20
+PIECE = 1 << 20
 _SLOTS = 1 << 20
 
 
@@ -263,9 +263,11 @@ def _shard_writer(spec):
                         while len(data) >= SHARD:  # a long text goes on in the next shards
                             yield row(data[:SHARD])
                             data = data[SHARD:]
-                        ids, held = [data], len(data)
+                        ids, held = [data.copy()], len(data)
+            release()
         if held or docs:
             yield row(np.concatenate(ids))
+        ids.clear()
         release()
     return write
 
