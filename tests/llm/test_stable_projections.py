@@ -55,3 +55,37 @@ def test_one_vector_repeated(spark):
 def test_chi_square_quantile():
     # known values
     assert abs(S.chi_square_quantile(0.95, 16) - 26.296) < 1e-2 and abs(S.chi_square_quantile(0.5, 2) - 1.386) < 1e-3
+
+
+def test_very_long_and_short_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.standard_normal(8) * 10.0 ** rng.integers(-3, 4)).tolist()) for i in range(400)]
+    rows += [(1000, [1e200] + [0.0] * 7), (1001, [-1e200, 1e199] + [0.0] * 6), (1020, [1e-200, -1e-200] + [0.0] * 6), (1021, [5e-324] * 8), (1040, [0.0, 1e300] + [0.0] * 6)]
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in S.nearest(df).collect()}
+    with np.errstate(over="ignore"):
+        x = [(i, np.array(v)) for i, v in rows]
+        want = {}
+        for q, v in x:
+            if q % 20 == 0:
+                s = sorted((-float((w * v).sum()), i) for i, w in x if i != q)[:20]
+                want |= {(q, r): (i, -d) for r, (d, i) in enumerate(s, 1)}
+    assert got.keys() == want.keys()
+    for q in (0, 1000, 1020, 1040):
+        assert [got[q, r][1] for r in range(1, 21)] == [want[q, r][1] for r in range(1, 21)]
+    assert sum(got[key] == want[key] for key in want) >= 0.97 * len(want)
+
+
+def test_cells_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "FIT_ROWS", 256)
+    monkeypatch.setattr(S, "LEAF_FIT_ROWS", 64)
+    monkeypatch.setattr(S, "BLOCK", 32)
+    monkeypatch.setattr(S, "QUERIES_PER_BLOCK", 16)
+    monkeypatch.setattr(S, "QUERIES_PER_CELL", 50)
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((20, 16))
+    rows = [(i, centres[i % 20] + 0.3 * rng.standard_normal(16)) for i in range(2000)] + [(3000 + i, centres[0]) for i in range(700)]
+    got = {(r.query_id, r["rank"]): r.score for r in S.nearest(frame(spark, rows)).collect()}
+    want = {(q, r): s for q, r, _, s in plain(rows)}
+    assert got.keys() == want.keys()
+    assert sum(abs(got[key] - want[key]) < 1e-9 for key in want) >= 0.95 * len(want)

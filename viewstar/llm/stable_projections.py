@@ -1,27 +1,35 @@
 """Operator 3: nearest neighbours by stable projections and a kd-tree.
 
-Largest inner product becomes smallest distance by one added coordinate:
-x' = (x, sqrt(M^2 - |x|^2)) with M the largest norm, q' = (M q / |q|, 0).  Vectors
-are projected to ``DIM`` dimensions by a seeded Gaussian (2-stable) matrix, so a
-projected squared distance over the true one is chi-square with ``DIM`` degrees.
-
-Index: a kd-tree over the projected vectors, its planes fitted on at most
-``FIT_ROWS`` rows (a hash sample); every row goes down the tree to a leaf cell, and a
-cell of more than ``BLOCK`` rows is cut into blocks by a hash, so that one much
-repeated vector stays spread.  Each cell keeps the box of its own projected rows.
-
-Search: a query's k-th best distance in the sample is an upper bound of its
-k-th neighbour's distance d.  Cells whose box lies further than the chi-square
-quantile ``SURE`` allows for d are skipped; in each block projected neighbours are
-verified in order, ``STEP`` at a time, d shrinking as they are found, until the
-next one's projected distance fails the same test.  A true neighbour is missed
-with a probability of at most 1 - ``SURE``.
+A vector is 2^e y with a norm of y from 0.5 to 1; e is its band.  Within a band the
+largest inner product becomes the smallest distance by one added coordinate:
+y' = (y, sqrt(1 - |y|^2)), q' = (q / |q|, 0).  So components of any size are
+compared without overflow, and one long vector leaves the others' bounds alone.
+Vectors are projected to ``DIM`` dimensions by a seeded Gaussian (2-stable)
+matrix: a projected squared distance over the true one is chi-square with ``DIM``
+degrees.
+
+Index: for each band a kd-tree over the projected vectors.  Its upper planes are
+fitted on at most ``FIT_ROWS`` rows (a hash sample); below them a cell is cut at
+the medians, over all its rows, of its widest axes, one axis for each doubling of
+its rows beyond ``BLOCK``.  So cells grow in number with the rows; a cell that stays
+larger (one much repeated vector) is cut into blocks by a hash.  Every row is in
+one cell, and each cell keeps the box of its projected rows.
+
+Search: the k-th best product in the sample and then in the block nearest to the
+query bounds the k-th neighbour's distance d.  Cells whose box lies further than
+the chi-square quantile ``SURE`` allows for d are skipped, first by the upper
+planes, then by those below.  In each block projected neighbours are verified in
+order, ``STEP`` at a time, d shrinking as they are found, until the next one's
+projected distance fails the same test.  A true neighbour is missed with a
+probability of at most 1 - ``SURE``.  A block's rows are sent once for each
+``QUERIES_PER_BLOCK`` queries that really come to it.
 
 Defined cases: vectors null, zero, with null or non-finite components, or of
 another length than most take no part, nor do rows without an id; rows with the
 query's id are no candidates; equal scores go to the smaller id; fewer than k
 candidates are all returned; queries of one id with several vectors count each
-vector; an empty table gives an empty result.  Other columns are ignored.
+vector; an empty table gives an empty result.  A product beyond the range of
+doubles is infinite or zero, as the measure itself.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,9 +41,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from viewstar.llm.common import materialize, table
+from viewstar.llm.kernel import mix64
 
 DIM = 16
 SURE = 0.98
@@ -44,6 +54,10 @@ LEAF_FIT_ROWS = 256
 BLOCK = 4096
 STEP = 256
 QUERIES_PER_BLOCK = 2048
+#: Queries that meet the boxes of one upper cell in one group.
+QUERIES_PER_CELL = 65_536
+#: Products are held divided by 2^SHIFT, so that norms beyond the range of doubles fit.
+SHIFT = 8
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -107,136 +121,295 @@ class Tree:
             at[inner] = np.where(p[inner, axis[node]] <= cut[node], left[node], right[node])
 
 
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows y with norms from 0.5 to 1 and exponents e, each row being 2^e y."""
+    _, e = np.frexp(np.abs(x).max(axis=1))
+    y = np.ldexp(x, -e[:, None])
+    _, f = np.frexp(np.sqrt((y * y).sum(axis=1)))
+    return np.ldexp(y, -f[:, None]), (e + f).astype(np.int64)
+
+
 class Space:
     """The added coordinate and the projection."""
 
-    def __init__(self, dim: int, longest: float, seed: int = 5):
-        self.dim, self.longest = dim, longest
+    def __init__(self, dim: int, seed: int = 5):
+        self.dim = dim
         self.proj = np.random.default_rng(seed).standard_normal((dim + 1, DIM))
-
-    def rows(self, x: np.ndarray) -> np.ndarray:
-        more = np.sqrt(np.maximum(self.longest ** 2 - (x * x).sum(axis=1), 0))
-        return x @ self.proj[:-1] + more[:, None] * self.proj[-1]
-
-    def queries(self, q: np.ndarray) -> np.ndarray:
-        return (q * (self.longest / np.linalg.norm(q, axis=1))[:, None]) @ self.proj[:-1]
-
-    def squared(self, score: np.ndarray | float, norm: np.ndarray | float):
-        """Squared distance of x' and q' with that inner product."""
-        return np.maximum(2 * self.longest ** 2 - 2 * self.longest * score / norm, 0)
+        self.limit = chi_square_quantile(SURE, DIM)
+
+    def rows(self, y: np.ndarray) -> np.ndarray:
+        more = np.sqrt(np.maximum(1 - (y * y).sum(axis=1), 0))
+        return y @ self.proj[:-1] + more[:, None] * self.proj[-1]
+
+    def queries(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vectors and their projections."""
+        y, _ = scaled(q)
+        unit = y / np.linalg.norm(y, axis=1)[:, None]
+        return unit, unit @ self.proj[:-1]
+
+    def radius(self, bound, band):
+        """Largest squared projected distance to test in a band for products of at least ``bound``; negative: none."""
+        c = np.ldexp(np.maximum(bound, -1e300), np.clip(SHIFT - band, -2000, 2000).astype(np.int32))
+        return np.where(c > 1 + 1e-9, -1.0, self.limit * (2 - 2 * np.clip(c, -1, 1)) * (1 + 1e-9) + 1e-9)
+
+
+def bound_of(t: float) -> float:
+    """A product as a bound; near the smallest doubles it is none."""
+    return t if abs(t) > 1e-290 else -math.inf
+
+
+class Boxes:
+    """Boxes of projected rows, each of a band."""
+
+    def __init__(self, band, low, high):
+        self.band = np.asarray(band, np.int64)
+        self.low, self.high = np.asarray(low, float).reshape(-1, DIM), np.asarray(high, float).reshape(-1, DIM)
+
+    def near(self, space: Space, pq: np.ndarray, bound: np.ndarray, home: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, box) that may hold a neighbour; with ``home`` each query's most promising box."""
+        out_i, out_c = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        rows = max(1, (1 << 20) // max(1, len(self.band) * DIM))
+        for a in range(0, len(pq) if len(self.band) else 0, rows):
+            p = pq[a:a + rows, None]
+            gap = np.maximum(self.low[None] - p, 0) + np.maximum(p - self.high[None], 0)
+            gap = (gap * gap).sum(axis=2)
+            if home:
+                fair = 1 - gap / (2 * DIM)
+                top = int(self.band.max())
+                c = np.argmax(np.ldexp(fair, np.maximum(self.band - top, -1000).astype(np.int32)[None]), axis=1)
+                i = np.arange(len(c))
+            else:
+                i, c = np.nonzero(gap <= space.radius(bound[a:a + rows, None], self.band[None]))
+            out_i.append(a + i)
+            out_c.append(c)
+        return np.concatenate(out_i), np.concatenate(out_c)
+
+
+class Index:
+    """A tree for each band of the sample; cells are numbered through all bands."""
+
+    def __init__(self, space: Space, sample: np.ndarray):
+        self.space, self.trees, self.first = space, {}, {}
+        y, e = scaled(sample) if len(sample) else (sample, np.empty(0, np.int64))
+        cells = 0
+        for band in np.unique(e).tolist():
+            self.trees[band], self.first[band] = Tree(space.rows(y[e == band]), LEAF_FIT_ROWS), cells
+            cells += self.trees[band].cells
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Band, cell and projection of each row; a band without a sample row is one cell, below 0."""
+        y, e = scaled(x)
+        p = self.space.rows(y)
+        cell = e - 10_000
+        for band in np.unique(e).tolist():
+            if band in self.trees:
+                own = np.flatnonzero(e == band)
+                cell[own] = self.first[band] + self.trees[band].place(p[own])
+        return e, cell, p
+
+
+def _projector(index: Index):
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                _, cell, p = index.place(matrix(b.column("vec"), index.space.dim))
+                yield pa.RecordBatch.from_arrays([pa.array(cell), *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(DIM))], ["cell", *(f"p{i}" for i in range(DIM))])
+    return project
 
 
-def _placer(space: Space, tree: Tree):
+def _placer(index: Index, planes: dict[int, tuple[list[int], list[float]]]):
+    """Rows with band, upper cell and the cell below it: a bit for each plane."""
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                p = space.rows(matrix(b.column("vec"), space.dim))
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(tree.place(p)), pa.array(list(p), pa.list_(pa.float64()))], ["id", "vec", "cell", "p"])
+                band, cell, p = index.place(matrix(b.column("vec"), index.space.dim))
+                sub = np.zeros(len(cell), np.int64)
+                for c in np.unique(cell).tolist():
+                    own = np.flatnonzero(cell == c)
+                    for axis, cut in zip(*planes.get(c, ([], []))):
+                        sub[own] = sub[own] * 2 + (p[own, axis] > cut)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(band), pa.array(cell), pa.array(sub)], ["id", "vec", "band", "cell", "sub"])
     return place
 
 
-def _router(space: Space, boxes: list[tuple], sample: np.ndarray, sample_ids: np.ndarray, k: int):
-    """Per query and block that may hold a neighbour: the bound on the k-th distance and the block."""
-    cells = np.array([b[0] for b in boxes])
-    parts = np.array([b[1] for b in boxes])
-    low, high = np.array([b[2] for b in boxes]).reshape(-1, DIM), np.array([b[3] for b in boxes]).reshape(-1, DIM)
-    limit = chi_square_quantile(SURE, DIM)
+def _boxer(space: Space):
+    """Projections of placed rows, for their cells' boxes."""
+    def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                p = space.rows(scaled(matrix(b.column("vec"), space.dim))[0])
+                yield pa.RecordBatch.from_arrays([b.column("band"), b.column("cell"), b.column("sub"), *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(DIM))],
+                                                 ["band", "cell", "sub", *(f"p{i}" for i in range(DIM))])
+    return box
+
+
+def _bounder(space: Space, sample_ids: np.ndarray, sample: np.ndarray, k: int):
+    """Queries with the k-th best product in the sample as their bound."""
+    y, e = scaled(sample) if len(sample) else (sample, np.empty(0, np.int64))
 
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("id").to_numpy()
+            vec = matrix(b.column("vec"), space.dim)
+            out = np.full(b.num_rows, -np.inf)
+            for a in range(0, b.num_rows if len(e) >= k else 0, 64):
+                unit, _ = space.queries(vec[a:a + 64])
+                t = np.ldexp(unit @ y.T, (e - SHIFT).astype(np.int32)[None])
+                t[sample_ids[None, :] == ids[a:a + 64, None]] = -np.inf
+                out[a:a + 64] = [bound_of(v) for v in np.partition(t, len(e) - k, axis=1)[:, -k].tolist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(out)], ["id", "vec", "bound"])
+    return bound
+
+
+def _upper(space: Space, boxes: Boxes, cells: np.ndarray, home: bool):
+    """Queries sent to upper cells."""
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, vec = b.column("id").to_numpy(), matrix(b.column("vec"), space.dim) if b.num_rows else None
-            for a in range(0, b.num_rows, 64):
-                q = vec[a:a + 64]
-                norm, p = np.linalg.norm(q, axis=1), space.queries(q)
-                near = np.where(sample_ids[None, :] == ids[a:a + 64, None], -np.inf, q @ sample.T)
-                kth = np.partition(near, near.shape[1] - k, axis=1)[:, -k] if near.shape[1] >= k else np.full(len(q), -np.inf)
-                bound = np.where(np.isfinite(kth), space.squared(np.where(np.isfinite(kth), kth, 0), norm), np.inf)
-                gap = np.maximum(low[None] - p[:, None], 0) + np.maximum(p[:, None] - high[None], 0)
-                ok = (gap * gap).sum(axis=2) <= limit * bound[:, None] * (1 + 1e-9) + 1e-9
-                i, c = np.nonzero(ok)
-                copies = parts[c]
-                at = np.repeat(np.arange(len(i)), copies)
-                part = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:a + 64][i[at]]), b.column("vec").take(pa.array(a + i[at])), pa.array(bound[i[at]]),
-                                                  pa.array(cells[c[at]]), pa.array(part)], ["id", "vec", "bound", "cell", "part"])
+            if b.num_rows:
+                _, pq = space.queries(matrix(b.column("vec"), space.dim))
+                i, c = boxes.near(space, pq, b.column("bound").to_numpy(), home)
+                for a in range(0, len(i), 8192):
+                    yield pa.RecordBatch.from_arrays([*(b.column(n).take(pa.array(i[a:a + 8192])) for n in ("id", "vec", "bound")), pa.array(cells[c[a:a + 8192]])], ["id", "vec", "bound", "cell"])
+    return route
+
+
+def _lower(space: Space, home: bool):
+    """Queries sent to the blocks of one upper cell; at home to one block, by the query's id."""
+    def route(queries: pa.Table, cells: pa.Table) -> pa.Table:
+        q, c = queries.combine_chunks(), cells.combine_chunks()
+        if q.num_rows and c.num_rows:
+            boxes = Boxes(c.column("band").to_numpy(), matrix(c.column("low"), DIM), matrix(c.column("high"), DIM))
+            _, pq = space.queries(matrix(q.column("vec"), space.dim))
+            i, at = boxes.near(space, pq, q.column("bound").to_numpy(), home)
+            parts = c.column("parts").to_numpy()[at]
+            ids = q.column("id").to_numpy()[i]
+            copies = np.ones(len(i), np.int64) if home else parts
+            spot = np.repeat(np.arange(len(i)), copies)
+            part = (mix64(ids.astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64) if home else np.arange(len(spot)) - np.repeat(np.cumsum(copies) - copies, copies)
+            q, c = q.take(pa.array(i[spot])), c.take(pa.array(at[spot]))
+        else:
+            q, c, part = q.slice(0, 0), c.slice(0, 0), np.empty(0, np.int64)
+        return pa.table({"id": q.column("id"), "vec": q.column("vec"), "bound": q.column("bound"), "cell": c.column("cell"), "sub": c.column("sub"), "part": pa.array(part, pa.int64())})
     return route
 
 
-def search_block(space: Space, ids: np.ndarray, x: np.ndarray, p: np.ndarray, qid: int, q: np.ndarray, pq: np.ndarray, bound: float, k: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of a block's neighbours of one query that may be among its k nearest."""
-    far = ((p - pq) ** 2).sum(axis=1)
-    norm = float(np.linalg.norm(q))
-    order = np.flatnonzero((far <= limit * bound * (1 + 1e-9) + 1e-9) & (ids != qid))
+def search_block(space: Space, rows: tuple, far: np.ndarray, qid: int, q: np.ndarray, unit: np.ndarray, bound: float, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Ids and scores of a block's rows that may be among a query's k nearest, and the bound they leave."""
+    ids, x, y, band, same = rows
+
+    def reach(spots):
+        return space.radius(bound, band if same else band[spots])
+    order = np.flatnonzero((far <= reach(slice(None))) & (ids != qid))
     order = order[np.argsort(far[order], kind="stable")]
-    best_i, best_s = np.empty(0, np.int64), np.empty(0)
+    best_i, best_s, best_t = np.empty(0, np.int64), np.empty(0), np.empty(0)
     for a in range(0, len(order), STEP):
-        if far[order[a]] > limit * bound * (1 + 1e-9) + 1e-9:
-            break
         step = order[a:a + STEP]
-        best_i, best_s = np.concatenate([best_i, ids[step]]), np.concatenate([best_s, dots(x[step], q)])
+        step = step[far[step] <= reach(step)]
+        if len(step) == 0 and same:
+            break
+        t = np.ldexp((y[step] * unit).sum(axis=1), ((band if same else band[step]) - SHIFT).astype(np.int32))
+        best_i, best_s, best_t = np.concatenate([best_i, ids[step]]), np.concatenate([best_s, dots(x[step], q)]), np.concatenate([best_t, t])
         first = np.lexsort((best_i, -best_s))[:k]
-        best_i, best_s = best_i[first], best_s[first]
-        if len(best_s) == k:
-            bound = min(bound, float(space.squared(best_s[-1], norm)))
-    return best_i, best_s
-
+        best_i, best_s, best_t = best_i[first], best_s[first], best_t[first]
+        if len(best_t) == k:
+            bound = max(bound, bound_of(float(best_t.min())))
+    return best_i, best_s, bound
 
-def _searcher(space: Space, k: int):
-    limit = chi_square_quantile(SURE, DIM)
 
+def _searcher(space: Space, k: int, home: bool):
+    """The block's hits of each query, or at home the queries with the bound found there."""
     def search(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        queries = queries.combine_chunks()
+        bounds = queries.column("bound").to_numpy().copy()
         out_q, out_i, out_s = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
         if rows.num_rows and queries.num_rows:
-            ids, x, p = rows.column("id").to_numpy(), matrix(rows.column("vec"), space.dim), matrix(rows.column("p"), DIM)
-            qs = matrix(queries.column("vec"), space.dim)
-            pqs = space.queries(qs)
-            for qid, q, pq, bound in zip(queries.column("id").to_pylist(), qs, pqs, queries.column("bound").to_pylist()):
-                i, s = search_block(space, ids, x, p, qid, q, pq, bound, k, limit)
-                out_q.append(np.full(len(i), qid, np.int64))
-                out_i.append(i)
-                out_s.append(s)
+            ids, x, band = rows.column("id").to_numpy(), matrix(rows.column("vec"), space.dim), rows.column("band").to_numpy()
+            y, _ = scaled(x)
+            p = space.rows(y)
+            square = (p * p).sum(axis=1)
+            block = (ids, x, y, band[:1], True) if (band == band[0]).all() else (ids, x, y, band, False)
+            qids, qs = queries.column("id").to_numpy(), matrix(queries.column("vec"), space.dim)
+            for a in range(0, len(qs), 64):
+                units, pqs = space.queries(qs[a:a + 64])
+                fars = square[None] + (pqs * pqs).sum(axis=1)[:, None] - 2 * (pqs @ p.T)
+                for j in range(len(units)):
+                    i, s, bounds[a + j] = search_block(space, block, fars[j], int(qids[a + j]), qs[a + j], units[j], float(bounds[a + j]), k)
+                    out_q.append(np.full(len(i), qids[a + j], np.int64))
+                    out_i.append(i)
+                    out_s.append(s)
+        if home:
+            return pa.table({"id": queries.column("id"), "vec": queries.column("vec"), "bound": pa.array(bounds, pa.float64())})
         return pa.table({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
     return search
 
 
-def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[DataFrame, int]:
-    """id, vec (double) of the rows that take part, and their number of components."""
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id is not null and vec is not null")
+def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[DataFrame, int, int]:
+    """id, vec (of floats as given, else doubles) of the rows that take part, their number of components and their count."""
+    kind = vectors.schema[vec_col].dataType
+    kind = "array<float>" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "array<double>"
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("vec")).where("id is not null and vec is not null")
     fine = F.forall("vec", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("vec", lambda c: c != 0)
     v = v.where(F.coalesce(fine, F.lit(False)))
     most = v.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
-    dim = most["dim"] if most else 0
-    return v.where(F.size("vec") == dim), dim
+    dim, n = (most["dim"], most["n"]) if most else (0, 0)
+    return v.where(F.size("vec") == dim), dim, n
+
+
+def _planes(v: DataFrame, index: Index) -> dict[int, tuple[list[int], list[float]]]:
+    """The planes below each upper cell: medians of its widest axes; a row an upper cell reaches the driver."""
+    axes = [f"p{i}" for i in range(DIM)]
+    stats = [F.count("*").alias("n"), F.array(*[F.coalesce(F.stddev(a), F.lit(0.0)) for a in axes]), F.array(*[F.percentile_approx(a, 0.5, 1000) for a in axes])]
+    projected = v.mapInArrow(_projector(index), "cell long, " + ", ".join(f"{a} double" for a in axes))
+    out = {}
+    for cell, n, wide, middle in projected.groupBy("cell").agg(*stats).collect():
+        cuts = min(DIM, max(0, math.ceil(math.log2(n / BLOCK))))
+        widest = sorted(range(DIM), key=lambda i: (-wide[i], i))[:cuts]
+        out[cell] = (widest, [middle[i] for i in widest])
+    return out
 
 
 def nearest(vectors: DataFrame, k: int = 20, modulus: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest of each row whose id is divisible by ``modulus``."""
     spark = vectors.sparkSession
-    v, dim = usable(vectors, id_col, vec_col)
+    v, dim, n = usable(vectors, id_col, vec_col)
     if dim == 0:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    square = F.aggregate("vec", F.lit(0.0), lambda a, c: a + c * c)
-    n, longest = v.agg(F.count("*"), F.sqrt(F.max(square))).first()
-    space = Space(dim, longest)
+    vec = v.schema["vec"].dataType.simpleString()
+    space = Space(dim)
     part = int(min(1.0, FIT_ROWS / n) * (1 << 20))
     drawn = v.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < part).limit(2 * FIT_ROWS).collect()  # a bound: about FIT_ROWS vectors
     sample_ids, sample = np.array([r[0] for r in drawn], np.int64), np.array([r[1] for r in drawn], np.float64).reshape(-1, dim)
-    tree = Tree(space.rows(sample), LEAF_FIT_ROWS)
-    placed = materialize(v.mapInArrow(_placer(space, tree), "id long, vec array<double>, cell long, p array<double>"), "cells")
-    stats = [F.count("*").alias("n")] + [F.struct(*[g(F.col("p")[i]) for i in range(DIM)]) for g in (F.min, F.max)]
-    # a row for each cell of the tree, of which there are at most 2 * FIT_ROWS / LEAF_FIT_ROWS
-    boxes = [(r[0], math.ceil(r[1] / BLOCK), list(r[2]), list(r[3])) for r in placed.groupBy("cell").agg(*stats).collect()]
-    parts = F.lit(1)
-    for cell, count, _, _ in boxes:
-        parts = F.when(F.col("cell") == cell, count).otherwise(parts) if count > 1 else parts
-    rows = placed.withColumn("part", F.pmod(F.xxhash64("id", "vec"), parts.cast("long")))
-    queries = v.where(F.col("id") % modulus == 0)
-    sent = queries.repartition(F.xxhash64("id")).mapInArrow(_router(space, boxes, sample, sample_ids, k), "id long, vec array<double>, bound double, cell long, part long")
-    sent = sent.withColumn("turn", F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(n / modulus / QUERIES_PER_BLOCK)))))
-    turns = max(1, math.ceil(n / modulus / QUERIES_PER_BLOCK))
-    many = rows.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long"))))
-    key = ["cell", "part", "turn"]
-    found = many.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_searcher(space, k), "query_id long, vec_id long, score double")
+    index = Index(space, sample)
+    placed = materialize(v.mapInArrow(_placer(index, _planes(v, index)), f"id long, vec {vec}, band long, cell long, sub long"), "placed")
+
+    axes = [f"p{i}" for i in range(DIM)]
+    sides = [F.array(*[g(a) for a in axes]).alias(name) for g, name in ((F.min, "low"), (F.max, "high"))]
+    boxed = placed.mapInArrow(_boxer(space), "band long, cell long, sub long, " + ", ".join(f"{a} double" for a in axes))
+    cells = boxed.groupBy("cell", "sub").agg(F.first("band").alias("band"), F.ceil(F.count("*") / BLOCK).cast("long").alias("parts"), *sides)
+    cells = materialize(cells, "cells")
+    # a row for each upper cell, of which there are at most 2 * FIT_ROWS / LEAF_FIT_ROWS and one for each other band
+    edges = [F.array(*[g(F.col(side)[i]) for i in range(DIM)]) for g, side in ((F.min, "low"), (F.max, "high"))]
+    top = cells.groupBy("cell").agg(F.first("band"), *edges).collect()
+    upper, upper_cells = Boxes(*([r[i] for r in top] for i in (1, 2, 3))), np.array([r[0] for r in top], np.int64)
+
+    blocks = placed.join(cells.select("cell", "sub", "parts"), ["cell", "sub"]).withColumn("part", F.pmod(F.xxhash64("id", "vec"), "parts"))
+    groups = max(1, math.ceil(n / modulus / QUERIES_PER_CELL))
+    many_cells = cells.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+
+    def visit(queries: DataFrame, home: bool) -> DataFrame:
+        """The queries' hits in all blocks that may hold a neighbour, or at home their bounds."""
+        asked = f"id long, vec {vec}, bound double"
+        sent = queries.mapInArrow(_upper(space, upper, upper_cells, home), asked + ", cell long").withColumn("turn", F.pmod(F.xxhash64("id", "vec"), F.lit(groups).cast("long")))
+        sent = sent.groupBy("cell", "turn").cogroup(many_cells.groupBy("cell", "turn")).applyInArrow(_lower(space, home), asked + ", cell long, sub long, part long")
+        sent = materialize(sent, "sent")
+        load = sent.groupBy("cell", "sub", "part").agg(F.ceil(F.count("*") / QUERIES_PER_BLOCK).cast("long").alias("turns"))
+        key = ["cell", "sub", "part", "turn"]
+        rows = blocks.join(load, ["cell", "sub", "part"]).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)"))).select("id", "vec", "band", *key)
+        sent = sent.join(load, ["cell", "sub", "part"]).withColumn("turn", F.pmod(F.xxhash64("id", "vec"), "turns")).select("id", "vec", "bound", *key)
+        return rows.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_searcher(space, k, home), asked if home else "query_id long, vec_id long, score double")
+
+    queries = v.where(F.col("id") % modulus == 0).repartition(F.xxhash64("id", "vec")).mapInArrow(_bounder(space, sample_ids, sample, k), f"id long, vec {vec}, bound double")
+    found = visit(materialize(visit(queries, home=True), "bounds"), home=False)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
