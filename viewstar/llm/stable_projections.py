@@ -19,8 +19,8 @@ Search: the k-th best product in the sample and then in the block nearest to the
 query bounds the k-th neighbour's distance d.  Cells whose box lies further than
 the chi-square quantile ``SURE`` allows for d are skipped, first by the upper
 planes, then by those below.  In each block projected neighbours are verified in
-order, ``STEP`` at a time, d shrinking as they are found, until the next one's
-projected distance fails the same test.  A true neighbour is missed with a
+order, in steps of ``STEP`` rows and then four times as many each, d shrinking as they
+are found, until the next one's projected distance fails the same test.  A true neighbour is missed with a
 probability of at most 1 - ``SURE``.  A block's rows are sent once for each
 ``QUERIES_PER_BLOCK`` queries that really come to it.
 
@@ -188,12 +188,12 @@ class Boxes:
 class Index:
     """A tree for each band of the sample; cells are numbered through all bands."""
 
-    def __init__(self, space: Space, sample: np.ndarray):
+    def __init__(self, space: Space, sample: np.ndarray, leaf: int):
         self.space, self.trees, self.first = space, {}, {}
         y, e = scaled(sample) if len(sample) else (sample, np.empty(0, np.int64))
         cells = 0
         for band in np.unique(e).tolist():
-            self.trees[band], self.first[band] = Tree(space.rows(y[e == band]), LEAF_FIT_ROWS), cells
+            self.trees[band], self.first[band] = Tree(space.rows(y[e == band]), leaf), cells
             cells += self.trees[band].cells
 
     def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -295,25 +295,36 @@ def _lower(space: Space, home: bool):
 
 def search_block(space: Space, rows: tuple, far: np.ndarray, qid: int, q: np.ndarray, unit: np.ndarray, bound: float, k: int) -> tuple[np.ndarray, np.ndarray, float]:
     """Ids and scores of a block's rows that may be among a query's k nearest, and the bound they leave."""
-    ids, x, y, band, same = rows
-
-    def reach(spots):
-        return space.radius(bound, band if same else band[spots])
-    order = np.flatnonzero((far <= reach(slice(None))) & (ids != qid))
-    order = order[np.argsort(far[order], kind="stable")]
-    best_i, best_s, best_t = np.empty(0, np.int64), np.empty(0), np.empty(0)
-    for a in range(0, len(order), STEP):
-        step = order[a:a + STEP]
-        step = step[far[step] <= reach(step)]
-        if len(step) == 0 and same:
-            break
-        t = np.ldexp((y[step] * unit).sum(axis=1), ((band if same else band[step]) - SHIFT).astype(np.int32))
-        best_i, best_s, best_t = np.concatenate([best_i, ids[step]]), np.concatenate([best_s, dots(x[step], q)]), np.concatenate([best_t, t])
-        first = np.lexsort((best_i, -best_s))[:k]
-        best_i, best_s, best_t = best_i[first], best_s[first], best_t[first]
-        if len(best_t) == k:
-            bound = max(bound, bound_of(float(best_t.min())))
-    return best_i, best_s, bound
+    ids, x, y, band, shift = rows
+    one = len(band) == 1  # a band for all rows
+
+    def within(spots: np.ndarray) -> np.ndarray:
+        return spots[far[spots] <= space.radius(bound, band if one else band[spots])]
+    left = within(np.flatnonzero(ids != qid))
+    seen, seen_t, size = [np.empty(0, np.int64)], [np.empty(0)], STEP
+    while len(left):
+        if len(left) > size:
+            near = np.argpartition(far[left], size)
+            step, left = left[near[:size]], left[near[size:]]
+        else:
+            step, left = left, left[:0]
+        t = np.ldexp(y[step] @ unit, shift if one else shift[step])
+        keep = np.concatenate([*seen, step]), np.concatenate([*seen_t, t])
+        if len(keep[0]) > k:
+            # rounding moves a product by far less; ties are settled below
+            kth = float(np.partition(keep[1], len(keep[1]) - k)[-k])
+            best = keep[1] >= kth - 1e-9 * abs(kth) - 1e-12 * np.abs(keep[1]).max()
+            keep = keep[0][best], keep[1][best]
+            bound = max(bound, bound_of(kth))
+        elif len(keep[0]) == k:
+            bound = max(bound, bound_of(float(keep[1].min())))
+        seen, seen_t = [keep[0]], [keep[1]]
+        left = within(left)
+        size *= 4
+    spots = seen[0]
+    score = dots(x[spots], q)
+    first = np.lexsort((ids[spots], -score))[:k]
+    return ids[spots[first]], score[first], bound
 
 
 def _searcher(space: Space, k: int, home: bool):
@@ -327,7 +338,9 @@ def _searcher(space: Space, k: int, home: bool):
             y, _ = scaled(x)
             p = space.rows(y)
             square = (p * p).sum(axis=1)
-            block = (ids, x, y, band[:1], True) if (band == band[0]).all() else (ids, x, y, band, False)
+            if (band == band[0]).all():
+                band = band[:1]
+            block = (ids, x, y, band, (band - SHIFT).astype(np.int32))
             qids, qs = queries.column("id").to_numpy(), matrix(queries.column("vec"), space.dim)
             for a in range(0, len(qs), 64):
                 units, pqs = space.queries(qs[a:a + 64])
@@ -379,7 +392,8 @@ def nearest(vectors: DataFrame, k: int = 20, modulus: int = 20, id_col: str = "v
     part = int(min(1.0, FIT_ROWS / n) * (1 << 20))
     drawn = v.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < part).limit(2 * FIT_ROWS).collect()  # a bound: about FIT_ROWS vectors
     sample_ids, sample = np.array([r[0] for r in drawn], np.int64), np.array([r[1] for r in drawn], np.float64).reshape(-1, dim)
-    index = Index(space, sample)
+    # an upper cell is fitted on as many sample rows as stand for a block
+    index = Index(space, sample, max(LEAF_FIT_ROWS, BLOCK * len(sample) // n))
     placed = materialize(v.mapInArrow(_placer(index, _planes(v, index)), f"id long, vec {vec}, band long, cell long, sub long"), "placed")
 
     axes = [f"p{i}" for i in range(DIM)]
