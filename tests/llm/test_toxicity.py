@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 
@@ -95,3 +97,53 @@ def test_rare_words_become_rules_and_copies_do_not(spark, docs_of):
     assert 9 <= sum("zyxyva" in t for _, t in docs) < 0.01 * 1500 and sum("quokka" in t for _, t in docs) > 9
     got = {r.doc_id: r.score for r in T.scores(docs_of(docs + [(9001, "a zyxyva here"), (9002, "a quokka here")]), labels_of(spark, labels)).collect()}
     assert got[9001] >= 0.7 and got[9002] < 0.7
+
+
+def readings(token, lp):
+    """Every reading of a token with its best log-probability, by trying all that each character may be."""
+    kind = lambda ch: ord(ch) - 96 if "a" <= ch <= "z" else 27 if ch.isalpha() else 0
+    best = {}
+
+    def go(i, a, b, last, text, score):
+        if i == len(token):
+            total = score + (lp[a][b][0] if b else 0.0)
+            best[text] = max(best.get(text, -math.inf), total)
+            return
+        ch = token[i]
+        for x in ([ch] if ch.isalpha() else []) + list(T.LOOKS_LIKE.get(ch, "")):
+            go(i + 1, b, kind(x), x, text + x, score + (T.SAME if x == ch else T.ALIKE) + lp[a][b][kind(x)])
+            if x == last:
+                go(i + 1, a, b, last, text, score + T.REPEAT)
+        if not ch.isalpha():
+            blank = math.log(0.5)
+            go(i + 1, a, b, last, text, score + (blank if ch == " " else T.NOTHING))
+            if b:
+                go(i + 1, 0, 0, "", text + " ", score + lp[a][b][0] + (blank if ch == " " else T.APART))
+    go(0, 0, 0, "", "", 0.0)
+    return best
+
+
+def test_lattice_equals_all_readings():
+    rng = random.Random(8)
+    counts = np.random.default_rng(8).gamma(0.3, size=(T.N_CLASS,) * 3) + 1e-3
+    model = np.log(counts / counts.sum(axis=2, keepdims=True))
+    lp = model.tolist()
+    alphabet = "aabeiost" + "".join(T.LOOKS_LIKE) + "  .*-é"
+    tokens = {"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 7))) for _ in range(500)} | {"aaaa", "1111", "a a a a", "|d|0t", "$$", "..", "€uro"}
+    for token in tokens:
+        every = readings(token, lp)
+        assert abs(every[T.decode(token, model)] - max(every.values())) < 1e-9, token
+
+
+def test_letter_model_equals_plain_counts(spark, docs_of):
+    rng = random.Random(5)
+    rows = [(i, "  " + "".join(rng.choice("abcAB é1 .") for _ in range(rng.randint(0, 60))) + "  ") for i in range(200)] + [(900, None), (901, "")]
+    n = np.zeros((T.N_CLASS,) * 3)
+    for _, text in rows:
+        for word in re.findall(rb"[a-z\x80-\xff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode()):
+            c = [0, 0] + [b - 96 if b < 0x80 else 27 for b in word] + [0]
+            for j in range(2, len(c)):
+                n[c[j - 2], c[j - 1], c[j]] += 1
+    two = n.sum(axis=0) + 0.1
+    want = np.log((n + 5 * (two / two.sum(axis=1, keepdims=True))[None]) / (n.sum(axis=2, keepdims=True) + 5))
+    assert np.allclose(T.letter_model(docs_of(rows)), want)
