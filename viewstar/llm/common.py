@@ -23,6 +23,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tables of at most so many bytes, measured, are broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_small(df: DataFrame) -> DataFrame:
+    """Broadcast a materialised table only when its rows, measured as text with 64 bytes more each, fit."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + F.lit(64).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

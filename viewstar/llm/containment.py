@@ -26,22 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from viewstar.llm.common import materialize, table
+from viewstar.llm.common import broadcast_small, materialize, table
 
 SIZE = 5
-#: A sketch or item table of at most so many rows (some 100 bytes each) is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 100_000
 
 
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a materialised table only when its counted rows fit."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _runs(docs: DataFrame, length: int) -> DataFrame:
     """A row for each run of ``length`` words: id, n (runs of the text), words, at."""
     n = F.size("words") - length + 1
@@ -82,7 +75,7 @@ def containments(docs: DataFrame, bench: DataFrame, percent: int = 80, id_col: s
     lengths = [r[0] for r in shingles.select("length").distinct().collect()]  # at most SIZE values
 
     texts = docs.select(F.col(id_col).alias("id"), _words(F.col(text_col)).alias("words"))
-    index = _small(sketch)
+    index = broadcast_small(sketch)
     found = None
     for k in lengths or [SIZE]:
         own = index.where(F.col("length") == k)
@@ -91,7 +84,7 @@ def containments(docs: DataFrame, bench: DataFrame, percent: int = 80, id_col: s
     candidates = materialize(found.distinct(), "candidates")
 
     held = None
-    whole = _small(shingles)
+    whole = broadcast_small(shingles)
     for k in lengths or [SIZE]:
         # at every length that a candidate's item has, whichever sketch found it
         with_k = shingles.where(F.col("length") == k).select(F.col("item").alias("kitem")).distinct()

@@ -28,15 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from viewstar.llm.common import materialize, table
+from viewstar.llm.common import broadcast_small, materialize, table
 
 DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
 LANG_WEIGHTS = {"en": 5, "de": 2, "fr": 2, "es": 2}
 LEVELS = ("_domain", "_lang", "_source")
 RANGES_BITS = 12
 HASH_BITS = 60
-#: Decisions of at most so many leaves (some 150 bytes each) are broadcast; more are joined by shuffle.
-BROADCAST_LEAVES = 100_000
 
 
 def domain_of(source: Column) -> Column:
@@ -100,7 +98,7 @@ def decisions(rows: DataFrame, seed: int, fraction_percent: int, max_epochs: int
     rows: _domain, _lang, _source, _id, _tokens."""
     leaves = rows.groupBy(*LEVELS).agg(F.sum("_tokens").alias("tokens"))
     plan = materialize(leaf_budgets(leaves, fraction_percent, max_epochs), "leaves")
-    small = F.broadcast(plan) if plan.count() <= BROADCAST_LEAVES else plan
+    small = broadcast_small(plan)
     part = F.shiftright(_place(seed, F.col("epochs") + 1, F.col("_id")), HASH_BITS - RANGES_BITS).alias("range")
     sums = rows.join(small.select(*LEVELS, "epochs"), list(LEVELS)).groupBy(*LEVELS, part).agg(F.sum("_tokens").alias("n"))
     upto = F.sum("n").over(W.partitionBy(*LEVELS).orderBy("range").rowsBetween(W.unboundedPreceding, 0))
@@ -111,7 +109,7 @@ def decisions(rows: DataFrame, seed: int, fraction_percent: int, max_epochs: int
 
 def chosen(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """The rows (with _domain, _lang, _source, _id, _tokens) and the copies of each, where over 0."""
-    small = F.broadcast(plan) if plan.count() <= BROADCAST_LEAVES else plan
+    small = broadcast_small(plan)
     placed = rows.join(small, list(LEVELS)).withColumn("_place", _place(seed, F.col("epochs") + 1, F.col("_id")))
     at = F.shiftright("_place", HASH_BITS - RANGES_BITS)
     edge = F.coalesce(at == F.col("range"), F.lit(False))
