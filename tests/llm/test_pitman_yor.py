@@ -109,9 +109,9 @@ def test_previous_word_is_the_context(spark, docs_of):
 def test_a_single_group_has_no_others():
     """What the first round told of a group itself is no other group's."""
     rng = np.random.default_rng(5)
-    asked = pa.Table.from_batches(P._asker(0)(iter([pa.RecordBatch.from_pydict({
+    asked = pa.Table.from_batches(P._asker(P.Deal(0))(iter([pa.RecordBatch.from_pydict({
         "text": [" ".join(f"w{x}" for x in rng.zipf(1.3, 20000) % 500)], "train": [True], "split": pa.array([0], pa.int64()), "block": pa.array([0], pa.int64())})])))
-    told = P._summed(P._first_round(0)(asked))
+    told = P._summed(P._first_round(P.Deal(0))(asked))
     total = P.Totals(np.array(told.column("facts")[0].as_py()))
     seen = []
 
@@ -121,8 +121,137 @@ def test_a_single_group_has_no_others():
             super().sweep(others, base)
     was, P.Group = P.Group, Spy
     try:
-        P._second_round(total)(asked, told)
+        P._second_round(total, P.Deal(0))(asked, told)
     finally:
         P.Group = was
     assert len(seen) == P.BURN_IN + P.SAMPLES
     assert all(o["s"] == 0 and o["all"] == 0 and not o["t"].any() for o in seen)
+
+
+def plain_scores(rows, d, base, rounds=400, burn=100, seed=4):
+    """Every text's mean score by a sampler whose customers leave and come back one by one, tables and all."""
+    rng = random.Random(seed)
+    d_top, d_low = d
+    train, held = [], {}
+    for i, text in rows:
+        ws = [None, *words_of(text), None]
+        pairs = list(zip(ws, ws[1:]))
+        held[i] = pairs
+        if i % 7 != 2:
+            train += pairs
+    low, top = {}, {}   # (context, word) -> sizes of tables; word -> sizes of the parent's tables
+    c_of, t_of, n_top, k_top = Counter(), Counter(), 0, 0
+
+    def p_top(w):
+        tables = top.get(w, [])
+        known = base[0] if w in vocabulary else base[1]
+        return (sum(tables) - d_top * len(tables) + (1 + d_top * k_top) * known) / (1 + n_top)
+
+    def p_low(x, w):
+        tables = low.get((x, w), [])
+        return (sum(tables) - d_low * len(tables) + (1 + d_low * t_of[x]) * p_top(w)) / (1 + c_of[x])
+
+    def join(tables, d, new):
+        at = rng.random() * (sum(tables) - d * len(tables) + new)
+        for j, size in enumerate(tables):
+            at -= size - d
+            if at < 0:
+                tables[j] += 1
+                return False
+        tables.append(1)
+        return True
+
+    def leave(tables):
+        j = rng.choices(range(len(tables)), tables)[0]
+        tables[j] -= 1
+        if not tables[j]:
+            tables.pop(j)
+            return True
+        return False
+
+    def come(x, w):
+        nonlocal n_top, k_top
+        c_of[x] += 1
+        if join(low.setdefault((x, w), []), d_low, (1 + d_low * t_of[x]) * p_top(w)):
+            t_of[x] += 1
+            k_top += join(top.setdefault(w, []), d_top, (1 + d_top * k_top) * base[0])
+            n_top += 1
+    vocabulary = {w for _, w in train}
+    for x, w in train:
+        come(x, w)
+    mean = Counter()
+    for turn in range(rounds):
+        for x, w in train:
+            c_of[x] -= 1
+            if leave(low[x, w]):
+                t_of[x] -= 1
+                k_top -= leave(top[w])
+                n_top -= 1
+            come(x, w)
+        if turn >= burn:
+            for pair in {p for ps in held.values() for p in ps}:
+                mean[pair] += p_low(*pair) / (rounds - burn)
+    return {i: sum(math.log10(mean[p]) for p in ps) for i, ps in held.items()}
+
+
+def seen_totals(monkeypatch):
+    made = []
+
+    class Spy(P.Totals):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+    monkeypatch.setattr(P, "Totals", Spy)
+    return made
+
+
+def test_scores_equal_a_plain_sampler(spark, docs_of, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{min(int(rng.paretovariate(0.8)), 60)}" for _ in range(rng.randint(5, 25)))) for i in range(60)]
+    made = seen_totals(monkeypatch)
+    got = {r.doc_id: r for r in run(docs_of, rows)}
+    want = plain_scores(rows, made[0].d, made[0].base)
+    error = [(r.score - want[i]) / r.n_tokens for i, r in got.items()]
+    print("plain sampler, a token: mean", np.mean(error), "largest", np.abs(error).max())
+    assert abs(np.mean(error)) < 0.02 and np.abs(error).max() < 0.06
+
+
+def test_scores_hardly_depend_on_groups_and_pieces(spark, docs_of, monkeypatch):
+    rng = random.Random(10)
+    rows = [(i, " ".join("the" if rng.random() < 0.33 else f"w{min(int(rng.paretovariate(0.5)), 3000)}" for _ in range(60))) for i in range(400)]
+    size = sum(len(t) for _, t in rows)
+    deals, made = [], seen_totals(monkeypatch)
+    plan = P._deal
+    monkeypatch.setattr(P, "_deal", lambda *a: deals.append(plan(*a)) or deals[-1])
+    found = []
+    for groups in (1, 4, 16):
+        monkeypatch.setattr(P, "GROUP_BYTES", size / groups + 1)
+        found.append({r.doc_id: r for r in run(docs_of, rows)})
+    assert [d.bits for d in deals] == [0, 2, 4]
+    the = P.hash_words(["the"]) & ~P._CTX
+    assert not len(deals[0].hot) and all(d.found(the)[0] >= 0 and d.parts[d.found(the)[0]] > 1 for d in deals[1:])
+    assert len({(m.tokens, m.vocabulary) for m in made}) == 1
+    for other in found[1:]:
+        assert all(other[i][:6] == r[:6] for i, r in found[0].items())
+        gap = [(other[i].score - r.score) / r.n_tokens for i, r in found[0].items()]
+        print("groups, a token: mean", np.mean(gap), "largest", np.abs(gap).max())
+        assert abs(np.mean(gap)) < 0.02 and np.abs(gap).max() < 0.1
+
+
+def test_pairs_of_a_frequent_word_meet_in_one_group_each():
+    rng = np.random.default_rng(1)
+    every = np.unique(rng.integers(1, 2**62, 500).astype(np.uint64) << np.uint64(8))
+    word, ctx = (a.ravel() for a in np.meshgrid(np.arange(len(every)), np.arange(len(every)), indexing="ij"))
+    deal = P.Deal(4, every[[7, 90]], np.array([5, 9], np.uint64))
+    group = deal.groups(every, word, ctx)
+    plain = word[(word != 7) & (word != 90)]
+    assert (group[(word != 7) & (word != 90)] == P._dealt(every, 4)[plain]).all()
+    for at, w in enumerate((7, 90)):
+        mine = group[word == w]
+        shares = {g: deal.share(at, g) for g in range(16)}
+        assert abs(sum(shares.values()) - 1) < 1e-9 and len(set(mine.tolist())) > 2 and set(mine.tolist()) == {g for g, v in shares.items() if v}
+    some = rng.permutation(len(every))[:200]  # the same pairs from a block with other words
+    other = np.union1d(every[[7]], every[some])
+    at = np.searchsorted(every, other)
+    i = int(np.searchsorted(other, every[7]))
+    assert (deal.groups(other, np.full(len(other), i), np.arange(len(other))) == group[(word == 7)][at]).all()

@@ -19,7 +19,13 @@ What moves: a scan split (or a fixed part of one) sends its distinct (word, cont
 pairs with their counts, packed by groups of words; after the first round a group sends the
 customers and tables of its contexts to be summed by context, and gets those of all and of the others; the
 second answers a block with a probability a pair and a count a word; both meet the
-split's texts again. Words are 56-bit hashes.  A pair in every text is one key a split, so nothing is hot.
+split's texts again. Words are 56-bit hashes.  A pair in every text is one row a split.
+
+A word with over a quarter of a group's mean share of the pairs is dealt in pieces, by hash of the
+context, each at most a quarter of a group.  Its customers and tables are summed over the pieces after
+the first round, and each piece knows those of the others as it knows other groups' contexts.  Which words these
+are is counted in texts of ``SAMPLE_BYTES``, or 1 / 4,096 of all if that is more, drawn by a hash: it
+decides where work is done, and all counts and sums are over all texts.
 
 Defined cases: null text is empty and scored as its end alone; without training
 texts every token has probability 1; rows of a null id are in no fold, so they train and
@@ -38,11 +44,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar.llm.common import crc_mod, materialize, table
-from viewstar.llm.kernel import BLANK_WORDS, hash_spans, hash_words, pieces, text_bytes, words
+from viewstar.llm.kernel import BLANK_WORDS, hash_spans, hash_words, mix64, pieces, text_bytes, words
 
 BURN_IN, SAMPLES = 3, 3
 ONE_BY_ONE = 256
 GROUP_BYTES = 16 << 20
+#: Text in which frequent words are counted, and the most words dealt in pieces (largest first; 4 MB sent to tasks).
+SAMPLE_BYTES, SAMPLE_PART, MOST_HOT = 16 << 20, 4096, 1 << 18
 THETA = 1.0
 _CTX = np.uint64(0xFF)
 _END = hash_words(["\n"])[0] & ~_CTX
@@ -127,13 +135,47 @@ def _sum(keys: bytes) -> np.ndarray:
 _ASKED = "grp long, block long, words binary, sizes binary, contexts binary, counts binary"
 
 
-def _asker(bits: int):
+class Deal:
+    """Which group has a pair: its word's, or for a word in ``hot`` (ascending) that of one of the word's pieces."""
+
+    def __init__(self, bits: int, hot: np.ndarray | None = None, parts: np.ndarray | None = None):
+        self.bits = bits
+        self.hot = np.empty(0, np.uint64) if hot is None else hot
+        self.parts = np.empty(0, np.uint64) if parts is None else parts
+
+    def found(self, known: np.ndarray) -> np.ndarray:
+        """The number of each word in ``hot``, or -1."""
+        at = np.full(len(known), -1)
+        if len(self.hot):
+            near = np.minimum(np.searchsorted(self.hot, known), len(self.hot) - 1)
+            at[self.hot[near] == known] = near[self.hot[near] == known]
+        return at
+
+    def piece(self, at: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return _dealt(mix64(self.hot[at] ^ mix64(part.astype(np.uint64) + np.uint64(1))), self.bits)
+
+    def groups(self, every: np.ndarray, word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+        """The group of each pair of numbers among the words of ``every``."""
+        group, at = _dealt(every, self.bits)[word], self.found(every)[word]
+        split = np.flatnonzero(at >= 0)
+        if len(split):
+            group[split] = self.piece(at[split], mix64(every[ctx[split]]) % self.parts[at[split]])
+        return group
+
+    def share(self, at: int, group: int) -> float:
+        """The share of the pieces of a word of ``hot`` that a group has."""
+        parts = np.arange(int(self.parts[at]))
+        return float((self.piece(np.full(len(parts), at), parts) == group).mean())
+
+
+def _asker(deal: Deal):
     """Per block and group: the block's distinct pairs and training counts."""
     def rows(block: int, parts: list) -> Iterator[pa.RecordBatch]:
         (every, word, ctx, count), _ = _sum_by_pair(parts)
-        word, ctx = every[word], every[ctx]
-        group = _dealt(word, bits)
-        cuts = np.searchsorted(group, np.arange((1 << bits) + 1))
+        group = deal.groups(every, word, ctx)
+        order = np.argsort(group, kind="stable")
+        group, word, ctx, count = group[order], every[word[order]], every[ctx[order]], count[order]
+        cuts = np.searchsorted(group, np.arange((1 << deal.bits) + 1))
         for g in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[g], cuts[g + 1]
             packed = _pack_pairs(word[a:b], ctx[a:b], count[a:b])
@@ -214,13 +256,18 @@ class Group:
         self.rng, self.d = np.random.default_rng(seed), d
         self.t = np.minimum(self.c, 1)
         self.s = np.minimum(self.of_word, 1)
+        # of words dealt in pieces: customers of the other pieces, and the part of the word's parent tables that counts here
+        self.more, self.part = np.zeros(self.words), np.ones(self.words)
 
-    def customers(self) -> np.ndarray:
+    def own(self) -> np.ndarray:
         return np.bincount(self.word, weights=self.t, minlength=self.words)
 
+    def customers(self) -> np.ndarray:
+        return self.own() + self.more
+
     def totals(self) -> dict[str, np.ndarray | float]:
         by_context = lambda v: np.bincount(self.ctx, weights=v, minlength=self.contexts)
-        return {"c": by_context(self.c), "t": by_context(self.t), "s": float(self.s.sum())}
+        return {"c": by_context(self.c), "t": by_context(self.t), "s": float((self.s * self.part).sum())}
 
     def _shared(self, others: dict) -> tuple[np.ndarray, float, float]:
         """Tables by context, the parent's weight of a new table, and the parent's customers;
@@ -251,8 +298,9 @@ class Group:
         return (self.c - self.d[1] * self.t + (THETA + self.d[1] * t[x]) * p[self.word]) / (THETA + c_all[x])
 
 
-def _merged(t: pa.Table, d: tuple[float, float]) -> tuple[Group, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The group of the asked rows, its contexts, its words, and the places of each row's pairs."""
+def _merged(t: pa.Table, d: tuple[float, float], deal: Deal) -> tuple[Group, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """The group of the asked rows, its contexts, its words, the places of each row's pairs, and of words in pieces
+    their places among the words and in ``deal.hot``."""
     parts = []
     for w, n, x, c in zip(*[t.column(k).to_pylist() for k in ("words", "sizes", "contexts", "counts")]):
         own, ctx = _sum(w), _sum(x)
@@ -261,35 +309,46 @@ def _merged(t: pa.Table, d: tuple[float, float]) -> tuple[Group, np.ndarray, np.
     sizes = [len(p[1]) for p in parts]
     (every, word, ctx, count), back = _sum_by_pair(parts)
     known, ctx = _coded(ctx)
-    g = Group(every[word], count, int(t.column("grp")[0].as_py()) * 2 + 1, d, ctx, len(known))
-    return g, every[known], every[word[_first_of(word)]], np.split(back, np.cumsum(sizes)[:-1])
+    grp = int(t.column("grp")[0].as_py())
+    g = Group(every[word], count, grp * 2 + 1, d, ctx, len(known))
+    names = every[word[_first_of(word)]]
+    at = deal.found(names)
+    split = np.flatnonzero(at >= 0)
+    g.part[split] = [deal.share(i, grp) for i in at[split].tolist()]
+    return g, every[known], names, np.split(back, np.cumsum(sizes)[:-1]), split, at[split]
 
 
-_TOLD = "grp long, bucket long, contexts binary, c binary, t binary, facts array<double>"
+_TOLD = "grp long, bucket long, contexts binary, c binary, t binary, facts array<double>, hot array<struct<word: long, c: long, t: long>>"
+_HOT = pa.list_(pa.struct([("word", pa.int64()), ("c", pa.int64()), ("t", pa.int64())]))
 
 
-def _first_round(bits: int):
-    """Customers and tables of a group's contexts after its own sweeps, the other groups taken to be like it:
-    a row for each bucket of contexts, the first with the group's facts."""
-    groups = 1 << bits
+def _first_round(deal: Deal):
+    """Customers and tables of a group's contexts after its own sweeps, the other groups and pieces taken to be like it:
+    a row for each bucket of contexts, the first with the group's facts and those of its words in pieces."""
+    bits, groups = deal.bits, 1 << deal.bits
 
     def fit(t: pa.Table) -> pa.Table:
-        g, known, _, _ = _merged(t, (0.75, 0.75))
+        g, known, _, _, split, hot = _merged(t, (0.75, 0.75), deal)
         vocabulary = max(1, int((g.of_word > 0).sum()))
+        whole = np.ones(g.words, bool)
+        whole[split] = False
         for _ in range(BURN_IN):
+            g.more = g.own() * (1 / g.part - 1)
             own = g.totals()
             others = {"t": own["t"] * (groups - 1), "s": own["s"] * (groups - 1)}
             g.sweep(others, (0.5 / (vocabulary * groups), 0.5))
         own = g.totals()
-        cust = g.customers()
-        facts = [float(g.of_word.sum()), float((g.of_word > 0).sum()), float((g.of_word == 1).sum()), float((g.c == 1).sum()), float((g.c == 2).sum()),
-                 float((cust == 1).sum()), float((cust == 2).sum()), own["s"], float(own["t"].sum())]
+        cust = g.own()
+        many, few = g.of_word[whole], cust[whole]
+        facts = [float(g.of_word.sum()), float((many > 0).sum()), float((many == 1).sum()), float((g.c == 1).sum()), float((g.c == 2).sum()),
+                 float((few == 1).sum()), float((few == 2).sum()), own["s"], float(own["t"].sum())]
+        told = [{"word": w, "c": c, "t": k} for w, c, k in zip(hot.tolist(), g.of_word[split].tolist(), cust[split].astype(np.int64).tolist())]
         cuts = np.searchsorted(_dealt(known, bits), np.arange(groups + 1))
         buckets = np.flatnonzero(np.diff(cuts))
         cut = lambda v: pa.array([pack(v[cuts[k]:cuts[k + 1]]) for k in buckets], pa.binary())
         return pa.table({"grp": pa.array(np.full(len(buckets), t.column("grp")[0].as_py()), pa.int64()), "bucket": pa.array(buckets, pa.int64()),
                          "contexts": pa.array([pack(_steps(known[cuts[k]:cuts[k + 1]])) for k in buckets], pa.binary()), "c": cut(own["c"]), "t": cut(own["t"]),
-                         "facts": pa.array([facts] + [None] * (len(buckets) - 1), pa.list_(pa.float64()))})
+                         "facts": pa.array([facts] + [None] * (len(buckets) - 1), pa.list_(pa.float64())), "hot": pa.array([told] + [None] * (len(buckets) - 1), _HOT)})
     return fit
 
 
@@ -301,14 +360,18 @@ def _summed(t: pa.Table) -> pa.Table:
     every, others = np.bincount(at, weights=c)[at], np.bincount(at, weights=tables)[at] - tables
     cuts = np.cumsum([0, *map(len, told)])
     cut = lambda v: pa.array([pack(v[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
-    return pa.table({"grp": t.column("grp"), "bucket": t.column("bucket"), "c": cut(every), "t": cut(others), "facts": t.column("facts")})
+    return pa.table({"grp": t.column("grp"), "bucket": t.column("bucket"), "c": cut(every), "t": cut(others), "facts": t.column("facts"),
+                     "hot": t.column("hot")})
 
 
 class Totals:
-    """Sums over all groups: a few counts."""
+    """Sums over all groups: a few counts, and customers and tables of the words in pieces."""
 
-    def __init__(self, facts: np.ndarray):
+    def __init__(self, facts: np.ndarray, c: np.ndarray | None = None, t: np.ndarray | None = None):
         self.tokens, self.vocabulary, once, c1, c2, u1, u2, self.s, self.t = facts.tolist()
+        self.hot_c, self.hot_t = (np.zeros(0, np.int64) if x is None else x for x in (c, t))
+        self.vocabulary += int((self.hot_c > 0).sum())
+        once, u1, u2 = once + int((self.hot_c == 1).sum()), u1 + int((self.hot_t == 1).sum()), u2 + int((self.hot_t == 2).sum())
         self.d = tuple(min(0.95, max(0.05, a / (a + 2 * b) if a + b else 0.5)) for a, b in ((u1, u2), (c1, c2)))
         # the share of tokens seen once, of the parent's weight of new tables
         new, customers = THETA + self.d[0] * self.s, THETA + self.t
@@ -316,10 +379,10 @@ class Totals:
         self.base = ((1 - g) / self.vocabulary, g) if self.vocabulary else (0.0, 1.0)
 
 
-def _second_round(total: Totals):
+def _second_round(total: Totals, deal: Deal):
     """Per block: mean probability of each pair it asked for and training count of each word."""
     def answer(t: pa.Table, told: pa.Table) -> pa.Table:
-        g, known, words_, at = _merged(t, total.d)
+        g, known, words_, at, split, hot = _merged(t, total.d, deal)
         told = told.sort_by("bucket")
         c, tables = (np.concatenate([unpack(x) for x in told.column(k).to_pylist()]).astype(np.float64) for k in ("c", "t"))
         if len(c) != len(known):
@@ -327,6 +390,11 @@ def _second_round(total: Totals):
         # the group's own tables at the end of the first round go, as in ``tables``
         own_s, own_t = next(f for f in told.column("facts").to_pylist() if f)[-2:]
         others = {"t": tables, "s": total.s - own_s, "all": total.t - own_t}
+        before = next(x for x in told.column("hot").to_pylist() if x is not None)
+        if [x["word"] for x in before] != hot.tolist():
+            raise ValueError("a group's words in pieces changed between two passes")
+        g.more[split] = total.hot_t[hot] - np.array([x["t"] for x in before], np.int64)
+        g.of_word[split] = total.hot_c[hot]
         mean = np.zeros(len(g.c))
         for turn in range(BURN_IN + SAMPLES):
             g.sweep(others, total.base)
@@ -341,7 +409,7 @@ def _second_round(total: Totals):
 
 # ---- scoring ---------------------------------------------------------------
 
-def _scorer(total: Totals):
+def _scorer(total: Totals, deal: Deal):
     n, scale = int(total.tokens), total.tokens + total.vocabulary + 1
 
     def score(docs: pa.Table, replies: pa.Table) -> pa.Table:
@@ -356,11 +424,16 @@ def _scorer(total: Totals):
                 h, at = tokens(piece.column("text"))
                 parts.append((piece.select(["doc_id", "held_out"]), at))
                 every.append(_pairs(h, np.zeros(len(h), bool)))
-        (_, word, _, _), place = _sum_by_pair(every) if every else ((np.empty(0, np.int32),) * 4, None)
-        first = _first_of(word)
+        (names, word, ctx, _), place = _sum_by_pair(every) if every else ((np.empty(0, np.uint64), *(np.empty(0, np.int32),) * 3), None)
+        # the replies follow groups, then words and contexts
+        group = deal.groups(names, word, ctx)
+        told = np.argsort(group, kind="stable")
+        first = _first_of(group[told] * max(len(names), 1) + word[told])
         if len(word) != len(lp) or len(first) != len(c):
             raise ValueError(f"a block asked for {len(lp)} pairs and holds {len(word)}: its scan split changed between two passes")
-        c = np.repeat(c, np.diff(np.concatenate([first, [len(word)]])))
+        back = np.empty(len(told), np.int64)
+        back[told] = np.arange(len(told))
+        lp, c = lp[back], np.repeat(c, np.diff(np.concatenate([first, [len(word)]])))[back]
         plain = np.log10((c + 1) / scale)
         begin = np.cumsum([0, *[len(p[1]) for p in every]])
         for k, (piece, at) in enumerate(parts):
@@ -376,6 +449,30 @@ def _scorer(total: Totals):
     return score
 
 
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct pairs of each piece of the texts."""
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            h = tokens(piece.column("text"))[0]
+            (every, word, ctx, _), _ = _sum_by_pair([_pairs(h, np.zeros(len(h), bool))])
+            yield pa.RecordBatch.from_arrays([pa.array(every[x].view(np.int64)) for x in (word, ctx)], ["word", "ctx"])
+
+
+def _deal(rows: DataFrame, size: int, bits: int) -> Deal:
+    """The groups, words of large shares of the pairs in pieces."""
+    if not bits:
+        return Deal(bits)
+    part = max(SAMPLE_BYTES / size, 1 / SAMPLE_PART)
+    some = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 20)) < part * (1 << 20))
+    pairs = some.select("text").mapInArrow(_pair_rows, "word long, ctx long").distinct().groupBy("word").agg(F.count("*").alias("n"))
+    pairs = materialize(pairs, "pairs")
+    mean = (pairs.agg(F.sum("n")).first()[0] or 0) / (1 << bits)
+    # at most four words a group reach this, and MOST_HOT in all
+    hot = pairs.where(F.col("n") * 4 > F.lit(mean)).orderBy(F.desc("n"), "word").limit(MOST_HOT).collect()
+    known = sorted((r.word & 0xFFFFFFFFFFFFFFFF, math.ceil(4 * r.n / mean)) for r in hot)
+    return Deal(bits, np.array([w for w, _ in known], np.uint64), np.array([k for _, k in known], np.uint64))
+
+
 def language_model_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row;
     ``held_out`` is a boolean column of ``docs``."""
@@ -389,18 +486,23 @@ def language_model_scores(docs: DataFrame, held_out, id_col: str = "doc_id", tex
     rows = rows.withColumn("train", ~F.col("held_out")).withColumn("block", F.xxhash64("split", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, size / GROUP_BYTES))))
-    asked = rows.select("text", "train", "split", "block").mapInArrow(_asker(bits), _ASKED)
-    first = asked.groupBy("grp").applyInArrow(_first_round(bits), _TOLD)
+    deal = _deal(rows, size, bits)
+    asked = rows.select("text", "train", "split", "block").mapInArrow(_asker(deal), _ASKED)
+    first = asked.groupBy("grp").applyInArrow(_first_round(deal), _TOLD)
     told = materialize(first.groupBy("bucket").applyInArrow(_summed, _TOLD.replace("contexts binary, ", "")), "totals")
     # summed by Spark: a few counts
     both = told.select(F.posexplode("facts")).groupBy("pos").agg(F.sum("col").alias("v")).collect()
     flat = np.zeros(9)
     for p, v in both:
         flat[p] = v
-    total = Totals(flat)
-    replies = asked.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(_second_round(total), "block long, grp long, logs binary, counts binary")
+    hot = told.select(F.explode("hot").alias("h")).groupBy("h.word").agg(F.sum("h.c").alias("c"), F.sum("h.t").alias("t")).collect() if len(deal.hot) else []
+    hot_c, hot_t = np.zeros((2, len(deal.hot)), np.int64)
+    for r in hot:
+        hot_c[r.word], hot_t[r.word] = r.c, r.t
+    total = Totals(flat, hot_c, hot_t)
+    replies = asked.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(_second_round(total, deal), "block long, grp long, logs binary, counts binary")
     return rows.select("doc_id", "text", "held_out", "block").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _scorer(total), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _scorer(total, deal), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _bytes(setting: str) -> int:
