@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar.llm.common import crc_mod, materialize, table
-from viewstar.llm.kernel import BLANK_WORDS, hash_spans, hash_words, mix64, pieces, text_bytes, words
+from viewstar.llm.kernel import BLANK_WORDS, hash_spans, hash_words, mix64, pieces, release, text_bytes, words
 
 BURN_IN, SAMPLES = 3, 3
 ONE_BY_ONE = 256
@@ -203,8 +203,10 @@ def _asker(deal: Deal):
                         parts.append(_pairs(h, train))
                         if len(parts) > 8:
                             held[block] = [_sum_by_pair(parts)[0]]
-        for block, parts in held.items():
-            yield from rows(block, parts)
+            release()
+        while held:
+            yield from rows(*held.popitem())
+            release()
     return ask
 
 
@@ -349,7 +351,13 @@ def _first_round(deal: Deal):
         return pa.table({"grp": pa.array(np.full(len(buckets), t.column("grp")[0].as_py()), pa.int64()), "bucket": pa.array(buckets, pa.int64()),
                          "contexts": pa.array([pack(_steps(known[cuts[k]:cuts[k + 1]])) for k in buckets], pa.binary()), "c": cut(own["c"]), "t": cut(own["t"]),
                          "facts": pa.array([facts] + [None] * (len(buckets) - 1), pa.list_(pa.float64())), "hot": pa.array([told] + [None] * (len(buckets) - 1), _HOT)})
-    return fit
+    return lambda t: _released(fit(t))
+
+
+def _released(t: pa.Table) -> pa.Table:
+    """The result of a task whose other memory goes back to the system."""
+    release()
+    return t
 
 
 def _summed(t: pa.Table) -> pa.Table:
@@ -404,7 +412,7 @@ def _second_round(total: Totals, deal: Deal):
         asked = [np.searchsorted(words_, _sum(w)) for w in t.column("words").to_pylist()]
         return pa.table({"block": t.column("block"), "grp": t.column("grp"),
                          "logs": pa.array([logs[i].tobytes() for i in at], pa.binary()), "counts": pa.array([pack(g.of_word[i]) for i in asked], pa.binary())})
-    return answer
+    return lambda t, told: _released(answer(t, told))
 
 
 # ---- scoring ---------------------------------------------------------------
@@ -446,7 +454,7 @@ def _scorer(total: Totals, deal: Deal):
         cat = lambda xs, kind: pa.array(np.concatenate(xs).astype(kind)) if xs else pa.array([], pa.from_numpy_dtype(kind))
         return pa.table({"doc_id": pa.chunked_array(ids, pa.int64()), "held_out": pa.chunked_array(held, pa.bool_()), "n_tokens": cat(sizes, np.int64), "n_known": cat(known, np.int64),
                          "train_tokens": pa.array(np.full(sum(map(len, sizes)), n, np.int64)), "base_score": cat(base, np.float64), "score": cat(own, np.float64)})
-    return score
+    return lambda docs, replies: _released(score(docs, replies))
 
 
 def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,6 +464,7 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h = tokens(piece.column("text"))[0]
             (every, word, ctx, _), _ = _sum_by_pair([_pairs(h, np.zeros(len(h), bool))])
             yield pa.RecordBatch.from_arrays([pa.array(every[x].view(np.int64)) for x in (word, ctx)], ["word", "ctx"])
+        release()
 
 
 def _deal(rows: DataFrame, size: int, bits: int) -> Deal:
@@ -489,7 +498,7 @@ def language_model_scores(docs: DataFrame, held_out, id_col: str = "doc_id", tex
     deal = _deal(rows, size, bits)
     asked = rows.select("text", "train", "split", "block").mapInArrow(_asker(deal), _ASKED)
     first = asked.groupBy("grp").applyInArrow(_first_round(deal), _TOLD)
-    told = materialize(first.groupBy("bucket").applyInArrow(_summed, _TOLD.replace("contexts binary, ", "")), "totals")
+    told = materialize(first.groupBy("bucket").applyInArrow(lambda t: _released(_summed(t)), _TOLD.replace("contexts binary, ", "")), "totals")
     # summed by Spark: a few counts
     both = told.select(F.posexplode("facts")).groupBy("pos").agg(F.sum("col").alias("v")).collect()
     flat = np.zeros(9)
