@@ -102,8 +102,8 @@ def _pairs(h: np.ndarray, count: np.ndarray) -> Pairs:
     return known, word, ctx, count
 
 
-def _sum_by_pair(parts: list[Pairs]) -> tuple[Pairs, np.ndarray]:
-    """The distinct pairs in order of word and context, and the place of each pair given."""
+def _codes(parts: list[Pairs]) -> tuple[np.ndarray, np.ndarray]:
+    """All words in order, and each pair as one number."""
     every = np.unique(np.concatenate([p[0] for p in parts]))
     code = np.empty(sum(len(p[1]) for p in parts), np.int64)
     a = 0
@@ -111,6 +111,25 @@ def _sum_by_pair(parts: list[Pairs]) -> tuple[Pairs, np.ndarray]:
         to = np.searchsorted(every, known)
         code[a:a + len(word)] = to[word] * len(every) + to[ctx]
         a += len(word)
+    return every, code
+
+
+def _distinct(parts: list[Pairs]) -> Pairs:
+    """The distinct pairs in order of word and context; half the memory of ``_sum_by_pair``."""
+    every, code = _codes(parts)
+    count = np.concatenate([p[3] for p in parts]).astype(np.int32)
+    order = np.argsort(code)
+    code, count = code[order], count[order]
+    del order
+    first = _first_of(code)
+    count = np.add.reduceat(count, first) if len(first) else count
+    code, size = code[first], max(len(every), 1)
+    return every, (code // size).astype(np.int32), (code % size).astype(np.int32), count
+
+
+def _sum_by_pair(parts: list[Pairs]) -> tuple[Pairs, np.ndarray]:
+    """The distinct pairs in order of word and context, and the place of each pair given."""
+    every, code = _codes(parts)
     code, back = np.unique(code, return_inverse=True)
     count = np.bincount(back, weights=np.concatenate([p[3] for p in parts]), minlength=len(code)).astype(np.int64)
     size = max(len(every), 1)
@@ -171,14 +190,17 @@ class Deal:
 def _asker(deal: Deal):
     """Per block and group: the block's distinct pairs and training counts."""
     def rows(block: int, parts: list) -> Iterator[pa.RecordBatch]:
-        (every, word, ctx, count), _ = _sum_by_pair(parts)
+        every, word, ctx, count = _distinct(parts)
+        parts.clear()
         group = deal.groups(every, word, ctx)
-        order = np.argsort(group, kind="stable")
-        group, word, ctx, count = group[order], every[word[order]], every[ctx[order]], count[order]
+        if len(deal.hot):
+            order = np.argsort(group, kind="stable")
+            group, word, ctx, count = group[order], word[order], ctx[order], count[order]
+            del order
         cuts = np.searchsorted(group, np.arange((1 << deal.bits) + 1))
         for g in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[g], cuts[g + 1]
-            packed = _pack_pairs(word[a:b], ctx[a:b], count[a:b])
+            packed = _pack_pairs(every[word[a:b]], every[ctx[a:b]], count[a:b])
             yield pa.RecordBatch.from_arrays([pa.array([g], pa.int64()), pa.array([block], pa.int64()), *[pa.array([x], pa.binary()) for x in packed]],
                                              ["grp", "block", "words", "sizes", "contexts", "counts"])
 
@@ -202,7 +224,7 @@ def _asker(deal: Deal):
                         parts = held.setdefault(block, [])
                         parts.append(_pairs(h, train))
                         if len(parts) > 8:
-                            held[block] = [_sum_by_pair(parts)[0]]
+                            held[block] = [_distinct(parts)]
             release()
         while held:
             yield from rows(*held.popitem())
@@ -462,7 +484,7 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, "text"):
             h = tokens(piece.column("text"))[0]
-            (every, word, ctx, _), _ = _sum_by_pair([_pairs(h, np.zeros(len(h), bool))])
+            every, word, ctx, _ = _distinct([_pairs(h, np.zeros(len(h), bool))])
             yield pa.RecordBatch.from_arrays([pa.array(every[x].view(np.int64)) for x in (word, ctx)], ["word", "ctx"])
         release()
 
