@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstar.operators.clean import clean
-from viewstar.operators.dedup import repeated_keys
+from viewstar.operators.dedup import dedup_wide, repeated_keys
 from viewstar.schemas import CLEAN_EVENT
 from viewstar.session import scratch_dir
 from viewstar.operators.star import Star, base_frame, build_star
@@ -22,11 +22,36 @@ def cleaned_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(clicks(spark, sf_dir))
 
 
-def base_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base_frame(cleaned_clicks(spark, sf_dir))
+_MATERIALIZED: dict = {}
 
 
-_MATERIALIZED: dict = {}
+def _kept(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """The frame that `make` gives, written once under spark.checkpoint.dir
+    (lineage cut, survives executor loss) for each application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _MATERIALIZED:
+        path, df = scratch_dir(spark, name), make()
+        df.write.parquet(path)
+        _MATERIALIZED[key] = spark.read.schema(df.schema).parquet(path)
+    return _MATERIALIZED[key]
+
+
+def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned events as a table, cheap to read twice."""
+    return _kept(spark, sf_dir, "cleaned", lambda: cleaned_clicks(spark, sf_dir))
+
+
+def unique_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned events, one row an id (that of the earliest event_ts, then the
+    other columns), as a table; only copies are compared as whole rows."""
+    cleaned = cleaned_table(spark, sf_dir)
+    return _kept(spark, sf_dir, "unique", lambda: dedup_wide(cleaned, "id", ["event_ts"], repeated_keys(cleaned, "id")))
+
+
+def base_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base frame as a table, for all that read it."""
+    cleaned = cleaned_table(spark, sf_dir)
+    return _kept(spark, sf_dir, "base", lambda: base_frame(cleaned, repeated_keys(cleaned, "id")))
 
 
 def star_from_tables(spark: SparkSession, sf_dir: str, ingestion_timestamp=PROOF_LOAD_TIME,
@@ -35,19 +60,7 @@ def star_from_tables(spark: SparkSession, sf_dir: str, ingestion_timestamp=PROOF
 
     Lazy by default (one plan per table, each re-deriving the base frame).
     With `materialize`, the cleaned events and the base frame are each computed
-    once and written as Parquet under spark.checkpoint.dir (lineage cut, survives
-    executor loss); the five tables then read only the columns they use.  Reused per application
-    and input folder."""
-    if not materialize:
-        return build_star(base_from_tables(spark, sf_dir), ingestion_timestamp)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ingestion_timestamp)
-    if key not in _MATERIALIZED:
-        path, events = scratch_dir(spark, "base"), scratch_dir(spark, "cleaned")
-        cleaned_clicks(spark, sf_dir).write.parquet(events)
-        cleaned = spark.read.schema(CLEAN_EVENT).parquet(events)
-        repeated = repeated_keys(cleaned, "id")
-        base = base_frame(cleaned, repeated)
-        base.write.parquet(path)
-        repeated.keys.unpersist()
-        _MATERIALIZED[key] = spark.read.schema(base.schema).parquet(path)
-    return build_star(_MATERIALIZED[key], ingestion_timestamp)
+    once and written as Parquet; the five tables then read only the columns they
+    use.  Reused per application and input folder."""
+    base = base_from_tables(spark, sf_dir) if materialize else base_frame(cleaned_clicks(spark, sf_dir))
+    return build_star(base, ingestion_timestamp)
