@@ -402,3 +402,86 @@ def test_cli_report(spark, capsys):
     out = capsys.readouterr().out
     assert "product_id" in out and "views" in out and "2024-01-30" in out
     assert "primary_key:event_key\t0" in out and "event_key\tcopies" in out
+
+
+def test_events_are_dealt_by_rows_not_by_cores(spark):
+    """One file of events is one split; its tasks grow with its rows."""
+    from viewstar.sources.fixtures import spread
+    df = spark.range(5000).coalesce(1)
+    assert spread(df, task_rows=100).rdd.getNumPartitions() == 56  # on 8 cores
+    assert spread(spark.range(0, 5000, 1, 60), task_rows=100).rdd.getNumPartitions() == 60
+    assert sorted(r.id for r in spread(df, task_rows=100).collect()) == list(range(5000))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_dimensions_sort_only_distinct_rows(spark):
+    """Texts have no hash aggregate for their least one: all rows were sorted, batch and key."""
+    from viewstar.operators.star import dim_location, dim_product
+    rows = [("p1", "1", None, "x", dt.date(2024, 1, 2)), ("p1", "1", "", "x", dt.date(2024, 1, 1)), ("p1", "0", "b", None, None), (None, "9", None, None, None)]
+    base = spark.createDataFrame(rows, "product_key string, product_id string, option_id string, option_label string, event_date date")
+    got = dim_product(base)
+    assert [tuple(r)[:5] for r in got.collect()] == [("p1", "0", "b", "x", dt.date(2024, 1, 1))]
+    places = spark.createDataFrame([("l1", "b", "C", "CL"), ("l1", "a", "D", "CL"), ("l1", "a", None, None), ("l1", "b", "C", "CL"), (None, "z", None, None)],
+                                   "location_key string, ip string, country string, country_code string")
+    assert [tuple(r)[:4] for r in dim_location(places).collect()] == [("l1", "a", None, None)]
+    for df in (got, dim_location(places)):
+        executed = df._jdf.queryExecution().executedPlan().toString()
+        # the rows that come to the sorting aggregate were made distinct by hashing
+        assert executed.rindex("HashAggregate") > executed.rindex("SortAggregate")
+
+
+def test_load_writes_few_files(spark, tmp_path):
+    """A batch's facts come in a file a day and its dimensions in one, not in one for each task."""
+    import glob
+    from viewstar.batch import cleaned_clicks
+    from viewstar.streaming.warehouse import Warehouse
+    cleaned = cleaned_clicks(spark, "/root/testdata/sf0.001").repartition(8)
+    wh = Warehouse(spark, f"{tmp_path}/wh")
+    assert wh.load_batch(cleaned, 0, "q", "r")["status"] == "committed"
+    days = glob.glob(f"{tmp_path}/wh/fact_log_event/date_key=*")
+    assert len(days) > 20
+    assert len(glob.glob(f"{tmp_path}/wh/fact_log_event/*/*/part-*.parquet")) == len(days)
+    for dim in ("dim_date", "dim_product", "dim_location", "dim_customer"):
+        assert len(glob.glob(f"{tmp_path}/wh/{dim}/*/part-*.parquet")) == 1
+    assert wh.read("fact_log_event").count() == cleaned.select("id").distinct().count()
+
+
+def test_unique_events_compare_only_copies(spark):
+    """One row an id, as by comparing all rows whole; the table is made without sorting them."""
+    from viewstar.batch import base_from_tables, cleaned_clicks, unique_clicks
+    from viewstar.operators.dedup import dedup_stable
+    from viewstar.operators.star import base_frame
+    sf = "/root/testdata/sf0.001"
+    want = dedup_stable(cleaned_clicks(spark, sf), ["id"], ["event_ts"])
+    assert sorted(unique_clicks(spark, sf).collect(), key=str) == sorted(want.collect(), key=str)
+    base = base_from_tables(spark, sf)
+    assert "Aggregate" not in _plan(base)  # was a lazy plan that sorted all cleaned rows
+    assert sorted(base.collect(), key=str) == sorted(base_frame(cleaned_clicks(spark, sf)).collect(), key=str)
+
+
+def test_planted_violations_read_each_table_once(spark):
+    from viewstar.batch import star_from_tables
+    from viewstar.streaming.proofs import with_violations
+    tables = star_from_tables(spark, "/root/testdata/sf0.001").as_dict()
+    small = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in tables.items()}
+    out = with_violations(small)
+    fact, rows = small["fact_log_event"], out["fact_log_event"].collect()
+    n = {s: fact.where(F.col("store_id") == s).count() for s in "3456"}
+    assert len(rows) == fact.count() + sum(n.values())
+    assert sum(all(v is None for v in r) for r in rows) == n["4"]
+    assert sum(r.event_count == -1 and r.event_key.startswith("neg-") for r in rows if r.event_key) == n["5"]
+    assert sum(r.date_key == r.customer_key == "nowhere" and r.event_key.startswith("fk-") for r in rows if r.event_key) == n["6"]
+    for df in out.values():
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+
+
+def test_audit_entries_hold_no_rule_texts(spark):
+    """An entry is a rule's number and a key: the texts were shuffled with each fact's key."""
+    tables = {"dim_customer": spark.createDataFrame([("c", "e"), ("c", None)], "customer_key string, email string")}
+    audit = constraint_audit(tables)
+    exchanges = [l for l in audit._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in l]
+    assert exchanges and not any("table_name" in l for l in exchanges)
+    assert {(r.table_name, r.rule): r.violations for r in audit.collect()}[("dim_customer", "primary_key:customer_key")] == 1
