@@ -485,3 +485,22 @@ def test_audit_entries_hold_no_rule_texts(spark):
     exchanges = [l for l in audit._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in l]
     assert exchanges and not any("table_name" in l for l in exchanges)
     assert {(r.table_name, r.rule): r.violations for r in audit.collect()}[("dim_customer", "primary_key:customer_key")] == 1
+
+
+def test_load_keeps_no_wide_rows(spark, tmp_path, monkeypatch):
+    """A batch without repeated ids is read by the columns that a table uses; nothing wide is cached."""
+    from viewstar.batch import unique_clicks
+    cleaned = unique_clicks(spark, "/root/testdata/sf0.001")
+    kept, persist = [], type(cleaned).persist
+    monkeypatch.setattr(type(cleaned), "persist", lambda df, *a: kept.append(df.columns) or persist(df, *a))
+    wh = Warehouse(spark, f"{tmp_path}/wh")
+    half = F.col("event_date") <= F.lit(dt.date(2024, 1, 15))
+    assert wh.load_batch(cleaned.where(half), 0, "q", "r")["status"] == "committed"
+    assert wh.load_batch(cleaned, 1, "q", "r")["status"] == "committed"
+    assert kept and not [columns for columns in kept if "user_agent" in columns]
+    fact = wh.read("fact_log_event")
+    assert fact.count() == fact.select("event_key").distinct().count() == cleaned.count()
+    want = {r.date_key: r["count"] for r in fact.where("collection = 'view_product_detail'").groupBy("date_key").count().collect()}
+    assert {r.date_key: r.views for r in wh.day_views().collect()} == want
+    browsers = [r.browser for r in wh.seen_browsers().collect()]
+    assert sorted(browsers) == sorted(r.browser for r in fact.select("browser").distinct().collect() if r.browser is not None)
