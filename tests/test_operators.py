@@ -504,3 +504,15 @@ def test_load_keeps_no_wide_rows(spark, tmp_path, monkeypatch):
     assert {r.date_key: r.views for r in wh.day_views().collect()} == want
     browsers = [r.browser for r in wh.seen_browsers().collect()]
     assert sorted(browsers) == sorted(r.browser for r in fact.select("browser").distinct().collect() if r.browser is not None)
+
+
+def test_queries_keep_the_cleaning_compiled(spark):
+    """Queries pin the code limit in a session that isn't ours."""
+    from viewstar import catalog
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "65535")
+        assert catalog._utc(lambda s, d: s.conf.get(limit))(spark, "unused") == "8000"
+    finally:
+        spark.conf.set(limit, before)
